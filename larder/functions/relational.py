@@ -24,14 +24,13 @@ def exact_quantiles(df: DataFrame, spec: Mapping[str, tuple[str, float]]) -> Dat
     """
     names = list(spec)
     eps = 2.0 / QUANTILE_ACCURACY
-    brackets = df.agg(
-        *[
-            F.percentile_approx(
-                F.col(c).cast("double"), [max(0.0, p - eps), min(1.0, p + eps)], QUANTILE_ACCURACY
-            ).alias(n)
-            for n, (c, p) in spec.items()
-        ]
-    ).select(F.struct(*names).alias("b"))
+    bracket_columns = []
+    for n, (c, p) in spec.items():
+        x = F.col(c).cast("double")
+        around = F.percentile_approx(x, [max(0.0, p - eps), min(1.0, p + eps)], QUANTILE_ACCURACY)
+        few = F.count(x) <= 2 * QUANTILE_ACCURACY  # small inputs are sorted whole
+        bracket_columns.append(F.when(few, F.array(F.min(x), F.max(x))).otherwise(around).alias(n))
+    brackets = df.agg(*bracket_columns).select(F.struct(*names).alias("b"))
     measured = df.select(*[F.col(c).cast("double").alias(n) for n, (c, _) in spec.items()]).withColumn(
         "_b", brackets.scalar()
     )

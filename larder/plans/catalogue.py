@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.operators import quality
+from larder.operators import basket, customers, features, menu, peaks, quality
 from larder.plans.retail import Retail
+from larder.sources.staging import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,11 +19,17 @@ QUERIES: dict[str, Query] = {}
 AS_OF = "2024-01-25"
 
 
+@lru_cache(maxsize=8)
+def retail(spark: SparkSession, sf_dir: str) -> Retail:
+    """One set of table plans per session and folder."""
+    return Retail(spark, sf_dir)
+
+
 def query(name: str) -> Callable[[Callable[[Retail], DataFrame]], Callable[[Retail], DataFrame]]:
     """Register a function of the domain tables under a query name."""
 
     def register(f: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: f(Retail(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: f(retail(spark, sf_dir))
         return f
 
     return register
@@ -49,3 +58,139 @@ def _(d: Retail) -> DataFrame:
 @query("dq_run_strict")
 def _(d: Retail) -> DataFrame:
     return quality.run_quality(d, strict=True, as_of=AS_OF)
+
+
+# ---- features --------------------------------------------------------------
+FEATURE_END = "2000-12-31"
+DATA_START, DATA_END = "1995-01-01", "2001-08-01"
+
+query("feat_integrated_fact")(features.integrated_fact)
+query("feat_item")(features.item_features)
+query("feat_customer")(lambda d: features.customer_features(d, FEATURE_END))
+query("feat_order")(features.order_features)
+query("feat_location_item")(features.location_item_features)
+query("feat_time")(features.time_features)
+query("feat_customer_base")(lambda d: features.customer_base(d.orders, d.lines, FEATURE_END))
+query("feat_item_base")(lambda d: features.item_base(d.orders, d.lines, FEATURE_END))
+query("feat_weekly_consumption")(lambda d: features.weekly_consumption(d.orders, d.lines, DATA_START, DATA_END))
+query("feat_order_totals")(lambda d: features.order_totals(d.orders, d.lines))
+
+
+@query("feat_report")
+def _(d: Retail) -> DataFrame:
+    return features.feature_report(
+        {
+            "item": features.item_features(d),
+            "customer": features.customer_features(d, FEATURE_END),
+            "order": features.order_features(d),
+            "location_item": features.location_item_features(d),
+            "time": features.time_features(d),
+        }
+    )
+
+
+# ---- menu ------------------------------------------------------------------
+HALF_SPLIT = "1998-07-01"
+NEW_DAYS = 2000  # the driver data has no items younger than 90 days
+
+
+def _items(d: Retail) -> DataFrame:
+    return settle(features.item_features(d), "item_features").where(F.col("menu_item_id").isNotNull())
+
+
+def _profit(d: Retail) -> DataFrame:
+    return menu.menu_profitability(features.item_features(d), d.orders, d.lines, HALF_SPLIT)
+
+
+def _performance(d: Retail) -> DataFrame:
+    return menu.menu_performance(settle(_profit(d), "menu_profitability"))
+
+
+def _cases(d: Retail) -> DataFrame:
+    return menu.tricky_cases(settle(_profit(d), "menu_profitability"), d.orders, d.lines, new_days=NEW_DAYS)
+
+
+def _summary(d: Retail, **limits: int) -> DataFrame:
+    return menu.item_sales_summary(d.lines, d.orders, d.wastage, d.menu, FEATURE_END, **limits)
+
+
+query("menu_item_eda")(lambda d: menu.item_eda_lists(_items(d)))
+query("menu_classification")(lambda d: menu.menu_classification(_items(d)))
+query("menu_class_counts")(lambda d: menu.class_counts(menu.menu_classification(_items(d)), "menu_class"))
+query("menu_class_samples")(lambda d: menu.class_samples(menu.menu_classification(_items(d))))
+query("menu_tricky_basic")(lambda d: menu.tricky_cases_basic(_items(d)))
+query("menu_profitability")(_profit)
+query("menu_performance")(_performance)
+query("menu_performance_check")(lambda d: menu.performance_check(_performance(d)))
+query("menu_tricky_cases")(_cases)
+query("menu_tricky_counts")(lambda d: menu.case_counts(_cases(d)))
+query("menu_item_sales_summary")(_summary)
+query("menu_slow_moving")(lambda d: menu.slow_moving(_summary(d)))
+query("menu_no_recent_sales")(lambda d: menu.no_recent_sales(_summary(d, recent_days=-200)))
+query("menu_simple_slow_movers")(lambda d: menu.simple_slow_movers(_performance(d)))
+
+
+# ---- customers, baskets, peaks ---------------------------------------------
+MIN_CONFIDENCE = 0.03  # baskets of the driver data are small
+
+
+def _base(d: Retail) -> DataFrame:
+    return features.customer_base(d.orders, d.lines, FEATURE_END)
+
+
+def _behaviour(d: Retail) -> DataFrame:
+    window = features.active_orders(d.orders, FEATURE_END)
+    return customers.customer_behaviour(window, d.lines, d.menu, d.categories, FEATURE_END)
+
+
+def _rfm(d: Retail) -> DataFrame:
+    return customers.rfm_scores(settle(_base(d), "customer_base"))
+
+
+def _segment_input(d: Retail) -> DataFrame:
+    return settle(_rfm(d).join(_behaviour(d), "customer_id", "left"), "segment_input")
+
+
+def _channels(d: Retail) -> DataFrame:
+    return customers.channel_intelligence(features.customer_features(d, FEATURE_END))
+
+
+def _rules(d: Retail) -> DataFrame:
+    return basket.association_rules(d.lines, min_confidence=MIN_CONFIDENCE)
+
+
+def _named_rules(d: Retail) -> DataFrame:
+    return basket.name_rules(_rules(d), d.menu)
+
+
+query("rfm_base")(_base)
+query("customer_behaviour")(_behaviour)
+query("rfm_scores")(_rfm)
+query("rfm_threshold_scores")(lambda d: customers.rfm_threshold_scores(settle(_base(d), "customer_base")))
+query("rfm_distribution")(lambda d: customers.rfm_distribution(_rfm(d)))
+query("kmeans_search")(lambda d: customers.kmeans_search(settle(_base(d), "customer_base")))
+query("segment_customers")(lambda d: customers.segment_customers(_segment_input(d)))
+query("segment_profiles")(lambda d: customers.segment_profiles(customers.segment_customers(_segment_input(d))))
+query("channel_intelligence")(_channels)
+query("dashboard_channel_share")(lambda d: customers.channel_share(_channels(d)))
+query("churned_customers")(lambda d: customers.churned_customers(d.orders, DATA_END))
+query("basket_singles")(lambda d: basket.basket_singles(d.lines))
+query("basket_pairs")(lambda d: basket.basket_pairs(d.lines))
+query("basket_rules")(_rules)
+query("basket_rules_named")(_named_rules)
+query("basket_top20")(lambda d: basket.top_rules(_named_rules(d)))
+query("basket_bundles")(lambda d: basket.bundle_suggestions(_named_rules(d)))
+
+for _name, _by in {
+    "hour": ["hour"],
+    "day": ["dow"],
+    "weekend": ["weekend"],
+    "month": ["month"],
+    "location": ["restaurant_id"],
+    "location_hour": ["restaurant_id", "hour"],
+    "channel": ["order_channel"],
+    "channel_hour": ["order_channel", "hour"],
+}.items():
+    query(f"peaks_{_name}")(lambda d, by=_by: peaks.peaks(d.orders, by))
+query("peaks_summary")(lambda d: peaks.peaks_summary(d.orders))
+query("revenue_by_restaurant")(lambda d: peaks.revenue_by_restaurant(features.order_features(d)))

@@ -154,8 +154,8 @@ def with_views(sql: str) -> str:
 
 
 def r(expr: str, digits: int) -> str:
-    """Half-up rounding of a double through a decimal, like the DataFrame side."""
-    return f"CAST(round(CAST(({expr}) AS DECIMAL(38,{digits + 4})), {digits}) AS DOUBLE)"
+    """Half-up rounding of a double's shortest decimal form, like the DataFrame side."""
+    return f"CAST(round(CAST(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def mean(col: str) -> str:
