@@ -8,7 +8,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.operators import basket, customers, features, menu, peaks, quality
+from larder.operators import basket, customers, features, menu, peaks, pricing, promotions, quality, wastage
 from larder.plans.retail import Retail
 from larder.sources.staging import settle
 
@@ -194,3 +194,55 @@ for _name, _by in {
     query(f"peaks_{_name}")(lambda d, by=_by: peaks.peaks(d.orders, by))
 query("peaks_summary")(lambda d: peaks.peaks_summary(d.orders))
 query("revenue_by_restaurant")(lambda d: peaks.revenue_by_restaurant(features.order_features(d)))
+
+
+# ---- wastage, prices, promotions -------------------------------------------
+def _risk(d: Retail) -> DataFrame:
+    return wastage.wastage_risk_features(d.wastage, d.orders, d.lines)
+
+
+def _risk_split(d: Retail) -> DataFrame:
+    return wastage.wastage_label_split(settle(_risk(d), "risk_features"))
+
+
+def _daily(d: Retail) -> DataFrame:
+    return pricing.daily_item_sales(d.orders, d.lines)
+
+
+def _elasticity(d: Retail) -> DataFrame:
+    return pricing.price_elasticity(_daily(d))
+
+
+def _effectiveness(d: Retail, **options: bool) -> DataFrame:
+    return promotions.promo_effectiveness(d.orders, d.lines, d.promotions, d.promotion_items, d.wastage, **options)
+
+
+def _traps(d: Retail) -> DataFrame:
+    return promotions.promo_traps(_effectiveness(d))
+
+
+for _name, _by in {"item": "item", "category": "category", "location": "location", "day": "dow", "time": "time", "reason": "reason"}.items():
+    query(f"wastage_by_{_name}")(lambda d, by=_by: wastage.wastage_by(d.wastage, by, d.menu, d.categories))
+query("wastage_vs_demand")(lambda d: wastage.wastage_vs_demand(d.wastage, d.orders, d.lines))
+query("wastage_vs_promo_day")(lambda d: wastage.wastage_vs_promo_day(d.wastage, d.orders))
+query("wastage_vs_inventory")(lambda d: wastage.wastage_vs_inventory(d.wastage, d.inventory))
+query("wastage_risk_rule")(lambda d: wastage.wastage_risk_rule(d.wastage, d.inventory))
+query("dashboard_top_wastage")(lambda d: wastage.top_wastage(wastage.wastage_by(d.wastage, "item", d.menu)))
+query("wastage_risk_features")(_risk)
+query("wastage_label_split")(_risk_split)
+query("wastage_popularity_rank")(lambda d: wastage.popularity_rank(settle(_risk_split(d), "risk_split")))
+query("price_daily_item_sales")(_daily)
+query("price_effective")(lambda d: pricing.effective_price(d.lines, d.orders, d.pricing))
+query("price_elasticity")(lambda d: pricing.enrich_items(_elasticity(d), d.menu, d.ratings, d.lines))
+query("price_multivariate_elasticity")(lambda d: pricing.multivariate_elasticity(_daily(d), d.orders))
+query("price_vs_repeat")(lambda d: pricing.price_vs_repeat(d.lines, d.menu))
+query("price_summary")(lambda d: pricing.price_summary(_elasticity(d)))
+query("promo_effectiveness")(_effectiveness)
+query("promo_effectiveness_midnight_end")(lambda d: _effectiveness(d, inclusive_end=False))
+query("promo_traps")(_traps)
+query("promo_trap_list")(lambda d: promotions.trap_list(_traps(d)))
+query("promo_traps_summary")(lambda d: promotions.traps_summary(_traps(d)))
+query("promo_summary")(lambda d: promotions.promo_summary(_traps(d)))
+query("promo_window_share")(
+    lambda d: promotions.promo_window_share(d.orders, d.lines, d.promotions, d.promotion_items)
+)
