@@ -8,7 +8,20 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.operators import basket, customers, features, menu, peaks, pricing, promotions, quality, wastage
+from larder.operators import (
+    anomalies,
+    basket,
+    cleaning,
+    customers,
+    features,
+    menu,
+    peaks,
+    pricing,
+    promotions,
+    quality,
+    ratings,
+    wastage,
+)
 from larder.plans.retail import Retail
 from larder.sources.staging import settle
 
@@ -246,3 +259,78 @@ query("promo_summary")(lambda d: promotions.promo_summary(_traps(d)))
 query("promo_window_share")(
     lambda d: promotions.promo_window_share(d.orders, d.lines, d.promotions, d.promotion_items)
 )
+
+
+# ---- cleaning --------------------------------------------------------------
+MAX_DATE = "2001-06-30"
+
+
+def _with_copies(d: Retail) -> DataFrame:
+    """Orders plus exact copies of every tenth one."""
+    return d.orders.unionByName(d.orders.where(F.col("order_id") % 10 == 0))
+
+
+CLEANING: dict[str, Callable[[Retail], cleaning.Step]] = {
+    "missing_values": lambda d: cleaning.missing_amounts(d.orders),
+    "duplicate_orders": lambda d: cleaning.deduplicate(_with_copies(d), "order_id"),
+    "duplicate_lines": lambda d: cleaning.deduplicate(d.lines, "order_item_id"),
+    "invalid_menu_prices": lambda d: cleaning.invalid_menu_prices(d.menu),
+    "negative_quantities": lambda d: cleaning.negative_quantities(d.lines),
+    "negative_consumption": lambda d: cleaning.negative_consumption(d.inventory),
+    "invalid_dates_orders": lambda d: cleaning.invalid_dates(d.orders, "order_timestamp", MAX_DATE),
+    "invalid_dates_ratings": lambda d: cleaning.invalid_dates(d.ratings, "rating_timestamp", AS_OF),
+    "invalid_dates_wastage": lambda d: cleaning.invalid_dates(d.wastage, "wastage_date", MAX_DATE),
+    "invalid_ratings": lambda d: cleaning.invalid_ratings(d.ratings),
+    "missing_ids_orders": lambda d: cleaning.missing_ids(d.orders, "customer_id"),
+    "missing_ids_lines": lambda d: cleaning.missing_ids(d.lines, "menu_item_id"),
+    "invalid_restaurants": lambda d: cleaning.invalid_restaurants(d.orders, d.restaurants),
+    "impossible_wastage": lambda d: cleaning.impossible_wastage(d.wastage, d.inventory),
+    "incorrect_discounts": lambda d: cleaning.incorrect_discounts(d.lines),
+    "units_inventory": lambda d: cleaning.inconsistent_units(d.inventory, d.menu),
+    "units_wastage": lambda d: cleaning.inconsistent_units(d.wastage, d.menu),
+    "orphan_lines": lambda d: cleaning.orphan_lines(d.lines, d.orders.where("order_status = 'completed'")),
+    "invalid_line_prices": lambda d: cleaning.invalid_line_prices(d.lines),
+}
+for _name, _step in CLEANING.items():
+    query(f"clean_{_name}")(lambda d, step=_step: step(d)[0])
+    query(f"clean_{_name}_quarantine")(lambda d, step=_step: step(d)[1])
+query("clean_cancelled_orders")(lambda d: cleaning.cancelled_orders(d.orders)[0])
+
+
+def _cleaned(d: Retail) -> tuple[dict[str, DataFrame], dict[str, DataFrame], DataFrame]:
+    return cleaning.run_cleaning(d, max_date=AS_OF, extra=True, stage=settle)
+
+
+query("clean_log")(lambda d: _cleaned(d)[2])
+
+
+# ---- ratings and anomalies -------------------------------------------------
+PROMO_SHIFT_DAYS = 8500  # ratings of the driver data start after the last order
+HIGH, LOW = 3.05, 2.85  # item means of the driver data lie close together
+
+
+def _events(d: Retail) -> DataFrame:
+    return d._read("events").select("event_id", "user_id", "event_type", "ts", "value")
+
+
+def _by_item(d: Retail) -> DataFrame:
+    return ratings.ratings_by_item(d.ratings, d.lines, d.menu, HIGH, LOW)
+
+
+query("ratings_by_item")(_by_item)
+query("rating_inconsistencies")(lambda d: ratings.rating_inconsistencies(_by_item(d)))
+query("ratings_by_location")(lambda d: ratings.ratings_by_location(d.ratings, d.orders))
+query("ratings_by_time")(lambda d: ratings.ratings_by_time(d.ratings))
+query("ratings_by_promo_day")(lambda d: ratings.ratings_by_promo_day(d.ratings, d.orders, PROMO_SHIFT_DAYS))
+query("rating_anomalies")(lambda d: ratings.rating_anomalies(d.ratings))
+query("rating_burst")(lambda d: ratings.rating_burst(d.ratings, n=3))
+query("sales_spike_drop")(lambda d: anomalies.sales_spike_drop(_daily(d)))
+query("value_outliers")(lambda d: anomalies.value_outliers(_events(d), "value", kind="event_value"))
+query("discount_outliers")(lambda d: anomalies.discount_outliers(d.orders))
+query("duplicate_transactions")(
+    lambda d: anomalies.duplicate_transactions(_events(d), ["user_id", "event_type"], "ts", "event_id")
+)
+query("unexpected_demand")(lambda d: anomalies.unexpected_demand(d.lines, d.orders))
+query("weekday_spike")(lambda d: anomalies.weekday_spike(_daily(d)))
+query("kpi_changes")(lambda d: anomalies.kpi_changes(d.orders))
+query("rule_anomalies")(lambda d: anomalies.rule_anomalies(anomalies.kpi_changes(d.orders), "revenue_change_pct > 20"))
