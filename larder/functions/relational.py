@@ -173,10 +173,10 @@ def running_total(
 
 
 def qcut_score(
-    df: DataFrame, col: str, tie: str, name: str, q: int = 4, reverse: bool = False
+    df: DataFrame, col: str, tie: str, name: str, q: int = 4, reverse: bool = False, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Equal-count score 1..q of the first-come rank of ``col`` (ties by ``tie``)."""
-    ranked = ordered_index(df, [col, tie], index="_rn", total="_n")
+    """Equal-count score 1..q of the first-come rank of ``col`` (ties by ``tie``), within ``by``."""
+    ranked = ordered_index(df, [col, tie], by, index="_rn", total="_n")
     score = F.greatest(
         F.lit(1),
         F.when(F.col("_n") > 1, F.ceil((F.col("_rn") - 1) * q / (F.col("_n") - 1))).otherwise(1),

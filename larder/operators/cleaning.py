@@ -137,8 +137,9 @@ def orphan_lines(lines: DataFrame, orders: DataFrame) -> Step:
     return kept, rejected.withColumn("reason", F.lit(reason)), reason
 
 
-def invalid_line_prices(lines: DataFrame) -> Step:
-    return _split(lines, F.col("unit_price") > 0, "invalid line price")
+def invalid_unit_prices(df: DataFrame) -> Step:
+    """Order lines or price history rows without a positive unit price."""
+    return _split(df, F.col("unit_price") > 0, "invalid unit price")
 
 
 def steps(max_date: str, extra: bool = False) -> list[tuple[str, str, bool, Callable[[Mapping[str, DataFrame]], Step]]]:
@@ -166,7 +167,7 @@ def steps(max_date: str, extra: bool = False) -> list[tuple[str, str, bool, Call
     if extra:
         out += [
             ("orphan_lines", "Order_Items", True, lambda t: orphan_lines(t["Order_Items"], t["Orders"])),
-            ("invalid_line_prices", "Order_Items", True, lambda t: invalid_line_prices(t["Order_Items"])),
+            ("invalid_unit_prices", "Order_Items", True, lambda t: invalid_unit_prices(t["Order_Items"])),
         ]
     return out
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
@@ -21,23 +21,29 @@ def share(cond: Column) -> Column:
     return F.count_if(cond).cast("double") / F.count("*")
 
 
-def most_common(df: DataFrame, entity: str, value: str, name: str) -> DataFrame:
+def most_common(df: DataFrame, entity: Sequence[str], value: str, name: str) -> DataFrame:
     """Most frequent non-null value per entity, the smallest one on ties."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(entity, value).agg(F.count("*").alias("_c"))
-    return counts.groupBy(entity).agg(F.min_by(value, F.struct(-F.col("_c"), F.col(value))).alias(name))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*entity, value).agg(F.count("*").alias("_c"))
+    return counts.groupBy(*entity).agg(F.min_by(value, F.struct(-F.col("_c"), F.col(value))).alias(name))
 
 
 def customer_behaviour(
-    orders: DataFrame, lines: DataFrame, menu: DataFrame, categories: DataFrame, cutoff: str, days: int = 90
+    orders: DataFrame,
+    lines: DataFrame,
+    menu: DataFrame,
+    categories: DataFrame,
+    cutoff: Column,
+    days: int = 90,
+    by: Sequence[str] = ("customer_id",),
 ) -> DataFrame:
     """Shares, preferences, recent frequency, gaps and category variety per customer.
 
-    ``orders`` must already be limited to the feature window.
+    ``orders`` must already be limited to the feature window; ``cutoff`` is its last day.
     """
-    ts = "order_timestamp"
+    ts, by = "order_timestamp", list(by)
     o = orders.where(F.col("customer_id").isNotNull())
-    recent = F.col(ts) >= F.date_sub(F.lit(cutoff).cast("date"), days)
-    per_customer = o.groupBy("customer_id").agg(
+    recent = F.col(ts) >= F.date_sub(cutoff, days)
+    per_customer = o.groupBy(*by).agg(
         share(is_peak_hour(ts)).alias("peak_ratio"),
         share(is_weekend(ts)).alias("weekend_ratio"),
         share(F.col("promotion_id").isNotNull()).alias("promo_sensitivity"),
@@ -46,35 +52,33 @@ def customer_behaviour(
     )
     bought = (
         lines.select("order_id", "menu_item_id")
-        .join(o.select("order_id", "customer_id"), "order_id")
+        .join(o.select("order_id", *by), "order_id")
         .join(menu.select("menu_item_id", "category_id"), "menu_item_id")
-        .groupBy("customer_id", "category_id")
+        .groupBy(*by, "category_id")
         .agg(F.count("*").alias("_c"))
         .join(categories, "category_id", "left")
     )
-    variety = bought.groupBy("customer_id").agg(
+    variety = bought.groupBy(*by).agg(
         F.count("*").alias("distinct_categories"),
         F.min_by("category_name", F.struct(-F.col("_c"), F.col("category_name"))).alias("favorite_category"),
     )
     return (
-        per_customer.join(most_common(o, "customer_id", "order_channel", "preferred_channel"), "customer_id")
-        .join(
-            most_common(o.withColumn("_tod", time_of_day(ts)), "customer_id", "_tod", "time_of_day_preference"),
-            "customer_id",
-        )
-        .join(mean_gap_days(o, ["customer_id"], ts), "customer_id")
-        .join(variety, "customer_id", "left")
+        per_customer.join(most_common(o, by, "order_channel", "preferred_channel"), by)
+        .join(most_common(o.withColumn("_tod", time_of_day(ts)), by, "_tod", "time_of_day_preference"), by)
+        .join(mean_gap_days(o, by, ts), by)
+        .join(variety, by, "left")
     )
 
 
-def rfm_scores(df: DataFrame, q: int = DEFAULTS.rfm_quantiles) -> DataFrame:
+def rfm_scores(df: DataFrame, q: int = DEFAULTS.rfm_quantiles, by: Sequence[str] = ()) -> DataFrame:
     """Equal-count scores of recency (reversed), frequency and monetary value, ties by customer id."""
-    keys = df.select("customer_id", "recency", "frequency", "monetary")
-    scored = qcut_score(keys, "recency", "customer_id", "r_score", q, reverse=True)
-    scored = qcut_score(scored, "frequency", "customer_id", "f_score", q)
-    scored = qcut_score(scored, "monetary", "customer_id", "m_score", q)
-    scores = scored.select("customer_id", "r_score", "f_score", "m_score")
-    return df.join(scores, "customer_id").withColumns(
+    keys = [*by, "customer_id"]
+    scored = df.select(*keys, "recency", "frequency", "monetary")
+    scored = qcut_score(scored, "recency", "customer_id", "r_score", q, reverse=True, by=by)
+    scored = qcut_score(scored, "frequency", "customer_id", "f_score", q, by=by)
+    scored = qcut_score(scored, "monetary", "customer_id", "m_score", q, by=by)
+    scores = scored.select(*keys, "r_score", "f_score", "m_score")
+    return df.join(scores, keys).withColumns(
         {
             "rfm_sum": F.col("r_score") + F.col("f_score") + F.col("m_score"),
             "rfm_string": F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")]),
@@ -159,7 +163,7 @@ def segment_profiles(clustered: DataFrame) -> DataFrame:
         ("time_of_day_preference", "top_tod"),
         ("favorite_category", "top_category"),
     ):
-        means = means.join(most_common(clustered, "cluster", value, name), "cluster", "left")
+        means = means.join(most_common(clustered, ["cluster"], value, name), "cluster", "left")
     r, f, m = F.col("r"), F.col("f"), F.col("m")
     name = (
         F.when(F.col("promo") >= 0.5, "promotion_driven")

@@ -151,6 +151,8 @@ def item_features(t: Tables, split_month: int = 6) -> DataFrame:
         ratio_or_zero("qty_promoted", "quantity").alias("promotion_dependency"),
         ratio_or_zero("repeat_customers", "distinct_customers").alias("repeat_purchase_rate"),
         ratio_or_zero("order_frequency", "total_orders").alias("basket_inclusion_rate"),
+        "early_rating",
+        "recent_rating",
         F.coalesce(trend, F.lit(0.0)).alias("rating_trend"),
     )
 

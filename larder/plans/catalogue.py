@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from larder.operators import (
     anomalies,
     basket,
+    churn,
     cleaning,
+    compare,
     customers,
     features,
+    forecast,
     menu,
     peaks,
     pricing,
@@ -153,7 +156,9 @@ def _base(d: Retail) -> DataFrame:
 
 def _behaviour(d: Retail) -> DataFrame:
     window = features.active_orders(d.orders, FEATURE_END)
-    return customers.customer_behaviour(window, d.lines, d.menu, d.categories, FEATURE_END)
+    return customers.customer_behaviour(
+        window, d.lines, d.menu, d.categories, F.lit(FEATURE_END).cast("date")
+    )
 
 
 def _rfm(d: Retail) -> DataFrame:
@@ -289,7 +294,7 @@ CLEANING: dict[str, Callable[[Retail], cleaning.Step]] = {
     "units_inventory": lambda d: cleaning.inconsistent_units(d.inventory, d.menu),
     "units_wastage": lambda d: cleaning.inconsistent_units(d.wastage, d.menu),
     "orphan_lines": lambda d: cleaning.orphan_lines(d.lines, d.orders.where("order_status = 'completed'")),
-    "invalid_line_prices": lambda d: cleaning.invalid_line_prices(d.lines),
+    "invalid_unit_prices": lambda d: cleaning.invalid_unit_prices(d.pricing),
 }
 for _name, _step in CLEANING.items():
     query(f"clean_{_name}")(lambda d, step=_step: step(d)[0])
@@ -305,7 +310,7 @@ query("clean_log")(lambda d: _cleaned(d)[2])
 
 
 # ---- ratings and anomalies -------------------------------------------------
-PROMO_SHIFT_DAYS = 8500  # ratings of the driver data start after the last order
+PROMO_SHIFT_DAYS = 8567  # ratings of the driver data start after the last order
 HIGH, LOW = 3.05, 2.85  # item means of the driver data lie close together
 
 
@@ -334,3 +339,152 @@ query("unexpected_demand")(lambda d: anomalies.unexpected_demand(d.lines, d.orde
 query("weekday_spike")(lambda d: anomalies.weekday_spike(_daily(d)))
 query("kpi_changes")(lambda d: anomalies.kpi_changes(d.orders))
 query("rule_anomalies")(lambda d: anomalies.rule_anomalies(anomalies.kpi_changes(d.orders), "revenue_change_pct > 20"))
+
+
+# ---- churn and comparison --------------------------------------------------
+COHORTS = {
+    "train": ("2000-06-30", "2000-07-01", "2000-09-30"),
+    "val": ("2000-08-31", "2000-09-01", "2000-10-31"),
+    "test": (FEATURE_END, "2001-01-01", "2001-03-31"),
+}
+SQL_MODELS = ("naive", "ma7", "linear")
+
+
+def _test_cohort(d: Retail) -> DataFrame:
+    return settle(churn.churn_cohorts(d, {"test": COHORTS["test"]}), "churn_test")
+
+
+def _all_cohorts(d: Retail) -> DataFrame:
+    return settle(churn.churn_cohorts(d, COHORTS), "churn_cohorts")
+
+
+def _rule_predictions(d: Retail) -> tuple[DataFrame, DataFrame]:
+    """Two rule-based scorers of the test cohort; the second leaves out every fiftieth customer."""
+    cases = _test_cohort(d).withColumn("record_id", F.concat(F.lit("C"), F.col("customer_id").cast("string")))
+    first = cases.select(
+        "record_id",
+        F.col("churn").alias("actual"),
+        (F.col("recency") > 180).cast("int").alias("prediction"),
+        F.least(F.lit(1.0), F.col("recency") / 720).alias("probability"),
+    )
+    second = cases.where(F.col("customer_id") % 50 != 0).select(
+        "record_id",
+        F.col("churn").alias("actual"),
+        (F.col("freq_recent_90d") == 0).cast("int").alias("prediction"),
+        (1 / (1 + F.col("frequency"))).alias("probability"),
+    )
+    return first, second
+
+
+def _comparison(d: Retail) -> DataFrame:
+    return compare.compare_predictions(*_rule_predictions(d))
+
+
+def _churn_scores(d: Retail, algo: str) -> DataFrame:
+    """Model of the training cohort applied to the test cohort."""
+    data = _all_cohorts(d)
+    model = churn.train_churn(data.where("cohort = 'train'"), algo)
+    return churn.score(model, data.where("cohort = 'test'"))
+
+
+query("churn_dataset")(lambda d: churn.churn_cohorts(d, {"test": COHORTS["test"]}))
+query("churn_dataset_midnight_end")(
+    lambda d: churn.churn_cohorts(d, {"test": COHORTS["test"]}, inclusive_end=False)
+)
+query("churn_cohorts")(lambda d: churn.churn_cohorts(d, COHORTS))
+
+
+@query("churn_class_weights")
+def _(d: Retail) -> DataFrame:
+    weighted = churn.class_weights(_test_cohort(d), "churn")
+    return weighted.groupBy("churn").agg(F.count("*").alias("customers"), F.max("class_weight").alias("class_weight"))
+
+
+query("churn_test_cases")(lambda d: churn.fixed_test_cases(_test_cohort(d)))
+for _algo in ("logistic", "random_forest", "gradient_boosting"):
+    query(f"churn_scores_{_algo}")(lambda d, algo=_algo: _churn_scores(d, algo))
+query("churn_metrics")(
+    lambda d: churn.binary_metrics(settle(_churn_scores(d, "logistic"), "churn_scores"))
+)
+query("churn_sample_predictions")(lambda d: churn.sample_predictions(_churn_scores(d, "logistic")))
+
+
+@query("churn_feature_importance")
+def _(d: Retail) -> DataFrame:
+    train = _all_cohorts(d).where("cohort = 'train'")
+    return churn.feature_importance(churn.train_churn(train, "random_forest"), train)
+
+
+query("compare_predictions")(_comparison)
+query("compare_summary")(lambda d: compare.comparison_summary(_comparison(d)))
+query("compare_model_metrics")(lambda d: compare.model_metrics(_comparison(d)))
+query("compare_confusion")(lambda d: churn.confusion_matrix(_comparison(d), "actual", "a_prediction"))
+query("compare_disagreements")(lambda d: compare.disagreements(_comparison(d)))
+query("compare_one_sided")(lambda d: compare.one_sided(*_rule_predictions(d)))
+query("dashboard_agreement")(lambda d: compare.agreement(_comparison(d)))
+
+
+# ---- forecasting -----------------------------------------------------------
+N_TRAIN, N_TEST = 266, 100
+
+
+def _revenue(d: Retail) -> DataFrame:
+    return forecast.daily_revenue(d.orders, d.lines)
+
+
+def _trend(d: Retail) -> DataFrame:
+    split = forecast.chrono_split(_revenue(d), [], "date", n_train=N_TRAIN, n_test=N_TEST)
+    return forecast.linear_trend(split, [], "revenue")
+
+
+def _item_features(d: Retail) -> DataFrame:
+    return forecast.item_forecast_features(forecast.item_calendar(d.orders, d.lines))
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in df.columns if c.startswith("rolling_")})
+
+
+def _demand(d: Retail, level: str, models: tuple[str, ...] = SQL_MODELS, **params: float) -> DataFrame:
+    series = forecast.demand_series(d.orders, d.lines, d.menu, level)
+    split = forecast.demand_split(forecast.demand_features(series))
+    return forecast.demand_forecast(settle(split, f"demand_{level}"), models, **params)
+
+
+@query("forecast_evaluation")
+def _(d: Retail) -> DataFrame:
+    test = settle(_item_features(d).where("split = 'test'"), "forecast_test")
+    predicted = test.select("menu_item_id", "date", "actual", F.round("rolling_7", 4).alias("predicted"))
+    return forecast.forecast_evaluation(predicted, "menu_item_id", "seven_day_mean")
+
+
+query("forecast_daily_revenue")(_revenue)
+query("forecast_linear")(_trend)
+query("forecast_linear_metrics")(lambda d: forecast.regression_metrics(_trend(d), "revenue", "prediction"))
+query("dashboard_actual_vs_predicted")(lambda d: forecast.actual_vs_predicted(_revenue(d), _trend(d)))
+query("forecast_item_calendar")(lambda d: forecast.item_calendar(d.orders, d.lines))
+query("forecast_item_features")(lambda d: _rounded(_item_features(d)))
+query("forecast_item_random_forest")(
+    lambda d: forecast.forecast_evaluation(
+        settle(forecast.item_forecast(settle(_item_features(d), "item_features")), "item_forecast"),
+        "menu_item_id",
+        "random_forest",
+    )
+)
+for _level in forecast.LEVELS:
+    query(f"forecast_series_{_level}")(
+        lambda d, level=_level: forecast.demand_series(d.orders, d.lines, d.menu, level)
+    )
+    query(f"forecast_features_{_level}")(
+        lambda d, level=_level: _rounded(
+            forecast.demand_features(forecast.demand_series(d.orders, d.lines, d.menu, level))
+        )
+    )
+    query(f"forecast_demand_{_level}")(lambda d, level=_level: _demand(d, level))
+    query(f"forecast_metrics_{_level}")(lambda d, level=_level: forecast.forecast_metrics(_demand(d, level)))
+    query(f"forecast_summary_{_level}")(
+        lambda d, level=_level: forecast.forecast_summary(forecast.forecast_metrics(_demand(d, level)), level)
+    )
+query("forecast_gradient_boosting")(
+    lambda d: forecast.forecast_metrics(settle(_demand(d, "category", (*SQL_MODELS, "gbt")), "demand_forecast"))
+)

@@ -46,7 +46,7 @@ SQL |= pair("missing_ids_orders", "d_orders", "customer_id IS NOT NULL", "missin
 SQL |= pair("missing_ids_lines", "d_lines", "menu_item_id IS NOT NULL", "missing menu_item_id")
 SQL |= pair("invalid_restaurants", "d_orders", "restaurant_id IN (SELECT restaurant_id FROM d_restaurants)", "unknown restaurant")
 SQL |= pair("orphan_lines", "d_lines", "order_id IN (SELECT order_id FROM d_orders WHERE order_status = 'completed')", "order not in clean orders")
-SQL |= pair("invalid_line_prices", "d_lines", "unit_price > 0", "invalid line price")
+SQL |= pair("invalid_unit_prices", "d_pricing", "unit_price > 0", "invalid unit price")
 for _n, _rel, _key, _cols in (("duplicate_orders", "(SELECT * FROM d_orders UNION ALL SELECT * FROM d_orders WHERE order_id % 10 = 0)", "order_id", ORD), ("duplicate_lines", "d_lines", "order_item_id", LIN)):
     SQL[f"clean_{_n}"] = with_views(f"SELECT * EXCLUDE rn FROM ({_dedup(_rel, _key, _cols)}) WHERE rn = 1")
     SQL[f"clean_{_n}_quarantine"] = with_views(f"SELECT * EXCLUDE rn, 'duplicate {_key}' AS reason FROM ({_dedup(_rel, _key, _cols)}) WHERE rn > 1")
@@ -93,7 +93,7 @@ _log = [
     ("inconsistent_units", "Wastage", "w1", "(SELECT count(*) FROM w1 JOIN m1 USING (menu_item_id) WHERE w1.unit_of_measure <> m1.unit_of_measure)"),
     ("cancelled_orders", "Orders", "o5", "0"),
     ("orphan_lines", "Order_Items", "l5", f"{_n('l4')} - {_n('l5')}"),
-    ("invalid_line_prices", "Order_Items", "l6", f"{_n('l5')} - {_n('l6')}"),
+    ("invalid_unit_prices", "Order_Items", "l6", f"{_n('l5')} - {_n('l6')}"),
 ]
 SQL["clean_log"] = with_views(f", {CHAIN} " + " UNION ALL ".join(
     f"SELECT {i} AS position, '{s}' AS step, '{t}' AS \"table\", {_n(rel)} AS clean_rows, {q} AS quarantined" for i, (s, t, rel, q) in enumerate(_log)))

@@ -35,7 +35,7 @@ item_features AS (
     {ratio0('qty_promoted', 'quantity')} AS promotion_dependency,
     {ratio0('coalesce(repeat_customers, 0)', 'distinct_customers')} AS repeat_purchase_rate,
     CAST(order_frequency AS DOUBLE) / (SELECT count(DISTINCT order_id) FROM d_sales) AS basket_inclusion_rate,
-    coalesce(recent_rating - early_rating, 0.0) AS rating_trend
+    early_rating, recent_rating, coalesce(recent_rating - early_rating, 0.0) AS rating_trend
   FROM i_base b LEFT JOIN d_menu m USING (menu_item_id) LEFT JOIN d_categories c USING (category_id)
     LEFT JOIN t_totals USING (menu_item_id) LEFT JOIN i_repeat USING (menu_item_id) LEFT JOIN i_half USING (menu_item_id))
 """

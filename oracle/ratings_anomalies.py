@@ -20,7 +20,7 @@ SQL = {
     "rating_inconsistencies": with_views(f", {_B} SELECT * FROM by_item WHERE rating_sales_mismatch"),
     "ratings_by_location": with_views(f"SELECT * FROM (SELECT restaurant_id, {_M} FROM d_ratings GROUP BY 1) LEFT JOIN (SELECT restaurant_id, count(order_id) AS n_orders, CAST(sum(total_amount) AS DOUBLE) AS total_revenue FROM d_orders GROUP BY 1) USING (restaurant_id)"),
     "ratings_by_time": with_views(f"SELECT month(rating_timestamp) AS month, dayname(rating_timestamp) AS dow, {r(mean('rating_value'), 2)} AS avg_rating, count(rating_id) AS n_ratings FROM d_ratings WHERE rating_timestamp IS NOT NULL GROUP BY 1, 2"),
-    "ratings_by_promo_day": with_views(f"SELECT coalesce(CAST(rating_timestamp AS DATE) IN (SELECT CAST(order_timestamp AS DATE) + 8500 FROM d_orders WHERE promotion_id IS NOT NULL), false) AS has_promo, {r(mean('rating_value'), 2)} AS avg_rating, count(rating_id) AS n_ratings FROM d_ratings GROUP BY 1"),
+    "ratings_by_promo_day": with_views(f"SELECT coalesce(CAST(rating_timestamp AS DATE) IN (SELECT CAST(order_timestamp AS DATE) + 8567 FROM d_orders WHERE promotion_id IS NOT NULL), false) AS has_promo, {r(mean('rating_value'), 2)} AS avg_rating, count(rating_id) AS n_ratings FROM d_ratings GROUP BY 1"),
     "rating_anomalies": with_views(f", {ANOM} SELECT menu_item_id, date, n, {r('avg', 6)} AS avg, {r('daily_std', 6)} AS daily_std, {r('m', 6)} AS n_mean, {r('s', 6)} AS n_std, {r('z', 6)} AS z, type FROM a_type WHERE type IS NOT NULL"),
     "rating_burst": with_views("SELECT menu_item_id, CAST(rating_timestamp AS DATE) AS date, rating_value, count(*) AS n FROM d_ratings WHERE rating_timestamp IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) >= 3"),
     "sales_spike_drop": with_views(f""", {DAILY}, z AS (SELECT d.menu_item_id, date, qty, revenue, m AS mean, s AS std, (qty - m) / nullif(s, 0) AS z FROM daily d JOIN (SELECT menu_item_id, avg(qty) AS m, stddev_samp(qty) AS s FROM daily GROUP BY 1) USING (menu_item_id))
