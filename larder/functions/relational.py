@@ -172,18 +172,27 @@ def running_total(
     )
 
 
-def qcut_score(
-    df: DataFrame, col: str, tie: str, name: str, q: int = 4, reverse: bool = False, by: Sequence[str] = ()
+def qcut_scores(
+    df: DataFrame, tie: str, scores: Mapping[str, tuple[str, bool]], q: int = 4, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Equal-count score 1..q of the first-come rank of ``col`` (ties by ``tie``), within ``by``."""
-    ranked = ordered_index(df, [col, tie], by, index="_rn", total="_n")
-    score = F.greatest(
-        F.lit(1),
-        F.when(F.col("_n") > 1, F.ceil((F.col("_rn") - 1) * q / (F.col("_n") - 1))).otherwise(1),
-    ).cast("int")
-    if reverse:
-        score = F.lit(q + 1) - score
-    return ranked.withColumn(name, score).drop("_rn", "_n")
+    """``by``, ``tie`` and equal-count scores ``{name: (column, reverse)}`` of the first-come ranks.
+
+    Scores run from 1 to q (q to 1 with reverse), ties broken by the unique ``tie`` column.
+    All columns are ranked together in long form.
+    """
+    by = list(by)
+    entries = F.array(
+        *[F.struct(F.lit(n).alias("score"), F.col(c).cast("double").alias("x")) for n, (c, _) in scores.items()]
+    )
+    long = df.select(*by, tie, F.explode(entries).alias("e")).select(*by, tie, "e.*")
+    ranked = ordered_index(long, ["x", tie], [*by, "score"], index="_rn", total="_n")
+    step = F.when(F.col("_n") > 1, F.ceil((F.col("_rn") - 1) * q / (F.col("_n") - 1))).otherwise(1)
+    placed = ranked.withColumn("_q", F.greatest(F.lit(1), step).cast("int"))
+    columns = []
+    for n, (_, reverse) in scores.items():
+        value = F.max(F.when(F.col("score") == n, F.col("_q")))
+        columns.append(((F.lit(q + 1) - value) if reverse else value).alias(n))
+    return placed.groupBy(*by, tie).agg(*columns)
 
 
 def asof_join(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -23,12 +23,16 @@ FEATURES = (
 
 
 def churn_cohorts(
-    tables: Mapping[str, DataFrame], spec: Mapping[str, tuple[str, str, str]], inclusive_end: bool = True
+    tables: Mapping[str, DataFrame],
+    spec: Mapping[str, tuple[str, str, str]],
+    inclusive_end: bool = True,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """Features and label of every cohort ``{name: (feature_end, label_start, label_end)}``.
 
     Each order is tagged with the cohorts whose feature window holds it, so all cohorts come
     from one pass over orders and lines. Features use completed orders before ``feature_end``.
+    ``stage`` may write the customer totals, which the scores read several times.
     """
     done = tables["Orders"].where((F.col("order_status") == "completed") & F.col("customer_id").isNotNull())
     cohorts = F.array(
@@ -64,6 +68,7 @@ def churn_cohorts(
         .withColumn("recency", elapsed_days("last_order", "feature_end"))
         .withColumn("aov", rnd(ratio("monetary", "frequency"), 2))
     )
+    base = stage(base, "churn_base")
     behaviour = customer_behaviour(
         window, tables["Order_Items"], tables["Menu_Items"], tables["Menu_Categories"], F.col("feature_end"), by=by
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.config import DEFAULTS
-from larder.functions.relational import qcut_score, with_thresholds
+from larder.functions.relational import qcut_scores, with_thresholds
 from larder.functions.scalar import dbl, is_peak_hour, is_weekend, ratio, rnd, time_of_day
 from larder.functions.series import mean_gap_days
 
@@ -73,11 +73,8 @@ def customer_behaviour(
 def rfm_scores(df: DataFrame, q: int = DEFAULTS.rfm_quantiles, by: Sequence[str] = ()) -> DataFrame:
     """Equal-count scores of recency (reversed), frequency and monetary value, ties by customer id."""
     keys = [*by, "customer_id"]
-    scored = df.select(*keys, "recency", "frequency", "monetary")
-    scored = qcut_score(scored, "recency", "customer_id", "r_score", q, reverse=True, by=by)
-    scored = qcut_score(scored, "frequency", "customer_id", "f_score", q, by=by)
-    scored = qcut_score(scored, "monetary", "customer_id", "m_score", q, by=by)
-    scores = scored.select(*keys, "r_score", "f_score", "m_score")
+    wanted = {"r_score": ("recency", True), "f_score": ("frequency", False), "m_score": ("monetary", False)}
+    scores = qcut_scores(df, "customer_id", wanted, q, by)
     return df.join(scores, keys).withColumns(
         {
             "rfm_sum": F.col("r_score") + F.col("f_score") + F.col("m_score"),

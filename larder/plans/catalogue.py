@@ -7,6 +7,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from larder.operators import (
     anomalies,
@@ -18,15 +19,18 @@ from larder.operators import (
     features,
     forecast,
     menu,
+    models,
     peaks,
     pricing,
     promotions,
     quality,
     ratings,
+    recommend,
     wastage,
 )
 from larder.plans.retail import Retail
-from larder.sources.staging import settle
+from larder.sources import readers, schemas, writers
+from larder.sources.staging import settle, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -350,12 +354,16 @@ COHORTS = {
 SQL_MODELS = ("naive", "ma7", "linear")
 
 
+def _cohorts(d: Retail, spec: dict[str, tuple[str, str, str]], inclusive_end: bool = True) -> DataFrame:
+    return churn.churn_cohorts(d, spec, inclusive_end, stage=settle)
+
+
 def _test_cohort(d: Retail) -> DataFrame:
-    return settle(churn.churn_cohorts(d, {"test": COHORTS["test"]}), "churn_test")
+    return settle(_cohorts(d, {"test": COHORTS["test"]}), "churn_test")
 
 
 def _all_cohorts(d: Retail) -> DataFrame:
-    return settle(churn.churn_cohorts(d, COHORTS), "churn_cohorts")
+    return settle(_cohorts(d, COHORTS), "churn_cohorts")
 
 
 def _rule_predictions(d: Retail) -> tuple[DataFrame, DataFrame]:
@@ -380,18 +388,20 @@ def _comparison(d: Retail) -> DataFrame:
     return compare.compare_predictions(*_rule_predictions(d))
 
 
+# fewer trees than the library defaults, to keep the checks short
+CHURN_PARAMS = {"logistic": {}, "random_forest": {"numTrees": 50}, "gradient_boosting": {"maxIter": 20}}
+
+
 def _churn_scores(d: Retail, algo: str) -> DataFrame:
     """Model of the training cohort applied to the test cohort."""
     data = _all_cohorts(d)
-    model = churn.train_churn(data.where("cohort = 'train'"), algo)
+    model = churn.train_churn(data.where("cohort = 'train'"), algo, **CHURN_PARAMS[algo])
     return churn.score(model, data.where("cohort = 'test'"))
 
 
-query("churn_dataset")(lambda d: churn.churn_cohorts(d, {"test": COHORTS["test"]}))
-query("churn_dataset_midnight_end")(
-    lambda d: churn.churn_cohorts(d, {"test": COHORTS["test"]}, inclusive_end=False)
-)
-query("churn_cohorts")(lambda d: churn.churn_cohorts(d, COHORTS))
+query("churn_dataset")(lambda d: _cohorts(d, {"test": COHORTS["test"]}))
+query("churn_dataset_midnight_end")(lambda d: _cohorts(d, {"test": COHORTS["test"]}, inclusive_end=False))
+query("churn_cohorts")(lambda d: _cohorts(d, COHORTS))
 
 
 @query("churn_class_weights")
@@ -412,7 +422,7 @@ query("churn_sample_predictions")(lambda d: churn.sample_predictions(_churn_scor
 @query("churn_feature_importance")
 def _(d: Retail) -> DataFrame:
     train = _all_cohorts(d).where("cohort = 'train'")
-    return churn.feature_importance(churn.train_churn(train, "random_forest"), train)
+    return churn.feature_importance(churn.train_churn(train, "random_forest", **CHURN_PARAMS["random_forest"]), train)
 
 
 query("compare_predictions")(_comparison)
@@ -466,7 +476,7 @@ query("forecast_item_calendar")(lambda d: forecast.item_calendar(d.orders, d.lin
 query("forecast_item_features")(lambda d: _rounded(_item_features(d)))
 query("forecast_item_random_forest")(
     lambda d: forecast.forecast_evaluation(
-        settle(forecast.item_forecast(settle(_item_features(d), "item_features")), "item_forecast"),
+        settle(forecast.item_forecast(settle(_item_features(d), "item_features"), numTrees=10), "item_forecast"),
         "menu_item_id",
         "random_forest",
     )
@@ -486,5 +496,175 @@ for _level in forecast.LEVELS:
         lambda d, level=_level: forecast.forecast_summary(forecast.forecast_metrics(_demand(d, level)), level)
     )
 query("forecast_gradient_boosting")(
-    lambda d: forecast.forecast_metrics(settle(_demand(d, "category", (*SQL_MODELS, "gbt")), "demand_forecast"))
+    lambda d: forecast.forecast_metrics(settle(_demand(d, "category", (*SQL_MODELS, "gbt"), maxIter=20), "demand_forecast"))
 )
+
+
+# ---- findings, scenarios, dashboards ---------------------------------------
+PARAMETERS = {
+    "profit_threshold": 0.20,
+    "extra_feature": "promotion_dependency",
+    "forecast_window_days": 30,
+    "anomaly_rule": "revenue_change_pct > 20",
+    "kpi_name": "profit_margin_index",
+}
+
+
+def _findings(d: Retail) -> dict[str, DataFrame]:
+    profit = settle(_profit(d), "menu_profitability")
+    slow = menu.simple_slow_movers(menu.menu_performance(profit))
+    location = recommend.location_intelligence(menu.tricky_cases(profit, d.orders, d.lines, new_days=NEW_DAYS))
+    channel = recommend.channel_findings(_channels(d))
+    parts = {"slow": settle(slow, "slow"), "location": settle(location, "location"), "channel": settle(channel, "channel")}
+    return parts | {"all": recommend.recommendations(*parts.values())}
+
+
+query("location_intelligence")(lambda d: recommend.location_intelligence(_cases(d)))
+query("recommendations")(lambda d: _findings(d)["all"])
+query("recommendation_search")(
+    lambda d: recommend.search_recommendations(_findings(d)["all"], priority="Medium", q="Econ")
+)
+query("what_if")(lambda d: recommend.what_if(_items(d)))
+query("what_if_top_item")(lambda d: recommend.what_if(recommend.top_item(_items(d))))
+query("above_profit_threshold")(
+    lambda d: recommend.above_profit_threshold(_items(d).select("menu_item_id", "profit_pct"))
+)
+query("parameter_readiness")(lambda d: recommend.readiness(_items(d), PARAMETERS))
+
+
+@query("result_counts")
+def _(d: Retail) -> DataFrame:
+    f = _findings(d)
+    return recommend.result_counts(
+        {
+            "recommendations": f["all"],
+            "slow_moving": f["slow"],
+            "location_intelligence": f["location"],
+            "channel_intelligence": f["channel"],
+        }
+    )
+
+
+query("dashboard_class_distribution")(lambda d: menu.class_counts(_performance(d), "performance_class"))
+query("dashboard_top_revenue")(
+    lambda d: recommend.top_by_revenue(_performance(d), "Volume Driver", min_revenue=1000, max_wastage=0.75)
+)
+query("dashboard_top_wastage_share")(lambda d: recommend.top_wastage_share(_performance(d)))
+
+
+# ---- menu-class models -----------------------------------------------------
+def _training(d: Retail) -> DataFrame:
+    items = _items(d)
+    return models.training_data(items, menu.menu_classification(items))
+
+
+def _registry(d: Retail) -> DataFrame:
+    """Registry rows from the training data: one version per class, split and category."""
+    rows = _training(d).groupBy(
+        F.col("menu_class").alias("name"), F.col("split").alias("version"), F.col("category_name").alias("track")
+    ).agg(F.count("*").alias("items"), F.max("menu_item_id").alias("trained_at"))
+    first = settle(recommend.model_registry(None, rows.where("version = 'train'")), "registry")
+    return recommend.model_registry(first, rows)
+
+
+def _model_metrics(d: Retail) -> DataFrame:
+    data = settle(_training(d), "training_data")
+    return models.compare_models(models.fit_models(data), data)
+
+
+query("model_training_data")(_training)
+query("model_comparison")(_model_metrics)
+query("model_registry")(_registry)
+query("model_latest")(lambda d: recommend.latest_models(_registry(d)))
+
+
+@query("model_verification")
+def _(d: Retail) -> DataFrame:
+    data = settle(_training(d), "training_data")
+    path = stage_path(d.spark, "model")
+    models.fit_models(data, ("decision_tree",))["decision_tree"].write().save(path)
+    return models.verify_model(path, data)
+
+
+@query("model_handoff_summary")
+def _(d: Retail) -> DataFrame:
+    daily = forecast.regression_metrics(_trend(d), "revenue", "prediction").withColumn("model", F.lit("linear_trend"))
+    tested = _model_metrics(d).where("split = 'test'")
+    return models.handoff_summary(
+        {
+            "Menu classification": (tested, "model", "accuracy", "f1"),
+            "Revenue forecast": (daily, "model", "mae", "rmse"),
+        }
+    )
+
+
+# ---- sources and sinks -----------------------------------------------------
+def _csv_dir(d: Retail, table: str, df: DataFrame | None = None) -> str:
+    folder = stage_path(d.spark, "csv")
+    writers.write_csv(df if df is not None else d[table], f"{folder}/{table}.csv")
+    return folder
+
+
+def _csv(d: Retail, table: str, as_float: str | None = None) -> DataFrame:
+    df = d[table] if as_float is None else d[table].withColumn(as_float, F.col(as_float).cast("double"))
+    return readers.read_table_csv(d.spark, _csv_dir(d, table, df), table)
+
+
+query("source_csv_orders")(lambda d: _csv(d, "Orders"))
+query("source_csv_lines")(lambda d: _csv(d, "Order_Items", "menu_item_id"))
+
+
+@query("source_parse_failures")
+def _(d: Retail) -> DataFrame:
+    total = F.when(F.col("order_status") == "pending", "n/a").otherwise(F.col("total_amount").cast("string"))
+    folder = _csv_dir(d, "Orders", d.orders.withColumn("total_amount", total))
+    columns = schemas.schema("Orders")
+    return readers.parse_failures(readers.read_raw_csv(d.spark, f"{folder}/Orders.csv", columns), columns)
+
+
+query("source_infer_schema")(lambda d: readers.infer_schema(d.spark, f"{_csv_dir(d, 'Orders')}/Orders.csv"))
+
+
+@query("source_validate_types")
+def _(d: Retail) -> DataFrame:
+    folder = stage_path(d.spark, "tables")
+    writers.write_table(d.orders, folder, "ORDERS.parquet")
+    return readers.validate_types(readers.read_table(d.spark, folder, "Orders"), schemas.schema("Orders"))
+
+
+query("source_ingestion_report")(readers.ingestion_report)
+query("source_profile_orders")(lambda d: readers.profile(d.orders))
+
+
+@query("sink_readback")
+def _(d: Retail) -> DataFrame:
+    return writers.readback_check(d.lines, writers.write_table(d.lines, stage_path(d.spark, "tables"), "Order_Items"))
+
+
+@query("sink_partitioned_orders")
+def _(d: Retail) -> DataFrame:
+    path = writers.write_partitioned(d.orders, stage_path(d.spark, "tables"), "Orders", "order_timestamp", salt="order_id")
+    return d.spark.read.parquet(path).groupBy(F.col("month").cast("string").alias("month")).agg(F.count("*").alias("orders"))
+
+
+@query("sink_json_report")
+def _(d: Retail) -> DataFrame:
+    report = menu.class_counts(d.orders, "order_status").withColumnRenamed("items", "orders")
+    return d.spark.read.schema(report.schema).json(writers.write_json(report, stage_path(d.spark, "report")))
+
+
+@query("sink_csv_extract")
+def _(d: Retail) -> DataFrame:
+    path = writers.Reports({"channels": lambda: _channels(d)}).extract("channels", stage_path(d.spark, "extract"))
+    read = d.spark.read.option("header", True).csv(path)
+    return read.select("preferred_channel", *[F.col(c).cast("bigint").alias(c) for c in ("customers", "orders")])
+
+
+query("sink_sample_export")(lambda d: writers.export_sample(d.orders, "order_id"))
+
+
+@query("sink_publish")
+def _(d: Retail) -> DataFrame:
+    target = StructType.fromDDL("finding string, action string, priority string, menu_item_id bigint, score double")
+    path = stage_path(d.spark, "published")
+    return d.spark.read.parquet(writers.publish(_findings(d)["all"], path, target, {"finding": 20, "action": 30}))

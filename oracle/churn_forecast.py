@@ -108,9 +108,9 @@ SQL = {
     "forecast_item_features": with_views(f", {CAL} SELECT * FROM f_split"),
     "forecast_evaluation": with_views(f""", {CAL}, ev AS (SELECT menu_item_id, date, actual, lag_1 AS base, {r('rolling_7', 4)} AS predicted FROM f_split WHERE split = 'test'),
       ev2 AS (SELECT *, lag(actual) OVER (PARTITION BY menu_item_id ORDER BY date) AS b2 FROM ev),
-      both AS (SELECT {reg('actual', 'predicted')}, 'seven_day_mean' AS model FROM ev2 UNION ALL SELECT {reg('actual', 'b2')}, 'previous_value_baseline' AS model FROM ev2 WHERE b2 IS NOT NULL)
+      ev3 AS (SELECT {reg('actual', 'predicted')}, 'seven_day_mean' AS model FROM ev2 UNION ALL SELECT {reg('actual', 'b2')}, 'previous_value_baseline' AS model FROM ev2 WHERE b2 IS NOT NULL)
       SELECT x.*, {', '.join(f'{r(f"(b.{m} - x.{m}) / b.{m} * 100", 2)} AS {m}_improvement_pct' for m in ('mae', 'rmse', 'mape'))}, x.mae < b.mae AND x.rmse < b.rmse AS beats_baseline
-      FROM both x, (SELECT * FROM both WHERE model = 'previous_value_baseline') b"""),
+      FROM ev3 x, (SELECT * FROM ev3 WHERE model = 'previous_value_baseline') b"""),
 }
 for _level, _key in (("item", "menu_item_id"), ("category", "category_id"), ("location", "restaurant_id")):
     _d = demand(_key)
