@@ -235,12 +235,6 @@ def asof_join(
     )
 
 
-def effective_ranges(history: DataFrame, on: Sequence[str], day: str, value: str) -> DataFrame:
-    """Turn change rows into ``[valid_from, valid_to)`` ranges."""
-    w = Window.partitionBy(*on).orderBy(day)
-    return history.select(*on, F.col(day).alias("valid_from"), value, F.lead(day).over(w).alias("valid_to"))
-
-
 def interval_join(
     facts: DataFrame, windows: DataFrame, on: Sequence[str], ts: str, start: str, end: str, inclusive_end: bool = True
 ) -> DataFrame:

@@ -31,7 +31,9 @@ def basket_singles(lines: DataFrame) -> DataFrame:
     return with_scalars(counts, b.agg(F.countDistinct("order_id").alias("n_baskets")))
 
 
-def basket_pairs(lines: DataFrame, min_support: float = DEFAULTS.min_support, tile: int = 2048) -> DataFrame:
+def basket_pairs(
+    lines: DataFrame, min_support: float = DEFAULTS.min_support, tile: int = 2048, chunk_rows: int = 8192
+) -> DataFrame:
     """Co-occurrence counts ``(item_a, item_b, together)`` with a < b for all frequent pairs."""
     singles = basket_singles(lines)
     frequent = singles.where(F.col("baskets") >= min_support * F.col("n_baskets"))
@@ -63,7 +65,7 @@ def basket_pairs(lines: DataFrame, min_support: float = DEFAULTS.min_support, ti
         for batch in batches:
             held.append(batch)
             size += len(batch)
-            if size < 50_000:
+            if size < chunk_rows:
                 continue
             rows = pd.concat(held)
             last = rows["order_id"].iloc[-1]  # the last basket may go on in the next batch

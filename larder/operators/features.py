@@ -162,39 +162,47 @@ def customer_features(
 ) -> DataFrame:
     """Activity of every registered customer; zeros and registration date where there were no orders.
 
-    Lines are reduced to one row per order and category set first, so shares count orders
-    without a distinct per condition.
+    Lines are reduced to (customer, order, category) once. Orders, channels and categories
+    are counted from there, so shares need no distinct per condition.
     """
     s = sales(t["Orders"], t["Order_Items"]).join(
         t["Menu_Items"].select("menu_item_id", "category_id"), "menu_item_id", "left"
     )
-    per_order = s.groupBy("customer_id", "order_id", "order_timestamp", "order_channel").agg(
-        F.sum("line_total").alias("monetary"),
-        F.count("order_item_id").alias("line_count"),
-        F.collect_set("category_id").alias("categories"),
+    order = ["customer_id", "order_id", "order_timestamp", "order_channel"]
+    parts = s.groupBy(*order, "category_id").agg(
+        F.sum("line_total").alias("monetary"), F.count("order_item_id").alias("line_count")
     )
-    one = F.lit(1)
+    per_order = parts.groupBy(*order).agg(F.sum("monetary").alias("monetary"), F.sum("line_count").alias("line_count"))
     by_channel = per_order.groupBy("customer_id", "order_channel").agg(
         F.max("order_timestamp").alias("last_order_ts"),
         F.min("order_timestamp").alias("first_order_ts"),
         F.count("*").alias("order_count"),
         F.sum("monetary").alias("monetary"),
         F.sum("line_count").alias("line_count"),
-        F.sum(F.when(is_peak_hour("order_timestamp"), one).otherwise(0)).alias("peak_orders"),
-        F.sum(F.when(is_weekend("order_timestamp", weekend_days), one).otherwise(0)).alias("weekend_orders"),
-        F.array_distinct(F.flatten(F.collect_set("categories"))).alias("categories"),
+        F.count_if(is_peak_hour("order_timestamp")).alias("peak_orders"),
+        F.count_if(is_weekend("order_timestamp", weekend_days)).alias("weekend_orders"),
     )
     best_channel = F.min_by("order_channel", F.struct(-F.col("line_count"), F.col("order_channel")))
-    agg = by_channel.groupBy("customer_id").agg(
-        F.max("last_order_ts").alias("last_order_ts"),
-        F.min("first_order_ts").alias("first_order_ts"),
-        F.sum("order_count").alias("order_count"),
-        F.sum("monetary").alias("monetary"),
-        F.sum("line_count").alias("line_count"),
-        F.sum("peak_orders").alias("peak_orders"),
-        F.sum("weekend_orders").alias("weekend_orders"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("categories")))).cast("bigint").alias("distinct_categories"),
-        best_channel.alias("preferred_channel"),
+    variety = (
+        parts.where(F.col("category_id").isNotNull())
+        .select("customer_id", "category_id")
+        .distinct()
+        .groupBy("customer_id")
+        .agg(F.count("*").alias("distinct_categories"))
+    )
+    agg = (
+        by_channel.groupBy("customer_id")
+        .agg(
+            F.max("last_order_ts").alias("last_order_ts"),
+            F.min("first_order_ts").alias("first_order_ts"),
+            F.sum("order_count").alias("order_count"),
+            F.sum("monetary").alias("monetary"),
+            F.sum("line_count").alias("line_count"),
+            F.sum("peak_orders").alias("peak_orders"),
+            F.sum("weekend_orders").alias("weekend_orders"),
+            best_channel.alias("preferred_channel"),
+        )
+        .join(variety, "customer_id", "left")
     )
     zero = ["order_count", "line_count", "peak_orders", "weekend_orders", "distinct_categories"]
     end = F.lit(period_end).cast("timestamp")

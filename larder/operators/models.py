@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -32,9 +32,16 @@ def hash_split(df: DataFrame, key: str, shares: tuple[float, float, float] = (0.
     return df.withColumn("split", split)
 
 
-def menu_class_stages(algo: str, seed: int = DEFAULTS.seed) -> Pipeline:
+def known_features(data: DataFrame) -> list[str]:
+    """Numeric features with at least one value; the others cannot be imputed."""
+    counts = data.agg(*[F.count(c).alias(c) for c in NUMERIC]).first()
+    return [c for c in NUMERIC if counts[c] > 0]
+
+
+def menu_class_stages(algo: str, numeric: Sequence[str] = NUMERIC, seed: int = DEFAULTS.seed) -> Pipeline:
     """Index label and category, impute, assemble, then classify."""
-    imputed = [f"{c}_imputed" for c in NUMERIC]
+    numeric = list(numeric)
+    imputed = [f"{c}_imputed" for c in numeric]
     classifiers = {
         "logistic_regression": LogisticRegression(featuresCol="features", labelCol="label", maxIter=100),
         "decision_tree": DecisionTreeClassifier(featuresCol="features", labelCol="label", maxDepth=5, seed=seed),
@@ -45,7 +52,7 @@ def menu_class_stages(algo: str, seed: int = DEFAULTS.seed) -> Pipeline:
             StringIndexer(inputCol=TARGET, outputCol="label", handleInvalid="keep"),
             StringIndexer(inputCol=CATEGORICAL, outputCol="category_index", handleInvalid="keep"),
             OneHotEncoder(inputCol="category_index", outputCol="category_vector"),
-            Imputer(inputCols=NUMERIC, outputCols=imputed),
+            Imputer(inputCols=numeric, outputCols=imputed),
             VectorAssembler(inputCols=[*imputed, "category_vector"], outputCol="features", handleInvalid="keep"),
             classifiers[algo],
         ]
@@ -82,7 +89,8 @@ def multiclass_metrics(scored: DataFrame) -> DataFrame:
 
 def fit_models(data: DataFrame, algorithms: tuple[str, ...] = ALGORITHMS) -> dict[str, PipelineModel]:
     train = data.where("split = 'train'")
-    return {a: menu_class_stages(a).fit(train) for a in algorithms}
+    numeric = known_features(train)
+    return {a: menu_class_stages(a, numeric).fit(train) for a in algorithms}
 
 
 def compare_models(models: Mapping[str, PipelineModel], data: DataFrame) -> DataFrame:

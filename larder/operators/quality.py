@@ -7,7 +7,7 @@ A rule reads each of its tables once, whatever number of conditions it counts. W
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,40 +17,81 @@ from larder.functions.scalar import normalised, plausible_date
 from larder.sources.schemas import VALID_UNITS
 
 Tables = Mapping[str, DataFrame]
+LATEST = "2024-12-31"
+
+# fixed values: columns that must be known, per table
+REQUIRED = {
+    "Orders": ("subtotal", "discount_total", "total_amount", "order_timestamp"),
+    "Order_Items": ("quantity", "unit_price", "unit_cost", "line_total"),
+    "Menu_Items": ("base_price", "standard_cost"),
+    "Pricing_History": ("unit_price",),
+}
+STRICT_REQUIRED = {
+    "Orders": (
+        "order_id customer_id restaurant_id order_timestamp order_channel order_status subtotal discount_total total_amount"
+    ).split(),
+    "Order_Items": (
+        "order_item_id order_id menu_item_id quantity unit_price unit_cost discount_amount line_total"
+    ).split(),
+}
+DATED = {"Orders": "order_timestamp", "Ratings": "rating_timestamp", "Wastage": "wastage_date"}
 
 
-def tally(df: DataFrame, rule: str, parts: Mapping[str, Column]) -> DataFrame:
-    """Count rows per condition in one aggregation and unpivot the counts."""
-    names = list(parts)
-    counts = df.agg(F.count("*").alias("checked"), *[F.count_if(parts[n]).alias(f"_{i}") for i, n in enumerate(names)])
-    rows = F.array(*[F.struct(F.lit(n).alias("part"), F.col(f"_{i}").alias("bad")) for i, n in enumerate(names)])
-    return counts.select("checked", F.explode(rows).alias("e")).select(
-        F.lit(rule).alias("rule"), "e.part", "e.bad", "checked"
+def tally(df: DataFrame, parts: Mapping[tuple[str, str], Column]) -> DataFrame:
+    """Count rows per (rule, part) condition in one aggregation and unpivot the counts."""
+    keys = list(parts)
+    counts = df.agg(F.count("*").alias("checked"), *[F.count_if(parts[k]).alias(f"_{i}") for i, k in enumerate(keys)])
+    rows = F.array(
+        *[
+            F.struct(F.lit(rule).alias("rule"), F.lit(part).alias("part"), F.col(f"_{i}").alias("bad"))
+            for i, (rule, part) in enumerate(keys)
+        ]
     )
+    return counts.select("checked", F.explode(rows).alias("e")).select("e.rule", "e.part", "e.bad", "checked")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def missing_values(t: Tables, strict: bool = False) -> DataFrame:
-    rule = "missing_values"
+def row_conditions(strict: bool, as_of: str, limit: float = 1000, tolerance: float = 0.01) -> dict[tuple[str, str], Column]:
+    """Defects that one row shows by itself: (rule, part) to condition. A part starts with its table."""
+    d, q, p = F.col("discount_amount"), F.col("quantity"), F.col("unit_price")
+    rating, price = F.col("rating_value"), F.col("base_price")
+    out: dict[tuple[str, str], Column] = {}
     if strict:
-        frames = []
-        for name in ("Orders", "Order_Items"):
-            cols = [c for c in t[name].columns if c != "promotion_id"]
-            blank = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-            frames.append(tally(t[name], rule, {name: blank}))
-        return _union(frames)
-    wanted = {
-        "Orders": ["subtotal", "discount_total", "total_amount", "order_timestamp"],
-        "Order_Items": ["quantity", "unit_price", "unit_cost", "line_total"],
-        "Menu_Items": ["base_price", "standard_cost"],
-        "Pricing_History": ["unit_price"],
-    }
-    return _union(
-        [tally(t[n], rule, {f"{n}.{c}": F.col(c).isNull() for c in cols}) for n, cols in wanted.items()]
+        for table, cols in STRICT_REQUIRED.items():
+            out["missing_values", table] = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+    else:
+        for table, cols in REQUIRED.items():
+            out |= {("missing_values", f"{table}.{c}"): F.col(c).isNull() for c in cols}
+        out["invalid_menu_prices", "Menu_Items"] = price.isNull() | (price <= 0) | (price > limit)
+    out["negative_quantities", "Order_Items"] = q < 0
+    out["negative_quantities", "Inventory"] = F.col("consumption_quantity") < 0
+    for table, c in DATED.items():
+        out["invalid_dates", table] = ~plausible_date(c, as_of) if strict else F.col(c).isNull()
+    out["invalid_ratings", "Ratings"] = (
+        rating.isNotNull() & ~rating.isin(1, 2, 3, 4, 5) if strict else (rating < 1) | (rating > 5)
     )
+    out["missing_customer_ids", "Orders"] = F.col("customer_id").isNull()
+    out["missing_menu_ids", "Order_Items"] = F.col("menu_item_id").isNull()
+    if strict:
+        tol = F.lit(tolerance).cast("decimal(4,2)")
+        out["incorrect_discounts", "Order_Items"] = (d < 0) | ((q > 0) & (p > 0) & (d > q * p + tol))
+        out["incorrect_discounts", "Orders"] = F.col("discount_total") > F.col("subtotal") + tol
+    else:
+        out["incorrect_discounts", "Order_Items"] = d > F.round(q * p, 2)
+    out["cancelled_transactions", "Orders"] = normalised("order_status") == "cancelled"
+    return out
+
+
+def _row_rules(t: Tables, strict: bool, as_of: str, only: str | None = None) -> DataFrame:
+    """All row conditions (or those of one rule), one pass per table."""
+    by_table: dict[str, dict[tuple[str, str], Column]] = {}
+    for (rule, part), cond in row_conditions(strict, as_of).items():
+        if only is None or rule == only:
+            by_table.setdefault(part.split(".")[0], {})[rule, part] = cond
+    return _union([tally(t[table], parts) for table, parts in by_table.items()])
 
 
 def _duplicates(df: DataFrame, key: str, rule: str, part: str, strict: bool) -> DataFrame:
@@ -72,61 +113,36 @@ def duplicate_lines(t: Tables, strict: bool = False) -> DataFrame:
     return _duplicates(t["Order_Items"], "order_item_id", "duplicate_order_lines", "Order_Items", strict)
 
 
-def invalid_prices(t: Tables, strict: bool = False, limit: float = 1000, times_median: float = 50) -> DataFrame:
-    rule = "invalid_menu_prices"
-    if not strict:
-        p = F.col("base_price")
-        return tally(t["Menu_Items"], rule, {"Menu_Items": p.isNull() | (p <= 0) | (p > limit)})
+def steep_prices(t: Tables, times_median: float = 50) -> DataFrame:
+    """Prices that are not positive or far above the median positive price of their column."""
     frames = []
     for name, col in (("Menu_Items", "base_price"), ("Order_Items", "unit_price"), ("Pricing_History", "unit_price")):
         prices = t[name].select(F.col(col).cast("double").alias("price"))
         judged = with_thresholds(prices, {"mid": ("price", 0.5)}, source=prices.where("price > 0"))
-        frames.append(
-            tally(judged, rule, {name: (F.col("price") <= 0) | (F.col("price") > times_median * F.col("mid"))})
-        )
+        bad = (F.col("price") <= 0) | (F.col("price") > times_median * F.col("mid"))
+        frames.append(tally(judged, {("invalid_menu_prices", name): bad}))
     return _union(frames)
 
 
-def negative_quantities(t: Tables, strict: bool = False) -> DataFrame:
-    rule = "negative_quantities"
-    return tally(t["Order_Items"], rule, {"Order_Items": F.col("quantity") < 0}).unionByName(
-        tally(t["Inventory"], rule, {"Inventory": F.col("consumption_quantity") < 0})
-    )
+def invalid_prices(t: Tables, strict: bool = False) -> DataFrame:
+    return steep_prices(t) if strict else _row_rules(t, False, LATEST, "invalid_menu_prices")
 
 
-def invalid_dates(t: Tables, strict: bool = False, as_of: str = "2024-12-31") -> DataFrame:
-    dated = {"Orders": "order_timestamp", "Ratings": "rating_timestamp", "Wastage": "wastage_date"}
-    return _union(
-        [
-            tally(t[n], "invalid_dates", {n: ~plausible_date(c, as_of) if strict else F.col(c).isNull()})
-            for n, c in dated.items()
-        ]
-    )
-
-
-def invalid_ratings(t: Tables, strict: bool = False) -> DataFrame:
-    v = F.col("rating_value")
-    bad = v.isNotNull() & ~v.isin(1, 2, 3, 4, 5) if strict else (v < 1) | (v > 5)
-    return tally(t["Ratings"], "invalid_ratings", {"Ratings": bad})
-
-
-def missing_customer_ids(t: Tables, strict: bool = False) -> DataFrame:
-    return tally(t["Orders"], "missing_customer_ids", {"Orders": F.col("customer_id").isNull()})
-
-
-def missing_menu_ids(t: Tables, strict: bool = False) -> DataFrame:
-    return tally(t["Order_Items"], "missing_menu_ids", {"Order_Items": F.col("menu_item_id").isNull()})
+def _weighted(df: DataFrame, rule: str, part: str, bad: Column) -> DataFrame:
+    """Tally of rows that were counted per distinct value (column ``_n``) before a join."""
+    return df.agg(
+        F.coalesce(F.sum(F.when(bad, F.col("_n"))), F.lit(0)).alias("bad"), F.sum("_n").alias("checked")
+    ).select(F.lit(rule).alias("rule"), F.lit(part).alias("part"), "bad", "checked")
 
 
 def _orphans(t: Tables, rule: str, names: list[str]) -> DataFrame:
     known = t["Restaurants"].select("restaurant_id")
     unknown = F.col("restaurant_id").isNotNull() & ~F.col("_known")
-    return _union(
-        [
-            tally(existence_flag(t[n].select("restaurant_id"), known, ["restaurant_id"], "_known"), rule, {n: unknown})
-            for n in names
-        ]
-    )
+    frames = []
+    for n in names:
+        per_id = t[n].groupBy("restaurant_id").agg(F.count("*").alias("_n"))
+        frames.append(_weighted(existence_flag(per_id, known, ["restaurant_id"], "_known"), rule, n, unknown))
+    return _union(frames)
 
 
 def invalid_restaurant_ids(t: Tables, strict: bool = False) -> DataFrame:
@@ -151,27 +167,10 @@ def impossible_wastage(t: Tables, strict: bool = False) -> DataFrame:
             ["closing_quantity"],
         )
         bad = (q < 0) | ((q >= 0) & (q > F.col("closing_quantity")))
-        return tally(judged, rule, {"Wastage": bad})
+        return tally(judged, {(rule, "Wastage"): bad})
     stock = t["Inventory"].groupBy(*on).agg(F.max("closing_quantity").alias("max_closing"))
     judged = t["Wastage"].select(*on, "quantity_wasted").join(stock, on, "left")
-    return tally(judged, rule, {"Wastage": q > F.col("max_closing")})
-
-
-def incorrect_discounts(t: Tables, strict: bool = False, tolerance: float = 0.01) -> DataFrame:
-    rule = "incorrect_discounts"
-    d, q, p = F.col("discount_amount"), F.col("quantity"), F.col("unit_price")
-    if not strict:
-        return tally(t["Order_Items"], rule, {"Order_Items": d > F.round(q * p, 2)})
-    tol = F.lit(tolerance).cast("decimal(4,2)")
-    line_bad = (d < 0) | ((q > 0) & (p > 0) & (d > q * p + tol))
-    order_bad = F.col("discount_total") > F.col("subtotal") + tol
-    return tally(t["Order_Items"], rule, {"Order_Items": line_bad}).unionByName(
-        tally(t["Orders"], rule, {"Orders": order_bad})
-    )
-
-
-def cancelled_orders(t: Tables, strict: bool = False) -> DataFrame:
-    return tally(t["Orders"], "cancelled_transactions", {"Orders": normalised("order_status") == "cancelled"})
+    return tally(judged, {(rule, "Wastage"): q > F.col("max_closing")})
 
 
 def inconsistent_units(t: Tables, strict: bool = False) -> DataFrame:
@@ -182,41 +181,58 @@ def inconsistent_units(t: Tables, strict: bool = False) -> DataFrame:
         bad = F.coalesce(F.trim(unit) != F.trim(menu_unit), F.lit(False)) | F.coalesce(
             ~normalised(unit).isin(*VALID_UNITS), F.lit(True)
         )
-    return _union(
-        [
-            tally(t[n].select("menu_item_id", "unit_of_measure").join(master, "menu_item_id", "left"), "inconsistent_units", {n: bad})
-            for n in ("Inventory", "Wastage")
-        ]
-    )
+    frames = []
+    for n in ("Inventory", "Wastage"):
+        per_unit = t[n].groupBy("menu_item_id", "unit_of_measure").agg(F.count("*").alias("_n"))
+        frames.append(_weighted(per_unit.join(master, "menu_item_id", "left"), "inconsistent_units", n, bad))
+    return _union(frames)
+
+
+def _row_rule(name: str) -> Callable[..., DataFrame]:
+    def rule(t: Tables, strict: bool = False, as_of: str = LATEST) -> DataFrame:
+        return _row_rules(t, strict, as_of, name)
+
+    return rule
 
 
 RULES: dict[str, Callable[..., DataFrame]] = {
-    "missing_values": missing_values,
+    "missing_values": _row_rule("missing_values"),
     "duplicate_orders": duplicate_orders,
     "duplicate_order_lines": duplicate_lines,
     "invalid_menu_prices": invalid_prices,
-    "negative_quantities": negative_quantities,
-    "invalid_dates": invalid_dates,
-    "invalid_ratings": invalid_ratings,
-    "missing_customer_ids": missing_customer_ids,
-    "missing_menu_ids": missing_menu_ids,
+    "negative_quantities": _row_rule("negative_quantities"),
+    "invalid_dates": _row_rule("invalid_dates"),
+    "invalid_ratings": _row_rule("invalid_ratings"),
+    "missing_customer_ids": _row_rule("missing_customer_ids"),
+    "missing_menu_ids": _row_rule("missing_menu_ids"),
     "invalid_restaurant_ids": invalid_restaurant_ids,
     "impossible_wastage": impossible_wastage,
-    "incorrect_discounts": incorrect_discounts,
-    "cancelled_transactions": cancelled_orders,
+    "incorrect_discounts": _row_rule("incorrect_discounts"),
+    "cancelled_transactions": _row_rule("cancelled_transactions"),
     "inconsistent_units": inconsistent_units,
     "invalid_location_references": invalid_locations,
 }
-
-
-def run_quality(t: Tables, strict: bool = False, max_rate: float = 0.10, as_of: str = "2024-12-31") -> DataFrame:
+# rules that need a second table or all rows of one
+WIDE_RULES = (
+    duplicate_orders,
+    duplicate_lines,
+    invalid_restaurant_ids,
+    impossible_wastage,
+    inconsistent_units,
+    invalid_locations,
+)
+
+
+def run_quality(t: Tables, strict: bool = False, max_rate: float = 0.10, as_of: str = LATEST) -> DataFrame:
     """All rules: total, rows checked, defect rate and whether the rate lies in (0, max_rate].
 
-    Rows checked counts each table of a rule once, however many of its columns were tested.
+    Row conditions of all rules share one pass per table. Rows checked counts each table
+    of a rule once, however many of its columns were tested.
     """
-    rules = RULES | {"invalid_dates": partial(invalid_dates, as_of=as_of)}
-    parts = _union([f(t, strict=strict) for f in rules.values()])
-    per_table = parts.groupBy("rule", F.substring_index("part", ".", 1).alias("tbl")).agg(
+    frames = [_row_rules(t, strict, as_of), *[rule(t, strict=strict) for rule in WIDE_RULES]]
+    if strict:
+        frames.append(steep_prices(t))
+    per_table = _union(frames).groupBy("rule", F.substring_index("part", ".", 1).alias("tbl")).agg(
         F.sum("bad").alias("bad"), F.max("checked").alias("checked")
     )
     totals = per_table.groupBy("rule").agg(F.sum("bad").alias("total"), F.sum("checked").alias("rows_checked"))

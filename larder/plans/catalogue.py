@@ -26,6 +26,7 @@ from larder.operators import (
     quality,
     ratings,
     recommend,
+    validation,
     wastage,
 )
 from larder.plans.retail import Retail
@@ -668,3 +669,64 @@ def _(d: Retail) -> DataFrame:
     target = StructType.fromDDL("finding string, action string, priority string, menu_item_id bigint, score double")
     path = stage_path(d.spark, "published")
     return d.spark.read.parquet(writers.publish(_findings(d)["all"], path, target, {"finding": 20, "action": 30}))
+
+
+# ---- validation ------------------------------------------------------------
+CHANNEL_NAMES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+NEW_ITEM_DAYS = 2370  # close to the whole period, so that some items count as new
+
+
+def _feature_tables(d: Retail) -> dict[str, DataFrame]:
+    return {
+        "item": _items(d),
+        "customer": features.customer_features(d, FEATURE_END),
+        "order": features.order_features(d),
+        "location_item": features.location_item_features(d),
+    }
+
+
+def _patterns(d: Retail) -> DataFrame:
+    return validation.item_patterns(d, DATA_END, NEW_ITEM_DAYS)
+
+
+query("validation_rows")(validation.check_rows)
+query("validation_columns")(validation.check_columns)
+query("validation_nulls")(validation.check_nulls)
+query("validation_dates")(lambda d: validation.check_dates(d.orders, FEATURE_END, "2001-01-01"))
+query("validation_active_months")(lambda d: validation.active_months(d.orders))
+query("validation_summary")(
+    lambda d: validation.check_summary(
+        [validation.check_rows(d), validation.check_columns(d), validation.check_nulls(d)]
+    )
+)
+query("validation_keys")(validation.check_keys)
+query("validation_foreign_keys")(validation.check_fks)
+query("validation_formulas")(validation.check_amounts)
+query("validation_domains")(
+    lambda d: validation.check_domain(d.orders, "order_channel", CHANNEL_NAMES).unionByName(
+        validation.check_domain(d.orders, "order_status", ("completed", "cancelled"))
+    )
+)
+query("validation_targets")(lambda d: validation.check_rating_targets(d.ratings, d.promotions))
+query("validation_parity")(
+    lambda d: validation.check_parity({t: (_csv(d, t), d[t]) for t in ("Orders", "Ratings")})
+)
+query("validation_registration")(lambda d: validation.orders_before_registration(d.orders, d.customers))
+query("validation_demand_patterns")(lambda d: validation.check_demand_patterns(d.orders))
+query("validation_business_cases")(validation.check_business_cases)
+query("validation_spike_items")(lambda d: validation.spike_and_drop_items(_daily(d)))
+query("validation_rating_concentration")(lambda d: validation.rating_concentration(d.ratings, sigmas=2))
+query("validation_promotions")(lambda d: validation.promotion_checks(d, DATA_START, DATA_END))
+query("validation_item_patterns")(_patterns)
+query("validation_pattern_counts")(lambda d: validation.pattern_counts(_patterns(d)))
+query("validation_features")(lambda d: validation.check_features(_feature_tables(d)))
+query("validation_clean_layer")(lambda d: validation.check_clean_layer(d, _cleaned(d)[0]))
+
+
+@query("validation_stages")
+def _(d: Retail) -> DataFrame:
+    clean = _cleaned(d)[0]
+    return validation.stage_consistency(d, clean, features.order_features(clean))
+
+
+query("validation_difficult_cases")(validation.difficult_cases)

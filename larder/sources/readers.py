@@ -91,12 +91,14 @@ def _unpivot(one_row: DataFrame, columns: Sequence[str], value: str) -> DataFram
 
 def ingestion_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, columns and input partitions per table."""
-    frames = [
-        df.groupBy().agg(F.count("*").alias("rows"), F.countDistinct(F.spark_partition_id()).alias("partitions")).select(
-            F.lit(name).alias("table"), "rows", F.lit(len(df.columns)).alias("n_cols"), "partitions"
+    frames = []
+    for name, df in tables.items():
+        per_partition = df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count("*").alias("c"))
+        frames.append(
+            per_partition.agg(F.sum("c").alias("rows"), F.count("*").alias("partitions")).select(
+                F.lit(name).alias("table"), "rows", F.lit(len(df.columns)).alias("n_cols"), "partitions"
+            )
         )
-        for name, df in tables.items()
-    ]
     return reduce(DataFrame.unionByName, frames)
 
 
