@@ -150,11 +150,12 @@ def running_total(
         .agg(F.array_sort(F.collect_list("k")).alias("s"))
         .select(F.filter("s", lambda _, i: i % per_bound == per_bound - 1).alias("bounds"))
     )
-    keyed = (
-        df.withColumn("_bounds", bounds.scalar())
-        .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < key)))
-        .drop("_bounds")
+    # binary search: how many bounds lie below the key
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(buckets.bit_length()))])
+    below = F.aggregate(
+        steps, F.lit(0), lambda found, s: found + F.when(F.get("_bounds", found + s - 1) < key, s).otherwise(0)
     )
+    keyed = df.withColumn("_bounds", bounds.scalar()).withColumn("_bucket", below).drop("_bounds")
     bucket_sums = keyed.groupBy(*by, "_bucket").agg(F.sum(value).alias("_s"))
     across = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     offsets = bucket_sums.select(

@@ -96,7 +96,7 @@ def class_weights(df: DataFrame, label: str, name: str = "class_weight") -> Data
     return df.join(weights, label)
 
 
-def train_churn(
+def train_classifier(
     df: DataFrame, algo: str, label: str = "churn", features: list[str] | None = None, seed: int = DEFAULTS.seed, **params: float
 ) -> PipelineModel:
     """Fit ``logistic`` (on scaled features), ``random_forest`` or ``gradient_boosting``; classes are balanced."""

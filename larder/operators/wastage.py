@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from larder.config import DEFAULTS
 from larder.functions.relational import existence_flag, ordered_index, running_total, with_thresholds
 from larder.functions.scalar import day_name, dbl, ratio, rnd, tier
 from larder.functions.series import expanding_sum, rolling_features
+from larder.operators.churn import binary_metrics, score, train_classifier
 
 
 def _totals(w: DataFrame, *by: str) -> DataFrame:
@@ -179,6 +184,49 @@ def popularity_rank(df: DataFrame, unknown: float = 9999.0) -> DataFrame:
     return df.join(ranks, "menu_item_id", "left").fillna(unknown, ["popularity_rank_train"])
 
 
+RISK_FEATURES = (
+    "lag_demand_7d lag_demand_30d hist_wastage_before dow_num month_num is_promo popularity_rank_train"
+).split()
+# fixed values
+RISK_MODELS: dict[str, dict[str, float]] = {
+    "logistic": {"maxIter": 1000},
+    "random_forest": {"numTrees": 200, "maxDepth": 10, "minInstancesPerNode": 1},
+}
+
+
+def fit_risk_models(data: DataFrame, params: Mapping[str, Mapping[str, float]] = RISK_MODELS) -> dict[str, PipelineModel]:
+    """Balanced classifiers of ``is_high_waste``, fitted to the training rows."""
+    train = data.where(F.col("split") == "train")
+    return {a: train_classifier(train, a, "is_high_waste", RISK_FEATURES, **p) for a, p in params.items()}
+
+
+def risk_scores(model: PipelineModel, data: DataFrame) -> DataFrame:
+    """Risk class and probability of the test rows; every model scores the features it was fitted to."""
+    scored = score(model, data.where(F.col("split") == "test"), RISK_FEATURES)
+    return scored.select(
+        "menu_item_id",
+        "restaurant_id",
+        "wastage_date",
+        "wastage_qty",
+        "lag_demand_7d",
+        "hist_wastage_before",
+        F.round("probability", 4).alias("wastage_risk_prob"),
+        (F.col("probability") >= 0.5).cast("int").alias("wastage_risk_class"),
+    )
+
+
+def risk_metrics(models: Mapping[str, PipelineModel], data: DataFrame) -> DataFrame:
+    """Metrics per model on the validation and the test rows."""
+    rows = [
+        binary_metrics(score(m, data.where(F.col("split") == s), RISK_FEATURES), "is_high_waste").withColumns(
+            {"model": F.lit(a), "split": F.lit(s)}
+        )
+        for a, m in models.items()
+        for s in ("val", "test")
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def top_wastage(items: DataFrame, n: int = 20) -> DataFrame:
     return items.orderBy(F.desc_nulls_last("total_cost"), "menu_item_id").limit(n)
 

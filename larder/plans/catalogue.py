@@ -194,6 +194,9 @@ query("rfm_distribution")(lambda d: customers.rfm_distribution(_rfm(d)))
 query("kmeans_search")(lambda d: customers.kmeans_search(settle(_base(d), "customer_base")))
 query("segment_customers")(lambda d: customers.segment_customers(_segment_input(d)))
 query("segment_profiles")(lambda d: customers.segment_profiles(customers.segment_customers(_segment_input(d))))
+query("segment_profiles_by_score")(
+    lambda d: customers.segment_profiles(_segment_input(d).withColumn("cluster", F.col("rfm_sum")))
+)
 query("channel_intelligence")(_channels)
 query("dashboard_channel_share")(lambda d: customers.channel_share(_channels(d)))
 query("churned_customers")(lambda d: customers.churned_customers(d.orders, DATA_END))
@@ -254,6 +257,27 @@ query("dashboard_top_wastage")(lambda d: wastage.top_wastage(wastage.wastage_by(
 query("wastage_risk_features")(_risk)
 query("wastage_label_split")(_risk_split)
 query("wastage_popularity_rank")(lambda d: wastage.popularity_rank(settle(_risk_split(d), "risk_split")))
+# fewer trees than the library default, to keep the checks short
+RISK_PARAMS = {"logistic": {"maxIter": 100}, "random_forest": {"numTrees": 20, "maxDepth": 10}}
+
+
+def _risk_data(d: Retail) -> DataFrame:
+    return settle(wastage.popularity_rank(settle(_risk_split(d), "risk_split")), "risk_data")
+
+
+@query("wastage_risk_metrics")
+def _(d: Retail) -> DataFrame:
+    data = _risk_data(d)
+    return wastage.risk_metrics(wastage.fit_risk_models(data, RISK_PARAMS), data)
+
+
+@query("wastage_risk_scores")
+def _(d: Retail) -> DataFrame:
+    data = _risk_data(d)
+    forest = {"random_forest": RISK_PARAMS["random_forest"]}
+    return wastage.risk_scores(wastage.fit_risk_models(data, forest)["random_forest"], data)
+
+
 query("price_daily_item_sales")(_daily)
 query("price_effective")(lambda d: pricing.effective_price(d.lines, d.orders, d.pricing))
 query("price_elasticity")(lambda d: pricing.enrich_items(_elasticity(d), d.menu, d.ratings, d.lines))
@@ -396,7 +420,7 @@ CHURN_PARAMS = {"logistic": {}, "random_forest": {"numTrees": 50}, "gradient_boo
 def _churn_scores(d: Retail, algo: str) -> DataFrame:
     """Model of the training cohort applied to the test cohort."""
     data = _all_cohorts(d)
-    model = churn.train_churn(data.where("cohort = 'train'"), algo, **CHURN_PARAMS[algo])
+    model = churn.train_classifier(data.where("cohort = 'train'"), algo, **CHURN_PARAMS[algo])
     return churn.score(model, data.where("cohort = 'test'"))
 
 
@@ -423,7 +447,7 @@ query("churn_sample_predictions")(lambda d: churn.sample_predictions(_churn_scor
 @query("churn_feature_importance")
 def _(d: Retail) -> DataFrame:
     train = _all_cohorts(d).where("cohort = 'train'")
-    return churn.feature_importance(churn.train_churn(train, "random_forest", **CHURN_PARAMS["random_forest"]), train)
+    return churn.feature_importance(churn.train_classifier(train, "random_forest", **CHURN_PARAMS["random_forest"]), train)
 
 
 query("compare_predictions")(_comparison)

@@ -72,7 +72,15 @@ rules AS (SELECT antecedent, consequent, {r('s', 6)} AS support, {r('cf', 4)} AS
 named AS (SELECT rules.*, x.item_name AS antecedent_name, y.item_name AS consequent_name FROM rules LEFT JOIN d_menu x ON x.menu_item_id = antecedent
    LEFT JOIN d_menu y ON y.menu_item_id = consequent WHERE x.item_name IS DISTINCT FROM y.item_name)"""
 
+SEGMENTS = f"""s_in AS (SELECT rfm.*, behaviour.* EXCLUDE (customer_id), rfm_sum AS cluster FROM rfm LEFT JOIN behaviour USING (customer_id)),
+s_mean AS (SELECT cluster, {r('avg(r_score)', 3)} AS r, {r('avg(f_score)', 3)} AS f, {r('avg(m_score)', 3)} AS m, {r('avg(promo_sensitivity)', 3)} AS promo, {r('avg(weekend_ratio)', 3)} AS weekend, count(customer_id) AS n FROM s_in GROUP BY 1),
+s_named AS (SELECT s_mean.*, top_channel, top_tod, top_category, CASE WHEN promo >= 0.5 THEN 'promotion_driven' WHEN weekend >= 0.7 THEN 'weekend_only' WHEN r >= 3 AND f >= 3.5 AND m >= 3.5 THEN 'high_value_loyal'
+   WHEN f >= 3 THEN 'frequent' WHEN r <= 2.2 AND f >= 1.9 AND m >= 1.8 THEN 'at_risk' WHEN r >= 2 AND f <= 2 AND m <= 2 THEN 'new' ELSE 'occasional' END AS nm
+   FROM s_mean LEFT JOIN {_mode('s_in', 'cluster', 'preferred_channel', 'top_channel')} USING (cluster) LEFT JOIN {_mode('s_in', 'cluster', 'time_of_day_preference', 'top_tod')} USING (cluster)
+   LEFT JOIN {_mode('s_in', 'cluster', 'favorite_category', 'top_category')} USING (cluster))"""
+
 SQL = {
+    "segment_profiles_by_score": with_views(f", {CUSTOMER_BASE}, {rfm()}, {BEHAVIOUR}, {SEGMENTS} SELECT * EXCLUDE (nm), CASE WHEN count(*) OVER (PARTITION BY nm) > 1 THEN nm || '_' || row_number() OVER (PARTITION BY nm ORDER BY r DESC, f DESC, m DESC, cluster) ELSE nm END AS segment FROM s_named"),
     "rfm_base": with_views(f", {CUSTOMER_BASE} SELECT * FROM customer_base"),
     "customer_behaviour": with_views(f", {BEHAVIOUR} SELECT * FROM behaviour"),
     "rfm_scores": with_views(f", {CUSTOMER_BASE}, {rfm()} SELECT * FROM rfm"),
