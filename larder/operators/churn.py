@@ -89,11 +89,16 @@ def churn_cohorts(
 
 
 def class_weights(df: DataFrame, label: str, name: str = "class_weight") -> DataFrame:
-    """Add n / (classes * class size) as weight column."""
+    """Add n / (classes * class size) as weight column.
+
+    The weights, one per class, travel as a map in a scalar subquery: joining on the label
+    would send all rows to as many tasks as there are classes.
+    """
     counts = df.groupBy(label).agg(F.count("*").alias("_c"))
     totals = counts.agg(F.sum("_c").alias("_n"), F.count("*").alias("_k"))
-    weights = with_scalars(counts, totals).select(label, (F.col("_n") / (F.col("_k") * F.col("_c"))).alias(name))
-    return df.join(weights, label)
+    weights = with_scalars(counts, totals).select(label, (F.col("_n") / (F.col("_k") * F.col("_c"))).alias("_w"))
+    packed = weights.agg(F.map_from_entries(F.collect_list(F.struct(label, "_w"))).alias("m"))
+    return df.withColumn(name, packed.scalar()[F.col(label)])
 
 
 def train_classifier(

@@ -343,10 +343,6 @@ PROMO_SHIFT_DAYS = 8567  # ratings of the driver data start after the last order
 HIGH, LOW = 3.05, 2.85  # item means of the driver data lie close together
 
 
-def _events(d: Retail) -> DataFrame:
-    return d._read("events").select("event_id", "user_id", "event_type", "ts", "value")
-
-
 def _by_item(d: Retail) -> DataFrame:
     return ratings.ratings_by_item(d.ratings, d.lines, d.menu, HIGH, LOW)
 
@@ -359,10 +355,10 @@ query("ratings_by_promo_day")(lambda d: ratings.ratings_by_promo_day(d.ratings,
 query("rating_anomalies")(lambda d: ratings.rating_anomalies(d.ratings))
 query("rating_burst")(lambda d: ratings.rating_burst(d.ratings, n=3))
 query("sales_spike_drop")(lambda d: anomalies.sales_spike_drop(_daily(d)))
-query("value_outliers")(lambda d: anomalies.value_outliers(_events(d), "value", kind="event_value"))
+query("value_outliers")(lambda d: anomalies.value_outliers(d.events, "value", kind="event_value"))
 query("discount_outliers")(lambda d: anomalies.discount_outliers(d.orders))
 query("duplicate_transactions")(
-    lambda d: anomalies.duplicate_transactions(_events(d), ["user_id", "event_type"], "ts", "event_id")
+    lambda d: anomalies.duplicate_transactions(d.events, ["user_id", "event_type"], "ts", "event_id")
 )
 query("unexpected_demand")(lambda d: anomalies.unexpected_demand(d.lines, d.orders))
 query("weekday_spike")(lambda d: anomalies.weekday_spike(_daily(d)))

@@ -245,6 +245,11 @@ class Retail(Mapping[str, DataFrame]):
             (F.col("item") % PROMO_COUNT).alias("promotion_id"), F.col("item").alias("menu_item_id")
         ).distinct()
 
+    @cached_property
+    def events(self) -> DataFrame:
+        """The raw event log, for operators the orders of the driver data cannot exercise."""
+        return self._read("events").select("event_id", "user_id", "event_type", "ts", "value")
+
     @cached_property
     def ratings(self) -> DataFrame:
         return self._read("events").select(
