@@ -38,7 +38,9 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iter
 Derive = Callable[[list], Sequence[Sequence]]
 
 
-def with_derived(df: DataFrame, column: str, fields: Sequence[StructField], make: Callable[[], Derive]) -> DataFrame:
+def with_derived(
+    df: DataFrame, column: str, fields: Sequence[StructField], make: Callable[[], Derive], limit: int = SLICE_BYTES
+) -> DataFrame:
     """Add columns computed from one text or binary column, a bounded run of rows at a time.
 
     `make` runs once per task and returns a function from a list of values (None for null) to one list per field.
@@ -55,7 +57,7 @@ def with_derived(df: DataFrame, column: str, fields: Sequence[StructField], make
         kinds = [to_arrow_type(f.dataType) for f in fields]
         names = schema.fieldNames()
         for batch in batches:
-            for part in slices(batch, at):
+            for part in slices(batch, at, limit):
                 new = derive(part.column(at).to_pylist())
                 arrays = [pa.array(values, kind) for values, kind in zip(new, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=names)
