@@ -19,7 +19,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField
 
 from larder.llm.common import with_derived
 
-CACHED_PIECES = 300_000
+CACHED_PIECES = 400_000
 CACHED_PIECE_CHARS = 64
 
 
@@ -112,18 +112,23 @@ class Codec:
 
 
 class Pieces(dict):
-    """Packed ids by pre-token; a bounded memory of those met before."""
+    """Packed ids by pre-token, of those met lately: two generations, so frequent ones outlive rare ones."""
 
     def __init__(self, codec: Codec) -> None:
         super().__init__()
         self.codec = codec
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = pack(self.codec.encode_piece(piece.encode()))
-        if len(piece) <= CACHED_PIECE_CHARS:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
-            self[piece] = packed
+        packed = self.older.get(piece)
+        if packed is None:
+            packed = pack(self.codec.encode_piece(piece.encode()))
+            if len(piece) > CACHED_PIECE_CHARS:
+                return packed
+        if len(self) >= CACHED_PIECES:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = packed
         return packed
 
 
