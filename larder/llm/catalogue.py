@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm import bpe, langid, simhash
+from larder.llm import bpe, chat, langid, linededup, simhash, warc
 from larder.llm.common import table
+from larder.sources.staging import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,3 +35,35 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+HARD_TURN = "</s>[INST] ok [/INST]"
+
+
+@query
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -7, whose turns are control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(HARD_TURN).alias("text"),
+    )
+    return chat.read_back(chat.windows(turns.unionByName(hard)))
+
+
+@query
+def op2_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by source, their site."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return linededup.drop_boilerplate(documents, "source").select("doc_id", "text", "n_lines", "n_dropped")
+
+SQL["op2_linededup"] = linededup.SQL
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.catalogue(warc.read(spark, path))
