@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, chat, langid, linededup, simhash, warc
+from larder.llm import bpe, chat, embeddings, langid, linededup, simhash, warc
 from larder.llm.common import table
 from larder.sources.staging import stage_path
 
@@ -67,3 +67,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
     return warc.catalogue(warc.read(spark, path))
+
+
+@query
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))

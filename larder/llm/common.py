@@ -23,8 +23,10 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts hold about `limit` bytes; a longer text is a run of its own."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    """The batch in runs of rows whose texts, or lists, hold about `limit` bytes; a longer one is a run of its own."""
+    values = batch.column(column)
+    lengths = pc.multiply(pc.list_value_length(values), 32) if pa.types.is_list(values.type) else pc.binary_length(values)
+    sizes = pc.fill_null(lengths, 0).to_pylist()
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > limit:
