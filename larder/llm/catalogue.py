@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, chat, embeddings, langid, linededup, simhash, warc
+from larder.llm import bpe, chat, embeddings, langid, linededup, pii, simhash, warc
 from larder.llm.common import table
 from larder.sources.staging import stage_path
 
@@ -72,3 +72,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
