@@ -17,14 +17,14 @@ from pyspark.sql.types import DoubleType, StructField
 
 from larder.llm.common import with_derived
 
-SEGMENT = 256
+SEGMENT = 128
 WIDTH = 5
-FILTERS = 8
+FILTERS = 16
 SAMPLE = 3000
 SAMPLE_TEXT_BYTES = 16_384
-EPOCHS = 8
+EPOCHS = 12
 BATCH = 48
-RATE = 0.02
+RATE = 0.015
 SEED = 11
 THRESHOLD = 0.3
 SLICE_BYTES = 1 << 20
