@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, chat, embeddings, langid, linededup, pii, quality, simhash, warc
+from larder.llm import bpe, chat, decontaminate, embeddings, langid, linededup, pii, quality, simhash, warc
 from larder.llm.common import table
 from larder.sources.staging import stage_path
 
@@ -82,3 +82,9 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each benchmark item found in each document."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

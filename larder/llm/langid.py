@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from larder.llm.common import slices, with_derived
 
@@ -252,6 +252,20 @@ def predict(df: DataFrame, model: Model, text: str = "text", penalty: float = SW
     return with_derived(df, text, fields, lambda: lambda texts: label(model, texts, penalty), SLICE_BYTES)
 
 
+def keep_identified(df: DataFrame, model: Model, min_score: float, text: str = "text") -> DataFrame:
+    """The rows whose text has a language with at least `min_score`; columns are as they were."""
+    kept = "__identified"
+
+    def make():
+        def derive(texts: list) -> tuple[list]:
+            languages, values, _ = label(model, texts)
+            return ([x != UNKNOWN and v >= min_score for x, v in zip(languages, values)],)
+
+        return derive
+
+    return with_derived(df, text, [StructField(kept, BooleanType())], make, SLICE_BYTES).where(kept).drop(kept)
+
+
 def remainder(key: str, parts: int) -> Column:
     """crc32 of the key as text, modulo; null for a null key."""
     return F.crc32(F.col(key).cast("string")) % parts

@@ -41,8 +41,8 @@ def fingerprint_of(text: str | None, words: int = 3) -> int:
     return sum(1 << bit for bit in np.flatnonzero(2 * counts > len(hashes)).tolist())
 
 
-def fingerprints(df: DataFrame, text: str = "text", words: int = 3) -> DataFrame:
-    """Add `fp`, the fingerprint of each whole text as a signed long; without words, or null, it is zero."""
+def fingerprints(df: DataFrame, text: str = "text", words: int = 3, out: str = "fp") -> DataFrame:
+    """Add `out`, the fingerprint of each whole text as a signed long; without words, or null, it is zero."""
 
     def make():
         def derive(texts: list) -> tuple[list]:
@@ -51,7 +51,7 @@ def fingerprints(df: DataFrame, text: str = "text", words: int = 3) -> DataFrame
 
         return derive
 
-    return with_derived(df, text, [StructField("fp", LongType())], make)
+    return with_derived(df, text, [StructField(out, LongType())], make)
 
 
 def _distance(a: Column, b: Column, mask: int | None = None) -> Column:
@@ -87,6 +87,12 @@ def links(prints: DataFrame, max_distance: int = 2) -> DataFrame:
     return found.select("a", "b")
 
 
+def groups_of(prints: DataFrame, max_distance: int = 2) -> DataFrame:
+    """(fp, component) of every fingerprint in the column `fp`, given once each."""
+    linked = components(links(prints, max_distance))
+    return prints.join(linked, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, max_distance: int = 2) -> DataFrame:
     """(key, fingerprint, component_id) per row; the component is the smallest key reachable over links.
 
@@ -96,10 +102,23 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     """
     prints = settle(fingerprints(df.select(key, text), text, words).select(key, "fp"), "fingerprints")
     distinct = settle(prints.groupBy("fp").agg(F.min(key).alias("least")), "distinct_fingerprints")
-    groups = components(links(distinct.select("fp"), max_distance))
-    labelled = distinct.join(groups, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    labelled = settle(labelled, "labelled_fingerprints")
-    smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = labelled.join(smallest, "component").select("fp", "component_id")
+    grouped = settle(groups_of(distinct.select("fp"), max_distance).join(distinct, "fp"), "labelled_fingerprints")
+    smallest = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    ids = grouped.join(smallest, "component").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(ids, "fp").select(key, digits, "component_id")
+
+
+def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, max_distance: int = 2) -> DataFrame:
+    """The rows of `df`, one of each group of near-duplicates: that with the smallest key, a null key last.
+
+    Of repeated rows one stays, as of any group.
+    """
+    row, fp = "__row", "__fp"
+    rows = fingerprints(df, text, words, fp)
+    rows = settle(rows.withColumn(row, F.monotonically_increasing_id()), "documents_fingerprints")
+    least = F.struct(F.col(f"`{key}`").isNull().alias("no_key"), F.col(f"`{key}`").alias("key"), F.col(row).alias("row"))
+    distinct = settle(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(least).alias("least")), "distinct_fingerprints")
+    grouped = groups_of(distinct.select("fp"), max_distance).join(distinct, "fp")
+    first = grouped.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias(row))
+    return rows.join(first, row, "left_semi").select([F.col(f"`{c}`") for c in df.columns])
