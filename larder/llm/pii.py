@@ -272,6 +272,9 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     def listed(which):
         return F.array_join(F.transform(which, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    def number(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in KINDS]
     base = F.sha2(F.encode(listed(F.filter("found", lambda s: s["base"])), "UTF-8"), 256).alias("base_sha256")
     return rows.select(key, *counts, base, listed(F.col("found")).alias("spans"))
