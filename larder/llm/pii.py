@@ -54,7 +54,6 @@ DIGIT_WORDS = {
     "7": ("seven", "sieben", "sept", "siete"),
     "8": ("eight", "acht", "huit", "ocho"),
     "9": ("nine", "neun", "neuf", "nueve"),
-    "+": ("plus",),
 }
 # fixed values: words for the signs of an address
 AT = "at|arobase|arroba"
@@ -76,9 +75,10 @@ def _alternatives(words) -> str:
 
 
 WORD_DIGITS = {w: d for d, words in DIGIT_WORDS.items() for w in words}
-_TOKEN = rf"(?:(?:{_alternatives(WORD_DIGITS)})(?!\w)|[0-9]++)"
-SPELLED = re.compile(rf"(?<!\w)\+?{_TOKEN}(?:[\x20-]{_TOKEN}){{2,}}", re.I)
-SPELLED_WORD = re.compile(rf"(?<!\w)(?:plus\x20)?+(?:{_alternatives(WORD_DIGITS)})(?!\w)", re.I)
+_WORD = rf"(?:{_alternatives(WORD_DIGITS)})(?!\w)"
+_TOKEN = rf"(?:{_WORD}|[0-9]++)"
+SPELLED = re.compile(rf"(?<!\w)(?:\+|plus\x20)?{_TOKEN}(?:[\x20-]{_TOKEN}){{2,}}", re.I)
+SPELLED_WORD = re.compile(rf"(?<!\w)(plus\x20)?({_WORD})|(?<!\w)plus\x20(?=[0-9])", re.I)
 BRACKETED = re.compile(rf"\x20?[\[({{<]\x20?(?:({AT}|@)|({DOT}|\.))\x20?[\])}}>]\x20?", re.I)
 _LABEL = r"[A-Za-z0-9-]{1,63}"
 WORDED_EMAIL = re.compile(rf"(?<=[A-Za-z0-9._%+-])(\x20(?:{AT})\x20|@)({_LABEL}(?:(?:\x20(?:{DOT})\x20|\.){_LABEL})*\x20(?:{DOT})\x20{_LABEL}(?:(?:\x20(?:{DOT})\x20|\.){_LABEL})*)", re.I)
@@ -202,8 +202,8 @@ def spelled_digits(text: Mapped) -> Mapped:
     edits = []
     for run in SPELLED.finditer(text.text):
         for m in SPELLED_WORD.finditer(text.text, run.start(), run.end()):
-            words = m.group().lower().split(" ")
-            edits.append((m.start(), m.end(), "".join(WORD_DIGITS[w] for w in words)))
+            sign = "" if m.group(2) and not m.group(1) else "+"
+            edits.append((m.start(), m.end(), sign + WORD_DIGITS.get((m.group(2) or "").lower(), "")))
     return text.rewrite(edits)
 
 
@@ -225,9 +225,6 @@ def normalise(text: str) -> Mapped:
     return worded_signs(spelled_digits(bracketed_signs(mapped)))
 
 
-RARE_DIGITS = tuple(w for w in WORD_DIGITS if w not in ("un", "oh", "one", "plus"))
-
-
 def may_be_disguised(text: str) -> bool:
     """A quick test that is true of every text the transducers would change."""
     if not text.isascii() and _odd().search(text):
@@ -237,7 +234,7 @@ def may_be_disguised(text: str) -> bool:
         return True
     if any(c in text for c in "[({<") and BRACKETED.search(text):
         return True
-    return (any(w in low for w in RARE_DIGITS) or low.count("one") + low.count("oh") + low.count("un") > 1) and bool(SPELLED.search(text))
+    return any(w in low for w in WORD_DIGITS) and bool(SPELLED.search(text))
 
 
 def spans(text: str) -> list[dict]:
