@@ -230,7 +230,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
         for name, (grams, scripts) in sums.items():
             both = np.concatenate([grams, scripts])
             at = np.flatnonzero(both)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at, pa.int64()), pa.array(both[at], pa.int64())], names=["lang", "cell", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(both[at], pa.int64())], names=["lang", "cell", "n"])
 
     counted = rows.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     grams = np.zeros((BUCKETS, len(languages)))
