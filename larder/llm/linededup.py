@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import without
+from larder.sources.staging import settle
 
 RATIO = 0.05
 MIN_PAGES = 5
@@ -45,9 +46,11 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: flo
 
     Every row stays, an all-boilerplate text as an empty one; a null text stays null, with no lines. Pages without a
     host are a site of their own. Repeated rows are separate pages. Columns named as the added ones are replaced. The
-    texts aren't regrouped: each host's short list goes to its pages.
+    texts aren't regrouped: the hosts' short lists are a table of their own, so that Spark knows their size and sends them
+    to the pages where they are small.
     """
     listed = boilerplate(pages, host, text, ratio, min_pages).select(F.col("host").alias("__site"), F.col("lines").alias("__lines"))
+    listed = settle(listed, "boilerplate")
     rows = without(pages, ["n_lines", "n_dropped", "__site", "__lines"])
     order = rows.columns
     joined = rows.join(listed, rows[f"`{host}`"].eqNullSafe(listed["__site"]), "left")
