@@ -45,8 +45,9 @@ def clamp(c: ColumnOrName, low: float, high: float) -> Column:
 
 
 def to_id(c: ColumnOrName) -> Column:
-    """Integer id from text such as ``17`` or ``17.0``; anything else is NULL."""
-    return as_col(c).try_cast("double").try_cast("bigint")
+    """Integer id from text such as ``17`` or ``17.0``, exact over all of bigint; anything else is NULL."""
+    number = as_col(c).try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
 def day(c: ColumnOrName) -> Column:
@@ -99,11 +100,3 @@ def plausible_date(ts: ColumnOrName, as_of: str) -> Column:
 
 def normalised(c: ColumnOrName) -> Column:
     return F.lower(F.trim(as_col(c)))
-
-
-def count_if(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
-def sum_if(cond: Column, value: ColumnOrName) -> Column:
-    return F.sum(F.when(cond, as_col(value)))

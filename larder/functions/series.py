@@ -59,14 +59,18 @@ def zscore(df: DataFrame, entity: Sequence[str], col: str) -> DataFrame:
     return df.join(stats, list(entity)).withColumn("z", z)
 
 
-def mean_gap_days(df: DataFrame, entity: Sequence[str], ts: str, name: str = "avg_days_between_orders") -> DataFrame:
+def mean_gap_days(
+    df: DataFrame, entity: Sequence[str], ts: str, name: str = "avg_days_between_orders", weight: str | None = None
+) -> DataFrame:
     """Mean of whole 24-hour gaps between consecutive rows of an entity; 0 for a single row.
 
+    With ``weight``, a row stands for that many rows of its time.
+
     Rows are first reduced to the earliest and latest time per entity and day: gaps
     within a day count zero whole days, so only day-to-day gaps add up.
     """
     days = df.where(F.col(ts).isNotNull()).groupBy(*entity, F.to_date(ts).alias("_d")).agg(
-        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count("*").alias("_n")
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), (F.sum(weight) if weight else F.count("*")).alias("_n")
     )
     w = Window.partitionBy(*entity).orderBy("_d")
     gaps = days.withColumn("_gap", elapsed_days(F.lag("_last").over(w), "_first"))

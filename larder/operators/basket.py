@@ -20,8 +20,8 @@ from larder.functions.relational import with_scalars
 
 
 def baskets(lines: DataFrame) -> DataFrame:
-    """Distinct (order, item) pairs; lines without an item still make a basket."""
-    return lines.select("order_id", "menu_item_id").distinct()
+    """Distinct (order, item) pairs; lines without an item still make a basket, lines without an order make none."""
+    return lines.where(F.col("order_id").isNotNull()).select("order_id", "menu_item_id").distinct()
 
 
 def basket_singles(lines: DataFrame) -> DataFrame:
@@ -44,11 +44,11 @@ def basket_pairs(
         names, col = np.unique(items, return_inverse=True)
         _, row = np.unique(orders, return_inverse=True)
         for i in range(0, len(names), tile):
-            left = np.zeros((row[-1] + 1, min(tile, len(names) - i)), dtype=np.float32)
+            left = np.zeros((row.max() + 1, min(tile, len(names) - i)), dtype=np.float32)
             inside = (col >= i) & (col < i + tile)
             left[row[inside], col[inside] - i] = 1
             for j in range(i, len(names), tile):
-                right = np.zeros((row[-1] + 1, min(tile, len(names) - j)), dtype=np.float32)
+                right = np.zeros((row.max() + 1, min(tile, len(names) - j)), dtype=np.float32)
                 there = (col >= j) & (col < j + tile)
                 right[row[there], col[there] - j] = 1
                 together = left.T @ right

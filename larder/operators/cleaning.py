@@ -27,29 +27,22 @@ def missing_amounts(orders: DataFrame) -> Step:
 
 
 def deduplicate(df: DataFrame, key: str) -> Step:
-    """One row per key, the greatest by column order (so known values win over NULL).
+    """One row per key, the greatest by column order (so known values win over NULL); NULL is a key like any other.
 
-    The survivor is an aggregate with map-side partial results, and the rest is found by
-    joining it back, so a key with very many copies never has to fit one task.
+    The rest is the multiset difference of all rows and the survivors. Both are aggregates with map-side partial
+    results, and the difference is dealt by whole rows, so a key with very many rows never has to fit one task.
     """
     reason = f"duplicate {key}"
-    row = F.struct(*df.columns)
-    best = df.groupBy(key).agg(F.max(row).alias("_best"), F.count("*").alias("_copies"))
+    best = df.groupBy(key).agg(F.max(F.struct(*df.columns)).alias("_best"))
     clean = best.select("_best.*")
-    repeated = best.where(F.col("_copies") > 1)
-    marked = df.join(repeated.select(key, "_best"), key).withColumn("_same", row.eqNullSafe(F.col("_best")))
-    different = marked.where(~F.col("_same")).select(*df.columns)
-    surplus = marked.where("_same").groupBy(key).agg(F.first("_best").alias("_best"), (F.count("*") - 1).alias("_n"))
-    chunks = surplus.where("_n > 0").withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_TASK)))
-    )
-    in_chunk = F.least(F.lit(COPIES_PER_TASK), F.col("_n") - F.col("_chunk") * COPIES_PER_TASK)
-    identical = (
-        chunks.repartition(key, "_chunk")
-        .withColumn("_i", F.explode(F.sequence(F.lit(1), in_chunk.cast("int"))))
-        .select("_best.*")
-    )
-    return clean, different.unionByName(identical).withColumn("reason", F.lit(reason)), reason
+    counted = df.withColumn("_n", F.lit(1)).unionByName(clean.withColumn("_n", F.lit(-1)))
+    surplus = counted.groupBy(*df.columns).agg(F.sum("_n").alias("_n")).where(F.col("_n") > 0)
+    few = surplus.where(F.col("_n") <= COPIES_PER_TASK)
+    chunk = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_TASK))
+    many = surplus.where(F.col("_n") > COPIES_PER_TASK).withColumn("_chunk", F.explode(chunk)).repartition(*df.columns, "_chunk")
+    many = many.withColumn("_n", F.least(F.lit(COPIES_PER_TASK), F.col("_n") - F.col("_chunk") * COPIES_PER_TASK)).drop("_chunk")
+    rest = few.unionByName(many).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    return clean, rest.select(*df.columns, F.lit(reason).alias("reason")), reason
 
 
 def invalid_menu_prices(menu: DataFrame, limit: float = 1000) -> Step:

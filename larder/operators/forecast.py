@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.config import DEFAULTS
+from larder.functions.relational import with_scalars
 from larder.functions.scalar import dbl
 from larder.functions.series import dense_calendar, lag_features, rolling_features, running_index
 from larder.operators.features import sales
@@ -54,18 +55,13 @@ def chrono_split(
 
 def linear_trend(split: DataFrame, entity: Sequence[str], value: str, index: str = "time_index", digits: int = 2) -> DataFrame:
     """Test rows with the straight line fitted to the training rows of their entity."""
-    keys = list(entity) or ["_all"]
-    rows = split if entity else split.withColumn("_all", F.lit(0))
-    fit = rows.where("split = 'train'").groupBy(*keys).agg(
+    fit = split.where("split = 'train'").groupBy(*entity).agg(
         F.regr_slope(dbl(value), dbl(index)).alias("_slope"), F.regr_intercept(dbl(value), dbl(index)).alias("_start")
     )
+    test = split.where("split = 'test'")
+    fitted = test.join(fit, list(entity), "left") if entity else with_scalars(test, fit)
     line = F.col("_start") + F.col("_slope") * F.col(index)
-    return (
-        rows.where("split = 'test'")
-        .join(fit, keys, "left")
-        .withColumn("prediction", F.round(line, digits))
-        .drop("_slope", "_start", "_all", "split")
-    )
+    return fitted.withColumn("prediction", F.round(line, digits)).drop("_slope", "_start", "split")
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:

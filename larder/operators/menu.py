@@ -299,15 +299,16 @@ def item_sales_summary(
     recent_days: int = 90,
     min_criteria: int | None = None,
 ) -> DataFrame:
-    """Sales, gap, wastage and trend per item with the seven slow-mover criteria.
+    """Sales up to the cutoff day, gap, wastage and trend per item with the seven slow-mover criteria.
 
     ``is_slow_moving`` is (low volume or frequency) and (low repeat or weak margin), or
     (high wastage and poor trend); with ``min_criteria`` it is a plain count of criteria.
     """
-    s = sales(orders, lines).where(F.col("menu_item_id").isNotNull())
+    by_then = orders.where(F.to_date("order_timestamp") <= F.lit(cutoff).cast("date"))
+    s = sales(by_then, lines).where(F.col("menu_item_id").isNotNull())
     q, early = F.col("quantity"), F.month("order_timestamp") <= 6
     per_order = s.groupBy("menu_item_id", "order_id", "customer_id", "order_timestamp").agg(
-        F.sum("quantity").alias("quantity"), F.sum("line_total").alias("r"), F.sum("line_margin").alias("m")
+        F.sum("quantity").alias("quantity"), F.sum("line_total").alias("r"), F.sum("line_margin").alias("m"), F.count("*").alias("lines")
     )
     per_customer = per_order.groupBy("menu_item_id", "customer_id").agg(
         F.count("*").alias("orders"),
@@ -334,7 +335,7 @@ def item_sales_summary(
         dbl(F.sum("quantity_wasted")).alias("total_wasted"), dbl(F.sum("wastage_cost")).alias("wastage_cost")
     )
     joined = (
-        agg.join(mean_gap_days(s, ["menu_item_id"], "order_timestamp"), "menu_item_id")
+        agg.join(mean_gap_days(per_order, ["menu_item_id"], "order_timestamp", weight="lines"), "menu_item_id")
         .withColumn("repeat_purchase", F.greatest(F.col("orders") - 1, F.lit(0)))
         .join(wasted, "menu_item_id", "left")
         .fillna(0.0, ["total_wasted", "wastage_cost"])
@@ -374,7 +375,7 @@ def no_recent_sales(summary: DataFrame) -> DataFrame:
 def simple_slow_movers(perf: DataFrame) -> DataFrame:
     """Items on the low sales level with finding, evidence, action and priority."""
     evidence = F.format_string(
-        "Sales level is Low; quantity sold=%.0f, revenue=%.2f", F.col("quantity_sold"), F.col("revenue")
+        "Among the least sold: %.0f units worth %.2f", F.col("quantity_sold"), F.col("revenue")
     )
     return perf.where(F.lower("sales_level") == "low").select(
         "menu_item_id",
@@ -386,8 +387,8 @@ def simple_slow_movers(perf: DataFrame) -> DataFrame:
         "wastage_pct",
         "promotion_dependency",
         "performance_class",
-        F.lit("Slow-moving menu item").alias("finding"),
+        F.lit("Item sells slowly").alias("finding"),
         evidence.alias("evidence"),
-        F.lit("Review demand and menu placement before increasing production.").alias("action"),
+        F.lit("Prepare less of it, or give it a better place on the menu.").alias("action"),
         F.lit("Medium").alias("priority"),
     )

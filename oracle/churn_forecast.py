@@ -26,7 +26,7 @@ SELECT '{name}' AS cohort, customer_id, {', '.join(f'coalesce({c}, 0) AS {c}' fo
 
 TEST = cohort("test", *COHORTS["test"])
 A = "SELECT record_id, churn AS actual, CAST(recency > 180 AS INTEGER) AS prediction, least(1.0, recency / 720.0::DOUBLE) AS probability FROM cases"
-B = "SELECT record_id, churn AS actual, CAST(freq_recent_90d = 0 AS INTEGER) AS prediction, 1.0::DOUBLE / (1 + frequency) AS probability FROM cases WHERE customer_id % 50 <> 0"
+B = "SELECT record_id, churn AS actual, CAST(freq_recent_90d = 0 AS INTEGER) AS prediction, 1.0::DOUBLE / (1 + frequency) AS probability FROM cases"
 ALL_CASES = f"cases AS (SELECT 'C' || customer_id AS record_id, * FROM {TEST})"
 CMP = f"""{ALL_CASES}, pa AS ({A}), pb AS ({B}),
 cmp AS (SELECT record_id, pa.actual, pa.prediction AS a_prediction, pa.probability AS a_probability, pb.prediction AS b_prediction, pb.probability AS b_probability,
@@ -50,8 +50,8 @@ def metrics(rel, y, p, x):
 VALID = "v_sales AS (SELECT * FROM d_sales WHERE order_status = 'completed' AND quantity > 0 AND unit_price > 0 AND line_total >= 0)"
 REVENUE = f"""{VALID}, rev AS (SELECT *, CAST(row_number() OVER (ORDER BY date) AS INTEGER) AS time_index FROM
    (SELECT date, CAST(sum(line_total) AS DOUBLE) AS revenue, count(DISTINCT order_id) AS order_count FROM v_sales GROUP BY 1))"""
-TREND = f"""{REVENUE}, fit AS (SELECT regr_slope(revenue, time_index) AS a, regr_intercept(revenue, time_index) AS b FROM rev WHERE time_index <= 266),
-trend AS (SELECT date, revenue, order_count, time_index, {r('b + a * time_index', 2)} AS prediction FROM rev, fit WHERE time_index BETWEEN 267 AND 366)"""
+TREND = f"""{REVENUE}, fit AS (SELECT regr_slope(revenue, time_index) AS a, regr_intercept(revenue, time_index) AS b FROM rev WHERE time_index <= floor((SELECT count(*) FROM rev) * 0.8)),
+trend AS (SELECT date, revenue, order_count, time_index, {r('b + a * time_index', 2)} AS prediction FROM rev, fit WHERE time_index > floor((SELECT count(*) FROM rev) * 0.8))"""
 
 
 def reg(a, p):
@@ -98,7 +98,7 @@ SQL = {
     "compare_model_metrics": with_views(f", {CMP} SELECT *, 'a' AS model FROM {metrics('cmp', 'actual', 'a_prediction', 'a_probability')} UNION ALL SELECT *, 'b' AS model FROM {metrics('cmp', 'actual', 'b_prediction', 'b_probability')}"),
     "compare_confusion": with_views(f", {CMP} SELECT actual, a_prediction AS predicted, count(*) AS n FROM cmp GROUP BY 1, 2"),
     "compare_disagreements": with_views(f", {CMP} SELECT * FROM cmp WHERE NOT match_status"),
-    "compare_one_sided": with_views(f", {CMP} SELECT record_id, 'left_only' AS side FROM pa WHERE record_id NOT IN (SELECT record_id FROM pb)"),
+    "compare_one_sided": with_views(f", {CMP} SELECT record_id, 'left_only' AS side FROM pa WHERE record_id NOT IN (SELECT record_id FROM cases WHERE customer_id % 50 <> 0)"),
     "dashboard_agreement": with_views(f", {CMP} SELECT count(*) AS total, count(*) FILTER (WHERE match_status) AS matched, {r('CAST(count(*) FILTER (WHERE match_status) AS DOUBLE) / count(*) * 100', 1)} AS agreement_pct FROM cmp"),
     "forecast_daily_revenue": with_views(f", {REVENUE} SELECT * FROM rev"),
     "forecast_linear": with_views(f", {TREND} SELECT * FROM trend"),

@@ -47,7 +47,8 @@ SQL |= pair("missing_ids_lines", "d_lines", "menu_item_id IS NOT NULL", "missing
 SQL |= pair("invalid_restaurants", "d_orders", "restaurant_id IN (SELECT restaurant_id FROM d_restaurants)", "unknown restaurant")
 SQL |= pair("orphan_lines", "d_lines", "order_id IN (SELECT order_id FROM d_orders WHERE order_status = 'completed')", "order not in clean orders")
 SQL |= pair("invalid_unit_prices", "d_pricing", "unit_price > 0", "invalid unit price")
-for _n, _rel, _key, _cols in (("duplicate_orders", "(SELECT * FROM d_orders UNION ALL SELECT * FROM d_orders WHERE order_id % 10 = 0)", "order_id", ORD), ("duplicate_lines", "d_lines", "order_item_id", LIN)):
+for _n, _rel, _key, _cols in (("duplicate_orders", "(SELECT * FROM d_orders UNION ALL SELECT * FROM d_orders WHERE order_id % 10 = 0)", "order_id", ORD), ("duplicate_lines", "d_lines", "order_item_id", LIN),
+    ("duplicate_null_keys", "(SELECT * REPLACE (CASE WHEN order_id % 7 <> 0 THEN order_id END AS order_id) FROM d_orders UNION ALL SELECT * FROM d_orders WHERE order_id % 10 = 0)", "order_id", ORD)):
     SQL[f"clean_{_n}"] = with_views(f"SELECT * EXCLUDE rn FROM ({_dedup(_rel, _key, _cols)}) WHERE rn = 1")
     SQL[f"clean_{_n}_quarantine"] = with_views(f"SELECT * EXCLUDE rn, 'duplicate {_key}' AS reason FROM ({_dedup(_rel, _key, _cols)}) WHERE rn > 1")
 SQL |= corrected("impossible_wastage", "d_wastage", WAS, _stock, "x.quantity_wasted > s.cap", "quantity_wasted", "s.cap", "wastage above stock")

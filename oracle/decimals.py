@@ -18,6 +18,7 @@ _STEPS = {
     "invalid_unit_prices": "unit_price",
     "duplicate_orders": _O,
     "duplicate_lines": _L,
+    "duplicate_null_keys": _O,
     "impossible_wastage": _W,
     "incorrect_discounts": _L,
     "units_inventory": _I,

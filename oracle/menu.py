@@ -72,7 +72,7 @@ all_cases AS (SELECT {', '.join(CASE_COLUMNS)} FROM (
 GAPS = """s_gap AS (SELECT {key}, CASE WHEN count(*) > 1 THEN CAST(coalesce(sum(gap), 0) AS DOUBLE) / (count(*) - 1) ELSE 0.0 END AS avg_days_between_orders FROM
    (SELECT {key}, floor((epoch(order_timestamp) - epoch(lag(order_timestamp) OVER (PARTITION BY {key} ORDER BY order_timestamp))) / 86400) AS gap FROM {rel}) GROUP BY 1)"""
 _thr = {"q25_qty": ("qty_sold", .25), "q25_orders": ("orders", .25), "q75_gap": ("avg_days_between_orders", .75), "q25_repeat": ("repeat_purchase", .25), "q75_waste": ("total_wasted", .75), "q25_margin": ("margin", .25)}
-SLOW = f"""s_rows AS (SELECT * FROM d_sales WHERE menu_item_id IS NOT NULL), {GAPS.format(key='menu_item_id', rel='s_rows')},
+SLOW = f"""s_rows AS (SELECT * FROM d_sales WHERE menu_item_id IS NOT NULL AND date <= DATE '2000-12-31'), {GAPS.format(key='menu_item_id', rel='s_rows')},
 s_waste AS (SELECT menu_item_id, CAST(sum(quantity_wasted) AS DOUBLE) AS total_wasted, CAST(sum(wastage_cost) AS DOUBLE) AS wastage_cost FROM d_wastage GROUP BY 1),
 s_agg AS (SELECT menu_item_id, CAST(sum(quantity) AS DOUBLE) AS qty_sold, CAST(sum(line_total) AS DOUBLE) AS revenue, CAST(sum(line_margin) AS DOUBLE) AS margin,
    count(DISTINCT order_id) AS orders, count(DISTINCT customer_id) AS customers, max(order_timestamp) AS last_sale, min(order_timestamp) AS first_sale,
@@ -87,8 +87,8 @@ item_summary AS (SELECT s.*, CAST({' + '.join(f'CAST({c} AS INTEGER)' for c in S
    last_sale < TIMESTAMP '2000-12-31' - INTERVAL 90 DAY AS no_recent_sale, item_name, category_id, base_price
    FROM s_crit s LEFT JOIN d_menu USING (menu_item_id))"""
 SIMPLE_SLOW = """simple_slow AS (SELECT menu_item_id, item_name, category_name, quantity_sold, revenue, profit_pct, wastage_pct, promotion_dependency, performance_class,
-  'Slow-moving menu item' AS finding, printf('Sales level is Low; quantity sold=%.0f, revenue=%.2f', quantity_sold, revenue) AS evidence,
-  'Review demand and menu placement before increasing production.' AS action, 'Medium' AS priority FROM menu_perf WHERE lower(sales_level) = 'low')"""
+  'Item sells slowly' AS finding, printf('Among the least sold: %.0f units worth %.2f', quantity_sold, revenue) AS evidence,
+  'Prepare less of it, or give it a better place on the menu.' AS action, 'Medium' AS priority FROM menu_perf WHERE lower(sales_level) = 'low')"""
 
 _eda = " UNION ALL ".join(
     f"SELECT * FROM (SELECT '{n}' AS ranking, menu_item_id, item_name, {m} AS value FROM known_items ORDER BY {m} {'ASC' if asc else 'DESC'} NULLS LAST, menu_item_id LIMIT 10)"
@@ -109,6 +109,6 @@ SQL = {
     "menu_tricky_counts": with_views(f", {ITEM}, {PROFIT}, {CASES} SELECT case_type, count(*) AS cases FROM all_cases GROUP BY 1"),
     "menu_item_sales_summary": with_views(f", {SLOW} SELECT * FROM item_summary"),
     "menu_slow_moving": with_views(f", {SLOW} SELECT * FROM item_summary WHERE is_slow_moving"),
-    "menu_no_recent_sales": with_views(f", {SLOW.replace('INTERVAL 90 DAY', 'INTERVAL (-200) DAY')} SELECT * FROM item_summary WHERE no_recent_sale"),
+    "menu_no_recent_sales": with_views(f", {SLOW.replace('INTERVAL 90 DAY', 'INTERVAL 10 DAY')} SELECT * FROM item_summary WHERE no_recent_sale"),
     "menu_simple_slow_movers": with_views(f", {ITEM}, {PROFIT}, {PERF}, {SIMPLE_SLOW} SELECT * FROM simple_slow"),
 }

@@ -7,10 +7,10 @@ from oracle.views import TABLE_VIEWS, r, ratio, ratio0, with_views
 
 LOC = f"""loc AS (SELECT menu_item_id, item_name, location_count, max_location_quantity, min_location_quantity, max_location_quantity - min_location_quantity AS location_gap,
   {r(ratio('max_location_quantity', 'min_location_quantity'), 6)} AS location_ratio, quantity_sold, revenue, case_type, case_type AS finding,
-  printf('Maximum location quantity=%.0f, minimum=%.0f, gap=%.0f', max_location_quantity, min_location_quantity, max_location_quantity - min_location_quantity) AS evidence,
-  'Review location-level demand and adjust local menu or inventory planning.' AS action, 'High' AS priority FROM all_cases WHERE case_type = 'Different performance across locations')"""
-CHF = """chf AS (SELECT *, 'Customer activity differs by preferred channel' AS finding, printf('Customers=%d, orders=%d, revenue=%.2f', customers, orders, revenue) AS evidence,
-  'Use channel-specific demand and customer behavior when planning promotions.' AS action, 'Medium' AS priority FROM channels)"""
+  printf('Best place sold %.0f, weakest %.0f, apart by %.0f', max_location_quantity, min_location_quantity, max_location_quantity - min_location_quantity) AS evidence,
+  'Plan stock and menu of the weak places by their own sales.' AS action, 'High' AS priority FROM all_cases WHERE case_type = 'Different performance across locations')"""
+CHF = """chf AS (SELECT *, 'Channels attract unlike customers' AS finding, printf('%d customers placed %d orders worth %.2f', customers, orders, revenue) AS evidence,
+  'Aim each promotion at one channel.' AS action, 'Medium' AS priority FROM channels)"""
 RECS = f"""{ITEM}, {PROFIT}, {PERF}, {SIMPLE_SLOW}, {CASES}, {LOC}, {CUSTOMER}, {CHANNELS}, {CHF},
 recs AS (SELECT * FROM (SELECT finding, evidence, action, priority, 'menu_performance' AS source, menu_item_id, item_name FROM simple_slow ORDER BY quantity_sold, menu_item_id LIMIT 10)
   UNION ALL SELECT * FROM (SELECT finding, evidence, action, priority, 'tricky_cases' AS source, menu_item_id, item_name FROM loc ORDER BY location_gap DESC, menu_item_id LIMIT 10)
@@ -66,6 +66,6 @@ SQL = {
     "sink_json_report": with_views("SELECT order_status, count(*) AS orders FROM d_orders GROUP BY 1"),
     "sink_csv_extract": with_views(f", {CUSTOMER}, {CHANNELS} SELECT preferred_channel, customers, orders FROM channels"),
     "sink_sample_export": with_views(f"SELECT {_order_cols} FROM d_orders ORDER BY order_id LIMIT 500"),
-    "sink_publish": with_views(f", {RECS} SELECT substr(finding, 1, 20) AS finding, substr(action, 1, 30) AS action, priority, menu_item_id, NULL::DOUBLE AS score FROM recs"),
+    "sink_publish": with_views(f", {RECS} SELECT finding, action, priority, menu_item_id, NULL::DOUBLE AS score FROM recs"),
     "validation_parity": with_views("SELECT 'Orders' AS \"table\", count(*) AS csv_rows, count(*) AS parquet_rows, true AS ok FROM d_orders UNION ALL SELECT 'Ratings', count(*), count(*), true FROM d_ratings"),
 }
