@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.config import DEFAULTS
-from larder.functions.relational import with_scalars
+from larder.functions.relational import spread_left_join, with_scalars
 from larder.functions.scalar import (
     clamp,
     dbl,
@@ -65,16 +65,13 @@ def integrated_fact(t: Tables) -> DataFrame:
     menu = t["Menu_Items"].select(
         "menu_item_id", "category_id", "item_name", "base_price", "standard_cost", "unit_of_measure", "availability"
     )
-    return (
-        sales(t["Orders"], t["Order_Items"])
-        .drop("date", "gross", "line_cost", "line_margin")
-        .join(t["Customers"], "customer_id", "left")
-        .join(t["Restaurants"], "restaurant_id", "left")
-        .join(t["Promotions"].select("promotion_id", "promotion_name", "discount_type", "discount_value"), "promotion_id", "left")
-        .join(menu, "menu_item_id", "left")
-        .join(t["Menu_Categories"], "category_id", "left")
-        .join(item_totals(t), "menu_item_id", "left")
-    )
+    fact = sales(t["Orders"], t["Order_Items"]).drop("date", "gross", "line_cost", "line_margin")
+    fact = spread_left_join(fact, t["Customers"], "customer_id", "order_item_id")
+    fact = fact.join(t["Restaurants"], "restaurant_id", "left")
+    promotions = t["Promotions"].select("promotion_id", "promotion_name", "discount_type", "discount_value")
+    fact = spread_left_join(fact, promotions, "promotion_id", "order_item_id")
+    items = menu.join(t["Menu_Categories"], "category_id", "left").join(item_totals(t), "menu_item_id", "left")
+    return spread_left_join(fact, items, "menu_item_id", "order_item_id")
 
 
 def item_features(t: Tables, split_month: int = 6) -> DataFrame:

@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 def make_session() -> SparkSession:
-    spark = (
+    builder = (
         SparkSession.builder.master("local[8]")
         .appName("larder-tests")
         .config("spark.sql.shuffle.partitions", "8")
@@ -19,10 +19,9 @@ def make_session() -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .getOrCreate()
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="larder-"))
     )
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="larder-"))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
