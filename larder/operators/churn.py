@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -16,10 +16,24 @@ from larder.functions.relational import existence_flag, running_total, with_scal
 from larder.functions.scalar import dbl, elapsed_days, ratio, rnd
 from larder.operators.customers import customer_behaviour, rfm_scores
 
+# fixed values: columns of the churn models
 FEATURES = (
-    "recency frequency monetary aov distinct_items r_score f_score m_score promo_sensitivity peak_ratio "
-    "weekend_ratio freq_recent_90d freq_trend avg_days_between_orders distinct_categories"
-).split()
+    "recency",
+    "frequency",
+    "monetary",
+    "aov",
+    "distinct_items",
+    "r_score",
+    "f_score",
+    "m_score",
+    "promo_sensitivity",
+    "peak_ratio",
+    "weekend_ratio",
+    "freq_recent_90d",
+    "freq_trend",
+    "avg_days_between_orders",
+    "distinct_categories",
+)
 
 
 def churn_cohorts(
@@ -102,12 +116,12 @@ def class_weights(df: DataFrame, label: str, name: str = "class_weight") -> Data
 
 
 def train_classifier(
-    df: DataFrame, algo: str, label: str = "churn", features: list[str] | None = None, seed: int = DEFAULTS.seed, **params: float
+    df: DataFrame, algo: str, label: str = "churn", features: Sequence[str] | None = None, seed: int = DEFAULTS.seed, **params: float
 ) -> PipelineModel:
     """Fit ``logistic`` (on scaled features), ``random_forest`` or ``gradient_boosting``; classes are balanced."""
     features = features or FEATURES
     data = class_weights(df, label).withColumns({c: dbl(c) for c in [*features, label]})
-    assembler = VectorAssembler(inputCols=features, outputCol="raw_features")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="raw_features")
     common = {"labelCol": label, "weightCol": "class_weight"}
     if algo == "logistic":
         scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
@@ -117,13 +131,13 @@ def train_classifier(
         stages = [assembler, RandomForestClassifier(featuresCol="raw_features", seed=seed, **common, **forest)]
     elif algo == "gradient_boosting":
         boost = {"maxIter": 200, "maxDepth": 5, "stepSize": 0.05, **params}
-        stages = [assembler, GBTClassifier(featuresCol="raw_features", labelCol=label, seed=seed, **boost)]
+        stages = [assembler, GBTClassifier(featuresCol="raw_features", seed=seed, **common, **boost)]
     else:
         raise ValueError(f"unknown algorithm {algo}")
     return Pipeline(stages=stages).fit(data)
 
 
-def score(model: PipelineModel, df: DataFrame, features: list[str] | None = None) -> DataFrame:
+def score(model: PipelineModel, df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
     """Predicted class and probability of the positive class."""
     features = features or FEATURES
     prepared = df.withColumns({f: dbl(f) for f in features})
@@ -135,7 +149,7 @@ def score(model: PipelineModel, df: DataFrame, features: list[str] | None = None
     )
 
 
-def feature_importance(model: PipelineModel, like: DataFrame, features: list[str] | None = None) -> DataFrame:
+def feature_importance(model: PipelineModel, like: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
     """Importance per feature of a tree model, greatest first."""
     values = model.stages[-1].featureImportances.toArray()
     rows = [(f, round(float(v), 4)) for f, v in zip(features or FEATURES, values, strict=True)]

@@ -155,10 +155,23 @@ def demand_features(series: DataFrame) -> DataFrame:
     )
 
 
+# fixed values: columns of the demand models
 DEMAND_FEATURES = (
-    "time_index dow is_weekend month week_of_year lag_1 lag_7 lag_14 lag_28 rolling_mean_7 rolling_mean_14 "
-    "rolling_mean_28 rolling_std_7 rolling_std_28"
-).split()
+    "time_index",
+    "dow",
+    "is_weekend",
+    "month",
+    "week_of_year",
+    "lag_1",
+    "lag_7",
+    "lag_14",
+    "lag_28",
+    "rolling_mean_7",
+    "rolling_mean_14",
+    "rolling_mean_28",
+    "rolling_std_7",
+    "rolling_std_28",
+)
 
 
 def demand_split(features: DataFrame, n_test: int = 73, min_train: int = 20) -> DataFrame:

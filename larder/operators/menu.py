@@ -97,11 +97,29 @@ BASIC_CASES = {
 }
 # fixed values: columns of the ten-case table
 CASE_COLUMNS = (
-    "menu_item_id item_name quantity_sold revenue contribution_margin profit_pct avg_rating wastage_pct "
-    "total_wastage_cost promotion_dependency max_location_quantity min_location_quantity location_count "
-    "weekday_quantity weekend_quantity max_month_quantity min_month_quantity active_months first_order_date "
-    "last_order_date history_days case_type"
-).split()
+    "menu_item_id",
+    "item_name",
+    "quantity_sold",
+    "revenue",
+    "contribution_margin",
+    "profit_pct",
+    "avg_rating",
+    "wastage_pct",
+    "total_wastage_cost",
+    "promotion_dependency",
+    "max_location_quantity",
+    "min_location_quantity",
+    "location_count",
+    "weekday_quantity",
+    "weekend_quantity",
+    "max_month_quantity",
+    "min_month_quantity",
+    "active_months",
+    "first_order_date",
+    "last_order_date",
+    "history_days",
+    "case_type",
+)
 
 
 def tricky_cases_basic(items: DataFrame) -> DataFrame:
@@ -147,10 +165,30 @@ def menu_profitability(items: DataFrame, orders: DataFrame, lines: DataFrame, sp
         F.col("h1_quantity") == 0, F.when(F.col("h2_quantity") > 0, 100.0).otherwise(0.0)
     ).otherwise((F.col("h2_quantity") - F.col("h1_quantity")) / F.col("h1_quantity") * 100)
     kept = (
-        "menu_item_id item_name category_id category_name quantity_sold revenue cost contribution_margin profit_pct "
-        "avg_rating repeat_purchase_rate wastage_pct promotion_dependency sales_trend_pct h1_quantity h2_quantity "
-        "order_frequency distinct_customers rating_count total_wastage_cost discount_total min_price max_price"
-    ).split()
+        "menu_item_id",
+        "item_name",
+        "category_id",
+        "category_name",
+        "quantity_sold",
+        "revenue",
+        "cost",
+        "contribution_margin",
+        "profit_pct",
+        "avg_rating",
+        "repeat_purchase_rate",
+        "wastage_pct",
+        "promotion_dependency",
+        "sales_trend_pct",
+        "h1_quantity",
+        "h2_quantity",
+        "order_frequency",
+        "distinct_customers",
+        "rating_count",
+        "total_wastage_cost",
+        "discount_total",
+        "min_price",
+        "max_price",
+    )
     return items.join(halves.withColumn("sales_trend_pct", trend), "menu_item_id", "left").select(*kept)
 
 
@@ -182,9 +220,23 @@ def menu_performance(profit: DataFrame) -> DataFrame:
         {"_hs": F.col("sales_index") >= F.col("s_mid"), "_hp": F.col("profitability_index") >= F.col("p_mid")}
     )
     kept = (
-        "menu_item_id item_name category_id category_name quantity_sold revenue cost contribution_margin profit_pct "
-        "avg_rating repeat_purchase_rate wastage_pct promotion_dependency sales_trend_pct sales_index profitability_index"
-    ).split()
+        "menu_item_id",
+        "item_name",
+        "category_id",
+        "category_name",
+        "quantity_sold",
+        "revenue",
+        "cost",
+        "contribution_margin",
+        "profit_pct",
+        "avg_rating",
+        "repeat_purchase_rate",
+        "wastage_pct",
+        "promotion_dependency",
+        "sales_trend_pct",
+        "sales_index",
+        "profitability_index",
+    )
     return judged.select(
         *kept,
         F.when(F.col("_hs"), "High").otherwise("Low").alias("sales_level"),

@@ -16,10 +16,25 @@ from larder.functions.relational import with_scalars
 
 # fixed values
 NUMERIC = (
-    "cost order_frequency distinct_customers line_count avg_rating rating_count total_consumption total_wasted "
-    "total_wastage_cost discount_total max_price min_price qty_promoted repeat_customers early_rating recent_rating "
-    "wastage_pct promotion_dependency"
-).split()
+    "cost",
+    "order_frequency",
+    "distinct_customers",
+    "line_count",
+    "avg_rating",
+    "rating_count",
+    "total_consumption",
+    "total_wasted",
+    "total_wastage_cost",
+    "discount_total",
+    "max_price",
+    "min_price",
+    "qty_promoted",
+    "repeat_customers",
+    "early_rating",
+    "recent_rating",
+    "wastage_pct",
+    "promotion_dependency",
+)
 CATEGORICAL = "category_name"
 TARGET = "menu_class"
 

@@ -157,10 +157,21 @@ def promo_traps(effectiveness: DataFrame, min_traps: int = 2) -> DataFrame:
     )
 
 
+# fixed values: columns of the trap list
 TRAP_LIST_COLUMNS = (
-    "promotion_id promotion_name delta_revenue delta_profit revenue_pct profit_pct new_customers repeat_customers "
-    "wastage_cost wastage_pct_change promo_only_rate trap_count"
-).split()
+    "promotion_id",
+    "promotion_name",
+    "delta_revenue",
+    "delta_profit",
+    "revenue_pct",
+    "profit_pct",
+    "new_customers",
+    "repeat_customers",
+    "wastage_cost",
+    "wastage_pct_change",
+    "promo_only_rate",
+    "trap_count",
+)
 
 
 def trap_list(traps: DataFrame) -> DataFrame:

@@ -28,11 +28,26 @@ REQUIRED = {
 }
 STRICT_REQUIRED = {
     "Orders": (
-        "order_id customer_id restaurant_id order_timestamp order_channel order_status subtotal discount_total total_amount"
-    ).split(),
+        "order_id",
+        "customer_id",
+        "restaurant_id",
+        "order_timestamp",
+        "order_channel",
+        "order_status",
+        "subtotal",
+        "discount_total",
+        "total_amount",
+    ),
     "Order_Items": (
-        "order_item_id order_id menu_item_id quantity unit_price unit_cost discount_amount line_total"
-    ).split(),
+        "order_item_id",
+        "order_id",
+        "menu_item_id",
+        "quantity",
+        "unit_price",
+        "unit_cost",
+        "discount_amount",
+        "line_total",
+    ),
 }
 DATED = {"Orders": "order_timestamp", "Ratings": "rating_timestamp", "Wastage": "wastage_date"}
 

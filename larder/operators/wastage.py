@@ -184,9 +184,16 @@ def popularity_rank(df: DataFrame, unknown: float = 9999.0) -> DataFrame:
     return df.join(ranks, "menu_item_id", "left").fillna(unknown, ["popularity_rank_train"])
 
 
+# fixed values: columns of the risk models
 RISK_FEATURES = (
-    "lag_demand_7d lag_demand_30d hist_wastage_before dow_num month_num is_promo popularity_rank_train"
-).split()
+    "lag_demand_7d",
+    "lag_demand_30d",
+    "hist_wastage_before",
+    "dow_num",
+    "month_num",
+    "is_promo",
+    "popularity_rank_train",
+)
 # fixed values
 RISK_MODELS: dict[str, dict[str, float]] = {
     "logistic": {"maxIter": 1000},

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,9 +58,17 @@ def query(name: str) -> Callable[[Callable[[Retail], DataFrame]], Callable[[Reta
 
 # ---- quality ---------------------------------------------------------------
 STRICT_RULES = (
-    "missing_values duplicate_orders duplicate_order_lines invalid_menu_prices invalid_dates invalid_ratings "
-    "impossible_wastage incorrect_discounts inconsistent_units invalid_location_references"
-).split()
+    "missing_values",
+    "duplicate_orders",
+    "duplicate_order_lines",
+    "invalid_menu_prices",
+    "invalid_dates",
+    "invalid_ratings",
+    "impossible_wastage",
+    "incorrect_discounts",
+    "inconsistent_units",
+    "invalid_location_references",
+)
 
 for _name, _rule in quality.RULES.items():
     query(f"dq_{_name}")(lambda d, rule=_rule: rule(d))
@@ -257,8 +265,6 @@ query("dashboard_top_wastage")(lambda d: wastage.top_wastage(wastage.wastage_by(
 query("wastage_risk_features")(_risk)
 query("wastage_label_split")(_risk_split)
 query("wastage_popularity_rank")(lambda d: wastage.popularity_rank(settle(_risk_split(d), "risk_split")))
-# fewer trees than the library default, to keep the checks short
-RISK_PARAMS = {"logistic": {"maxIter": 100}, "random_forest": {"numTrees": 20, "maxDepth": 10}}
 
 
 def _risk_data(d: Retail) -> DataFrame:
@@ -268,13 +274,13 @@ def _risk_data(d: Retail) -> DataFrame:
 @query("wastage_risk_metrics")
 def _(d: Retail) -> DataFrame:
     data = _risk_data(d)
-    return wastage.risk_metrics(wastage.fit_risk_models(data, RISK_PARAMS), data)
+    return wastage.risk_metrics(wastage.fit_risk_models(data), data)
 
 
 @query("wastage_risk_scores")
 def _(d: Retail) -> DataFrame:
     data = _risk_data(d)
-    forest = {"random_forest": RISK_PARAMS["random_forest"]}
+    forest = {"random_forest": wastage.RISK_MODELS["random_forest"]}
     return wastage.risk_scores(wastage.fit_risk_models(data, forest)["random_forest"], data)
 
 
@@ -354,6 +360,15 @@ def _by_item(d: Retail) -> DataFrame:
     return ratings.ratings_by_item(d.ratings, d.lines, d.menu, HIGH, LOW)
 
 
+def _with_second_clicks(d: Retail) -> DataFrame:
+    """Orders, and every tenth one again five minutes later under an id of its own."""
+    orders = d.orders.select("order_id", "customer_id", "restaurant_id", "order_timestamp", "total_amount")
+    again = orders.where(F.col("order_id") % 10 == 0).withColumns(
+        {"order_id": -F.col("order_id") - 1, "order_timestamp": F.col("order_timestamp") + F.expr("INTERVAL 5 MINUTES")}
+    )
+    return orders.unionByName(again)
+
+
 query("ratings_by_item")(_by_item)
 query("rating_inconsistencies")(lambda d: ratings.rating_inconsistencies(_by_item(d)))
 query("ratings_by_location")(lambda d: ratings.ratings_by_location(d.ratings, d.orders))
@@ -363,6 +378,8 @@ query("rating_anomalies")(lambda d: ratings.rating_anomalies(d.ratings))
 query("rating_burst")(lambda d: ratings.rating_burst(d.ratings, n=3))
 query("sales_spike_drop")(lambda d: anomalies.sales_spike_drop(_daily(d)))
 query("value_outliers")(lambda d: anomalies.value_outliers(d.events, "value", kind="event_value"))
+query("order_value_outliers")(lambda d: anomalies.value_outliers(d.orders, "total_amount", k=0.4))  # totals of the driver data are spread evenly
+query("order_duplicate_transactions")(lambda d: anomalies.duplicate_transactions(_with_second_clicks(d)))
 query("discount_outliers")(lambda d: anomalies.discount_outliers(d.orders))
 query("duplicate_transactions")(
     lambda d: anomalies.duplicate_transactions(d.events, ["user_id", "event_type"], "ts", "event_id")
@@ -416,14 +433,10 @@ def _comparison(d: Retail) -> DataFrame:
     return compare.compare_predictions(*_rule_predictions(d))
 
 
-# fewer trees than the library defaults, to keep the checks short
-CHURN_PARAMS = {"logistic": {}, "random_forest": {"numTrees": 50}, "gradient_boosting": {"maxIter": 20}}
-
-
 def _churn_scores(d: Retail, algo: str) -> DataFrame:
     """Model of the training cohort applied to the test cohort."""
     data = _all_cohorts(d)
-    model = churn.train_classifier(data.where("cohort = 'train'"), algo, **CHURN_PARAMS[algo])
+    model = churn.train_classifier(data.where("cohort = 'train'"), algo)
     return churn.score(model, data.where("cohort = 'test'"))
 
 
@@ -450,7 +463,7 @@ query("churn_sample_predictions")(lambda d: churn.sample_predictions(_churn_scor
 @query("churn_feature_importance")
 def _(d: Retail) -> DataFrame:
     train = _all_cohorts(d).where("cohort = 'train'")
-    return churn.feature_importance(churn.train_classifier(train, "random_forest", **CHURN_PARAMS["random_forest"]), train)
+    return churn.feature_importance(churn.train_classifier(train, "random_forest"), train)
 
 
 query("compare_predictions")(_comparison)
@@ -508,7 +521,7 @@ query("forecast_item_calendar")(lambda d: forecast.item_calendar(d.orders, d.lin
 query("forecast_item_features")(lambda d: _rounded(_item_features(d)))
 query("forecast_item_random_forest")(
     lambda d: forecast.forecast_evaluation(
-        settle(forecast.item_forecast(settle(_item_features(d), "item_features"), numTrees=10), "item_forecast"),
+        settle(forecast.item_forecast(settle(_item_features(d), "item_features")), "item_forecast"),
         "menu_item_id",
         "random_forest",
     )
@@ -528,7 +541,7 @@ for _level in forecast.LEVELS:
         lambda d, level=_level: forecast.forecast_summary(forecast.forecast_metrics(_demand(d, level)), level)
     )
 query("forecast_gradient_boosting")(
-    lambda d: forecast.forecast_metrics(settle(_demand(d, "category", (*SQL_MODELS, "gbt"), maxIter=20), "demand_forecast"))
+    lambda d: forecast.forecast_metrics(settle(_demand(d, "category", (*SQL_MODELS, "gbt")), "demand_forecast"))
 )
 
 
@@ -693,6 +706,17 @@ def _(d: Retail) -> DataFrame:
 
 
 query("sink_sample_export")(lambda d: writers.export_sample(d.orders, "order_id"))
+query("source_profile_all")(lambda d: readers.profile_tables(d))
+query("sink_sample_export_all")(lambda d: writers.export_samples(d, stage_path(d.spark, "samples")))
+
+
+@query("sink_quarantine")
+def _(d: Retail) -> DataFrame:
+    """Every quarantine of the cleaning run, written and counted by its reason."""
+    folder = stage_path(d.spark, "rejected")
+    paths = [writers.write_quarantine(df, folder, name) for name, df in _cleaned(d)[1].items()]
+    parts = [d.spark.read.parquet(p).groupBy("reason").agg(F.count("*").alias("n")) for p in paths]
+    return reduce(DataFrame.unionByName, parts).groupBy("reason").agg(F.sum("n").alias("rows"))
 
 
 @query("sink_publish")
@@ -740,7 +764,7 @@ query("validation_domains")(
 )
 query("validation_targets")(lambda d: validation.check_rating_targets(d.ratings, d.promotions))
 query("validation_parity")(
-    lambda d: validation.check_parity({t: (_csv(d, t), d[t]) for t in ("Orders", "Ratings")})
+    lambda d: validation.check_parity({t: (_csv(d, t), d[t]) for t in schemas.TABLES})
 )
 query("validation_registration")(lambda d: validation.orders_before_registration(d.orders, d.customers))
 query("validation_demand_patterns")(lambda d: validation.check_demand_patterns(d.orders))

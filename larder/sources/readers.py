@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from larder.functions.scalar import to_id
+from larder.sources import schemas
 from larder.sources.schemas import schema
 
 
@@ -102,6 +103,11 @@ def ingestion_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The profile of every table."""
+    return reduce(DataFrame.unionByName, [profile(tables[t]).withColumn("table", F.lit(t)) for t in schemas.TABLES])
+
+
 def profile(df: DataFrame) -> DataFrame:
     """Type, row count and NULL count per column, in one pass."""
     counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

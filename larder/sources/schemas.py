@@ -49,6 +49,7 @@ TABLES: dict[str, str] = {
     ),
 }
 
+# fixed values: keys of the tables
 PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
     "Customers": ("customer_id",),
     "Restaurants": ("restaurant_id",),
@@ -65,6 +66,7 @@ PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 # (child table, child column, parent table, parent column, tolerated orphan share)
+# fixed values: references between the tables
 FOREIGN_KEYS: list[tuple[str, str, str, str, float]] = [
     ("Menu_Items", "category_id", "Menu_Categories", "category_id", 0.0),
     ("Pricing_History", "menu_item_id", "Menu_Items", "menu_item_id", 0.0),
@@ -80,6 +82,7 @@ FOREIGN_KEYS: list[tuple[str, str, str, str, float]] = [
     ("Wastage", "restaurant_id", "Restaurants", "restaurant_id", 0.01),
 ]
 
+# fixed values: columns that must be known
 CRITICAL_COLUMNS: dict[str, tuple[str, ...]] = {
     "Customers": ("customer_id",),
     "Orders": ("order_id", "customer_id"),
@@ -91,6 +94,7 @@ CRITICAL_COLUMNS: dict[str, tuple[str, ...]] = {
     "Wastage": ("wastage_id",),
 }
 
+# fixed values: least rows of a table
 MIN_ROWS: dict[str, int] = {
     "Customers": 50_000,
     "Orders": 100_000,
@@ -102,6 +106,7 @@ MIN_ROWS: dict[str, int] = {
     "Wastage": 50_000,
 }
 
+# fixed values: units of measure
 VALID_UNITS = ("portion", "plate", "bowl", "glass", "piece")
 
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from larder.sources import schemas
+
 
 def write_table(df: DataFrame, directory: str, name: str) -> str:
     path = f"{directory}/{name}"
@@ -58,6 +61,16 @@ def export_sample(df: DataFrame, key: str, rows: int = 500) -> DataFrame:
     return df.orderBy(key).limit(rows)
 
 
+def export_samples(tables: Mapping[str, DataFrame], directory: str, rows: int = 500) -> DataFrame:
+    """A CSV file with the first rows of every table by its key; the rows written per table."""
+    parts = []
+    for name in schemas.TABLES:
+        sample = tables[name].orderBy(*schemas.PRIMARY_KEYS[name], *tables[name].columns).limit(rows)
+        back = sample.sparkSession.read.option("header", True).csv(write_csv(sample, f"{directory}/{name}.csv", single_file=True))
+        parts.append(back.agg(F.lit(name).alias("table"), F.count("*").alias("rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def publishable(df: DataFrame, target: StructType, max_len: Mapping[str, int] | None = None) -> DataFrame:
     """Columns of the target table: missing ones as NULL, unreadable values as NULL, long text cut."""
     limits = max_len or {}

@@ -98,3 +98,16 @@ _log = [
 ]
 SQL["clean_log"] = with_views(f", {CHAIN} " + " UNION ALL ".join(
     f"SELECT {i} AS position, '{s}' AS step, '{t}' AS \"table\", {_n(rel)} AS clean_rows, {q} AS quarantined" for i, (s, t, rel, q) in enumerate(_log)))
+
+# fixed values: reason of each step's quarantine
+_REASONS = {
+    ("missing_values", "Orders"): "missing amount or time", ("duplicate_orders", "Orders"): "duplicate order_id", ("duplicate_lines", "Order_Items"): "duplicate order_item_id",
+    ("invalid_menu_prices", "Menu_Items"): "invalid menu price", ("negative_quantities", "Order_Items"): "negative quantity", ("negative_consumption", "Inventory"): "negative consumption",
+    ("invalid_dates", "Orders"): "invalid order_timestamp", ("invalid_dates", "Ratings"): "invalid rating_timestamp", ("invalid_dates", "Wastage"): "invalid wastage_date",
+    ("invalid_ratings", "Ratings"): "invalid rating", ("missing_ids", "Orders"): "missing customer_id", ("missing_ids", "Order_Items"): "missing menu_item_id",
+    ("invalid_restaurants", "Orders"): "unknown restaurant", ("impossible_wastage", "Wastage"): "wastage above stock", ("incorrect_discounts", "Order_Items"): "discount above line amount",
+    ("inconsistent_units", "Inventory"): "unit differs from menu", ("inconsistent_units", "Wastage"): "unit differs from menu", ("orphan_lines", "Order_Items"): "order not in clean orders",
+    ("invalid_unit_prices", "Order_Items"): "invalid unit price",
+}
+SQL["sink_quarantine"] = with_views(f", {CHAIN} SELECT reason, CAST(sum(n) AS BIGINT) AS rows FROM (" + " UNION ALL ".join(
+    f"SELECT '{_REASONS[s, t]}' AS reason, {q} AS n" for s, t, _, q in _log if (s, t) in _REASONS) + ") GROUP BY reason HAVING sum(n) > 0")

@@ -32,6 +32,8 @@ DECIMALS = {f"clean_{s}{q}": c.split() for s, c in _STEPS.items() for q in ("",
     "menu_item_sales_summary": ["base_price"],
     "menu_slow_moving": ["base_price"],
     "menu_no_recent_sales": ["base_price"],
+    "order_value_outliers": _O.split(),
+    "order_duplicate_transactions": ["total_amount"],
     "discount_outliers": ["subtotal", "discount_total"],
     "unexpected_demand": ["total_amount"],
     "source_csv_orders": _O.split(),

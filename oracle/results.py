@@ -1,5 +1,8 @@
+import re
+
 from larder.operators.models import NUMERIC
 from larder.operators.recommend import STANDARD_SCENARIOS
+from larder.sources.schemas import TABLES
 from oracle.customers import CHANNELS
 from oracle.features import CUSTOMER, ITEM
 from oracle.menu import CASES, CLASSES, KNOWN, PERF, PROFIT, SIMPLE_SLOW
@@ -67,5 +70,7 @@ SQL = {
     "sink_csv_extract": with_views(f", {CUSTOMER}, {CHANNELS} SELECT preferred_channel, customers, orders FROM channels"),
     "sink_sample_export": with_views(f"SELECT {_order_cols} FROM d_orders ORDER BY order_id LIMIT 500"),
     "sink_publish": with_views(f", {RECS} SELECT finding, action, priority, menu_item_id, NULL::DOUBLE AS score FROM recs"),
-    "validation_parity": with_views("SELECT 'Orders' AS \"table\", count(*) AS csv_rows, count(*) AS parquet_rows, true AS ok FROM d_orders UNION ALL SELECT 'Ratings', count(*), count(*), true FROM d_ratings"),
+    "source_profile_all": with_views(" UNION ALL ".join(f"SELECT *, '{t}' AS \"table\" FROM ({_profile(v, re.findall(r'(\w+) (\w+(?:[(][0-9,]+[)])?)(?: not null)?(?:, |$)', TABLES[t]))})" for t, v in TABLE_VIEWS.items())),
+    "sink_sample_export_all": with_views(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", least(count(*), 500) AS rows FROM {v}" for t, v in TABLE_VIEWS.items())),
+    "validation_parity": with_views(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS csv_rows, count(*) AS parquet_rows, true AS ok FROM {v}" for t, v in TABLE_VIEWS.items())),
 }

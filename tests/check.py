@@ -15,7 +15,16 @@ import duckdb
 
 import __spark_entry__ as entry
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = (
+    "region",
+    "nation",
+    "customer",
+    "supplier",
+    "part",
+    "orders",
+    "lineitem",
+    "events",
+)
 
 
 def connect(sf: str):

@@ -11,10 +11,25 @@ from tests.check import compare, connect
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = (
-    "dq_run clean_duplicate_lines_quarantine feat_item feat_customer menu_classification menu_performance rfm_scores "
-    "basket_rules peaks_summary wastage_label_split price_elasticity promo_effectiveness rating_anomalies "
-    "duplicate_transactions weekday_spike forecast_demand_category compare_model_metrics what_if"
-).split()
+    "dq_run",
+    "clean_duplicate_lines_quarantine",
+    "feat_item",
+    "feat_customer",
+    "menu_classification",
+    "menu_performance",
+    "rfm_scores",
+    "basket_rules",
+    "peaks_summary",
+    "wastage_label_split",
+    "price_elasticity",
+    "promo_effectiveness",
+    "rating_anomalies",
+    "duplicate_transactions",
+    "weekday_spike",
+    "forecast_demand_category",
+    "compare_model_metrics",
+    "what_if",
+)
 
 
 def test_every_sql_has_a_query():
