@@ -19,7 +19,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField
 
 from larder.llm.common import with_derived
 
-CACHED_PIECES = 400_000
+CACHED_PIECES = 250_000
 CACHED_PIECE_CHARS = 64
 
 
@@ -191,9 +191,26 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return with_derived(df, ids, [StructField("decoded", BinaryType())], make)
 
 
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """Add `ids`, `n_tokens` and `decoded` in one pass over the texts: those of `encode`, and what `decode` makes of the ids."""
+    fields = [StructField("ids", BinaryType()), StructField("n_tokens", LongType()), StructField("decoded", BinaryType())]
+
+    def make():
+        import regex
+
+        find, pieces, codec = regex.compile(pattern).findall, pieces_of(path), load(path)
+
+        def derive(texts: list) -> tuple[list, list, list]:
+            packed = [b"".join(map(pieces.__getitem__, find(t))) if t else b"" for t in texts]
+            return packed, [len(p) // 4 for p in packed], [codec.decode(p) for p in packed]
+
+        return derive
+
+    return with_derived(df, text, fields, make)
+
+
 def digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: `n_tokens`, and SHA-256 of its ids and of the bytes decoded from them."""
-    coded = decode(encode(docs.select(key, text), path, pattern, text).drop(text), path)
-    return coded.select(
+    return round_trip(docs.select(key, text), path, pattern, text).select(
         key, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

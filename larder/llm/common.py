@@ -63,5 +63,6 @@ def with_derived(
                 new = derive(part.column(at).to_pylist())
                 arrays = [pa.array(values, kind) for values, kind in zip(new, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=names)
+        pa.default_memory_pool().release_unused()  # the worker lives on for later tasks
 
     return kept.mapInArrow(run, schema)

@@ -26,7 +26,7 @@ SCRIPT_SHARE = 0.001
 SAMPLE_PER_LANGUAGE = 2000
 MAX_LANGUAGES = 256
 LETTERS_A_PIECE = 1 << 20
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 6 << 20
 TABLE_SIZE = 0x40000
 
 # fixed values: first and last code point of the scripts' blocks

@@ -65,6 +65,9 @@ def test_bpe_query_rows(spark, reference):
         want.append((doc_id, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
     assert bpe.digests(documents(spark, []), PATH, P.PATTERN).collect() == []
+    apart = bpe.decode(bpe.encode(documents(spark, rows), PATH, P.PATTERN), PATH)
+    together = bpe.round_trip(documents(spark, rows), PATH, P.PATTERN)
+    assert sorted(map(str, apart.select(together.columns).collect())) == sorted(map(str, together.collect()))
 
 
 def test_bpe_forgets_rare_pieces(monkeypatch, reference):
