@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.sources.staging import settle
+
 BUDGET = 1024
 HISTORY = 256
 MIN_SPAN = 128
@@ -109,7 +111,7 @@ def windows(
     alone = crosses & (F.col("until") - cell_start > F.col("span"))
     rows = rows.withColumn("alone", alone)
     start = F.when(F.col("alone"), F.col("since")).otherwise(F.min(F.when(~F.col("alone"), F.col("since"))).over(Window.partitionBy("conv_id", "cell")))
-    rows = rows.withColumn("at", F.struct(start.alias("start"), F.col("alone").alias("alone")))
+    rows = settle(rows.withColumn("at", F.struct(start.alias("start"), F.col("alone").alias("alone"))), "chat_turns")
     member = F.struct("index", "role", "text", "tokens")
     mine = rows.select("conv_id", "at", F.lit(False).alias("repeated"), member.alias("m"))
     spans = rows.groupBy("conv_id", "at").agg(F.any_value("system").alias("system"), F.bool_or("is_head").alias("has_head"))
