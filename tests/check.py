@@ -14,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import duckdb
 
 import __spark_entry__ as entry
+from larder.sources.staging import release
 
 TABLES = (
     "region",
@@ -56,6 +57,7 @@ def compare(spark, con, name, sf):
     df = entry.queries()[name](spark, sf)
     cols = sorted(df.columns)
     got = sorted(tuple(norm(x) for x in row) for row in df.select(*cols).collect())
+    release(spark)
     t1 = time.time() - t0
     sql = entry.oracle_sql().get(name)
     if sql is None:

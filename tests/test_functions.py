@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import relational as rel
 from larder.functions import scalar, series
+from larder.sources import staging
 
 
 def rows(df):
@@ -46,7 +47,7 @@ def test_exact_quantiles_small(spark, size):
 
 
 def test_exact_quantiles_bracketed(spark):
-    """More rows than the whole-sort limit, a third of them equal, NULLs ignored."""
+    """Many rows, a third of them equal, NULLs ignored."""
     n = 90_000
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, 7.0).when(F.col("id") % 100 == 1, None).otherwise(F.pmod(F.hash("id"), F.lit(100_003)) / 7).alias("x")
@@ -164,3 +165,51 @@ def test_scalar_helpers(spark):
         scalar.tier(F.lit(0.5), [(1.5, "high"), (0.5, "medium")], "low").alias("g"),
     ).first()
     assert tuple(one) == (None, 0.0, 1.0, 17, None, 1, "medium")
+
+
+def test_ids_are_exact(spark):
+    texts = ["17", "17.0", "17.9", "x", "", "9007199254740993", "9223372036854775807", "9223372036854775808", "-3", "1e3", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string").select("i", scalar.to_id("t").alias("id"))
+    got = [r.id for r in rows.orderBy("i").collect()]
+    assert got == [17, 17, None, None, None, 9007199254740993, 9223372036854775807, None, -3, 1000, None]
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "heavy"])
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 7, 1000, 60_000])
+def test_exact_quantiles_at_every_size(spark, kind, n):
+    rng = np.random.default_rng(n)
+    x = {"spread": rng.normal(size=n), "ties": rng.integers(0, 5, n).astype(float), "heavy": rng.pareto(0.5, n)}[kind]
+    p = {"a": 0.25, "b": 0.5, "c": 0.75, "d": 0.999, "e": 0.0, "f": 1.0}
+    frame = spark.createDataFrame(pd.DataFrame({"x": x}))
+    got = rel.exact_quantiles(frame, {k: ("x", v) for k, v in p.items()}).first()
+    assert np.allclose([got[k] for k in p], np.quantile(x, list(p.values())), rtol=1e-12)
+
+
+def test_spread_left_join(spark):
+    left = spark.createDataFrame([(1, 10), (2, None), (3, None), (4, 11), (5, 12)], "id long, k long")
+    right = spark.createDataFrame([(10, "a"), (11, "b"), (None, "never")], "k long, v string")
+    got = rel.spread_left_join(left, right, "k", "id")
+    assert sorted((r.id, r.v) for r in got.collect()) == [(1, "a"), (2, None), (3, None), (4, "b"), (5, None)]
+
+
+def test_stage_tables_go_away(spark, tmp_path, monkeypatch):
+    kept = staging.settle(spark.range(3).toDF("n"), "numbers", str(tmp_path))
+    assert kept.count() == 3 and list(tmp_path.rglob("*.parquet"))
+    staging.release(spark)
+    assert not list(tmp_path.rglob("*.parquet"))
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(monkeypatch):
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+    class Conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_dir(Session)
+    Context.master, Context.applicationId = "local[4]", "app-local"
+    assert staging.shared_dir(Session) == staging.shared_dir(Session)

@@ -262,3 +262,43 @@ def test_readers_and_writers(spark, tmp_path):
     assert writers.readback_check(df, path).first().ok
     with pytest.raises(KeyError):
         writers.Reports({}).extract("nope", str(tmp_path / "x"))
+
+
+def test_deduplicate_keeps_rows_without_a_key(spark):
+    rows = [(None, 1, "a"), (None, 1, "a"), (None, 2, None), (5, 1, "b"), (5, 1, "b"), (5, None, "c"), (6, None, None)]
+    frame = spark.createDataFrame(rows, "id long, n long, s string")
+    clean, rejected, _ = cleaning.deduplicate(frame, "id")
+    kept, dropped = [tuple(r) for r in clean.collect()], [tuple(r) for r in rejected.drop("reason").collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(None, 2, None), (5, 1, "b"), (6, None, None)]))
+    assert Counter(kept + dropped) == Counter(rows)
+
+
+def test_baskets_ignore_lines_without_an_order(spark):
+    lines = table(spark, "Order_Items", [line(1, 1, 1), line(2, 1, 2), line(3, None, 1), line(4, None, 3), line(5, 2**53 + 1, 1), line(6, 2**53, 2)])
+    singles = {r.menu_item_id: (r.baskets, r.n_baskets) for r in basket.basket_singles(lines).collect()}
+    assert singles == {1: (2, 3), 2: (2, 3)}
+    assert [tuple(r) for r in basket.basket_pairs(lines, 0.1).collect()] == [(1, 2, 1)]
+
+
+def test_no_recent_sales_ends_at_the_cutoff(spark):
+    orders = table(spark, "Orders", [order(1, ts="2024-01-01 10:00"), order(2, ts="2024-06-01 10:00"), order(3, ts="2024-12-30 10:00")])
+    lines = table(spark, "Order_Items", [line(1, 1, 1), line(2, 2, 1), line(3, 3, 1), line(4, 2, 2)])
+    menu_items = spark.createDataFrame([(1, 1, "a", None, D(1), D(1), True, "kg", None), (2, 1, "b", None, D(1), D(1), True, "kg", None)], TABLES["Menu_Items"])
+    none = spark.createDataFrame([], TABLES["Wastage"])
+    summary = menu.item_sales_summary(lines, orders, none, menu_items, "2024-06-10")
+    assert {r.menu_item_id: (r.qty_sold, r.no_recent_sale) for r in summary.collect()} == {1: (2.0, False), 2: (1.0, False)}
+    late = menu.item_sales_summary(lines, orders, none, menu_items, "2024-12-01")
+    assert {r.menu_item_id: r.no_recent_sale for r in late.collect()} == {1: True, 2: True}
+
+
+def test_limits_are_the_callers(spark):
+    rows = spark.range(3000).select(F.lit("High").alias("priority"), F.lit("s").alias("source"), F.col("id").alias("menu_item_id"), *[F.lit("x").alias(c) for c in ("finding", "evidence", "item_name")])
+    assert recommend.search_recommendations(rows, priority="High").count() == 3000
+    assert [r.menu_item_id for r in recommend.search_recommendations(rows, limit=2).collect()] == [0, 1]
+    days = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2, 23)), (3, dt.datetime(2024, 1, 3))], "n long, ts timestamp")
+    assert [r.n for r in recommend.filter_report(days, days=("ts", "2024-01-02", "2024-01-03")).collect()] == [2, 3]
+
+
+def test_scenario_texts_follow_the_parameters():
+    assert recommend.Scenario("s", demand_change=-0.05, price_change=0.1).assumption == "demand down 5%, price up 10%"
+    assert recommend.Scenario("s", removal=True).assumption == "item off the menu"
