@@ -12,6 +12,7 @@ from larder.functions.relational import percent_ranks, top_k, with_thresholds
 from larder.functions.scalar import dbl, is_weekend
 from larder.functions.series import mean_gap_days
 from larder.operators.features import sales
+from larder.sources.staging import settle
 
 # fixed values: the lists shown for items, (metric, ascending)
 EDA_LISTS = {
@@ -214,7 +215,7 @@ def menu_performance(profit: DataFrame) -> DataFrame:
         ),
         "menu_item_id",
     )
-    judged = with_thresholds(indexed, {"s_mid": ("sales_index", 0.5), "p_mid": ("profitability_index", 0.5)})
+    judged = with_thresholds(settle(indexed, "menu_indices"), {"s_mid": ("sales_index", 0.5), "p_mid": ("profitability_index", 0.5)})
     labels = ("Profit Driver", "Volume Driver", "Hidden Opportunity", "Low Performer")
     judged = judged.withColumns(
         {"_hs": F.col("sales_index") >= F.col("s_mid"), "_hp": F.col("profitability_index") >= F.col("p_mid")}
@@ -287,9 +288,9 @@ def seasonal_cases(s: DataFrame, ratio: float = 2.0, min_months: int = 6) -> Dat
     ).where((F.col("active_months") >= min_months) & (F.col("max_month_quantity") > F.col("min_month_quantity") * ratio))
 
 
-def new_item_cases(s: DataFrame, orders: DataFrame, new_days: int = 90) -> DataFrame:
+def new_item_cases(s: DataFrame, orders: DataFrame, new_days: int = 90, last: str = "order_timestamp") -> DataFrame:
     history = s.groupBy("menu_item_id").agg(
-        F.min("order_timestamp").alias("first_order_date"), F.max("order_timestamp").alias("last_order_date")
+        F.min("order_timestamp").alias("first_order_date"), F.max(last).alias("last_order_date")
     )
     end = orders.agg(F.max("order_timestamp"))
     return history.withColumn("history_days", F.datediff(end.scalar(), "first_order_date")).where(
@@ -306,8 +307,17 @@ def tricky_cases(
     weekend_ratio: float = 1.5,
     weekend_days: Sequence[int] = (5, 6),
 ) -> DataFrame:
-    """The ten difficult cases in one table; columns a case does not use are NULL."""
-    s = sales(orders, lines).where(F.col("menu_item_id").isNotNull())
+    """The ten difficult cases in one table; columns a case does not use are NULL.
+
+    Lines and orders are joined once, down to items per restaurant and day.
+    """
+    sold = sales(orders, lines).where(F.col("menu_item_id").isNotNull())
+    days = sold.groupBy("menu_item_id", "restaurant_id", "date").agg(
+        F.sum("quantity").alias("quantity"),
+        F.min("order_timestamp").alias("order_timestamp"),
+        F.max("order_timestamp").alias("last_timestamp"),
+    )
+    s = settle(days, "item_days")
     base = ["menu_item_id", "item_name", "quantity_sold", "revenue"]
     with_margin = [*base, "contribution_margin"]
 
@@ -319,7 +329,7 @@ def tricky_cases(
         described(location_cases(s, ratio), with_margin, "Different performance across locations"),
         described(weekend_cases(s, weekend_days, weekend_ratio), base, "Performs well only on weekends"),
         described(seasonal_cases(s, ratio), base, "Seasonal menu item"),
-        described(new_item_cases(s, orders, new_days), with_margin, "New menu item with insufficient history"),
+        described(new_item_cases(s, orders, new_days, "last_timestamp"), with_margin, "New menu item with insufficient history"),
     ]
     return _union(cases).select(*CASE_COLUMNS)
 
@@ -393,7 +403,7 @@ def item_sales_summary(
         .fillna(0.0, ["total_wasted", "wastage_cost"])
     )
     judged = with_thresholds(
-        joined,
+        settle(joined, "item_sales"),
         {
             "q25_qty": ("qty_sold", low_q),
             "q25_orders": ("orders", low_q),

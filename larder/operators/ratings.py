@@ -10,6 +10,7 @@ from larder.functions.relational import existence_flag, with_thresholds
 from larder.functions.scalar import day_name, dbl, mean, rnd
 from larder.functions.series import zscore
 from larder.operators.wastage import promo_days
+from larder.sources.staging import settle
 
 
 def _rating_measures() -> list[Column]:
@@ -40,7 +41,7 @@ def ratings_by_item(ratings: DataFrame, lines: DataFrame, menu: DataFrame, high:
     q, avg = F.col("qty_sold"), F.col("avg_rating")
     mismatch = ((avg >= high) & (q < F.col("_mid"))) | ((avg <= low) & (q > F.col("_mid")))
     return (
-        with_thresholds(joined, {"_mid": ("qty_sold", 0.5)})
+        with_thresholds(settle(joined, "rated_items"), {"_mid": ("qty_sold", 0.5)})
         .withColumn("rating_sales_mismatch", F.coalesce(mismatch, F.lit(False)))
         .drop("_mid")
     )

@@ -12,6 +12,7 @@ from larder.functions.relational import existence_flag, interval_join, with_scal
 from larder.functions.scalar import dbl, is_peak_hour, is_weekend, mean, normalised, ratio
 from larder.operators.features import sales
 from larder.sources.schemas import CRITICAL_COLUMNS, FOREIGN_KEYS, MIN_ROWS, PRIMARY_KEYS
+from larder.sources.staging import settle
 
 Tables = Mapping[str, DataFrame]
 
@@ -250,7 +251,7 @@ def check_business_cases(t: Tables) -> DataFrame:
     rated = t["Ratings"].where(F.col("rating_value").between(1, 5)).groupBy("menu_item_id").agg(mean("rating_value").alias("rating"))
     items = _item_stats(t).join(wasted, "menu_item_id", "left").join(rated, "menu_item_id", "left")
     judged = with_thresholds(
-        items,
+        settle(items, "item_cases"),
         {"q75": ("qty", 0.75), "q25": ("qty", 0.25), "m75": ("margin_pct", 0.75), "m25": ("margin_pct", 0.25), "w75": ("wasted", 0.75)},
     )
     counts = judged.agg(*[F.count_if(F.expr(c)).alias(n) for n, (c, _) in BUSINESS_CASES.items()])
@@ -518,7 +519,7 @@ def difficult_cases(t: Tables, new_days: int = 120) -> DataFrame:
         .withColumns({"margin_pct": ratio("margin", "revenue"), "waste_ratio": ratio("wasted", "qty"), "weekend_share": ratio("weekend_qty", "qty")})
     )
     judged = with_thresholds(
-        joined,
+        settle(joined, "item_difficulties"),
         {
             "q75": ("qty", 0.75),
             "q50": ("qty", 0.5),

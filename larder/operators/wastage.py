@@ -14,6 +14,7 @@ from larder.functions.relational import existence_flag, ordered_index, running_t
 from larder.functions.scalar import day_name, dbl, ratio, rnd, tier
 from larder.functions.series import expanding_sum, rolling_features
 from larder.operators.churn import binary_metrics, score, train_classifier
+from larder.sources.staging import settle
 
 
 def _totals(w: DataFrame, *by: str) -> DataFrame:
@@ -163,10 +164,10 @@ def wastage_label_split(
 
     The label threshold is the q-quantile of the training rows, or of all rows with ``label_on="all"``.
     """
-    ranked = ordered_index(df, ["wastage_date", "menu_item_id", "restaurant_id"])
+    ranked = ordered_index(settle(df, "wastage_features"), ["wastage_date", "menu_item_id", "restaurant_id"])
     n_train, n_val = F.floor(F.col("n") * train), F.floor(F.col("n") * val)
     split = F.when(F.col("rn") <= n_train, "train").when(F.col("rn") <= n_train + n_val, "val").otherwise("test")
-    parts = ranked.withColumn("split", split).drop("rn", "n")
+    parts = settle(ranked.withColumn("split", split).drop("rn", "n"), "wastage_ranked")
     source = parts.where(F.col("split") == "train") if label_on == "train" else parts
     return (
         with_thresholds(parts, {"q_high": ("wastage_qty", q)}, source=source)
