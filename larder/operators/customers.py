@@ -140,6 +140,18 @@ def segment_customers(df: DataFrame, k: int = 6, seed: int = DEFAULTS.seed) -> D
     return model.transform(scaled).drop("features")
 
 
+# fixed values: segment names and their conditions, the first that holds
+SEGMENTS = {
+    "promotion_driven": "promo >= 0.5",
+    "weekend_only": "weekend >= 0.7",
+    "high_value_loyal": "r >= 3 AND f >= 3.5 AND m >= 3.5",
+    "frequent": "f >= 3",
+    "at_risk": "r <= 2.2 AND f >= 1.9 AND m >= 1.8",
+    "new": "r >= 2 AND f <= 2 AND m <= 2",
+    "occasional": "true",
+}
+
+
 def segment_profiles(clustered: DataFrame) -> DataFrame:
     """Mean scores, leading attributes and a rule-based name per cluster; equal names get a suffix."""
     means = clustered.groupBy("cluster").agg(
@@ -162,15 +174,7 @@ def segment_profiles(clustered: DataFrame) -> DataFrame:
     ):
         means = means.join(most_common(clustered, ["cluster"], value, name), "cluster", "left")
     r, f, m = F.col("r"), F.col("f"), F.col("m")
-    name = (
-        F.when(F.col("promo") >= 0.5, "promotion_driven")
-        .when(F.col("weekend") >= 0.7, "weekend_only")
-        .when((r >= 3) & (f >= 3.5) & (m >= 3.5), "high_value_loyal")
-        .when(f >= 3, "frequent")
-        .when((r <= 2.2) & (f >= 1.9) & (m >= 1.8), "at_risk")
-        .when((r >= 2) & (f <= 2) & (m <= 2), "new")
-        .otherwise("occasional")
-    )
+    name = F.coalesce(*[F.when(F.expr(rule), F.lit(segment)) for segment, rule in SEGMENTS.items()])
     named = means.withColumn("_name", name)
     same = Window.partitionBy("_name")
     place = F.row_number().over(same.orderBy(r.desc(), f.desc(), m.desc(), "cluster"))

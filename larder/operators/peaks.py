@@ -22,33 +22,37 @@ def _dimension(name: str) -> Column:
     return derived[name]().alias(name) if name in derived else F.col(name)
 
 
+def _measures() -> list[Column]:
+    amount = F.coalesce(F.col("total_amount").try_cast("decimal(18,2)"), F.lit(0))
+    return [F.count("order_id").alias("orders"), dbl(F.sum(amount)).alias("revenue")]
+
+
 def peaks(orders: DataFrame, by: Sequence[str]) -> DataFrame:
     """Orders and revenue per combination of hour, dow, weekend, month or any order column."""
-    return orders.groupBy(*[_dimension(b) for b in by]).agg(
-        F.count("order_id").alias("orders"),
-        dbl(F.sum(F.coalesce(F.col("total_amount").try_cast("decimal(18,2)"), F.lit(0)))).alias("revenue"),
-    )
+    return orders.groupBy(*[_dimension(b) for b in by]).agg(*_measures())
 
 
 def peaks_summary(orders: DataFrame) -> DataFrame:
-    """Busiest hour, weekday, month and channel by orders, best restaurant by revenue; ties to the smallest."""
-
-    def best(by: str, measure: str, name: str) -> DataFrame:
-        return peaks(orders, [by]).where(F.col(by).isNotNull()).agg(
-            F.min_by(by, F.struct(-F.col(measure), F.col(by))).alias(name)
-        )
-
-    parts = [
-        best("hour", "orders", "peak_hour"),
-        best("dow", "orders", "peak_day"),
-        best("month", "orders", "peak_month"),
-        best("order_channel", "orders", "peak_channel"),
-        best("restaurant_id", "revenue", "peak_location"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.withColumn(p.columns[0], p.scalar())
-    return out
+    """Busiest hour, weekday, month and channel by orders, best restaurant by revenue; ties to the smallest.
+
+    All five groupings come from one pass over the orders.
+    """
+    best = {
+        "hour": ("orders", "peak_hour"),
+        "dow": ("orders", "peak_day"),
+        "month": ("orders", "peak_month"),
+        "order_channel": ("orders", "peak_channel"),
+        "restaurant_id": ("revenue", "peak_location"),
+    }
+    rows = orders.select("order_id", "total_amount", *[_dimension(by) for by in best])
+    sums = rows.groupingSets([[F.col(by)] for by in best], *best).agg(
+        *_measures(), *[F.grouping(by).alias(f"_{by}") for by in best]
+    )
+    picked = []
+    for by, (measure, name) in best.items():
+        own = (F.col(f"_{by}") == 0) & F.col(by).isNotNull()
+        picked.append(F.min_by(by, F.when(own, F.struct(-F.col(measure), F.col(by)))).alias(name))
+    return sums.agg(*picked)
 
 
 def revenue_by_restaurant(order_features: DataFrame) -> DataFrame:

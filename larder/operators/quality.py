@@ -110,14 +110,15 @@ def _row_rules(t: Tables, strict: bool, as_of: str, only: str | None = None) ->
 
 
 def _duplicates(df: DataFrame, key: str, rule: str, part: str, strict: bool) -> DataFrame:
-    rows = F.count("*")
-    surplus = rows - F.countDistinct(key)
+    """Rows beyond the first of their key, or if there are more, of their content (by its digest, so rows aren't shuffled whole)."""
+    entries = [F.struct(F.lit("key").alias("kind"), F.col(key).cast("string").alias("value"))]
     if strict:
-        content = F.struct(*[c for c in df.columns if c != key])
-        surplus = F.greatest(surplus, rows - F.countDistinct(content))
-    return df.agg(surplus.alias("bad"), rows.alias("checked")).select(
-        F.lit(rule).alias("rule"), F.lit(part).alias("part"), "bad", "checked"
-    )
+        content = F.md5(F.to_json(F.struct(*[c for c in df.columns if c != key])))
+        entries.append(F.struct(F.lit("content").alias("kind"), content.alias("value")))
+    groups = df.select(F.explode(F.array(*entries)).alias("e")).groupBy("e.kind", "e.value").agg(F.count("*").alias("n"))
+    by_kind = groups.groupBy("kind").agg(F.sum("n").alias("checked"), (F.sum("n") - F.count("value")).alias("bad"))
+    found = by_kind.agg(F.coalesce(F.max("bad"), F.lit(0)).alias("bad"), F.coalesce(F.max("checked"), F.lit(0)).alias("checked"))
+    return found.select(F.lit(rule).alias("rule"), F.lit(part).alias("part"), "bad", "checked")
 
 
 def duplicate_orders(t: Tables, strict: bool = False) -> DataFrame:

@@ -156,6 +156,7 @@ query("menu_tricky_counts")(lambda d: menu.case_counts(_cases(d)))
 query("menu_item_sales_summary")(_summary)
 query("menu_slow_moving")(lambda d: menu.slow_moving(_summary(d)))
 query("menu_no_recent_sales")(lambda d: menu.no_recent_sales(_summary(d, recent_days=10)))  # the driver data sells weekly
+query("menu_slow_by_count")(lambda d: menu.slow_moving(_summary(d, min_criteria=4)))
 query("menu_simple_slow_movers")(lambda d: menu.simple_slow_movers(_performance(d)))
 
 
@@ -479,6 +480,20 @@ def _(d: Retail) -> DataFrame:
 
 
 
+
+
+@query("compare_churn_models")
+def _(d: Retail) -> DataFrame:
+    """The logistic and the forest scores of the same customers."""
+    data = _all_cohorts(d)
+    fit, test = data.where("cohort = 'train'"), data.where("cohort = 'test'")
+    scores = []
+    for algo in ("logistic", "random_forest"):
+        scored = churn.score(churn.train_classifier(fit, algo), test).withColumn("record_id", F.col("customer_id").cast("string"))
+        scores.append(settle(scored.select("record_id", F.col("churn").alias("actual"), F.col("prediction").cast("int").alias("prediction"), "probability"), f"churn_{algo}"))
+    return compare.comparison_summary(compare.compare_predictions(*scores))
+
+
 query("dashboard_agreement")(lambda d: compare.agreement(_comparison(d)))
 
 
@@ -620,6 +635,16 @@ def _model_metrics(d: Retail) -> DataFrame:
 query("model_training_data")(_training)
 query("model_comparison")(_model_metrics)
 query("model_registry")(_registry)
+
+
+@query("model_registry_fitted")
+def _(d: Retail) -> DataFrame:
+    """The fitted class models with their scores on the test items."""
+    rows = _model_metrics(d).where("split = 'test'").withColumnRenamed("model", "name")
+    named = rows.select("name", F.lit("1").alias("version"), F.lit("menu_class").alias("track"), F.lit(DATA_END).alias("trained_at"), "accuracy", "f1")
+    return recommend.latest_models(recommend.model_registry(None, named))
+
+
 query("model_latest")(lambda d: recommend.latest_models(_registry(d)))
 
 

@@ -36,7 +36,8 @@ def read_table_csv(spark: SparkSession, directory: str, table: str) -> DataFrame
 
 
 def read_table(spark: SparkSession, directory: str, table: str) -> DataFrame:
-    return spark.read.parquet(find_table(spark, directory, table, ("parquet",)))
+    """A Parquet table, its column names trimmed and in lower case."""
+    return normalise_columns(spark.read.parquet(find_table(spark, directory, table, ("parquet",))))
 
 
 def find_table(spark: SparkSession, directory: str, table: str, formats: Sequence[str] = ("parquet", "csv")) -> str:

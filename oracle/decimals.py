@@ -31,6 +31,7 @@ DECIMALS = {f"clean_{s}{q}": c.split() for s, c in _STEPS.items() for q in ("",
     ).split(),
     "menu_item_sales_summary": ["base_price"],
     "menu_slow_moving": ["base_price"],
+    "menu_slow_by_count": ["base_price"],
     "menu_no_recent_sales": ["base_price"],
     "order_value_outliers": _O.split(),
     "order_duplicate_transactions": ["total_amount"],

@@ -109,6 +109,7 @@ SQL = {
     "menu_tricky_counts": with_views(f", {ITEM}, {PROFIT}, {CASES} SELECT case_type, count(*) AS cases FROM all_cases GROUP BY 1"),
     "menu_item_sales_summary": with_views(f", {SLOW} SELECT * FROM item_summary"),
     "menu_slow_moving": with_views(f", {SLOW} SELECT * FROM item_summary WHERE is_slow_moving"),
+    "menu_slow_by_count": with_views(f", {SLOW} SELECT * REPLACE (criteria_met >= 4 AS is_slow_moving) FROM item_summary WHERE criteria_met >= 4"),
     "menu_no_recent_sales": with_views(f", {SLOW.replace('INTERVAL 90 DAY', 'INTERVAL 10 DAY')} SELECT * FROM item_summary WHERE no_recent_sale"),
     "menu_simple_slow_movers": with_views(f", {ITEM}, {PROFIT}, {PERF}, {SIMPLE_SLOW} SELECT * FROM simple_slow"),
 }
