@@ -32,6 +32,7 @@ SEED = 5
 TABLE_SIZE = 0x40000
 FILTER_BITS = 20
 BATCH = 2048
+SLICE_BYTES = 2 << 20
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -296,7 +297,7 @@ def find(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = build(items, similarity)
             for batch in batches:
-                for part in slices(batch, 1):
+                for part in slices(batch, 1, SLICE_BYTES):
                     if found := search(index, part.column(1).to_pylist()):
                         row, which, edits, start, end = zip(*found)
                         arrays = [
@@ -339,5 +340,5 @@ def drop_contaminated(
         return make
 
     for items in _blocks(benchmark, item, item_text, block):
-        docs = with_derived(docs, text, [StructField(kept, BooleanType())], maker(items)).where(kept).drop(kept)
+        docs = with_derived(docs, text, [StructField(kept, BooleanType())], maker(items), SLICE_BYTES).where(kept).drop(kept)
     return docs
