@@ -20,6 +20,7 @@ from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, Stru
 
 from larder.llm.common import with_derived
 
+NAME_CHARS = 200  # an address's name is no longer
 KINDS = ("email", "ip", "card", "phone")
 
 FOUND = ArrayType(
@@ -33,7 +34,7 @@ DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD = re.compile(r"[0-9](?:[\x20-]?+[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# fixed values: look-alikes of ASCII characters; full-width forms and decimal digits follow from Unicode
+# fixed values: look-alikes of ASCII characters; compatibility forms (full-width, mathematical) and digits follow from Unicode
 LOOKALIKES = {
     "a": "аɑα", "b": "Ьƅ", "c": "сϲ", "d": "ԁ", "e": "еҽ", "g": "ɡ", "h": "һ", "i": "іıι", "j": "јϳ", "k": "κ",
     "l": "ⅼӏ", "m": "ⅿ", "n": "ո", "o": "оοօ", "p": "рρ", "q": "ԛ", "r": "г", "s": "ѕ", "u": "υս", "v": "νѵ",
@@ -63,10 +64,12 @@ DOT = "dot|punkt|point|punto"
 @lru_cache(maxsize=1)
 def _lookalikes() -> dict[str, str]:
     table = {c: plain for plain, odd in LOOKALIKES.items() for c in odd}
-    table |= {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
-    for c in range(0x80, 0x20000):
-        if unicodedata.category(chr(c)) == "Nd":
-            table[chr(c)] = str(unicodedata.digit(chr(c)))
+    for c in map(chr, range(0x80, 0x20000)):
+        plain = unicodedata.normalize("NFKC", c)
+        if unicodedata.category(c) == "Nd":
+            table.setdefault(c, str(unicodedata.digit(c)))
+        elif len(plain) == 1 and (plain in LOCAL or plain in "@ ()"):
+            table.setdefault(c, plain)
     return table
 
 
@@ -75,11 +78,14 @@ def _alternatives(words) -> str:
 
 
 WORD_DIGITS = {w: d for d, words in DIGIT_WORDS.items() for w in words}
+DIGIT_NAMES = frozenset(WORD_DIGITS)
+WORDS = re.compile(r"\w+")
 _WORD = rf"(?:{_alternatives(WORD_DIGITS)})(?!\w)"
-_TOKEN = rf"(?:{_WORD}|[0-9]++)"
-SPELLED = re.compile(rf"(?<!\w)(?:\+|plus\x20)?{_TOKEN}(?:[\x20-]{_TOKEN}){{2,}}", re.I)
-SPELLED_WORD = re.compile(rf"(?<!\w)(plus\x20)?({_WORD})|(?<!\w)plus\x20(?=[0-9])", re.I)
-BRACKETED = re.compile(rf"\x20?[\[({{<]\x20?(?:({AT}|@)|({DOT}|\.))\x20?[\])}}>]\x20?", re.I)
+_TOKEN = rf"(?:(?:(?:double|triple)\x20)?{_WORD}|[0-9]++)"
+SPELLED = re.compile(rf"(?<!\w)(?:\+|plus\x20)?{_TOKEN}(?:(?:,?\x20|-){_TOKEN}){{2,}}", re.I)
+SPELLED_WORD = re.compile(rf"(?<!\w)(plus\x20)?(?:(double|triple)\x20)?({_WORD})|(?<!\w)(plus)\x20(?=[0-9])|(,)(?=\x20)", re.I)
+BRACKETED = re.compile(rf"\x20?[\[({{<]\x20?(?:({AT}|@)|(?:{DOT}|\.))\x20?[\])}}>]\x20?", re.I)
+DASHED = re.compile(rf"(?<=[A-Za-z0-9])([-_*|~])(?:({AT})|(?:{DOT}))\1(?=[A-Za-z0-9])", re.I)
 _LABEL = r"[A-Za-z0-9-]{1,63}"
 WORDED_EMAIL = re.compile(rf"(?<=[A-Za-z0-9._%+-])(\x20(?:{AT})\x20|@)({_LABEL}(?:(?:\x20(?:{DOT})\x20|\.){_LABEL})*\x20(?:{DOT})\x20{_LABEL}(?:(?:\x20(?:{DOT})\x20|\.){_LABEL})*)", re.I)
 SPACED_AT = re.compile(rf"(?<=[A-Za-z0-9._%+-])\x20@\x20(?={_LABEL}\.[A-Za-z0-9-])")
@@ -183,18 +189,43 @@ class Mapped(NamedTuple):
         )
 
 
+def _characters(points: list[int]) -> re.Pattern[str]:
+    """A class of characters, as ranges."""
+    ranges: list[list[int]] = []
+    for c in sorted(points):
+        if ranges and c == ranges[-1][1] + 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) + "]")
+
+
 @lru_cache(maxsize=1)
-def _odd() -> re.Pattern[str]:
-    return re.compile("[" + "".join(map(re.escape, _lookalikes())) + "]")
+def _odd() -> tuple[re.Pattern[str], re.Pattern[str]]:
+    """Look-alikes within 16 bits, which are quick to search for, and all of them."""
+    points = list(map(ord, _lookalikes()))
+    return _characters([c for c in points if c < 0x10000]), _characters(points)
+
+
+def has_lookalikes(text: str) -> bool:
+    if text.isascii():
+        return False
+    near, every = _odd()
+    return bool(near.search(text)) or max(text) > "\uffff" and bool(every.search(text))
 
 
 def plain_characters(text: Mapped) -> Mapped:
     table = _lookalikes()
-    return text.rewrite([(m.start(), m.end(), table[m.group()]) for m in _odd().finditer(text.text)])
+    return text.rewrite([(m.start(), m.end(), table[m.group()]) for m in _odd()[1].finditer(text.text)])
 
 
 def bracketed_signs(text: Mapped) -> Mapped:
-    return text.rewrite([(m.start(), m.end(), "@" if m.group(1) else ".") for m in BRACKETED.finditer(text.text)])
+    """At and dot in brackets; between dashes only if the text has both, so that plain hyphens stay."""
+    edits = [(m.start(), m.end(), "@" if m.group(1) else ".") for m in BRACKETED.finditer(text.text)]
+    dashed = [(m.start(), m.end(), "@" if m.group(2) else ".") for m in DASHED.finditer(text.text)]
+    if len({sign for *_, sign in dashed}) == 2:
+        edits = sorted([*edits, *dashed])
+    return text.rewrite(edits)
 
 
 def spelled_digits(text: Mapped) -> Mapped:
@@ -202,8 +233,12 @@ def spelled_digits(text: Mapped) -> Mapped:
     edits = []
     for run in SPELLED.finditer(text.text):
         for m in SPELLED_WORD.finditer(text.text, run.start(), run.end()):
-            sign = "" if m.group(2) and not m.group(1) else "+"
-            edits.append((m.start(), m.end(), sign + WORD_DIGITS.get((m.group(2) or "").lower(), "")))
+            plus, times, word, bare_plus, comma = m.groups()
+            if comma:
+                edits.append((m.start(), m.end(), ""))
+                continue
+            digit = WORD_DIGITS.get((word or "").lower(), "") * {"double": 2, "triple": 3}.get((times or "").lower(), 1)
+            edits.append((m.start(), m.end(), ("+" if plus or bare_plus else "") + digit))
     return text.rewrite(edits)
 
 
@@ -212,29 +247,35 @@ def worded_signs(text: Mapped) -> Mapped:
     edits = [(m.start(), m.end(), "@") for m in SPACED_AT.finditer(text.text)]
     for m in WORDED_EMAIL.finditer(text.text):
         edits.append((m.start(1), m.end(1), "@"))
-        edits += [(d.start(), d.end(), ".") for d in WORDED_DOT.finditer(text.text, m.start(2), m.end(2))]
+        dots = list(WORDED_DOT.finditer(text.text, m.start(2), m.end(2)))
+        # the part before the at may have dots of the same word
+        name = re.compile(rf"(?:[A-Za-z0-9_%+-]+{re.escape(dots[0].group())})+[A-Za-z0-9_%+-]+\Z")
+        if before := name.search(text.text[max(0, m.start(1) - NAME_CHARS) : m.start(1)]):
+            shift = max(0, m.start(1) - NAME_CHARS)
+            dots += WORDED_DOT.finditer(text.text, before.start() + shift, m.start(1))
+        edits += [(d.start(), d.end(), ".") for d in dots]
     for m in WORDED_IP.finditer(text.text):
         edits += [(d.start(), d.end(), ".") for d in WORDED_DOT.finditer(text.text, m.start(), m.end())]
-    return text.rewrite(sorted(edits))
+    return text.rewrite(sorted(set(edits)))
 
 
 def normalise(text: str) -> Mapped:
     mapped = Mapped.of(text)
-    if not text.isascii() and _odd().search(text):
+    if has_lookalikes(text):
         mapped = plain_characters(mapped)
     return worded_signs(spelled_digits(bracketed_signs(mapped)))
 
 
 def may_be_disguised(text: str) -> bool:
     """A quick test that is true of every text the transducers would change."""
-    if not text.isascii() and _odd().search(text):
+    if has_lookalikes(text):
         return True
     low = text.lower()
     if " dot " in low or " punkt " in low or " point " in low or " punto " in low or " @ " in low:
         return True
-    if any(c in text for c in "[({<") and BRACKETED.search(text):
+    if any(c in text for c in "[({<") and BRACKETED.search(text) or any(w in low for w in ("at-", "at_", "at*", "at|", "at~")) and DASHED.search(text):
         return True
-    return any(w in low for w in WORD_DIGITS) and bool(SPELLED.search(text))
+    return not DIGIT_NAMES.isdisjoint(WORDS.findall(low)) and bool(SPELLED.search(text))
 
 
 def spans(text: str) -> list[dict]:
