@@ -10,7 +10,7 @@ Candidates are verified by the exact edit distance, in words, between the item a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 from typing import NamedTuple
 
@@ -22,6 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from larder.llm.common import slices, with_derived
+from larder.sources.staging import settle
 
 SIMILARITY = 0.8
 MIN_WORDS = 5
@@ -271,6 +272,15 @@ def _blocks(benchmark: DataFrame, item: str, text: str, block: int) -> Iterator[
         yield sorted(((r.item, r.text) for r in rows), key=repr)
 
 
+def _in_turn(blocks: Iterator[list[tuple[object, str]]], search_block: Callable[[list[tuple[object, str]]], DataFrame]) -> Iterator[DataFrame]:
+    """The result of each block; all but the last are written first, so that one block is held at a time."""
+    last = search_block(next(blocks))
+    for items in blocks:
+        yield settle(last, "decontamination")
+        last = search_block(items)
+    yield last
+
+
 def find(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -311,8 +321,7 @@ def find(
 
         return run
 
-    parts = [own.mapInArrow(finder(items), schema) for items in _blocks(benchmark, item, item_text, block)]
-    return reduce(DataFrame.union, parts)
+    return reduce(DataFrame.union, _in_turn(_blocks(benchmark, item, item_text, block), lambda items: own.mapInArrow(finder(items), schema)))
 
 
 def drop_contaminated(
@@ -339,6 +348,7 @@ def drop_contaminated(
 
         return make
 
-    for items in _blocks(benchmark, item, item_text, block):
+    for n, items in enumerate(_blocks(benchmark, item, item_text, block)):
+        docs = settle(docs, "decontamination") if n else docs
         docs = with_derived(docs, text, [StructField(kept, BooleanType())], maker(items), SLICE_BYTES).where(kept).drop(kept)
     return docs

@@ -474,3 +474,14 @@ def test_pipeline_of_no_documents(spark, tmp_path):
     documents(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("name", ["op7_embeddings", "op10_warc"])
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("embeddings", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    got = catalogue.QUERIES[name](spark, SF)
+    want = con.execute(catalogue.SQL[name]).fetchall()
+    assert got.columns == [d[0] for d in con.description]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and want
