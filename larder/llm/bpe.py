@@ -19,10 +19,22 @@ from pyspark.sql.types import BinaryType, LongType, StructField
 
 from larder.llm.common import with_derived
 
-CACHED_PIECES = 250_000
+CACHED_PIECES = 320_000
 CACHED_PIECE_CHARS = 64
 
 
+BIT = [1 << i for i in range(256)]
+
+
+def _add(buckets: dict[int, int | list[int]], rank: int, position: int) -> None:
+    """One more position of a rank that has some."""
+    held = buckets[rank]
+    if held.__class__ is int:
+        buckets[rank] = [held, position]
+    else:
+        held.append(position)
+
+
 class Codec:
     """Vocabulary of a rank file (base64 token, rank per line); encodes and decodes bytes."""
 
@@ -32,6 +44,8 @@ class Codec:
         self.longest = max(map(len, ranks), default=1)
         self.starts = {(t[0], t[1]): rank for t, rank in ranks.items() if len(t) == 2}
         self.words = [0] * ((max(ranks.values(), default=0) >> 8) + 1)  # lower bitmap level: 256 ranks a word, all clear
+        if len(self.words) > len(BIT):
+            raise ValueError("the two bitmap levels hold 65,536 ranks")
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Token ids of one pre-token."""
@@ -43,63 +57,68 @@ class Codec:
         after = list(range(1, n + 1))  # the token at p is piece[p:after[p]]
         before = list(range(-1, n))
         pair = [-1] * (n + 1)  # rank of the pair that starts at p, -1 for none
-        buckets: dict[int, list[int]] = {}
+        buckets: dict[int, int | list[int]] = {}  # a lone position stands for itself
         top = 0  # upper bitmap level: a bit for each word that isn't clear
         for p, rank in enumerate(map(self.starts.get, zip(piece, piece[1:]))):
             if rank is not None:
                 pair[p] = rank
                 if rank in buckets:
-                    buckets[rank].append(p)
+                    _add(buckets, rank, p)
                 else:
-                    buckets[rank] = [p]
-                    words[rank >> 8] |= 1 << (rank & 255)
-                    top |= 1 << (rank >> 8)
+                    buckets[rank] = p
+                    word = rank >> 8
+                    words[word] |= BIT[rank & 255]
+                    top |= BIT[word]
         while top:
             word = (top & -top).bit_length() - 1
             bits = words[word]
-            rank = (word << 8) + (bits & -bits).bit_length() - 1
-            words[word] = bits = bits & (bits - 1)
+            lowest = bits & -bits
+            rank = (word << 8) + lowest.bit_length() - 1
+            words[word] = bits = bits ^ lowest
             if not bits:
-                top &= top - 1
+                top ^= BIT[word]
             bucket = buckets.pop(rank)
-            if len(bucket) > 1:
+            if bucket.__class__ is int:
+                if pair[bucket] != rank:
+                    continue  # stale
+                bucket = (bucket,)
+            else:
                 bucket.sort()  # merges of a rank run from left to right
             for k, p in enumerate(bucket):
                 if pair[p] != rank:
-                    continue  # stale
+                    continue
                 gone = after[p]
                 after[p] = end = after[gone]
                 pair[gone] = pair[p] = -1
+                ahead = behind = None
                 if end < n:
                     before[end] = p
-                    ahead = get(piece[p : after[end]]) if after[end] - p <= longest else None
-                    if ahead is not None:
+                    if after[end] - p <= longest and (ahead := get(piece[p : after[end]])) is not None:
                         pair[p] = ahead
                         if ahead in buckets:
-                            buckets[ahead].append(p)
+                            _add(buckets, ahead, p)
                         else:
-                            buckets[ahead] = [p]
-                            words[ahead >> 8] |= 1 << (ahead & 255)
-                            top |= 1 << (ahead >> 8)
-                else:
-                    ahead = None
+                            buckets[ahead] = p
+                            word = ahead >> 8
+                            words[word] |= BIT[ahead & 255]
+                            top |= BIT[word]
                 q = before[p]
-                behind = None
                 if q >= 0:
                     pair[q] = -1
-                    behind = get(piece[q:end]) if end - q <= longest else None
-                    if behind is not None:
+                    if end - q <= longest and (behind := get(piece[q:end])) is not None:
                         pair[q] = behind
                         if behind in buckets:
-                            buckets[behind].append(q)
+                            _add(buckets, behind, q)
                         else:
-                            buckets[behind] = [q]
-                            words[behind >> 8] |= 1 << (behind & 255)
-                            top |= 1 << (behind >> 8)
-                if (ahead is not None and ahead < rank or behind is not None and behind < rank) and k + 1 < len(bucket):
-                    buckets[rank] = bucket[k + 1 :]  # a lower rank goes first
-                    words[rank >> 8] |= 1 << (rank & 255)
-                    top |= 1 << (rank >> 8)
+                            buckets[behind] = q
+                            word = behind >> 8
+                            words[word] |= BIT[behind & 255]
+                            top |= BIT[word]
+                if k + 1 < len(bucket) and (ahead is not None and ahead < rank or behind is not None and behind < rank):
+                    buckets[rank] = list(bucket[k + 1 :])  # a lower rank goes first
+                    word = rank >> 8
+                    words[word] |= BIT[rank & 255]
+                    top |= BIT[word]
                     break
         ids, p = [], 0
         while p < n:
