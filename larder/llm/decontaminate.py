@@ -1,11 +1,10 @@
-"""Benchmark decontamination: CGK walks, bit sampling, exact edit verification.
-
-The CGK embedding of a sequence of words walks along it: step j writes the current word and then, by a random bit of
-that word and step, stays or moves on. Sequences within a small edit distance fall in step again and agree on most
-written words, so edit distance becomes Hamming distance. Each repetition samples a few written positions, of a walk
-that starts at its own place in an item-sized window; a window of a document that agrees with an item's window on all
-of them is a candidate. The first sample decides for most windows, so the walks are only as long as they need be.
-Candidates are verified by the exact edit distance, in words, between the item and the best stretch around the window.
+"""Benchmark decontamination: seeds that some edit script must spare, exact edit verification.
+
+An item that allows k edits is cut into k + 1 segments of consecutive words. An edit damages one segment at most, so every
+stretch of a document within k edits of the item holds some segment whole: no place, spacing or kind of edits hides an
+item. The first words of each segment are its seed. Windows of a document that hold a seed are candidates, placed as the
+seed stands in the item; they are verified by the exact edit distance, in words, between the item and the best stretch
+of the window.
 """
 
 from __future__ import annotations
@@ -26,13 +25,13 @@ from larder.sources.staging import settle
 
 SIMILARITY = 0.8
 MIN_WORDS = 5
-REPETITIONS = 10
+SEED_WORDS = 8
 ITEMS_A_BLOCK = 4096
 BYTES_A_BLOCK = 16 << 20
-SEED = 5
 TABLE_SIZE = 0x40000
 FILTER_BITS = 20
 BATCH = 2048
+HITS_A_RUN = 1 << 20
 SLICE_BYTES = 2 << 20
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -78,13 +77,14 @@ def words_of(text: str) -> Words:
     return Words(_mix(sums), start, end)
 
 
-class Repetition(NamedTuple):
-    multiplier: np.uint64  # its high bits times a word are the word's bits, one a step
-    steps: tuple[int, ...]  # sampled positions after the first, which is position 0
-    allowed: list[np.ndarray]  # per sample, a bitmap of the keys so far
-    keys: np.ndarray  # sorted, of whole samples
+class Seeds(NamedTuple):
+    """Seeds of one number of words."""
+
+    width: int
+    allowed: np.ndarray  # a bitmap of the keys
+    keys: np.ndarray  # sorted
     item: np.ndarray
-    offset: np.ndarray  # where the walk started in the item
+    offset: np.ndarray  # where the seed stands in the item
 
 
 class Index(NamedTuple):
@@ -93,8 +93,7 @@ class Index(NamedTuple):
     first: np.ndarray
     size: np.ndarray
     edits: np.ndarray  # most edits that an item allows
-    starts: np.ndarray  # by the low bits of a first word, the repetitions in which an item's walk starts with it
-    repetitions: list[Repetition]
+    seeds: list[Seeds]  # by rising width
     pairs: np.ndarray  # a bitmap of hashes of (item, word)
 
 
@@ -106,73 +105,77 @@ def _slot(key: np.ndarray) -> np.ndarray:
     return (key >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def _moves(words: np.ndarray, multiplier: np.uint64, step: int) -> np.ndarray:
-    """The random bit of each word at a step."""
-    return ((words * multiplier) >> np.uint64(63 - step % 32)).astype(np.int64) & 1
+def _grams(words: np.ndarray, widths: list[int]) -> Iterator[np.ndarray]:
+    """For each of the rising widths, a key of the run of so many words at each place that has one."""
+    key, width = words, 1
+    for wanted in widths:
+        while width < wanted:
+            key = _chain(key[: max(0, len(words) - width)], words[width:])
+            width += 1
+        yield key
 
 
-def build(items: list[tuple[object, str]], similarity: float = SIMILARITY, repetitions: int = REPETITIONS, min_words: int = MIN_WORDS) -> Index:
+def build(items: list[tuple[object, str]], similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> Index:
     split = [(i, words_of(t or "").hashes) for i, t in items]
     split = [(i, w) for i, w in split if len(w) >= min_words]
     size = np.array([len(w) for _, w in split], np.int64)
     first = np.cumsum(size) - size
-    words = np.concatenate([*(w for _, w in split), np.zeros(64, np.uint64)])
-    rng = np.random.default_rng(SEED)
-    starts = np.zeros(1 << 16, np.uint32)
-    built = []
-    for r in range(repetitions):
-        multiplier = np.uint64(rng.integers(1, 1 << 63)) * np.uint64(2) + np.uint64(1)
-        steps = (int(rng.integers(2, 4)), int(rng.integers(4, 7)))
-        offset = (size - min_words) * r // max(1, repetitions - 1)
-        at = first + offset
-        key = words[at]
-        allowed = []
-        if len(at):
-            np.bitwise_or.at(starts, (key & np.uint64(0xFFFF)).astype(np.int64), np.uint32(1 << r))
-        for step in range(steps[-1]):
-            at = at + _moves(words[at], multiplier, step)
-            if step + 1 in steps:
-                key = _chain(key, words[at])
-                table = np.zeros(1 << FILTER_BITS, bool)
-                table[_slot(key)] = True
-                allowed.append(table)
-        inside = at < first + size
-        order = np.argsort(key[inside], kind="stable")
-        built.append(Repetition(multiplier, steps, allowed, key[inside][order], np.flatnonzero(inside)[order], offset[inside][order]))
+    words = np.concatenate([*(w for _, w in split), np.zeros(0, np.uint64)])
+    edits = np.floor((1 - similarity) * size + 1e-9).astype(np.int64)
+    parts = np.minimum(edits + 1, size)
+    item = np.repeat(np.arange(len(split)), parts)
+    part = np.arange(len(item)) - np.repeat(np.cumsum(parts) - parts, parts)
+    offset, end = part * size[item] // parts[item], (part + 1) * size[item] // parts[item]
+    width = np.minimum(end - offset, SEED_WORDS)
+    widths = np.unique(width).tolist()
+    seeds = []
+    for wide, grams in zip(widths, _grams(words, widths)):
+        own = np.flatnonzero(width == wide)
+        key = grams[first[item[own]] + offset[own]]
+        table = np.zeros(1 << FILTER_BITS, bool)
+        table[_slot(key)] = True
+        order = np.argsort(key, kind="stable")
+        seeds.append(Seeds(wide, table, key[order], item[own][order], offset[own][order]))
     owner = np.repeat(np.arange(len(split)), size).astype(np.uint64)
     pairs = np.zeros(1 << FILTER_BITS, bool)
-    pairs[_slot(_chain(owner, words[: len(owner)]))] = True
-    edits = np.floor((1 - similarity) * size + 1e-9).astype(np.int64)
-    return Index([i for i, _ in split], words, first, size, edits, starts, built, pairs)
-
-
-def _candidates(index: Index, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(item, place of its first word in `words`) of windows that agree with an item's in some repetition."""
-    n = len(words)
-    words = np.concatenate([words, np.zeros(64, np.uint64)])
-    marks = index.starts[(words[:n] & np.uint64(0xFFFF)).astype(np.int64)]
-    some = np.flatnonzero(marks)
-    marks = marks[some]
-    items, places = [], []
-    for r, rep in enumerate(index.repetitions):
-        start = some[(marks >> np.uint32(r) & np.uint32(1)).astype(bool)]
-        at, key, sample = start, words[start], 0
-        for step in range(rep.steps[-1]):
-            at = at + _moves(words[at], rep.multiplier, step)
-            if step + 1 in rep.steps:
-                key = _chain(key, words[at])
-                kept = rep.allowed[sample][_slot(key)]
-                start, at, key = start[kept], at[kept], key[kept]
-                sample += 1
-        lo, hi = np.searchsorted(rep.keys, key, "left"), np.searchsorted(rep.keys, key, "right")
-        hits = np.repeat(np.arange(len(key)), hi - lo)
-        entry = np.arange(len(hits)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[hits]
-        items.append(rep.item[entry])
-        places.append(start[hits] - rep.offset[entry])
-    item, place = np.concatenate(items), np.concatenate(places)
-    # a place may be negative, where an item would begin before the first document
-    both = np.unique(item * np.int64(1 << 40) + (place + (1 << 39)))
-    return both >> np.int64(40), (both & np.int64((1 << 40) - 1)) - (1 << 39)
+    pairs[_slot(_chain(owner, words))] = True
+    return Index([i for i, _ in split], words, first, size, edits, seeds, pairs)
+
+
+def _candidates(index: Index, words: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(document, item, place of its first word in `words`) of windows that hold a seed; about HITS_A_RUN at a time.
+
+    A place may lie outside the document, where the item's part before the seed was cut.
+    """
+    starts, groups, lows, counts = [], [], [], []
+    for g, (seeds, key) in enumerate(zip(index.seeds, _grams(words, [s.width for s in index.seeds]))):
+        start = np.flatnonzero(seeds.allowed[_slot(key)])
+        start = start[doc[start] == doc[start + seeds.width - 1]]
+        lo, hi = np.searchsorted(seeds.keys, key[start], "left"), np.searchsorted(seeds.keys, key[start], "right")
+        hit = np.flatnonzero(hi > lo)
+        starts.append(start[hit])
+        groups.append(np.full(len(hit), g))
+        lows.append(lo[hit])
+        counts.append((hi - lo)[hit])
+    if not sum(map(len, starts)):
+        return
+    start, group, low, count = map(np.concatenate, (starts, groups, lows, counts))
+    order = np.argsort(start, kind="stable")
+    start, group, low, count = start[order], group[order], low[order], count[order]
+    sizes = [len(s.keys) for s in index.seeds]
+    low = low + (np.cumsum(sizes) - sizes)[group]
+    seed_item = np.concatenate([s.item for s in index.seeds])
+    seed_offset = np.concatenate([s.offset for s in index.seeds])
+    run = np.cumsum(count) // HITS_A_RUN
+    for part in np.split(np.arange(len(start)), np.flatnonzero(np.diff(run)) + 1):
+        hits = np.repeat(part, count[part])
+        before = np.cumsum(count[part]) - count[part]
+        entry = np.arange(len(hits)) - np.repeat(before, count[part]) + low[hits]
+        found = np.stack([doc[start[hits]], seed_item[entry], start[hits] - seed_offset[entry]])
+        found = found[:, np.lexsort(found[::-1])]
+        fresh = np.ones(found.shape[1], bool)
+        fresh[1:] = (found[:, 1:] != found[:, :-1]).any(axis=0)
+        yield tuple(found[:, fresh])
 
 
 def best_edits(patterns: np.ndarray, sizes: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -211,45 +214,36 @@ def search(index: Index, texts: list[str | None]) -> list[tuple[int, int, int, i
     doc = np.searchsorted(begins, words.start, side="right") - 1
     first = np.searchsorted(doc, np.arange(len(known)))
     last = np.searchsorted(doc, np.arange(len(known)), side="right")
-    item, place = _candidates(index, words.hashes)
-    if not len(item):
-        return []
-    # the window may reach into the documents around: each one that holds its first, middle or last word is tried
-    reach = index.size[item]
-    firsts, middles, lasts = (doc[np.clip(place + r, 0, len(doc) - 1)] for r in (0, reach // 2, reach - 1))
-    second, third = np.flatnonzero(middles != firsts), np.flatnonzero((lasts != middles) & (lasts != firsts))
-    own = np.concatenate([firsts, middles[second], lasts[third]])
-    item = np.concatenate([item, item[second], item[third]])
-    place = np.concatenate([place, place[second], place[third]])
-    size, allowed = index.size[item], index.edits[item]
-    lo = np.maximum(place - allowed, first[own])
-    hi = np.minimum(place + size + allowed, last[own])
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
     hashes = np.concatenate([words.hashes, np.zeros(1, np.uint64)])
-    order = np.argsort(size, kind="stable")
-    for batch in _batches(order, size):
-        width = int((hi[batch] - lo[batch]).max(initial=0))
-        if width < 1:
-            continue
-        at = lo[batch, None] + np.arange(width)
-        inside = at < hi[batch, None]
-        window = np.where(inside, hashes[np.minimum(at, len(hashes) - 1)], np.uint64(0))
-        pair = _chain(np.broadcast_to(item[batch, None].astype(np.uint64), window.shape), window)
-        shared = (inside & index.pairs[_slot(pair)]).sum(axis=1)
-        ok = shared >= size[batch] - allowed[batch]  # every kept word of the item is in the window
-        batch, window = batch[ok], window[ok]
-        if not len(batch):
-            continue
-        sizes = size[batch]
-        cells = index.first[item[batch], None] + np.arange(int(sizes.max()))
-        patterns = np.where(np.arange(int(sizes.max())) < sizes[:, None], index.words[np.minimum(cells, len(index.words) - 1)], np.uint64(1))
-        edits, start, end = best_edits(patterns, sizes, window)
-        for b, e, s, t in zip(batch.tolist(), edits.tolist(), start.tolist(), end.tolist()):
-            if e <= allowed[b] and t > s:
-                found = (e, int(words.start[lo[b] + s]), int(words.end[min(lo[b] + t, hi[b]) - 1]))
-                name = (int(own[b]), int(item[b]))
-                if name not in best or found < best[name]:
-                    best[name] = found
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for own, item, place in _candidates(index, words.hashes, doc):
+        size, allowed = index.size[item], index.edits[item]
+        lo = np.maximum(place - allowed, first[own])
+        hi = np.minimum(place + size + allowed, last[own])
+        order = np.argsort(size, kind="stable")
+        for batch in _batches(order, size):
+            width = int((hi[batch] - lo[batch]).max(initial=0))
+            if width < 1:
+                continue
+            at = lo[batch, None] + np.arange(width)
+            inside = at < hi[batch, None]
+            window = np.where(inside, hashes[np.minimum(at, len(hashes) - 1)], np.uint64(0))
+            pair = _chain(np.broadcast_to(item[batch, None].astype(np.uint64), window.shape), window)
+            shared = (inside & index.pairs[_slot(pair)]).sum(axis=1)
+            ok = shared >= size[batch] - allowed[batch]  # every kept word of the item is in the window
+            batch, window = batch[ok], window[ok]
+            if not len(batch):
+                continue
+            sizes = size[batch]
+            cells = index.first[item[batch], None] + np.arange(int(sizes.max()))
+            patterns = np.where(np.arange(int(sizes.max())) < sizes[:, None], index.words[np.minimum(cells, len(index.words) - 1)], np.uint64(1))
+            edits, start, end = best_edits(patterns, sizes, window)
+            for b, e, s, t in zip(batch.tolist(), edits.tolist(), start.tolist(), end.tolist()):
+                if e <= allowed[b] and t > s:
+                    found = (e, int(words.start[lo[b] + s]), int(words.end[min(lo[b] + t, hi[b]) - 1]))
+                    name = (int(own[b]), int(item[b]))
+                    if name not in best or found < best[name]:
+                        best[name] = found
     return [(d, i, e, s - int(begins[d]), t - int(begins[d])) for (d, i), (e, s, t) in sorted(best.items())]
 
 

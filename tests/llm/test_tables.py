@@ -216,6 +216,25 @@ def test_decontamination_finds_edited_passages():
     assert hits / total >= 0.97
 
 
+@pytest.mark.parametrize("size", [5, 9, 10, 14, 20, 50, 59, 95, 400])
+def test_decontamination_finds_any_spacing_of_the_allowed_edits(size):
+    rng = random.Random(size)
+    words = [f"w{rng.randrange(300)}" for _ in range(size)]
+    index = decontaminate.build([("item", " ".join(words))])
+    most = size // 5
+    step = -(-size // most)
+    spacings = [[x for x in range(p, size, step)][:most] for p in range(step)]
+    spacings += [list(range(0, size, 5))[:most], list(range(0, size, 6))[:most], list(range(most)), list(range(size - most, size))]
+    spacings += [rng.sample(range(size), most) for _ in range(200)]
+    filler = " ".join(f"v{rng.randrange(300)}" for _ in range(30))
+    for places in spacings:
+        for kind in ("replace", "delete", "insert"):
+            new = [([f"x{i}"] if kind == "replace" else [] if kind == "delete" else [f"x{i}", w]) if i in places else [w] for i, w in enumerate(words)]
+            text = " ".join([filler, *sum(new, []), filler])
+            want = edit_distance(words, text.split())
+            assert want <= most and [f[:3] for f in decontaminate.search(index, ["", text, filler])] == [(1, 0, want)], (places, kind)
+
+
 def test_decontamination_query_finds_planted_items(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
