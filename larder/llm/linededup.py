@@ -27,30 +27,42 @@ def _blank(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\r")) == ""
 
 
-def boilerplate(pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(
+    pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False
+) -> DataFrame:
     """(host, lines) of each host that has lines on more than `ratio`, and at least `min_pages`, of its pages.
 
-    A page counts once for a line however often it repeats it. Counting combines before the shuffle. A host's list is
+    A page counts once for a line however often it repeats it. With `copies_once`, pages of one host with the same whole
+    text (by MD5) are one page, for the lines as for the host. Counting combines before the shuffle. A host's list is
     short by proof: it holds at most (mean lines per page) / `ratio` digests of 16 bytes.
     """
     keys = F.array_distinct(F.transform(F.filter(_lines(F.col(text)), lambda x: ~_blank(x)), _key))
-    found = pages.select(F.col(host).alias("host"), F.explode(keys).alias("line"))
+    counted = pages.select(F.col(host).alias("host"), keys.alias("keys"))
+    sites = counted
+    if copies_once:
+        whole = F.unhex(F.md5(F.encode(F.col(text), "UTF-8"))).alias("page")
+        counted = pages.select(F.col(host).alias("host"), whole, keys.alias("keys")).groupBy("host", "page").agg(F.first("keys").alias("keys"))
+        sites = pages.select(F.col(host).alias("host"), whole).distinct()
+    found = counted.select("host", F.explode("keys").alias("line"))
     on = found.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    totals = pages.groupBy(F.col(host).alias("site")).agg(F.count("*").alias("pages"))
+    totals = sites.groupBy(F.col("host").alias("site")).agg(F.count("*").alias("pages"))
     common = on.join(totals, F.col("host").eqNullSafe(F.col("site"))).where(F.col("n") > F.lit(ratio) * F.col("pages"))
     return common.groupBy("host").agg(F.collect_list("line").alias("lines"))
 
 
-def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(
+    pages: DataFrame, host: str, text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False
+) -> DataFrame:
     """The pages with `text` cleared of boilerplate lines, and `n_lines`, `n_dropped`.
 
     Every row stays, an all-boilerplate text as an empty one; a null text stays null, with no lines. Pages without a
-    host are a site of their own. Repeated rows are separate pages. Columns named as the added ones are replaced. The
-    texts aren't regrouped: the hosts' short lists are a table of their own, so that Spark knows their size and sends them
-    to the pages where they are small.
+    host are a site of their own. Repeated rows are separate pages, so a large group of copies loses its lines in each;
+    with `copies_once` they count as one page, for frames whose copies are dropped only later. Columns named as the added
+    ones are replaced. The texts aren't regrouped: the hosts' short lists are a table of their own, so that Spark knows
+    their size and sends them to the pages where they are small.
     """
-    listed = boilerplate(pages, host, text, ratio, min_pages).select(F.col("host").alias("__site"), F.col("lines").alias("__lines"))
-    listed = settle(listed, "boilerplate")
+    listed = boilerplate(pages, host, text, ratio, min_pages, copies_once)
+    listed = settle(listed.select(F.col("host").alias("__site"), F.col("lines").alias("__lines")), "boilerplate")
     rows = without(pages, ["n_lines", "n_dropped", "__site", "__lines"])
     order = rows.columns
     joined = rows.join(listed, rows[f"`{host}`"].eqNullSafe(listed["__site"]), "left")

@@ -125,6 +125,27 @@ def test_line_dedup_against_brute_force(spark):
     assert linededup.drop_boilerplate(documents(spark, []), "source").collect() == []
 
 
+def test_line_dedup_counts_copies_once_on_request(spark):
+    # a third of each source are copies of one text; on "a" a line is on 6 distinct pages, on "b" on 4 and their copies
+    rng = random.Random(6)
+    rows = []
+    for host, n in (("a", 6), ("b", 4)):
+        copied = "\n".join(sentence(rng, "en", 12) for _ in range(3)) + ("\nfooter" if host == "b" else "")
+        for i in range(50):
+            text = copied if i % 3 == 0 else sentence(rng, "en", 30) + f" {i}" + ("\nfooter" if i % 3 == 1 and i // 3 < n - (host == "b") else "")
+            rows.append((len(rows), text, "en", host, len(text)))
+    rows += [(200 + i, None, "en", "a", None) for i in range(80)]
+    distinct = list({(r[1], r[3]): r for r in rows}.values())
+    want = {(r[3], r[1]): text for r, text in zip(distinct, [x[1] for x in sorted(brute_lines([(i, *r[1:]) for i, r in enumerate(distinct)], 0.05, 5), key=lambda x: x[0])])}
+    frame = documents(spark, rows)
+    cleared = linededup.drop_boilerplate(frame, "source", copies_once=True)
+    got = cleared.collect()
+    assert {r.doc_id: r.text for r in got} == {r[0]: want[r[3], r[1]] for r in rows}
+    assert sum(r.n_dropped for r in got) == 6
+    texts = {r.text for r in simhash.representatives(cleared.where("text IS NOT NULL").drop("n_lines", "n_dropped")).collect()}
+    assert {rows[0][1], rows[50][1]} <= texts and "" not in texts
+
+
 def test_line_dedup_query_matches_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
