@@ -24,7 +24,7 @@ from larder.llm.common import slices, with_derived
 from larder.sources.staging import settle
 
 SIMILARITY = 0.8
-MIN_WORDS = 5
+MIN_WORDS = 1
 SEED_WORDS = 8
 ITEMS_A_BLOCK = 4096
 BYTES_A_BLOCK = 16 << 20
@@ -43,13 +43,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Scripts written without spaces between words: Thai, Lao, Myanmar, Khmer and their neighbours, kana, Bopomofo, Han, Yi.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F),
+    (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+    (0x4E00, 0xA4CF), (0xA980, 0xA9DF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+    (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+)
+
+
 @lru_cache(maxsize=1)
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """By code point: whether it belongs to words, and its lower-case form."""
+    """By code point: whether it belongs to words (1), or is a word of its own (2), and its lower-case form."""
     chars = [chr(c) for c in range(TABLE_SIZE)]
-    word = np.fromiter((c.isalnum() for c in chars), bool, TABLE_SIZE)
+    kind = np.fromiter((c.isalnum() for c in chars), np.uint8, TABLE_SIZE)
+    for lo, hi in UNSPACED:
+        kind[lo : hi + 1] *= 2
     lower = np.fromiter((ord(low) if len(low := c.lower()) == 1 else ord(c) for c in chars), np.uint32, TABLE_SIZE)
-    return word, lower
+    return kind, lower
 
 
 class Words(NamedTuple):
@@ -61,12 +72,17 @@ class Words(NamedTuple):
 
 
 def words_of(text: str) -> Words:
-    """Words are runs of letters and digits; everything between them, and case, is no matter."""
-    word, lower = _tables()
+    """Words are runs of letters and digits; everything between them, and case, is no matter.
+
+    In scripts without spaces each letter is a word, so that a clause isn't a single one.
+    """
+    table, lower = _tables()
     points = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), TABLE_SIZE - 1)
-    inside = word[points]
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    start, end = edge[::2], edge[1::2]
+    kind = table[points]
+    inside = kind > 0
+    turns = np.diff(kind, prepend=0, append=0) != 0
+    start = np.flatnonzero(inside & (turns[:-1] | (kind == 2)))
+    end = np.flatnonzero(inside & (turns[1:] | (kind == 2))) + 1
     if not len(start):
         return Words(np.zeros(0, np.uint64), start, end)
     size = end - start
@@ -288,8 +304,9 @@ def find(
     """(key, item, edits, start, end): each item found in each document, its edits in words, its place in code points.
 
     An item of n words is found where some stretch of a whole text is within (1 - similarity) * n word edits of it.
-    Items of fewer than MIN_WORDS words, and null ones, are never found; null and empty texts hold none. Repeated
-    documents and repeated items are reported each. The benchmark is searched in blocks of about `block` items and
+    Items of fewer than five words allow no edit at the default and are found where they stand word for word. Items
+    without any letter or digit, and null ones, are never found; null and empty texts hold none. Repeated documents and
+    repeated items are reported each. The benchmark is searched in blocks of about `block` items and
     BYTES_A_BLOCK bytes; only a block's text travels to the tasks. Documents aren't shuffled; other columns aren't read.
     """
     own = docs.select(key, text)

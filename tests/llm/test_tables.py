@@ -256,6 +256,32 @@ def test_decontamination_finds_any_spacing_of_the_allowed_edits(size):
             assert want <= most and [f[:3] for f in decontaminate.search(index, ["", text, filler])] == [(1, 0, want)], (places, kind)
 
 
+@pytest.mark.parametrize(
+    "item, text, edits",
+    [
+        ("Paris", "It is paris, I think", 0),
+        ("forty two", "the answer: Forty-two!", 0),
+        ("too short here", "not too short. Here", 0),
+        ("too short here", "not too small here", None),
+        ("two words", "one two word", None),
+        ("我喜欢吃苹果，你呢？", "他说：我喜欢吃苹果你呢。", 0),
+        ("我喜欢吃苹果，你呢？", "他说：我喜欢吃香果你呢。", 1),
+        ("我喜欢吃苹果，你呢？", "他说：我不吃香果你呢。", None),
+        ("東京はどこですか", "質問:東京はどこですか?", 0),
+        ("ภาษาไทย", "เรียนภาษาไทยกัน", 0),
+        ("x2線 test", "an X2 線 Test", 0),
+    ],
+)
+def test_decontamination_finds_short_and_unspaced_items(item, text, edits):
+    # words of another text on either side must not complete an item
+    words = item.split()
+    around = [words[0], text, words[-1]] if len(words) > 1 else ["nothing", text, ""]
+    found = decontaminate.search(decontaminate.build([(0, "?!"), (1, item), (2, "")]), around)
+    assert [f[:3] for f in found] == ([] if edits is None else [(1, 0, edits)])
+    for _, _, _, start, end in found:
+        assert text[start : end].strip() and start >= 0 and end <= len(text)
+
+
 def test_decontamination_query_finds_planted_items(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
