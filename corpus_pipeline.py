@@ -22,7 +22,7 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or without a language of at least half their letters, go."""
+    """Documents without a letter, or with less than half their letters under learned languages, go."""
     model = langid.train(docs.where(langid.remainder("doc_id", 4) != 2))
     return langid.keep_identified(docs, model, MIN_LANGUAGE_SCORE)
 

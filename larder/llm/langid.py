@@ -164,10 +164,15 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float = SWITCH_PENAL
 
 def label(model: Model, texts: list[str | None], penalty: float = SWITCH_PENALTY) -> tuple[list, list, list]:
     """Language, score and spans of each text. The score is the share of letters under the language's label."""
+    return _labelled(model, texts, penalty)[:3]
+
+
+def _labelled(model: Model, texts: list[str | None], penalty: float) -> tuple[list, list, list, list]:
+    """As `label`, and the share of letters under any learned language."""
     known = [t or "" for t in texts]
     languages = model.languages
     n, k = len(known), len(languages)
-    empty: tuple[list, list, list] = ([UNKNOWN] * n, [0.0] * n, [[] for _ in known])
+    empty: tuple[list, list, list, list] = ([UNKNOWN] * n, [0.0] * n, [[] for _ in known], [0.0] * n)
     if not k or not n:
         return empty
     scores, sizes, starts, ends, usable = [], [], [], [], []
@@ -192,13 +197,14 @@ def label(model: Model, texts: list[str | None], penalty: float = SWITCH_PENALTY
     total = np.bincount(doc, weights=letters, minlength=n)
     top = share.argmax(axis=1)
     value = share[np.arange(n), top] / np.maximum(total, 1)
+    covered = share.sum(axis=1) / np.maximum(total, 1)
     new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (labels[1:] != labels[:-1])])
     last = np.r_[new[1:], len(doc)] - 1
     spans: list[list] = [[] for _ in known]
     for d, s, e, x in zip(doc[new].tolist(), start[new].tolist(), end[last].tolist(), labels[new].tolist()):
         spans[d].append({"start": s, "end": e, "lang": languages[x]})
     found = (total > 0).tolist()
-    return [languages[x] if f else UNKNOWN for x, f in zip(top.tolist(), found)], value.tolist(), spans
+    return [languages[x] if f else UNKNOWN for x, f in zip(top.tolist(), found)], value.tolist(), spans, covered.tolist()
 
 
 def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
@@ -253,13 +259,16 @@ def predict(df: DataFrame, model: Model, text: str = "text", penalty: float = SW
 
 
 def keep_identified(df: DataFrame, model: Model, min_score: float, text: str = "text") -> DataFrame:
-    """The rows whose text has a language with at least `min_score`; columns are as they were."""
+    """The rows whose texts have at least `min_score` of their letters under learned languages; columns are as they were.
+
+    The languages count together, so a text of several is as good as one of a single language.
+    """
     kept = "__identified"
 
     def make():
         def derive(texts: list) -> tuple[list]:
-            languages, values, _ = label(model, texts)
-            return ([x != UNKNOWN and v >= min_score for x, v in zip(languages, values)],)
+            languages, _, _, covered = _labelled(model, texts, SWITCH_PENALTY)
+            return ([x != UNKNOWN and v >= min_score for x, v in zip(languages, covered)],)
 
         return derive
 

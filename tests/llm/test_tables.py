@@ -529,6 +529,22 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == sorted(want)
 
 
+def test_pipeline_keeps_documents_of_several_languages(spark):
+    rng = random.Random(4)
+    en, de, fr = (lambda n, x=x: sentence(rng, x, n) for x in ("en", "de", "fr"))
+    mixed = [
+        (901, "\n".join([en(40), de(30), fr(30)]), None, "host0", 0),
+        (902, en(40) + "\n" + fr(40) + " ελληνικά γράμματα", None, "host0", 0),
+        (903, en(2) + " ελληνικά γράμματα μόνο εδώ και εκεί", None, "host0", 0),
+        (904, "1234", None, "host0", 0),
+    ]
+    docs = documents(spark, corpus(48) + mixed)
+    model = langid.train(docs.where(langid.remainder("doc_id", 4) != 2))
+    assert langid.label(model, [mixed[0][1]])[1][0] < 0.5
+    kept = {r.doc_id for r in corpus_pipeline.identify(spark, docs, SF).collect()}
+    assert kept == {*range(48), 901, 902}
+
+
 def test_pipeline_stages_keep_the_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("extra", F.lit(1))
     for name, stage in corpus_pipeline.STAGES[:-1]:
