@@ -521,6 +521,10 @@ def _demand(d: Retail, level: str, models: tuple[str, ...] = SQL_MODELS, **param
     return forecast.demand_forecast(settle(split, f"demand_{level}"), models, **params)
 
 
+def _all_models(d: Retail, level: str) -> DataFrame:
+    return settle(_demand(d, level, (*SQL_MODELS, "gbt")), f"demand_forecast_{level}")
+
+
 @query("forecast_evaluation")
 def _(d: Retail) -> DataFrame:
     test = settle(_item_features(d).where("split = 'test'"), "forecast_test")
@@ -555,9 +559,13 @@ for _level in forecast.LEVELS:
     query(f"forecast_summary_{_level}")(
         lambda d, level=_level: forecast.forecast_summary(forecast.forecast_metrics(_demand(d, level)), level)
     )
-query("forecast_gradient_boosting")(
-    lambda d: forecast.forecast_metrics(settle(_demand(d, "category", (*SQL_MODELS, "gbt")), "demand_forecast"))
-)
+    # the same of all four models; the boosted one has no SQL
+    query(f"forecast_boosted_demand_{_level}")(lambda d, level=_level: _all_models(d, level))
+    query(f"forecast_boosted_metrics_{_level}")(lambda d, level=_level: forecast.forecast_metrics(_all_models(d, level)))
+    query(f"forecast_boosted_summary_{_level}")(
+        lambda d, level=_level: forecast.forecast_summary(forecast.forecast_metrics(_all_models(d, level)), level)
+    )
+query("forecast_gradient_boosting")(lambda d: forecast.forecast_metrics(_all_models(d, "category")))
 
 
 # ---- findings, scenarios, dashboards ---------------------------------------
