@@ -207,14 +207,23 @@ def _labelled(model: Model, texts: list[str | None], penalty: float) -> tuple[li
     return [languages[x] if f else UNKNOWN for x, f in zip(top.tolist(), found)], value.tolist(), spans, covered.tolist()
 
 
-def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
+def train(
+    df: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    key: str = "doc_id",
+    per_language: int = SAMPLE_PER_LANGUAGE,
+    max_languages: int = MAX_LANGUAGES,
+) -> Model:
     """Trigram counts of about `per_language` texts of each language, chosen by the key's hash.
 
-    Rows with a null text, language or key are not used; whole texts are. The model has one column per language, at
-    most MAX_LANGUAGES, and a fixed number of buckets, so its size doesn't depend on the data.
+    Rows with a null text, language or key are not used; whole texts are. The model has one column per language and a
+    fixed number of buckets. More than `max_languages` languages are an error, since none is left out.
     """
     usable = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(key).isNotNull())
-    sizes = {r[0]: r[1] for r in usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES).collect()}
+    sizes = {r[0]: r[1] for r in usable.groupBy(lang).count().limit(max_languages + 1).collect()}
+    if len(sizes) > max_languages:
+        raise ValueError(f"column {lang!r} holds more than {max_languages} languages; a larger max_languages needs more memory")
     languages = tuple(sorted(sizes))
     if not languages:
         return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros((OTHER + 1, 0), bool))

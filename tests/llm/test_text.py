@@ -286,3 +286,13 @@ def test_quality_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r.score for r in quality.classify(documents(spark, [(1, "text", "en", "h", 4)]), none).collect()] == [0.5]
     assert quality.classify(documents(spark, []), none).collect() == []
+
+
+def test_languages_above_the_bound_are_an_error(spark):
+    rows = [(i, "some words", f"l{i % 5}", "host0", 0) for i in range(20)]
+    assert langid.train(documents(spark, rows), max_languages=5).languages == ("l0", "l1", "l2", "l3", "l4")
+    with pytest.raises(ValueError, match="more than 4 languages"):
+        langid.train(documents(spark, rows), max_languages=4)
+    rows = [(i, "some words", f"l{i}", "host0", 0) for i in range(257)]
+    with pytest.raises(ValueError, match="more than 256 languages"):
+        langid.train(documents(spark, rows))
