@@ -37,13 +37,14 @@ def boilerplate(
     short by proof: it holds at most (mean lines per page) / `ratio` digests of 16 bytes.
     """
     keys = F.array_distinct(F.transform(F.filter(_lines(F.col(text)), lambda x: ~_blank(x)), _key))
-    counted = pages.select(F.col(host).alias("host"), keys.alias("keys"))
-    sites = counted
     if copies_once:
         whole = F.unhex(F.md5(F.encode(F.col(text), "UTF-8"))).alias("page")
         counted = pages.select(F.col(host).alias("host"), whole, keys.alias("keys")).groupBy("host", "page").agg(F.first("keys").alias("keys"))
+        found = counted.select("host", F.explode("keys").alias("line"))
         sites = pages.select(F.col(host).alias("host"), whole).distinct()
-    found = counted.select("host", F.explode("keys").alias("line"))
+    else:
+        found = pages.select(F.col(host).alias("host"), F.explode(keys).alias("line"))
+        sites = pages.select(F.col(host).alias("host"))
     on = found.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     totals = sites.groupBy(F.col("host").alias("site")).agg(F.count("*").alias("pages"))
     common = on.join(totals, F.col("host").eqNullSafe(F.col("site"))).where(F.col("n") > F.lit(ratio) * F.col("pages"))
