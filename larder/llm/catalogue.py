@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, chat, decontaminate, embeddings, langid, linededup, pii, quality, simhash, warc
+from larder.llm import bpe, chat, decontaminate, embeddings, fim, langid, linededup, pii, quality, repair, simhash, warc
 from larder.llm.common import table
 from larder.sources.staging import stage_path
 
@@ -112,3 +112,17 @@ k AS (SELECT *, payload_bytes >= {warc.MIN_REVISIT_BYTES} AND page_id <> owner A
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
   CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN owner END AS refers_to FROM k
 """
+
+
+@query
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+SQL["op12_fim"] = fim.SQL
+
+
+@query
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations after the damage that the task prescribes."""
+    return repair.report(table(spark, sf_dir, "conversations"))

@@ -22,6 +22,14 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select([df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """The name, or the name with underscores after it, such that no frame has a column of that name."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts, or lists, hold about `limit` bytes; a longer one is a run of its own."""
     values = batch.column(column)
