@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, chat, decontaminate, embeddings, fim, langid, linededup, pii, quality, repair, simhash, warc
+from larder.llm import bpe, chat, decontaminate, embeddings, fim, langid, linededup, pii, quality, repair, simhash, suffixes, warc
 from larder.llm.common import table
 from larder.sources.staging import stage_path
 
@@ -114,6 +114,11 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, sha1(body) AS pa
 """
 
 
+@query
+def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
