@@ -1,10 +1,15 @@
-"""Benchmark decontamination: seeds that some edit script must spare, exact edit verification.
-
-An item that allows k edits is cut into k + 1 segments of consecutive words. An edit damages one segment at most, so every
-stretch of a document within k edits of the item holds some segment whole: no place, spacing or kind of edits hides an
-item. The first words of each segment are its seed. Windows of a document that hold a seed are candidates, placed as the
-seed stands in the item; they are verified by the exact edit distance, in words, between the item and the best stretch
-of the window.
+"""Benchmark decontamination: CGK random walks, bit-sampling LSH over item-sized windows, exact edit verification.
+
+A CGK walk reads a string from left to right and at each step, by a random bit of the word it stands on, stays or goes
+on. Two strings a few edits apart fall out of step at an edit and into step again, so that the words they show at most
+steps agree: edit distance has become Hamming distance. A repetition has its own bits and its own sampled steps; the words at
+those steps are the key. Walks start at every word of an item and of a document, so a window of an item's size has a key
+for each of its places, and one key in common makes it a candidate, placed as the key stands in the item. Sampled steps
+lie as far apart as the allowed edits do, as further ones would seldom agree. How many repetitions an item needs for the
+target recall follows from how often edited items, at the most edits allowed, share a key in one; that is simulated.
+
+Candidates are verified by the exact edit distance, in words, between the item and the best stretch of the window, so
+nothing else is found. With `exact` keys are seeds instead, of which any allowed edits spare one, and nothing is missed.
 """
 
 from __future__ import annotations
@@ -18,15 +23,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
-from larder.llm.common import slices, with_derived
+from larder.llm.common import fresh, slices, with_derived
 from larder.sources.staging import settle
 
 SIMILARITY = 0.8
+RECALL = 0.9999
 MIN_WORDS = 1
+SAMPLES = 4  # of a walk
+SHOWN = 3  # words that a walk reads at least
+TRIALS = 96  # of a simulation, each in
+TRIED = 12  # repetitions
+MOST_EDITS = 12  # beyond which items only get easier to find
 SEED_WORDS = 8
-ITEMS_A_BLOCK = 4096
+ITEMS_A_BLOCK = 16_384
 BYTES_A_BLOCK = 16 << 20
 TABLE_SIZE = 0x40000
 FILTER_BITS = 20
@@ -93,14 +104,16 @@ def words_of(text: str) -> Words:
     return Words(_mix(sums), start, end)
 
 
-class Seeds(NamedTuple):
-    """Seeds of one number of words."""
+class Keys(NamedTuple):
+    """Keys of one kind: seeds of one number of words, or walks of one repetition."""
 
-    width: int
+    width: int  # 0 for walks
+    steps: tuple[int, ...]  # those sampled, of walks
+    repetition: int
     allowed: np.ndarray  # a bitmap of the keys
     keys: np.ndarray  # sorted
     item: np.ndarray
-    offset: np.ndarray  # where the seed stands in the item
+    offset: np.ndarray  # where the key starts in the item
 
 
 class Index(NamedTuple):
@@ -109,7 +122,7 @@ class Index(NamedTuple):
     first: np.ndarray
     size: np.ndarray
     edits: np.ndarray  # most edits that an item allows
-    seeds: list[Seeds]  # by rising width
+    kinds: list[Keys]  # seeds by rising width, then walks
     pairs: np.ndarray  # a bitmap of hashes of (item, word)
 
 
@@ -131,43 +144,137 @@ def _grams(words: np.ndarray, widths: list[int]) -> Iterator[np.ndarray]:
         yield key
 
 
-def build(items: list[tuple[object, str]], similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> Index:
-    split = [(i, words_of(t or "").hashes) for i, t in items]
-    split = [(i, w) for i, w in split if len(w) >= min_words]
-    size = np.array([len(w) for _, w in split], np.int64)
-    first = np.cumsum(size) - size
-    words = np.concatenate([*(w for _, w in split), np.zeros(0, np.uint64)])
-    edits = np.floor((1 - similarity) * size + 1e-9).astype(np.int64)
-    parts = np.minimum(edits + 1, size)
-    item = np.repeat(np.arange(len(split)), parts)
+def sampled(repetition: int, similarity: float) -> tuple[int, ...]:
+    """The steps of a repetition's walk that make its key: the first, and others within twice the words between edits."""
+    apart = 1 / max(1e-9, 1 - similarity) - 1 + 1e-9  # words from one edit to the next, if they lie evenly
+    last = int(min(32, max(2, 2 * apart)))
+    others = np.random.default_rng([repetition, last]).choice(np.arange(1, last + 1), min(SAMPLES - 1, last), replace=False)
+    return 0, *sorted(others.tolist())
+
+
+def walk(words: np.ndarray, repetition: int, steps: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(key, last place) of the walk from each place.
+
+    Walks off the end, and those that stay within fewer than SHOWN words and so tell little, have the place after the last.
+    """
+    shown = np.append(_mix(words ^ _mix(np.uint64([repetition + 1]) * _MULTIPLIER)), np.uint64(0))
+    at = np.arange(len(words))
+    key = shown[:-1]
+    for step in range(1, steps[-1] + 1):
+        on = shown[at] if step > 1 else key
+        at = np.minimum(at + (on >> np.uint64(step) & np.uint64(1)).astype(np.int64), len(words))
+        if step in steps:
+            key = _chain(key, shown[at])
+    return key, np.where(at - np.arange(len(words)) < SHOWN - 1, len(words), at)
+
+
+@lru_cache(maxsize=64)
+def chance(edits: int, similarity: float) -> float:
+    """How often a repetition finds the smallest item that allows so many edits, with all of them made.
+
+    Half of the trials have the edits evenly spaced from a random place on, half anywhere; words are replaced, taken out
+    or put in. Words are all different, so that only words in step make a key agree.
+    """
+    rng = np.random.default_rng([edits, round(similarity * 1000)])
+    size = -(-edits * 1000 // round((1 - similarity) * 1000))
+    items = rng.integers(0, 1 << 62, (TRIALS, size)).astype(np.uint64)
+    texts, owner = [], []
+    for n, words in enumerate(items.tolist()):
+        spread = (rng.random() + np.arange(edits)) * size / edits if n % 2 else rng.choice(size, edits, replace=False)
+        places = {int(p) % size for p in spread}
+        for i, w in enumerate(words):
+            texts += [w] if i not in places else [] if n % 3 == 0 else [int(rng.integers(1 << 62))] + [w] * (n % 3 == 1)
+        owner += [n] * (len(texts) - len(owner))
+    text, whose, of = np.array(texts, np.uint64), np.array(owner), np.repeat(np.arange(TRIALS), size)
+    found = 0
+    for repetition in range(TRIED):
+        steps = sampled(repetition, similarity)
+        (a, a_last), (b, b_last) = walk(items.ravel(), repetition, steps), walk(text, repetition, steps)
+        a, b = a[np.append(of, -1)[a_last] == of], b[np.append(whose, -1)[b_last] == whose]
+        hit = np.flatnonzero(np.isin(b, a))
+        found += len(np.unique(whose[np.append(whose, -1)[b_last] == whose][hit]))
+    return found / (TRIALS * TRIED)
+
+
+def repetitions(edits: int, similarity: float, recall: float) -> int:
+    """Repetitions that find an item with so many edits with probability `recall`, each of them as `chance` says."""
+    missed = 1 - min(chance(min(edits, MOST_EDITS), similarity), 0.999)
+    return max(1, int(np.ceil(np.log(1 - recall) / np.log(missed)))) if missed < 1 else 64
+
+
+def _table(key: np.ndarray) -> np.ndarray:
+    table = np.zeros(1 << FILTER_BITS, bool)
+    table[_slot(key)] = True
+    return table
+
+
+def _seeds(words: np.ndarray, first: np.ndarray, size: np.ndarray, edits: np.ndarray, which: np.ndarray) -> Iterator[Keys]:
+    """Keys that any allowed edits spare one of: the first words of each of one segment more than there are edits."""
+    parts = np.minimum(edits + 1, size) * which
+    item = np.repeat(np.arange(len(size)), parts)
     part = np.arange(len(item)) - np.repeat(np.cumsum(parts) - parts, parts)
     offset, end = part * size[item] // parts[item], (part + 1) * size[item] // parts[item]
     width = np.minimum(end - offset, SEED_WORDS)
     widths = np.unique(width).tolist()
-    seeds = []
     for wide, grams in zip(widths, _grams(words, widths)):
         own = np.flatnonzero(width == wide)
         key = grams[first[item[own]] + offset[own]]
-        table = np.zeros(1 << FILTER_BITS, bool)
-        table[_slot(key)] = True
         order = np.argsort(key, kind="stable")
-        seeds.append(Seeds(wide, table, key[order], item[own][order], offset[own][order]))
+        yield Keys(wide, (), 0, _table(key), key[order], item[own][order], offset[own][order])
+
+
+def _walks(words: np.ndarray, first: np.ndarray, size: np.ndarray, needed: np.ndarray, similarity: float) -> Iterator[Keys]:
+    """Keys of all walks that end within their item, in the repetitions that the item needs."""
+    owner = np.append(np.repeat(np.arange(len(size)), size), -1)
+    for repetition in range(int(needed.max(initial=0))):
+        steps = sampled(repetition, similarity)
+        key, last = walk(words, repetition, steps)
+        own = np.flatnonzero((owner[last] == owner[:-1]) & (needed[owner[:-1]] > repetition))
+        own = own[np.argsort(key[own], kind="stable")]
+        yield Keys(0, steps, repetition, _table(key[own]), key[own], owner[own], own - first[owner[own]])
+
+
+def build(
+    items: list[tuple[object, str]], similarity: float = SIMILARITY, min_words: int = MIN_WORDS, recall: float = RECALL, exact: bool = False
+) -> Index:
+    """The index of the items; those that allow no edit have their own words as key, also without `exact`."""
+    split = [(i, words_of(t or "").hashes) for i, t in items]
+    split = [(i, w) for i, w in split if len(w) >= min_words]
+    size = np.array([len(w) for _, w in split], np.int64)
+    first = np.cumsum(size) - size
+    words = np.concatenate([*(w for _, w in split), np.zeros(0, np.uint64)])
+    edits = np.floor((1 - similarity) * size + 1e-9).astype(np.int64)
+    needed = np.zeros(len(size), np.int64)
+    if not exact:
+        for k in np.unique(edits[edits > 0]).tolist():
+            needed[edits == k] = repetitions(k, similarity, recall)
+    kinds = [*_seeds(words, first, size, edits, needed == 0), *_walks(words, first, size, needed, similarity)]
     owner = np.repeat(np.arange(len(split)), size).astype(np.uint64)
     pairs = np.zeros(1 << FILTER_BITS, bool)
     pairs[_slot(_chain(owner, words))] = True
-    return Index([i for i, _ in split], words, first, size, edits, seeds, pairs)
+    return Index([i for i, _ in split], words, first, size, edits, kinds, pairs)
+
+
+def _keys_of(index: Index, words: np.ndarray) -> Iterator[tuple[Keys, np.ndarray, np.ndarray]]:
+    """For each kind, the key at each place that has one, and the last place that it reads."""
+    seeds = [kind for kind in index.kinds if kind.width]
+    for kind, key in zip(seeds, _grams(words, [s.width for s in seeds])):
+        yield kind, key, np.arange(len(key)) + kind.width - 1
+    for kind in index.kinds[len(seeds) :]:
+        yield kind, *walk(words, kind.repetition, kind.steps)
 
 
 def _candidates(index: Index, words: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(document, item, place of its first word in `words`) of windows that hold a seed; about HITS_A_RUN at a time.
+    """(document, item, place of its first word in `words`) of windows that hold a key; about HITS_A_RUN at a time.
 
-    A place may lie outside the document, where the item's part before the seed was cut.
+    A place may lie outside the document, where the item's part before the key was cut.
     """
     starts, groups, lows, counts = [], [], [], []
-    for g, (seeds, key) in enumerate(zip(index.seeds, _grams(words, [s.width for s in index.seeds]))):
-        start = np.flatnonzero(seeds.allowed[_slot(key)])
-        start = start[doc[start] == doc[start + seeds.width - 1]]
-        lo, hi = np.searchsorted(seeds.keys, key[start], "left"), np.searchsorted(seeds.keys, key[start], "right")
+    ended = np.append(doc, -1)
+    for g, (kind, key, last) in enumerate(_keys_of(index, words)):
+        start = np.flatnonzero(kind.allowed[_slot(key)])
+        start = start[doc[start] == ended[last[start]]]
+        lo, hi = np.searchsorted(kind.keys, key[start], "left"), np.searchsorted(kind.keys, key[start], "right")
         hit = np.flatnonzero(hi > lo)
         starts.append(start[hit])
         groups.append(np.full(len(hit), g))
@@ -178,16 +285,16 @@ def _candidates(index: Index, words: np.ndarray, doc: np.ndarray) -> Iterator[tu
     start, group, low, count = map(np.concatenate, (starts, groups, lows, counts))
     order = np.argsort(start, kind="stable")
     start, group, low, count = start[order], group[order], low[order], count[order]
-    sizes = [len(s.keys) for s in index.seeds]
+    sizes = [len(s.keys) for s in index.kinds]
     low = low + (np.cumsum(sizes) - sizes)[group]
-    seed_item = np.concatenate([s.item for s in index.seeds])
-    seed_offset = np.concatenate([s.offset for s in index.seeds])
+    key_item = np.concatenate([s.item for s in index.kinds])
+    key_offset = np.concatenate([s.offset for s in index.kinds])
     run = np.cumsum(count) // HITS_A_RUN
     for part in np.split(np.arange(len(start)), np.flatnonzero(np.diff(run)) + 1):
         hits = np.repeat(part, count[part])
         before = np.cumsum(count[part]) - count[part]
         entry = np.arange(len(hits)) - np.repeat(before, count[part]) + low[hits]
-        found = np.stack([doc[start[hits]], seed_item[entry], start[hits] - seed_offset[entry]])
+        found = np.stack([doc[start[hits]], key_item[entry], start[hits] - key_offset[entry]])
         found = found[:, np.lexsort(found[::-1])]
         fresh = np.ones(found.shape[1], bool)
         fresh[1:] = (found[:, 1:] != found[:, :-1]).any(axis=0)
@@ -300,23 +407,31 @@ def find(
     item_text: str = "text",
     similarity: float = SIMILARITY,
     block: int = ITEMS_A_BLOCK,
+    recall: float = RECALL,
+    exact: bool = False,
 ) -> DataFrame:
     """(key, item, edits, start, end): each item found in each document, its edits in words, its place in code points.
 
-    An item of n words is found where some stretch of a whole text is within (1 - similarity) * n word edits of it.
-    Items of fewer than five words allow no edit at the default and are found where they stand word for word. Items
+    An item of n words is found where some stretch of a whole text is within (1 - similarity) * n word edits of it, with
+    probability `recall` at the most edits and more surely at fewer; a verbatim one always is, and with `exact` any is. Items of fewer than five words allow no edit at the default and are found where they stand word for word. Items
     without any letter or digit, and null ones, are never found; null and empty texts hold none. Repeated documents and
     repeated items are reported each. The benchmark is searched in blocks of about `block` items and
     BYTES_A_BLOCK bytes; only a block's text travels to the tasks. Documents aren't shuffled; other columns aren't read.
+    Of the columns after the key, one of the key's name gets an underscore.
     """
-    own = docs.select(key, text)
-    kinds = dict(benchmark.dtypes)
-    schema = StructType.fromDDL(f"`{key}` {dict(own.dtypes)[key]}, `{item}` {kinds[item]}, edits int, start long, end long")
+    own = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"))
+    names = [key]
+    for name in (item, "edits", "start", "end"):
+        while name.lower() in [n.lower() for n in names]:
+            name += "_"
+        names.append(name)
+    kinds = [docs.schema[key].dataType, benchmark.schema[item].dataType, IntegerType(), LongType(), LongType()]
+    schema = StructType([StructField(n, k) for n, k in zip(names, kinds)])
     kind = to_arrow_type(schema.fields[1].dataType)
 
     def finder(items: list[tuple[object, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = build(items, similarity)
+            index = build(items, similarity, recall=recall, exact=exact)
             for batch in batches:
                 for part in slices(batch, 1, SLICE_BYTES):
                     if found := search(index, part.column(1).to_pylist()):
@@ -343,13 +458,15 @@ def drop_contaminated(
     item_text: str = "text",
     similarity: float = SIMILARITY,
     block: int = ITEMS_A_BLOCK,
+    recall: float = RECALL,
+    exact: bool = False,
 ) -> DataFrame:
     """The rows whose text holds no item, as `find` finds them; columns are as they were."""
-    kept = "__clean"
+    kept = fresh("clean", docs)
 
     def maker(items: list[tuple[object, str]]):
         def make():
-            index = build(items, similarity)
+            index = build(items, similarity, recall=recall, exact=exact)
 
             def derive(texts: list) -> tuple[list]:
                 held = {found[0] for found in search(index, texts)}
@@ -361,5 +478,5 @@ def drop_contaminated(
 
     for n, items in enumerate(_blocks(benchmark, item, item_text, block)):
         docs = settle(docs, "decontamination") if n else docs
-        docs = with_derived(docs, text, [StructField(kept, BooleanType())], maker(items), SLICE_BYTES).where(kept).drop(kept)
+        docs = with_derived(docs, text, [StructField(kept, BooleanType())], maker(items), SLICE_BYTES).where(F.col(kept)).drop(kept)
     return docs
