@@ -272,7 +272,7 @@ def keep_identified(df: DataFrame, model: Model, min_score: float, text: str = "
 
     The languages count together, so a text of several is as good as one of a single language.
     """
-    kept = "__identified"
+    kept = fresh("identified", df)
 
     def make():
         def derive(texts: list) -> tuple[list]:
@@ -281,7 +281,7 @@ def keep_identified(df: DataFrame, model: Model, min_score: float, text: str = "
 
         return derive
 
-    return with_derived(df, text, [StructField(kept, BooleanType())], make, SLICE_BYTES).where(kept).drop(kept)
+    return with_derived(df, text, [StructField(kept, BooleanType())], make, SLICE_BYTES).where(F.col(kept)).drop(kept)
 
 
 def remainder(key: str, parts: int) -> Column:

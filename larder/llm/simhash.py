@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from larder.llm.common import with_derived
+from larder.llm.common import fresh, with_derived
 from larder.llm.components import components
 from larder.sources.staging import settle
 
@@ -114,7 +114,7 @@ def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", word
 
     Of repeated rows one stays, as of any group.
     """
-    row, fp = "__row", "__fp"
+    row, fp = fresh("row", df), fresh("fp", df)
     rows = fingerprints(df, text, words, fp)
     rows = settle(rows.withColumn(row, F.monotonically_increasing_id()), "documents_fingerprints")
     least = F.struct(F.col(f"`{key}`").isNull().alias("no_key"), F.col(f"`{key}`").alias("key"), F.col(row).alias("row"))
