@@ -374,10 +374,11 @@ def spans_of(classes: DataFrame, parts: int, span: int = SPAN, crowded: int = CR
     def placed(ids: list[bytes], bodies: list[bytes]) -> Iterator[pa.RecordBatch]:
         for owner, anchor, near, far, key in units(bodies, span):
             own = pa.array(ids, pa.binary()).take(pa.array(owner))
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), own, pa.array(_packed(anchor, near, far))], names=["key", "id", "unit"])
+            yield pa.RecordBatch.from_arrays([pa.array(~key.view(np.int64)), own, pa.array(_packed(anchor, near, far))], names=["key", "id", "unit"])
 
     counts = _each(classes, span, "key long, n long", counted).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
-    frequent = counts.select(F.col("key").alias("k"), (F.col("n") > crowded).alias("crowded"))
+    # the keys are turned round after counting, so that they are exchanged again and Spark can split a join on a hot one
+    frequent = counts.select(F.bitwise_not("key").alias("k"), (F.col("n") > crowded).alias("crowded"))
     places = _each(classes, span, "key long, id binary, unit long", placed).join(frequent, F.col("key") == F.col("k"))
     places = places.groupBy("id").agg(F.collect_list(F.struct("unit", "crowded")).alias("units")).select(F.col("id").alias("of"), "units")
     texts = classes.join(places, F.col("id") == F.col("of")).select("id", "body", "copies", "units")
