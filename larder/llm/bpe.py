@@ -180,29 +180,33 @@ class Codec:
         return b"".join(map(self.vocabulary.__getitem__, unpack(packed)))
 
 
-class Pieces:
+class Pieces(dict):
     """Packed ids by pre-token, of those met lately: two generations, so frequent ones outlive rare ones."""
 
     def __init__(self, codec: Codec) -> None:
+        super().__init__()
         self.codec = codec
-        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def __missing__(self, piece: str) -> bytes:
+        return self.pack([[piece]])[0]
+
     def pack(self, texts: list[list[str]]) -> list[bytes]:
         """Packed ids of texts given as lists of pre-tokens."""
-        new = set(chain.from_iterable(texts)).difference(self.known)
-        if len(self.known) + len(new) > CACHED_PIECES:
-            self.older, self.known = self.known, {}
+        new = set(chain.from_iterable(texts)).difference(self)
+        if len(self) + len(new) > CACHED_PIECES:
+            self.older = dict(self)
+            self.clear()
             new = set(chain.from_iterable(texts))
-        known, older = self.known, self.older
+        older = self.older
         missing = [piece for piece in new if piece not in older]
-        known.update((piece, older[piece]) for piece in new if piece in older)
+        self.update((piece, older[piece]) for piece in new if piece in older)
         for piece, ids in zip(missing, self.codec.encode_pieces([piece.encode() for piece in missing])):
-            known[piece] = pack(ids)
-        packed = [b"".join(map(known.__getitem__, pieces)) for pieces in texts]
+            self[piece] = pack(ids)
+        packed = [b"".join(map(self.__getitem__, pieces)) for pieces in texts]
         for piece in missing:
             if len(piece) > CACHED_PIECE_CHARS:
-                del known[piece]
+                del self[piece]
         return packed
 
 
