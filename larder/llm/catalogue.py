@@ -41,7 +41,7 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by source, their site."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return linededup.drop_boilerplate(documents, "source").select("doc_id", "text", "n_lines", "n_dropped")
+    return linededup.drop_boilerplate(documents, "source", copies_once=True).select("doc_id", "text", "n_lines", "n_dropped")
 
 
 SQL["op2_linededup"] = linededup.SQL
@@ -100,9 +100,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages to an archive, its records to WARC files, and what the files say when read back."""
     path = stage_path(spark, "warc")
-    warc.write(table(spark, sf_dir, "pages"), path)
-    return warc.catalogue(warc.read(spark, path))
+    buckets = warc.write(table(spark, sf_dir, "pages"), path)
+    warc.export(spark, path, f"{path}/files", "gzip", buckets)
+    return warc.described(warc.parse(spark, f"{path}/files"))
 
 
 SQL["op10_warc"] = f"""

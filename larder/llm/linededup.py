@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import without
+from larder.llm.common import fresh, without
 from larder.sources.staging import settle
 
 RATIO = 0.05
@@ -34,7 +34,9 @@ def boilerplate(
 
     A page counts once for a line however often it repeats it. With `copies_once`, pages of one host with the same whole
     text (by MD5) are one page, for the lines as for the host. Counting combines before the shuffle. A host's list is
-    short by proof: it holds at most (mean lines per page) / `ratio` digests of 16 bytes.
+    short by proof: it holds at most (mean lines per page) / `ratio` digests of 16 bytes, in order. On hosts of fewer than
+    `min_pages` / `ratio` pages, 100 by default, `min_pages` decides and not the ratio: without such a floor every line of a
+    host of under 1 / `ratio` pages would be boilerplate.
     """
     keys = F.array_distinct(F.transform(F.filter(_lines(F.col(text)), lambda x: ~_blank(x)), _key))
     if copies_once:
@@ -48,7 +50,23 @@ def boilerplate(
     on = found.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     totals = sites.groupBy(F.col("host").alias("site")).agg(F.count("*").alias("pages"))
     common = on.join(totals, F.col("host").eqNullSafe(F.col("site"))).where(F.col("n") > F.lit(ratio) * F.col("pages"))
-    return common.groupBy("host").agg(F.collect_list("line").alias("lines"))
+    return common.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+
+
+def _holds(sorted_keys: Column, key: Column) -> Column:
+    """Whether the array, in order, holds the key: a binary search, so that a page's lines cost no more on a host with many keys."""
+    size = F.size(sorted_keys)
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.greatest(size, F.lit(1)))).cast("int") + 1)
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.shiftright(state["lo"] + state["hi"], 1)
+        below = F.get(sorted_keys, middle) < key
+        lo, hi = F.when(below, middle + 1).otherwise(state["lo"]), F.when(below, state["hi"]).otherwise(middle)
+        done = state["lo"] >= state["hi"]
+        return F.struct(F.when(done, state["lo"]).otherwise(lo).alias("lo"), F.when(done, state["hi"]).otherwise(hi).alias("hi"))
+
+    place = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), size.alias("hi")), halve, lambda state: state["lo"])
+    return F.coalesce(F.get(sorted_keys, place) == key, F.lit(False))
 
 
 def drop_boilerplate(
@@ -63,22 +81,21 @@ def drop_boilerplate(
     their size and sends them to the pages where they are small.
     """
     listed = boilerplate(pages, host, text, ratio, min_pages, copies_once)
-    listed = settle(listed.select(F.col("host").alias("__site"), F.col("lines").alias("__lines")), "boilerplate")
-    rows = without(pages, ["n_lines", "n_dropped", "__site", "__lines"])
+    rows = without(pages, ["n_lines", "n_dropped"])
     order = rows.columns
-    joined = rows.join(listed, rows[f"`{host}`"].eqNullSafe(listed["__site"]), "left")
+    site, lines, left = (fresh(c, rows) for c in ("site", "lines", "left"))
+    listed = settle(listed.select(F.col("host").alias(site), F.col("lines").alias(lines)), "boilerplate")
+    joined = rows.join(listed, rows[f"`{host}`"].eqNullSafe(listed[site]), "left")
     whole = _lines(F.col(f"`{text}`"))
-    kept = F.when(F.col("__lines").isNull(), whole).otherwise(
-        F.filter(whole, lambda x: _blank(x) | ~F.array_contains(F.col("__lines"), _key(x)))
-    )
+    kept = F.when(F.col(lines).isNull(), whole).otherwise(F.filter(whole, lambda x: _blank(x) | ~_holds(F.col(lines), _key(x))))
     n = F.coalesce(F.size(whole), F.lit(0))
-    joined = joined.withColumn("__kept", kept)
-    clean = F.when(F.col(f"`{text}`").isNotNull(), F.concat_ws("\n", "__kept"))
+    joined = joined.withColumn(left, kept)
+    clean = F.when(F.col(f"`{text}`").isNotNull(), F.concat_ws("\n", left))
     n_lines = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(n)
     return joined.select(
         *(clean.alias(c) if c == text else F.col(f"`{c}`") for c in order),
         n_lines.cast("long").alias("n_lines"),
-        (n_lines - F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size("__kept"))).cast("long").alias("n_dropped"),
+        (n_lines - F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size(left))).cast("long").alias("n_dropped"),
     )
 
 
@@ -88,11 +105,11 @@ def host_of(url: Column) -> Column:
 
 
 SQL = f"""
-WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+WITH l AS (SELECT doc_id, source, md5(text) AS whole, unnest(string_split(text, chr(10))) AS line,
                   unnest(range(1, len(string_split(text, chr(10))) + 1)) AS pos FROM documents),
 k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS k FROM l),
-f AS (SELECT source, k, count(DISTINCT doc_id) AS n FROM k WHERE k <> '' GROUP BY source, k),
-t AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+f AS (SELECT source, k, count(DISTINCT whole) AS n FROM k WHERE k <> '' GROUP BY source, k),
+t AS (SELECT source, count(DISTINCT text) + count(DISTINCT CASE WHEN text IS NULL THEN 1 END) AS pages FROM documents GROUP BY source),
 b AS (SELECT f.source, f.k, true AS gone FROM f JOIN t ON f.source IS NOT DISTINCT FROM t.source
       WHERE n >= {MIN_PAGES} AND n > {RATIO}::DOUBLE * pages),
 r AS (SELECT k.doc_id, count(*) AS n_lines, count(gone) AS n_dropped,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import gzip
 import hashlib
 import math
 import random
@@ -146,6 +147,33 @@ def test_line_dedup_counts_copies_once_on_request(spark):
     assert {rows[0][1], rows[50][1]} <= texts and "" not in texts
 
 
+def test_line_dedup_with_very_many_boilerplate_lines(spark):
+    common = [f"line {i} of all" for i in range(3000)]
+    rows = [(i, "\n".join([*common, f"own {i}", "\t" + common[i]]), "en", "a", 0) for i in range(12)] + [(20, "own 3\nline 7 of all", "en", "b", 0)]
+    got = linededup.drop_boilerplate(documents(spark, rows), "source", copies_once=True).collect()
+    assert {r.doc_id: (r.text, r.n_dropped) for r in got} == {**{i: (f"own {i}", 3001) for i in range(12)}, 20: ("own 3\nline 7 of all", 0)}
+
+
+def test_clashing_names_come_back_as_they_were(spark):
+    names = "__site __lines __kept __row __fp __clean __identified site lines left row fp clean identified FP Row".split()
+    plain = documents(spark, corpus(30))
+    names = [n for n in names if n.lower() not in {m.lower() for m in names[: names.index(n)]}]
+    frame = plain.select("*", *(F.lit(f"extra {n}").alias(n) for n in names))
+    model = langid.train(plain)
+    none = spark.createDataFrame([(1, "not in any of them at all")], "item_id long, text string")
+    for got in (
+        linededup.drop_boilerplate(frame, "source").drop("n_lines", "n_dropped"),
+        simhash.representatives(frame),
+        decontaminate.drop_contaminated(frame, none),
+        langid.keep_identified(frame, model, 0.5),
+    ):
+        assert got.columns == frame.columns
+        assert {tuple(r)[5:] for r in got.collect()} == {tuple(f"extra {n}" for n in names)}
+    found = decontaminate.find(plain.withColumnRenamed("doc_id", "item_id"), key="item_id", benchmark=plain.limit(1).select(F.col("doc_id").alias("item_id"), "text"))
+    assert found.columns == ["item_id", "item_id_", "edits", "start", "end"] and found.count() >= 1
+    assert decontaminate.find(plain.withColumnRenamed("doc_id", "edits"), none, key="edits").columns == ["edits", "item_id", "edits_", "start", "end"]
+
+
 def test_line_dedup_query_matches_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
@@ -484,11 +512,31 @@ def test_warc_round_trip(spark, tmp_path):
             assert "sha1:" + hashlib.sha1(payload).hexdigest() == fields["WARC-Payload-Digest"]
         else:
             assert payload == b"" and fields["WARC-Refers-To"]
+    for compression, buckets in ((None, None), ("gzip", None), ("gzip", 8)):
+        files = str(tmp_path / f"{compression}{buckets}")
+        warc.export(spark, path, files, compression, buckets)
+        parsed = warc.parse(spark, files)
+        assert sorted(map(tuple, warc.described(parsed).collect()), key=str) == sorted(want, key=str)
+        whole = warc.reconstruct(parsed).collect()
+        assert sorted(((r.page_id, r.payload) for r in whole), key=str) == sorted(((p, (h or "").encode()) for p, _, h in rows), key=str)
+        assert all(r.digest == "sha1:" + hashlib.sha1(r.payload).hexdigest() for r in whole)
+        assert {bytes(r.head) for r in whole} == {bytes(r["head"]) for r in warc.read(spark, path).collect()}
     empty = str(tmp_path / "empty")
     warc.write(frame.limit(0), empty)
+    warc.export(spark, empty, f"{empty}/files")
+    assert warc.described(warc.parse(spark, f"{empty}/files")).collect() == []
     assert warc.read(spark, empty).collect() == []
 
 
+def test_warc_files_that_are_cut_are_an_error():
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <x>\r\nContent-Length: 5\r\n\r\na\r\n\r\n\r\n\r\n"
+    assert [r[-1] for r in warc.records_of(record * 2)] == [b"", b""]
+    assert [r[-1] for r in warc.records_of(gzip.compress(record) + gzip.compress(record * 2))] == [b""] * 3
+    for bad in (record[:-1], record[:30], b"x" + record, record.replace(b": 5", b": 6"), gzip.compress(record)[:-12]):
+        with pytest.raises(ValueError):
+            list(warc.records_of(bad))
+
+
 # ---- the pipeline ----------------------------------------------------------
 def test_pipeline_against_brute_force(spark, tmp_path):
     rng = random.Random(21)
@@ -505,10 +553,10 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     left = [r for r, n, s in zip(rows, names, scores) if n != "und" and s >= corpus_pipeline.MIN_LANGUAGE_SCORE]
     assert {r[0] for r in rows} - {r[0] for r in left} == {1000, 1001, 1002, 1005, 1006, 5001}
     ids = [r[0] for r in left]
-    cleared = {}
-    for place, text, *_ in brute_lines([(i, *r[1:]) for i, r in enumerate(left)], linededup.RATIO, linededup.MIN_PAGES):
-        cleared[place] = text
-    texts = [cleared[i] for i in range(len(left))]
+    distinct = list(dict.fromkeys((r[1], r[3]) for r in left))  # copies on a host are one page
+    once = brute_lines([(i, text, None, host, 0) for i, (text, host) in enumerate(distinct)], linededup.RATIO, linededup.MIN_PAGES)
+    cleared = {distinct[place]: text for place, text, *_ in once}
+    texts = [cleared[r[1], r[3]] for r in left]
     assert sum(len(t) for t in texts) < sum(len(r[1]) for r in left)
     prints = [brute_fingerprint(t) for t in texts]
     groups = brute_components(range(len(left)), [(i, j) for i in range(len(left)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2])
