@@ -28,8 +28,8 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; `n_chars` follows the text."""
-    cleared = linededup.drop_boilerplate(docs, "source")
+    """Boilerplate lines of a source go; copies of a text count as one page, and `n_chars` follows the text."""
+    cleared = linededup.drop_boilerplate(docs, "source", copies_once=True)
     return cleared.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
