@@ -18,6 +18,7 @@ from larder.operators import (
     customers,
     features,
     forecast,
+    itemsets,
     menu,
     models,
     peaks,
@@ -216,6 +217,24 @@ query("basket_rules_named")(_named_rules)
 query("basket_top20")(lambda d: basket.top_rules(_named_rules(d)))
 query("basket_bundles")(lambda d: basket.bundle_suggestions(_named_rules(d)))
 
+SET_SUPPORT = 0.0002  # so that the driver data have frequent sets of three
+
+
+def _itemsets(d: Retail) -> DataFrame:
+    return itemsets.frequent_itemsets(d.lines, SET_SUPPORT)
+
+
+@query("basket_itemsets")
+def _(d: Retail) -> DataFrame:
+    return itemsets.as_text(_itemsets(d))
+
+
+@query("basket_itemset_rules")
+def _(d: Retail) -> DataFrame:
+    sets = _itemsets(d)
+    n = basket.baskets(d.lines).agg(F.countDistinct("order_id")).first()[0]
+    return itemsets.as_text(itemsets.itemset_rules(sets, n, MIN_CONFIDENCE), ("antecedent", "consequent"))
+
 for _name, _by in {
     "hour": ["hour"],
     "day": ["dow"],

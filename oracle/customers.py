@@ -72,6 +72,17 @@ rules AS (SELECT antecedent, consequent, {r('s', 6)} AS support, {r('cf', 4)} AS
 named AS (SELECT rules.*, x.item_name AS antecedent_name, y.item_name AS consequent_name FROM rules LEFT JOIN d_menu x ON x.menu_item_id = antecedent
    LEFT JOIN d_menu y ON y.menu_item_id = consequent WHERE x.item_name IS DISTINCT FROM y.item_name)"""
 
+_SETS = f"""{BASKET},
+i_1 AS (SELECT [menu_item_id] AS items, c FROM k_s, k_n WHERE c >= 0.0002 * n),
+i_2 AS (SELECT [item_a, item_b] AS items, together AS c FROM k_p, k_n WHERE together >= 0.0002 * n),
+i_3 AS (SELECT [x.menu_item_id, y.menu_item_id, z.menu_item_id] AS items, count(*) AS c FROM k_b x JOIN k_b y ON x.order_id = y.order_id AND x.menu_item_id < y.menu_item_id
+   JOIN k_b z ON y.order_id = z.order_id AND y.menu_item_id < z.menu_item_id GROUP BY 1 HAVING count(*) >= (SELECT 0.0002 * n FROM k_n)),
+i_a AS (FROM i_1 UNION ALL FROM i_2 UNION ALL FROM i_3),
+i_m AS (SELECT items, c, unnest(range(1, CAST(1 << len(items) AS BIGINT) - 1)) AS m FROM i_a WHERE len(items) > 1),
+i_r AS (SELECT c, list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 1) AS a, list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 0) AS b FROM i_m),
+i_f AS (SELECT a, b, CAST(i_r.c AS DOUBLE) / n AS s, (CAST(i_r.c AS DOUBLE) / n) / (CAST(x.c AS DOUBLE) / n) AS cf,
+   (CAST(i_r.c AS DOUBLE) / n) / (CAST(x.c AS DOUBLE) / n) / (CAST(y.c AS DOUBLE) / n) AS lf FROM i_r JOIN i_a x ON x.items = a JOIN i_a y ON y.items = b, k_n)"""
+
 SEGMENTS = f"""s_in AS (SELECT rfm.*, behaviour.* EXCLUDE (customer_id), rfm_sum AS cluster FROM rfm LEFT JOIN behaviour USING (customer_id)),
 s_mean AS (SELECT cluster, {r('avg(r_score)', 3)} AS r, {r('avg(f_score)', 3)} AS f, {r('avg(m_score)', 3)} AS m, {r('avg(promo_sensitivity)', 3)} AS promo, {r('avg(weekend_ratio)', 3)} AS weekend, count(customer_id) AS n FROM s_in GROUP BY 1),
 s_named AS (SELECT s_mean.*, top_channel, top_tod, top_category, CASE WHEN promo >= 0.5 THEN 'promotion_driven' WHEN weekend >= 0.7 THEN 'weekend_only' WHEN r >= 3 AND f >= 3.5 AND m >= 3.5 THEN 'high_value_loyal'
@@ -91,6 +102,8 @@ SQL = {
     "churned_customers": with_views("SELECT customer_id, count(DISTINCT order_id) AS orders, max(order_timestamp) AS last_order FROM d_orders WHERE customer_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT order_id) >= 3 AND max(order_timestamp) <= TIMESTAMP '2001-08-01' - INTERVAL 120 DAY"),
     "basket_singles": with_views(f", {BASKET} SELECT menu_item_id, c AS baskets, n AS n_baskets FROM k_s, k_n"),
     "basket_pairs": with_views(f", {BASKET} SELECT * FROM k_f"),
+    "basket_itemsets": with_views(f", {_SETS} SELECT array_to_string(items, '+') AS items, CAST(len(items) AS INTEGER) AS size, c AS baskets, {r('CAST(c AS DOUBLE) / n', 6)} AS support FROM i_a, k_n"),
+    "basket_itemset_rules": with_views(f", {_SETS} SELECT array_to_string(a, '+') AS antecedent, array_to_string(b, '+') AS consequent, {r('s', 6)} AS support, {r('cf', 4)} AS confidence, {r('lf', 4)} AS lift FROM i_f WHERE cf >= 0.03 AND lf >= 1.2"),
     "basket_rules": with_views(f", {BASKET} SELECT * FROM rules"),
     "basket_rules_named": with_views(f", {BASKET} SELECT * FROM named"),
     "basket_top20": with_views(f", {BASKET} SELECT * FROM named ORDER BY lift DESC, support DESC, antecedent, consequent LIMIT 20"),
