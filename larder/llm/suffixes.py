@@ -120,17 +120,22 @@ def _packed(anchor: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray
 
 
 class Run:
-    """Units sorted by suffix: rows of `ahead` (the suffix, zeros where no window reads), `before` (backwards from the anchor)."""
+    """Units sorted by suffix: rows of `ahead` (the suffix, zeros where no window reads), `before` (backwards from the anchor).
 
-    def __init__(self, ahead: np.ndarray, before: np.ndarray, near: np.ndarray, far: np.ndarray, owner: np.ndarray, place: np.ndarray) -> None:
+    Equal units are sent once. `again` tells which of those sent are known to have an equal, in the run or, as `known`
+    says, outside; `repeated` are all units that the run itself finds to have one.
+    """
+
+    def __init__(self, ahead: np.ndarray, before: np.ndarray, near: np.ndarray, far: np.ndarray, owner: np.ndarray, place: np.ndarray, known: np.ndarray) -> None:
         whole = np.concatenate([ahead, before, near[:, None].astype(np.uint8), far[:, None].astype(np.uint8)], axis=1)
         order = np.argsort(whole.view(f"S{whole.shape[1]}").ravel(), kind="stable")
         whole = whole[order]
         new = np.concatenate([[True], (whole[1:] != whole[:-1]).any(axis=1)])
         kind = np.cumsum(new) - 1
+        twice = np.bincount(kind) > 1
         self.once = order[new]
-        self.again = np.bincount(kind) > 1
-        self.repeated = order[self.again[kind]]  # all units that the run holds twice
+        self.again = twice | (np.bincount(kind, known[order]) > 0)
+        self.repeated = order[twice[kind] & ~known[order]]
         self.ahead, self.before, self.near, self.far, self.owner, self.place = ahead, before, near, far, owner, place
 
 
@@ -141,14 +146,16 @@ def shared_with_previous(rows: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros(min(1, len(rows)), np.int64), length])
 
 
-def _pieces(run: Run, ids: list[bytes], span: int, parts: int, part_of: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple]:
-    """Rows of RUNS: the run front-coded for each receiver, and the windows that it knows to be repeated."""
-    if len(run.repeated):
-        own = run.repeated
+def _marked(run: Run, ids: list[bytes], span: int, parts: int) -> Iterator[tuple]:
+    """A row of RUNS with the windows that the run itself knows to be repeated."""
+    if len(own := run.repeated):
         start, stop = run.place[own] - run.far[own], run.place[own] - run.near[own] + span
         names = b"".join(map(ids.__getitem__, run.owner[own].tolist()))
-        yield -1 - int(run.place[own].sum()) % parts, len(own), *[None] * 6, names, start.astype("<i8").tobytes(), stop.astype("<i8").tobytes()
-    part = part_of(run.ahead[run.once])
+        yield -1 - int(run.place[own].sum()) % (parts * CROWDED_PARTS), len(own), *[None] * 6, names, start.astype("<i8").tobytes(), stop.astype("<i8").tobytes()
+
+
+def _pieces(run: Run, ids: list[bytes], span: int, part: np.ndarray) -> Iterator[tuple]:
+    """Rows of RUNS: the run front-coded for each receiver; `part` is that of each unit sent."""
     order = np.argsort(part, kind="stable")
     cuts = np.flatnonzero(np.diff(part[order])) + 1
     for some in np.split(order, cuts):
@@ -175,23 +182,30 @@ def runs_of(texts: list[bytes], ids: list[bytes], owner: np.ndarray, packed: np.
     backward = np.lib.stride_tricks.sliding_window_view(buffer, reach - 1)
     place, near, far = packed >> 16, (packed >> 8) & 255, packed & 255
 
-    def chosen(own: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, part_of: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple]:
+    def run_of(own: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, known: np.ndarray) -> Run:
         ahead = forward[first[own] + at] * (np.arange(span) < (span - lo)[:, None])
         before = backward[first[own] + at - reach + 1][:, ::-1] * (np.arange(reach - 1) < hi[:, None])
-        yield from _pieces(Run(ahead.astype(np.uint8), before.astype(np.uint8), lo, hi, own, at), ids, span, parts, part_of)
-
-    plain = np.flatnonzero(~crowded)
-    for at in range(0, len(plain), RUN):
-        some = plain[at : at + RUN]
-        yield from chosen(owner[some], place[some], near[some], far[some], lambda rows: (_hash(rows[:, : span - reach + 1]) % np.uint64(parts)).astype(np.int64))
-    apart = np.flatnonzero(crowded)
-    for at in range(0, len(apart), max(1, RUN // reach)):
-        some = apart[at : at + max(1, RUN // reach)]
-        count = (far - near + 1)[some]
-        unit = np.repeat(some, count)
-        back = np.arange(len(unit)) - np.repeat(np.cumsum(count) - count, count) + near[unit]
-        none = np.zeros(len(unit), np.int64)
-        yield from chosen(owner[unit], place[unit] - back, none, none, lambda rows: parts + (_hash(rows) % np.uint64(parts * CROWDED_PARTS)).astype(np.int64))
+        return Run(ahead.astype(np.uint8), before.astype(np.uint8), lo, hi, own, at, known)
+
+    for flag in (False, True):
+        which = np.flatnonzero(crowded == flag)
+        for start in range(0, len(which), RUN):
+            some = which[start : start + RUN]
+            run = run_of(owner[some], place[some], near[some], far[some], np.zeros(len(some), bool))
+            yield from _marked(run, ids, span, parts)
+            if not flag:
+                yield from _pieces(run, ids, span, (_hash(run.ahead[run.once][:, : span - reach + 1]) % np.uint64(parts)).astype(np.int64))
+                continue
+            # equal units are one by now; the others are taken apart, about a run of windows at a time
+            for at in range(0, len(run.once), max(1, RUN // reach)):
+                kept, again = run.once[at : at + max(1, RUN // reach)], run.again[at : at + max(1, RUN // reach)]
+                count = (run.far - run.near + 1)[kept]
+                unit = np.repeat(kept, count)
+                back = np.arange(len(unit)) - np.repeat(np.cumsum(count) - count, count) + run.near[unit]
+                none = np.zeros(len(unit), np.int64)
+                windows = run_of(run.owner[unit], run.place[unit] - back, none, none, np.repeat(again, count))
+                yield from _marked(windows, ids, span, parts)
+                yield from _pieces(windows, ids, span, parts + (_hash(windows.ahead[windows.once]) % np.uint64(parts * CROWDED_PARTS)).astype(np.int64))
 
 
 def decode(shared: np.ndarray, tails: bytes, near: np.ndarray, span: int) -> list[bytes]:
