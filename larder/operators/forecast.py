@@ -15,6 +15,7 @@ from larder.config import DEFAULTS
 from larder.functions.relational import with_scalars
 from larder.functions.scalar import dbl
 from larder.functions.series import dense_calendar, lag_features, rolling_features, running_index
+from larder.operators.boosting import boosted_per_entity
 from larder.operators.features import sales
 
 
@@ -181,26 +182,41 @@ def demand_split(features: DataFrame, n_test: int = 73, min_train: int = 20) ->
     return chrono_split(ready.withColumn("_ok", enough).where("_ok").drop("_ok"), ["entity_id"], "date", n_test=n_test)
 
 
-def _boosted(split: DataFrame, seed: int, **params: float) -> DataFrame:
+def _pooled(split: DataFrame, seed: int, **params: float) -> DataFrame:
     """One boosted model over all entities, with the entity's training mean as a further feature; no rows if no entity has history."""
     means = split.where("split = 'train'").groupBy("entity_id").agg(F.avg("qty").alias("entity_mean"))
     cols = [*DEMAND_FEATURES, "entity_mean"]
     ready = split.join(means, "entity_id").withColumns({c: F.coalesce(dbl(c), F.lit(0.0)) for c in cols})
     if split.isEmpty():
-        return split.select("entity_id", "date", F.lit(0.0).alias("pred_gradient_boosting"))
+        return split.select("entity_id", "date", F.lit(0.0).alias("pred_pooled_boosting"))
     boost = {"maxIter": 200, "maxDepth": 3, "stepSize": 0.05, **params}
     model = Pipeline(
         stages=[_assembled(cols), GBTRegressor(featuresCol="features", labelCol="qty", seed=seed, **boost)]
     ).fit(ready.where("split = 'train'"))
     return model.transform(ready.where("split = 'test'")).select(
-        "entity_id", "date", F.round(F.greatest(F.lit(0.0), F.col("prediction")), 4).alias("pred_gradient_boosting")
+        "entity_id", "date", F.round(F.greatest(F.lit(0.0), F.col("prediction")), 4).alias("pred_pooled_boosting")
     )
 
 
+def _per_entity(split: DataFrame, **params: float) -> DataFrame:
+    """A boosted model for each entity."""
+    found = boosted_per_entity(split, DEMAND_FEATURES, "qty", **params)
+    return found.select("entity_id", "date", F.round(F.greatest(F.lit(0.0), F.col("prediction")), 4).alias("pred_gradient_boosting"))
+
+
 def demand_forecast(
-    split: DataFrame, models: Sequence[str] = ("naive", "ma7", "linear", "gbt"), seed: int = DEFAULTS.seed, **params: float
+    split: DataFrame,
+    models: Sequence[str] = ("naive", "ma7", "linear", "gbt"),
+    seed: int = DEFAULTS.seed,
+    rounds: int = 200,
+    depth: int = 3,
+    rate: float = 0.05,
+    **params: float,
 ) -> DataFrame:
-    """Test rows with one prediction column per model."""
+    """Test rows with one prediction column per model.
+
+    `gbt` is a boosted model for each entity, of `rounds` trees; `pooled` is one over all entities, with `params`.
+    """
     line = linear_trend(split, ["entity_id"], "qty", digits=12)
     columns: dict[str, Column] = {
         "naive": F.round("lag_1", 4).alias("pred_naive"),
@@ -209,7 +225,9 @@ def demand_forecast(
     }
     out = line.select("entity_id", "date", F.col("qty").alias("actual_qty"), *[columns[m] for m in models if m in columns])
     if "gbt" in models:
-        out = out.join(_boosted(split, seed, **params), ["entity_id", "date"])
+        out = out.join(_per_entity(split, rounds=rounds, depth=depth, rate=rate), ["entity_id", "date"])
+    if "pooled" in models:
+        out = out.join(_pooled(split, seed, **params), ["entity_id", "date"])
     return out
 
 
@@ -218,6 +236,7 @@ MODEL_NAMES = {
     "pred_moving_avg": "moving_average",
     "pred_linear": "linear_regression",
     "pred_gradient_boosting": "gradient_boosting",
+    "pred_pooled_boosting": "pooled_gradient_boosting",
 }
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 
 import pytest
-from pyspark.ml.regression import GBTRegressor
 
 import __spark_entry__ as entry
 from larder.operators import forecast
@@ -51,9 +50,7 @@ def test_query_matches_sql(spark, name):
 
 
 @pytest.mark.parametrize("level, sf", [("item", SF), ("category", SF), ("location", "/root/testdata/sf0.01")])
-def test_boosted_forecasts_of_every_level(spark, monkeypatch, level, sf):
-    few = lambda **params: GBTRegressor(**{**params, "maxIter": 3})
-    monkeypatch.setattr(forecast, "GBTRegressor", few)
+def test_boosted_forecasts_of_every_level(spark, level, sf):
     queries = entry.queries()
     plain = queries[f"forecast_demand_{level}"](spark, sf)
     rows = queries[f"forecast_boosted_demand_{level}"](spark, sf)
