@@ -16,11 +16,14 @@ def load_raw(spark: SparkSession, directory: str, fmt: str = "csv") -> dict[str,
 
 
 def ingest(spark: SparkSession, raw_dir: str, out_dir: str) -> dict[str, DataFrame]:
-    """CSV tables to Parquet; returns the written tables."""
-    tables = {}
-    for name, df in load_raw(spark, raw_dir).items():
-        tables[name] = spark.read.parquet(writers.write_table(df, f"{out_dir}/raw", name))
-    writers.write_json(readers.ingestion_report(tables), f"{out_dir}/reports/ingestion")
+    """CSV tables to Parquet; returns the written tables. Broken lines go to quarantine, counts are taken while writing."""
+    tables, report = {}, {}
+    for name in schemas.TABLES:
+        good, broken = readers.read_checked_csv(spark, readers.find_table(spark, raw_dir, name, ("csv",)), schemas.schema(name))
+        report[name] = writers.write_measured(good, f"{out_dir}/raw", name)
+        report[f"{name} (broken lines)"] = writers.write_measured(broken, f"{out_dir}/quarantine", f"broken_lines_{name}")
+        tables[name] = spark.read.parquet(report[name].path)
+    writers.write_json(writers.written_report(spark, report), f"{out_dir}/reports/ingestion")
     return tables
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import lru_cache, reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from larder.functions import sketches
 from larder.operators import (
     anomalies,
     basket,
@@ -30,6 +34,7 @@ from larder.operators import (
     validation,
     wastage,
 )
+from larder.operators.registry import DuplicateVersion, Registry
 from larder.plans.retail import Retail
 from larder.sources import readers, schemas, writers
 from larder.sources.staging import settle, stage_path
@@ -672,6 +677,26 @@ def _(d: Retail) -> DataFrame:
     return recommend.latest_models(recommend.model_registry(None, named))
 
 
+def _lasting_registry(d: Retail) -> Registry:
+    """A registry filled from the item categories, with repeated and overtaken requests."""
+    made = Registry(d.spark, stage_path(d.spark, "registry"), lambda: datetime(2024, 1, 1, tzinfo=timezone.utc))
+    counts = d.menu.groupBy("category_id").agg(F.count("*").alias("n"), F.max("menu_item_id").alias("top"))
+    for row in counts.where(F.col("category_id").isNotNull()).orderBy("category_id").limit(8).collect():
+        for version in (9, 10, 9):
+            try:
+                made.register(f"category {row.category_id}", str(version), "spark", {"items": row.n}, active=version == 10 and row.top % 2 == 0)
+            except DuplicateVersion:
+                made.activate(f"category {row.category_id}", str(version), "spark")
+    return made
+
+
+@query("model_registry_lasting")
+def _(d: Retail) -> DataFrame:
+    """Versions with their place by number and the active one: the repeated request activates the version it names."""
+    rows = _lasting_registry(d).history()
+    return rows.select("name", "version", "pipeline", F.col("metrics")["items"].cast("long").alias("items"), "is_active", "place", "registered")
+
+
 query("model_latest")(lambda d: recommend.latest_models(_registry(d)))
 
 
@@ -735,7 +760,101 @@ query("source_profile_orders")(lambda d: readers.profile(d.orders))
 
 @query("sink_readback")
 def _(d: Retail) -> DataFrame:
-    return writers.readback_check(d.lines, writers.write_table(d.lines, stage_path(d.spark, "tables"), "Order_Items"))
+    return writers.check_written(d.spark, writers.write_measured(d.lines, stage_path(d.spark, "tables"), "Order_Items"))
+
+
+@query("sink_measured")
+def _(d: Retail) -> DataFrame:
+    """Every table, counted while it was written and checked against what is read back."""
+    folder, parts = stage_path(d.spark, "measured"), []
+    for name in schemas.TABLES:
+        w = writers.write_measured(d[name], folder, name)
+        parts.append(writers.check_written(d.spark, w).select(F.lit(name).alias("table"), "rows_in", F.lit(w.columns).alias("n_cols"), "ok", F.lit(w.seconds > 0).alias("timed")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _broken_csv(d: Retail) -> tuple[DataFrame, DataFrame]:
+    """The orders as CSV, some lines cut, lengthened or with an open quote, read back."""
+    line = F.to_csv(F.struct(*d.orders.columns), {"nullValue": ""})
+    kind = F.col("order_id") % 40
+    damaged = (
+        F.when(kind == 1, F.regexp_replace(line, ",[^,]*$", ""))
+        .when(kind == 2, F.concat(line, F.lit(",surplus")))
+        .when(kind == 3, F.concat(F.lit('"'), line))
+        .otherwise(line)
+    )
+    path = stage_path(d.spark, "broken")
+    d.orders.select(damaged.alias("value")).write.text(path)
+    return readers.read_checked_csv(d.spark, path, schemas.schema("Orders"))
+
+
+@query("source_broken_lines")
+def _(d: Retail) -> DataFrame:
+    good, broken = _broken_csv(d)
+    counted = broken.groupBy("reason", "n_fields").agg(F.count("*").alias("lines"))
+    typed = good.agg(F.lit("none").alias("reason"), F.lit(len(good.columns)).alias("n_fields"), F.count("*").alias("lines"))
+    return counted.unionByName(typed)
+
+
+query("source_unbroken_orders")(lambda d: _broken_csv(d)[0])
+
+
+@query("promo_sales_by_month")
+def _(d: Retail) -> DataFrame:
+    """Orders within each campaign and their total, from a table partitioned by month of which only touched months are read."""
+    folder = stage_path(d.spark, "months")
+    writers.write_partitioned(d.orders, folder, "Orders", "order_timestamp", salt="order_id")
+    campaigns = settle(d.promotions.select(F.col("promotion_id").alias("campaign"), "start_date", "end_date"), "campaigns")
+    sold = writers.in_windows(d.spark.read.parquet(f"{folder}/Orders"), campaigns, "order_timestamp", "start_date", "end_date")
+    return sold.groupBy("campaign").agg(F.count("*").alias("orders"), F.sum("total_amount").alias("total"))
+
+
+@query("join_bucketed")
+def _(d: Retail) -> DataFrame:
+    """Lines and orders in buckets of the order, joined and summed up per order status without an exchange of either."""
+    lines, orders = _bucketed(d)
+    joined = lines.join(orders, "order_id")
+    return joined.groupBy("order_status").agg(F.count("*").alias("lines"), F.sum("line_total").alias("total"))
+
+
+def _bucketed(d: Retail, buckets: int = 32) -> tuple[DataFrame, DataFrame]:
+    made = []
+    for df in (d.lines, d.orders):
+        name = f"larder_{uuid.uuid4().hex}"
+        made.append(writers.write_bucketed(df, stage_path(d.spark, "bucketed"), "order_id", name, buckets))
+    return made[0], made[1]
+
+
+QUANTILES = {"q25": 0.25, "q50": 0.5, "q90": 0.9}
+
+
+def _sketches(d: Retail) -> tuple[DataFrame, DataFrame]:
+    """Amounts per item and month, and their sketches as a stored table."""
+    sold = features.sales(d.orders, d.lines).where(F.col("menu_item_id").isNotNull())
+    sold = settle(sold.select("menu_item_id", F.trunc("date", "month").alias("month"), "line_total"), "amounts")
+    return sold, settle(sketches.quantile_sketches(sold, ["menu_item_id", "month"], "line_total"), "sketches")
+
+
+@query("sketch_months")
+def _(d: Retail) -> DataFrame:
+    """The number of values in each stored sketch."""
+    return _sketches(d)[1].select("menu_item_id", "month", F.kll_sketch_get_n_double("sketch").alias("n"))
+
+
+@query("sketch_quantiles")
+def _(d: Retail) -> DataFrame:
+    """Per item, merged from the stored months: are the quantiles' exact ranks within the bound, in either order of merging?
+
+    The bound is twice the one of 99 %, which one in millions misses.
+    """
+    sold, stored = _sketches(d)
+    error, flags = 2 * sketches.rank_error(), []
+    by_year = sketches.merge_sketches(stored.withColumn("year", F.year("month")), ["menu_item_id", "year"])
+    for n, merged in enumerate((sketches.merge_sketches(stored, ["menu_item_id"]), sketches.merge_sketches(by_year, ["menu_item_id"]))):
+        found = sketches.sketch_quantiles(settle(merged, "merged"), QUANTILES)
+        held = sketches.ranks_hold(sold, ["menu_item_id"], "line_total", found, QUANTILES, error)
+        flags.append(held.select("menu_item_id", *(["n"] if n == 0 else []), *(F.col(q).alias(f"{q}_{'months' if n == 0 else 'years'}") for q in QUANTILES)))
+    return flags[0].join(flags[1], "menu_item_id")
 
 
 @query("sink_partitioned_orders")
@@ -778,6 +897,28 @@ def _(d: Retail) -> DataFrame:
     return d.spark.read.parquet(writers.publish(_findings(d)["all"], path, target))
 
 
+@query("sink_published_version")
+def _(d: Retail) -> DataFrame:
+    """Two versions of the orders, the second narrower; a third run fails and changes nothing."""
+    target = StructType.fromDDL("order_id bigint, order_status string, total_amount decimal(12,2)")
+    table = writers.Published(d.spark, stage_path(d.spark, "versions"))
+    table.publish(d.orders, target)
+    table.publish(d.orders.where("order_status = 'completed'"), target)
+    try:
+        table.publish(d.orders.withColumn("order_status", F.raise_error(F.lit("the source broke"))), target)
+    except PySparkException:
+        pass
+    return table.read()
+
+
+@query("sink_rejected_casts")
+def _(d: Retail) -> DataFrame:
+    target = StructType.fromDDL("order_id bigint, order_status int, order_channel bigint, total_amount decimal(12,2)")
+    table = writers.Published(d.spark, stage_path(d.spark, "versions"))
+    table.publish(d.orders, target)
+    return table.read("rejected")
+
+
 # ---- validation ------------------------------------------------------------
 CHANNEL_NAMES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 NEW_ITEM_DAYS = 2370  # close to the whole period, so that some items count as new

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from larder.functions.scalar import to_id
 from larder.sources import schemas
@@ -30,6 +30,32 @@ def typed(raw: DataFrame, columns: StructType) -> DataFrame:
     )
 
 
+BAD_LINE = "_bad_line"
+QUOTES = r'(?<!\\)"'
+FIELD_ENDS = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def read_checked_csv(spark: SparkSession, path: str, columns: StructType) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, rejected lines) of CSV files with headers: each line that isn't blank or a header is in one of them.
+
+    Rejected are lines with too few or too many fields, or with a quote that is never closed, as (file, line, n_fields,
+    reason). A line is a record: quoted line ends aren't supported. Values that a type can't hold are NULL, as in `typed`.
+    """
+    names = [f.name for f in columns.fields]
+    text = StructType([StructField(n, StringType()) for n in [*names, BAD_LINE]])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE, "nullValue": ""}
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("file"))
+    is_header = F.lower(F.regexp_replace("line", r'[\s"]', "")) == ",".join(names).lower()
+    lines = lines.where((F.trim("line") != "") & ~is_header)
+    parsed = lines.withColumn("r", F.from_csv("line", F.lit(text.simpleString()[7:-1].replace(":", " ")), options))
+    open_quote = F.regexp_count("line", F.lit(QUOTES)) % 2 == 1
+    bad = open_quote | F.col(f"r.{BAD_LINE}").isNotNull()
+    n_fields = F.size(F.split("line", FIELD_ENDS, -1))
+    reason = F.when(open_quote, "broken quotes").when(n_fields < len(names), "missing fields").otherwise("extra fields")
+    rejected = parsed.where(bad).select("file", "line", n_fields.alias("n_fields"), reason.alias("reason"))
+    return typed(parsed.where(~bad).select("r.*").drop(BAD_LINE), columns), rejected
+
+
 def read_table_csv(spark: SparkSession, directory: str, table: str) -> DataFrame:
     columns = schema(table)
     return typed(read_raw_csv(spark, find_table(spark, directory, table, ("csv",)), columns), columns)

@@ -40,6 +40,10 @@ DECIMALS = {f"clean_{s}{q}": c.split() for s, c in _STEPS.items() for q in ("",
     "source_csv_orders": _O.split(),
     "source_csv_lines": _L.split(),
     "sink_sample_export": _O.split(),
+    "source_unbroken_orders": _O.split(),
+    "sink_published_version": ["total_amount"],
+    "join_bucketed": ["total"],
+    "promo_sales_by_month": ["total"],
     "price_effective": ["unit_price", "list_price"],
 }
 

@@ -8,6 +8,13 @@ from oracle.features import CUSTOMER, ITEM
 from oracle.menu import CASES, CLASSES, KNOWN, PERF, PROFIT, SIMPLE_SLOW
 from oracle.views import TABLE_VIEWS, r, ratio, ratio0, with_views
 
+
+
+def _columns(table: str) -> list[tuple[str, str]]:
+    """Names and types of a table's columns."""
+    return re.findall(r"(\w+) (\w+(?:[(][0-9,]+[)])?)(?: not null)?(?:, |$)", TABLES[table])
+
+
 LOC = f"""loc AS (SELECT menu_item_id, item_name, location_count, max_location_quantity, min_location_quantity, max_location_quantity - min_location_quantity AS location_gap,
   {r(ratio('max_location_quantity', 'min_location_quantity'), 6)} AS location_ratio, quantity_sold, revenue, case_type, case_type AS finding,
   printf('Best place sold %.0f, weakest %.0f, apart by %.0f', max_location_quantity, min_location_quantity, max_location_quantity - min_location_quantity) AS evidence,
@@ -65,12 +72,25 @@ SQL = {
     "source_validate_types": with_views(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{t}' AS expected, '{t}' AS actual, true AS ok" for c, t in ORDER_TYPES)),
     "source_profile_orders": with_views(_profile("d_orders", ORDER_TYPES)),
     "sink_readback": with_views("SELECT count(*) AS rows_in, count(*) AS rows_back, true AS ok FROM d_lines"),
+    "sink_measured": with_views(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows_in, {len(_columns(t))} AS n_cols, true AS ok, true AS timed FROM {v}" for t, v in TABLE_VIEWS.items())),
+    "source_broken_lines": with_views("""SELECT CASE order_id % 40 WHEN 1 THEN 'missing fields' WHEN 2 THEN 'extra fields' WHEN 3 THEN 'broken quotes' ELSE 'none' END AS reason,
+      CAST(CASE order_id % 40 WHEN 1 THEN 9 WHEN 2 THEN 11 ELSE 10 END AS INTEGER) AS n_fields, count(*) AS lines FROM d_orders GROUP BY ALL"""),
+    "source_unbroken_orders": with_views(f"SELECT {_order_cols} FROM d_orders WHERE order_id % 40 NOT IN (1, 2, 3)"),
+    "promo_sales_by_month": with_views("SELECT promotion_id AS campaign, count(*) AS orders, sum(total_amount) AS total FROM d_promos p JOIN (SELECT order_timestamp, total_amount FROM d_orders) ON CAST(order_timestamp AS DATE) BETWEEN start_date AND end_date GROUP BY 1"),
+    "join_bucketed": with_views("SELECT order_status, count(*) AS lines, sum(line_total) AS total FROM d_lines JOIN d_orders USING (order_id) GROUP BY 1"),
+    "sketch_months": with_views("SELECT menu_item_id, CAST(date_trunc('month', order_timestamp) AS DATE) AS month, count(line_total) AS n FROM d_lines JOIN d_orders USING (order_id) WHERE menu_item_id IS NOT NULL AND line_total IS NOT NULL GROUP BY 1, 2"),
+    "sketch_quantiles": with_views("SELECT menu_item_id, count(line_total) AS n, true AS q25_months, true AS q50_months, true AS q90_months, true AS q25_years, true AS q50_years, true AS q90_years FROM d_lines JOIN d_orders USING (order_id) WHERE menu_item_id IS NOT NULL AND line_total IS NOT NULL GROUP BY 1"),
+    "sink_published_version": with_views("SELECT order_id, order_status, total_amount FROM d_orders WHERE order_status = 'completed'"),
+    "sink_rejected_casts": with_views("SELECT 'order_status' AS \"column\", order_status AS value, count(*) AS rows FROM d_orders WHERE order_status IS NOT NULL GROUP BY 2 UNION ALL SELECT 'order_channel', order_channel, count(*) FROM d_orders WHERE order_channel IS NOT NULL GROUP BY 2"),
+    "model_registry_lasting": with_views("""SELECT 'category ' || category_id AS name, version, 'spark' AS pipeline, n AS items, version = '9' AS is_active,
+      CAST(CASE version WHEN '9' THEN 1 ELSE 2 END AS INTEGER) AS place, (c - 1) * 3 + CASE version WHEN '9' THEN 1 ELSE 2 END AS registered
+      FROM (SELECT category_id, count(*) AS n, row_number() OVER (ORDER BY category_id) AS c FROM d_menu WHERE category_id IS NOT NULL GROUP BY 1), (VALUES ('9'), ('10')) v(version) WHERE c <= 8"""),
     "sink_partitioned_orders": with_views("SELECT strftime(order_timestamp, '%Y-%m') AS month, count(*) AS orders FROM d_orders GROUP BY 1"),
     "sink_json_report": with_views("SELECT order_status, count(*) AS orders FROM d_orders GROUP BY 1"),
     "sink_csv_extract": with_views(f", {CUSTOMER}, {CHANNELS} SELECT preferred_channel, customers, orders FROM channels"),
     "sink_sample_export": with_views(f"SELECT {_order_cols} FROM d_orders ORDER BY order_id LIMIT 500"),
     "sink_publish": with_views(f", {RECS} SELECT finding, action, priority, menu_item_id, NULL::DOUBLE AS score FROM recs"),
-    "source_profile_all": with_views(" UNION ALL ".join(f"SELECT *, '{t}' AS \"table\" FROM ({_profile(v, re.findall(r'(\w+) (\w+(?:[(][0-9,]+[)])?)(?: not null)?(?:, |$)', TABLES[t]))})" for t, v in TABLE_VIEWS.items())),
+    "source_profile_all": with_views(" UNION ALL ".join(f"SELECT *, '{t}' AS \"table\" FROM ({_profile(v, _columns(t))})" for t, v in TABLE_VIEWS.items())),
     "sink_sample_export_all": with_views(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", least(count(*), 500) AS rows FROM {v}" for t, v in TABLE_VIEWS.items())),
     "validation_parity": with_views(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS csv_rows, count(*) AS parquet_rows, true AS ok FROM {v}" for t, v in TABLE_VIEWS.items())),
 }
