@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import operator
+import re
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.config import DEFAULTS
@@ -123,6 +126,33 @@ def kpi_changes(orders: DataFrame, by: str = "restaurant_id") -> DataFrame:
     return monthly.withColumns({"revenue_change_pct": change("revenue"), "orders_change_pct": change("orders")})
 
 
+CONDITION = re.compile(r"\s*(\w+)\s*(<=|>=|<>|!=|==|=|<|>)\s*(?:(-?\d+(?:\.\d+)?)|'([^']*)')\s*")
+COMPARE = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge, "=": operator.eq, "==": operator.eq, "!=": operator.ne, "<>": operator.ne}
+
+
+class RuleError(ValueError):
+    """A rule that can't be applied, and why."""
+
+
+def rule_condition(rule: str, kinds: Mapping[str, str]) -> Column:
+    """A configured rule as a condition: comparisons of a column with a number or a quoted text, joined by ``and``.
+
+    ``kinds`` are the columns that rules may use, with their types. Nothing else of the rule is ever run.
+    """
+    found = []
+    for part in re.split(r"\band\b(?=(?:[^']*'[^']*')*[^']*$)", rule, flags=re.I):
+        known = CONDITION.fullmatch(part)
+        if not known:
+            raise RuleError(f"{part.strip()!r} in rule {rule!r} isn't a comparison such as revenue > 20 or channel = 'web'")
+        column, sign, number, text = known.groups()
+        if column not in kinds:
+            raise RuleError(f"rule {rule!r} uses {column!r}; known columns: {', '.join(sorted(kinds))}")
+        if (number is None) != (kinds[column] == "string"):
+            raise RuleError(f"rule {rule!r} compares {column!r}, a {kinds[column]}, with {'a text' if number is None else 'a number'}")
+        found.append(COMPARE[sign](F.col(column), F.lit(text) if number is None else F.lit(float(number))))
+    return reduce(operator.and_, found)
+
+
 def rule_anomalies(kpis: DataFrame, rule: str) -> DataFrame:
-    """Rows that meet a condition given as text, such as ``revenue_change_pct > 20``."""
-    return kpis.where(F.expr(rule)).withColumn("rule", F.lit(rule))
+    """Rows that meet a rule such as ``revenue_change_pct > 20 and orders >= 5``, see `rule_condition`."""
+    return kpis.where(rule_condition(rule, dict(kpis.dtypes))).withColumn("rule", F.lit(rule))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from larder.functions.relational import asof_join, existence_flag, with_thresholds
 from larder.functions.scalar import normalised, plausible_date
 from larder.sources.schemas import VALID_UNITS
+from larder.sources.staging import settle
 
 Tables = Mapping[str, DataFrame]
 LATEST = "2024-12-31"
@@ -100,22 +101,55 @@ def row_conditions(strict: bool, as_of: str, limit: float = 1000, tolerance: flo
     return out
 
 
-def _row_rules(t: Tables, strict: bool, as_of: str, only: str | None = None) -> DataFrame:
-    """All row conditions (or those of one rule), one pass per table."""
-    by_table: dict[str, dict[tuple[str, str], Column]] = {}
+Parts = dict[tuple[str, str], Column]
+
+
+def _by_table(strict: bool, as_of: str, only: str | None = None) -> dict[str, Parts]:
+    """The row conditions (or those of one rule) of each table."""
+    by_table: dict[str, Parts] = {}
     for (rule, part), cond in row_conditions(strict, as_of).items():
         if only is None or rule == only:
             by_table.setdefault(part.split(".")[0], {})[rule, part] = cond
-    return _union([tally(t[table], parts) for table, parts in by_table.items()])
+    return by_table
+
+
+def _row_rules(t: Tables, strict: bool, as_of: str, only: str | None = None) -> DataFrame:
+    """All row conditions (or those of one rule), one pass per table."""
+    return _union([tally(t[table], parts) for table, parts in _by_table(strict, as_of, only).items()])
+
+
+def _tally_groups(groups: DataFrame, parts: Parts) -> DataFrame:
+    """The tally of row conditions that were counted per group, in the columns `_0`, `_1`..."""
+    keys = list(parts)
+    sums = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("checked"), *[F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(keys))])
+    rows = [F.struct(F.lit(rule).alias("rule"), F.lit(part).alias("part"), F.col(f"_{i}").alias("bad")) for i, (rule, part) in enumerate(keys)]
+    return sums.select(F.explode(F.array(*rows)).alias("e"), "checked").select("e.rule", "e.part", "e.bad", "checked")
+
+
+GROUPED = {
+    "Orders": ("restaurant_id",),
+    "Inventory": ("menu_item_id", "restaurant_id", "unit_of_measure"),
+    "Wastage": ("menu_item_id", "restaurant_id", "unit_of_measure"),
+}
+
+
+def _groups(df: DataFrame, table: str, parts: Parts, *more: Column) -> DataFrame:
+    """One pass over a table: rows, row conditions and further aggregates per place, item and unit, as a stage table."""
+    counts = [F.count_if(cond).alias(f"_{i}") for i, cond in enumerate(parts.values())]
+    return settle(df.groupBy(*GROUPED[table]).agg(F.count("*").alias("_n"), *counts, *more), f"quality_{table}")
 
 
 def _duplicates(df: DataFrame, key: str, rule: str, part: str, strict: bool) -> DataFrame:
     """Rows beyond the first of their key, or if there are more, of their content (by its digest, so rows aren't shuffled whole)."""
-    entries = [F.struct(F.lit("key").alias("kind"), F.col(key).cast("string").alias("value"))]
     if strict:
         content = F.md5(F.to_json(F.struct(*[c for c in df.columns if c != key])))
-        entries.append(F.struct(F.lit("content").alias("kind"), content.alias("value")))
-    groups = df.select(F.explode(F.array(*entries)).alias("e")).groupBy("e.kind", "e.value").agg(F.count("*").alias("n"))
+        entries = [
+            F.struct(F.lit("key").alias("kind"), F.col(key).cast("string").alias("value")),
+            F.struct(F.lit("content").alias("kind"), content.alias("value")),
+        ]
+        groups = df.select(F.explode(F.array(*entries)).alias("e")).groupBy("e.kind", "e.value").agg(F.count("*").alias("n"))
+    else:
+        groups = df.groupBy(F.lit("key").alias("kind"), F.col(key).alias("value")).agg(F.count("*").alias("n"))
     by_kind = groups.groupBy("kind").agg(F.sum("n").alias("checked"), (F.sum("n") - F.count("value")).alias("bad"))
     found = by_kind.agg(F.coalesce(F.max("bad"), F.lit(0)).alias("bad"), F.coalesce(F.max("checked"), F.lit(0)).alias("checked"))
     return found.select(F.lit(rule).alias("rule"), F.lit(part).alias("part"), "bad", "checked")
@@ -151,23 +185,29 @@ def _weighted(df: DataFrame, rule: str, part: str, bad: Column) -> DataFrame:
     ).select(F.lit(rule).alias("rule"), F.lit(part).alias("part"), "bad", "checked")
 
 
-def _orphans(t: Tables, rule: str, names: list[str]) -> DataFrame:
+def _orphans(t: Tables, rule: str, names: list[str], groups: Tables | None = None) -> DataFrame:
     known = t["Restaurants"].select("restaurant_id")
     unknown = F.col("restaurant_id").isNotNull() & ~F.col("_known")
     frames = []
     for n in names:
-        per_id = t[n].groupBy("restaurant_id").agg(F.count("*").alias("_n"))
+        counted = groups[n] if groups and n in groups else t[n].withColumn("_n", F.lit(1))
+        per_id = counted.groupBy("restaurant_id").agg(F.sum("_n").cast("bigint").alias("_n"))
         frames.append(_weighted(existence_flag(per_id, known, ["restaurant_id"], "_known"), rule, n, unknown))
     return _union(frames)
 
 
-def invalid_restaurant_ids(t: Tables, strict: bool = False) -> DataFrame:
-    return _orphans(t, "invalid_restaurant_ids", ["Orders"])
+def invalid_restaurant_ids(t: Tables, strict: bool = False, groups: Tables | None = None) -> DataFrame:
+    return _orphans(t, "invalid_restaurant_ids", ["Orders"], groups)
 
 
-def invalid_locations(t: Tables, strict: bool = False) -> DataFrame:
+def invalid_locations(t: Tables, strict: bool = False, groups: Tables | None = None) -> DataFrame:
     names = ["Orders", "Inventory", "Wastage"] + (["Ratings"] if strict else [])
-    return _orphans(t, "invalid_location_references", names)
+    return _orphans(t, "invalid_location_references", names, groups)
+
+
+def _above_stock(wastage: DataFrame, stock: DataFrame) -> tuple[DataFrame, Column]:
+    """Wastage with the largest stock of its item and place, and whether it is above it."""
+    return wastage.join(stock, ["menu_item_id", "restaurant_id"], "left"), F.col("quantity_wasted") > F.col("max_closing")
 
 
 def impossible_wastage(t: Tables, strict: bool = False) -> DataFrame:
@@ -185,11 +225,11 @@ def impossible_wastage(t: Tables, strict: bool = False) -> DataFrame:
         bad = (q < 0) | ((q >= 0) & (q > F.col("closing_quantity")))
         return tally(judged, {(rule, "Wastage"): bad})
     stock = t["Inventory"].groupBy(*on).agg(F.max("closing_quantity").alias("max_closing"))
-    judged = t["Wastage"].select(*on, "quantity_wasted").join(stock, on, "left")
-    return tally(judged, {(rule, "Wastage"): q > F.col("max_closing")})
+    judged, above = _above_stock(t["Wastage"].select(*on, "quantity_wasted"), stock)
+    return tally(judged, {(rule, "Wastage"): above})
 
 
-def inconsistent_units(t: Tables, strict: bool = False) -> DataFrame:
+def inconsistent_units(t: Tables, strict: bool = False, groups: Tables | None = None) -> DataFrame:
     master = t["Menu_Items"].select("menu_item_id", F.col("unit_of_measure").alias("menu_unit"))
     unit, menu_unit = F.col("unit_of_measure"), F.col("menu_unit")
     bad = unit != menu_unit
@@ -199,7 +239,8 @@ def inconsistent_units(t: Tables, strict: bool = False) -> DataFrame:
         )
     frames = []
     for n in ("Inventory", "Wastage"):
-        per_unit = t[n].groupBy("menu_item_id", "unit_of_measure").agg(F.count("*").alias("_n"))
+        counted = groups[n] if groups else t[n].withColumn("_n", F.lit(1))
+        per_unit = counted.groupBy("menu_item_id", "unit_of_measure").agg(F.sum("_n").cast("bigint").alias("_n"))
         frames.append(_weighted(per_unit.join(master, "menu_item_id", "left"), "inconsistent_units", n, bad))
     return _union(frames)
 
@@ -228,26 +269,34 @@ RULES: dict[str, Callable[..., DataFrame]] = {
     "inconsistent_units": inconsistent_units,
     "invalid_location_references": invalid_locations,
 }
-# rules that need a second table or all rows of one
-WIDE_RULES = (
-    duplicate_orders,
-    duplicate_lines,
-    invalid_restaurant_ids,
-    impossible_wastage,
-    inconsistent_units,
-    invalid_locations,
-)
-
-
 def run_quality(t: Tables, strict: bool = False, max_rate: float = 0.10, as_of: str = LATEST) -> DataFrame:
     """All rules: total, rows checked, defect rate and whether the rate lies in (0, max_rate].
 
-    Row conditions of all rules share one pass per table. Rows checked counts each table
-    of a rule once, however many of its columns were tested.
+    Each table is read once for its row conditions, and once more for its duplicates. Orders, stock and wastage are
+    grouped on the way, by place, item and unit; the rules on references, units and stock read those small groups.
+    Rows checked counts each table of a rule once, however many of its columns were tested.
     """
-    frames = [_row_rules(t, strict, as_of), *[rule(t, strict=strict) for rule in WIDE_RULES]]
+    parts = _by_table(strict, as_of)
+    frames = [tally(t[name], own) for name, own in parts.items() if name not in GROUPED]
+    on = ["menu_item_id", "restaurant_id"]
+    stock_parts, waste = parts.get("Inventory", {}), t["Wastage"]
+    groups = {
+        "Orders": _groups(t["Orders"], "Orders", parts["Orders"]),
+        "Inventory": _groups(t["Inventory"], "Inventory", stock_parts, F.max("closing_quantity").alias("max_closing")),
+    }
+    waste_parts = dict(parts.get("Wastage", {}))
+    if not strict:
+        stock = groups["Inventory"].groupBy(*on).agg(F.max("max_closing").alias("max_closing"))
+        waste, above = _above_stock(waste, stock)
+        waste_parts["impossible_wastage", "Wastage"] = above
+    groups["Wastage"] = _groups(waste, "Wastage", waste_parts)
+    for name, own in (("Orders", parts["Orders"]), ("Inventory", stock_parts), ("Wastage", waste_parts)):
+        if own:
+            frames.append(_tally_groups(groups[name], own))
+    frames += [duplicate_orders(t, strict), duplicate_lines(t, strict)]
+    frames += [rule(t, strict, groups) for rule in (invalid_restaurant_ids, inconsistent_units, invalid_locations)]
     if strict:
-        frames.append(steep_prices(t))
+        frames += [impossible_wastage(t, strict), steep_prices(t)]
     per_table = _union(frames).groupBy("rule", F.substring_index("part", ".", 1).alias("tbl")).agg(
         F.sum("bad").alias("bad"), F.max("checked").alias("checked")
     )

@@ -412,6 +412,9 @@ query("duplicate_transactions")(
 query("unexpected_demand")(lambda d: anomalies.unexpected_demand(d.lines, d.orders))
 query("weekday_spike")(lambda d: anomalies.weekday_spike(_daily(d)))
 query("kpi_changes")(lambda d: anomalies.kpi_changes(d.orders))
+query("rule_anomalies_combined")(
+    lambda d: anomalies.rule_anomalies(anomalies.kpi_changes(d.orders, "order_channel"), "orders_change_pct >= 5 and order_channel <> '5-LOW' and revenue_change_pct > 10")
+)
 query("rule_anomalies")(lambda d: anomalies.rule_anomalies(anomalies.kpi_changes(d.orders), "revenue_change_pct > 20"))
 
 
@@ -613,6 +616,11 @@ def _findings(d: Retail) -> dict[str, DataFrame]:
 
 query("location_intelligence")(lambda d: recommend.location_intelligence(_cases(d)))
 query("recommendations")(lambda d: _findings(d)["all"])
+query("report_of_days")(
+    lambda d: recommend.filter_report(
+        features.order_features(d), {"order_status": "completed"}, {"order_total": 100}, {"basket_size": 5}, ("order_timestamp", "1996-03-05", "1996-04-02")
+    ).select("order_id", "order_timestamp", "order_channel", "basket_size", F.col("order_total").cast("double").alias("order_total"))
+)
 query("recommendation_search")(
     lambda d: recommend.search_recommendations(_findings(d)["all"], priority="Medium", q="Econ")
 )

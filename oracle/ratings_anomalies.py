@@ -46,5 +46,6 @@ SQL = {
       nb AS (SELECT menu_item_id, date, qty, list_median AS baseline FROM (SELECT *, list_aggregate([lag(qty, 7) OVER w, lag(qty, 14) OVER w, lead(qty, 7) OVER w, lead(qty, 14) OVER w], 'median') AS list_median FROM dense WINDOW w AS (PARTITION BY menu_item_id ORDER BY date)))
       SELECT * FROM nb WHERE qty >= 5 * baseline AND baseline >= 3"""),
     "kpi_changes": with_views(f", {KPI} SELECT * FROM kpi"),
+    "rule_anomalies_combined": with_views(f", {KPI.replace('restaurant_id', 'order_channel')} SELECT *, 'orders_change_pct >= 5 and order_channel <> ''5-LOW'' and revenue_change_pct > 10' AS rule FROM kpi WHERE orders_change_pct >= 5 AND order_channel <> '5-LOW' AND revenue_change_pct > 10"),
     "rule_anomalies": with_views(f", {KPI} SELECT *, 'revenue_change_pct > 20' AS rule FROM kpi WHERE revenue_change_pct > 20"),
 }

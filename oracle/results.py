@@ -4,7 +4,7 @@ from larder.operators.models import NUMERIC
 from larder.operators.recommend import STANDARD_SCENARIOS
 from larder.sources.schemas import TABLES
 from oracle.customers import CHANNELS
-from oracle.features import CUSTOMER, ITEM
+from oracle.features import CUSTOMER, ITEM, ORDER
 from oracle.menu import CASES, CLASSES, KNOWN, PERF, PROFIT, SIMPLE_SLOW
 from oracle.views import TABLE_VIEWS, r, ratio, ratio0, with_views
 
@@ -54,6 +54,7 @@ ORDER_TYPES = [("order_id", "bigint"), ("customer_id", "bigint"), ("restaurant_i
 SQL = {
     "location_intelligence": with_views(f", {ITEM}, {PROFIT}, {CASES}, {LOC} SELECT * FROM loc"),
     "recommendations": with_views(f", {RECS} SELECT * FROM recs"),
+    "report_of_days": with_views(f", {ORDER} SELECT order_id, order_timestamp, order_channel, basket_size, order_total FROM order_features WHERE order_status = 'completed' AND order_total >= 100 AND basket_size <= 5 AND CAST(order_timestamp AS DATE) BETWEEN DATE '1996-03-05' AND DATE '1996-04-02'"),
     "recommendation_search": with_views(f", {RECS} SELECT * FROM recs WHERE priority = 'Medium' AND (lower(finding) LIKE '%econ%' OR lower(evidence) LIKE '%econ%' OR lower(item_name) LIKE '%econ%')"),
     "what_if": with_views(f", {WHATIF} SELECT * FROM whatif"),
     "what_if_top_item": with_views(f", {WHATIF} SELECT * FROM whatif WHERE menu_item_id = (SELECT menu_item_id FROM known_items ORDER BY revenue DESC, menu_item_id LIMIT 1)"),

@@ -302,3 +302,19 @@ def test_limits_are_the_callers(spark):
 def test_scenario_texts_follow_the_parameters():
     assert recommend.Scenario("s", demand_change=-0.05, price_change=0.1).assumption == "demand down 5%, price up 10%"
     assert recommend.Scenario("s", removal=True).assumption == "item off the menu"
+
+
+def test_rules_as_text(spark):
+    kinds = {"revenue": "double", "orders": "bigint", "channel": "string"}
+    frame = spark.createDataFrame([(1.0, 5, "web"), (30.0, 9, "a and b"), (25.0, 2, "web"), (None, 9, None)], "revenue double, orders bigint, channel string")
+
+    def rows(rule):
+        return {(r.revenue, r.orders) for r in anomalies.rule_anomalies(frame, rule).collect()}
+
+    assert rows("revenue > 20") == {(30.0, 9), (25.0, 2)}
+    assert rows("revenue>=25 AND orders < 5") == {(25.0, 2)}
+    assert rows("channel = 'a and b' and revenue > -1.5") == {(30.0, 9)}
+    assert rows("orders != 9") == {(1.0, 5), (25.0, 2)}
+    for bad in ("", "revenue", "revenue > ", "profit > 3", "revenue > 'x'", "channel = 3", "revenue > 3 or orders > 1", "revenue > (SELECT 1)", "revenue > 3; x", "java_method('a') = 1"):
+        with pytest.raises(anomalies.RuleError):
+            anomalies.rule_condition(bad, kinds)
