@@ -20,7 +20,6 @@ from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, Stru
 
 from larder.llm.common import with_derived
 
-NAME_CHARS = 200  # an address's name is no longer
 KINDS = ("email", "ip", "card", "phone")
 
 FOUND = ArrayType(
@@ -80,17 +79,24 @@ def _alternatives(words) -> str:
 WORD_DIGITS = {w: d for d, words in DIGIT_WORDS.items() for w in words}
 DIGIT_NAMES = frozenset(WORD_DIGITS)
 WORDS = re.compile(r"\w+")
+BLANKS = r"[\x20\t\r\n\x0b\x0c]"
 _WORD = rf"(?:{_alternatives(WORD_DIGITS)})(?!\w)"
-_TOKEN = rf"(?:(?:(?:double|triple)\x20)?{_WORD}|[0-9]++)"
-SPELLED = re.compile(rf"(?<!\w)(?:\+|plus\x20)?{_TOKEN}(?:(?:,?\x20|-){_TOKEN}){{2,}}", re.I)
-SPELLED_WORD = re.compile(rf"(?<!\w)(plus\x20)?(?:(double|triple)\x20)?({_WORD})|(?<!\w)(plus)\x20(?=[0-9])|(,)(?=\x20)", re.I)
-BRACKETED = re.compile(rf"\x20?[\[({{<]\x20?(?:({AT}|@)|(?:{DOT}|\.))\x20?[\])}}>]\x20?", re.I)
-DASHED = re.compile(rf"(?<=[A-Za-z0-9])([-_*|~])(?:({AT})|(?:{DOT}))\1(?=[A-Za-z0-9])", re.I)
-_LABEL = r"[A-Za-z0-9-]{1,63}"
-WORDED_EMAIL = re.compile(rf"(?<=[A-Za-z0-9._%+-])(\x20(?:{AT})\x20|@)({_LABEL}(?:(?:\x20(?:{DOT})\x20|\.){_LABEL})*\x20(?:{DOT})\x20{_LABEL}(?:(?:\x20(?:{DOT})\x20|\.){_LABEL})*)", re.I)
-SPACED_AT = re.compile(rf"(?<=[A-Za-z0-9._%+-])\x20@\x20(?={_LABEL}\.[A-Za-z0-9-])")
-WORDED_DOT = re.compile(rf"\x20(?:{DOT})\x20", re.I)
-WORDED_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:(?:\x20(?:{DOT})\x20|\.)[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
+_TOKEN = rf"(?:(?:(?:double|triple){BLANKS}++)?{_WORD}|[0-9]++)"
+SPELLED = re.compile(rf"(?<!\w)(?:\+|plus{BLANKS}++)?{_TOKEN}(?:(?:,?{BLANKS}++|-){_TOKEN}){{2,}}", re.I)
+SPELLED_WORD = re.compile(rf"(?<!\w)(plus{BLANKS}++)?(?:(double|triple){BLANKS}++)?({_WORD})|(?<!\w)(plus){BLANKS}++(?=[0-9])|(,)(?={BLANKS})|({BLANKS}++)", re.I)
+BRACKETED = re.compile(rf"[\[({{<]{BLANKS}*+(?:({AT}|@)|(?:{DOT}|\.)){BLANKS}*+[\])}}>]", re.I)
+# signs of an address in words: between blanks, or between two of the same dash
+DASHES = r"[-_*|~]"
+_LABEL = rf"(?:(?!-(?:{DOT}|{AT})-)[A-Za-z0-9-])++"
+_SEP = rf"(?:{BLANKS}++(?:{DOT}){BLANKS}++|\.|(?P<dash>{DASHES})(?:{DOT})(?P=dash))"
+AT_SIGN = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?:{BLANKS}++(?:(?P<word>{AT})|(?P<spaced>@)){BLANKS}++|@|(?P<dash>{DASHES})(?:{AT})(?P=dash))(?=[A-Za-z0-9-])", re.I)
+DOMAIN_START = re.compile(rf"{_LABEL}{_SEP}{_LABEL}", re.I)
+DOMAIN_NEXT = re.compile(rf"(?P<sep>{_SEP}){_LABEL}", re.I)
+LABEL = re.compile(_LABEL, re.I)
+DASHED_DOT = re.compile(rf"(?<=[A-Za-z0-9])({DASHES})(?:{DOT})\1(?=[A-Za-z0-9])", re.I)
+WORDED_DOT = re.compile(rf"{BLANKS}++(?:{DOT}){BLANKS}++", re.I)
+DOT_WORDS = tuple(DOT.split("|"))
+WORDED_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:(?:{BLANKS}++(?:{DOT}){BLANKS}++|\.)[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
 
 Span = tuple[str, int, int]
 
@@ -220,40 +226,103 @@ def plain_characters(text: Mapped) -> Mapped:
 
 
 def bracketed_signs(text: Mapped) -> Mapped:
-    """At and dot in brackets; between dashes only if the text has both, so that plain hyphens stay."""
-    edits = [(m.start(), m.end(), "@" if m.group(1) else ".") for m in BRACKETED.finditer(text.text)]
-    dashed = [(m.start(), m.end(), "@" if m.group(2) else ".") for m in DASHED.finditer(text.text)]
-    if len({sign for *_, sign in dashed}) == 2:
-        edits = sorted([*edits, *dashed])
+    """At and dot in brackets, with the blanks around them."""
+    edits, free = [], 0
+    for m in BRACKETED.finditer(text.text):
+        lo, hi = _blanks_before(text.text, m.start(), free), m.end()
+        while hi < len(text.text) and text.text[hi] in BLANK:
+            hi += 1
+        edits.append((lo, hi, "@" if m.group(1) else "."))
+        free = hi
     return text.rewrite(edits)
 
 
 def spelled_digits(text: Mapped) -> Mapped:
-    """Digits for words, in runs of three or more words or numbers."""
+    """Digits for words, in runs of three or more words or numbers; blanks in such a run become single spaces."""
     edits = []
     for run in SPELLED.finditer(text.text):
         for m in SPELLED_WORD.finditer(text.text, run.start(), run.end()):
-            plus, times, word, bare_plus, comma = m.groups()
+            plus, times, word, bare_plus, comma, blanks = m.groups()
             if comma:
                 edits.append((m.start(), m.end(), ""))
-                continue
-            digit = WORD_DIGITS.get((word or "").lower(), "") * {"double": 2, "triple": 3}.get((times or "").lower(), 1)
-            edits.append((m.start(), m.end(), ("+" if plus or bare_plus else "") + digit))
+            elif blanks:
+                if blanks != " ":
+                    edits.append((m.start(), m.end(), " "))
+            else:
+                digit = WORD_DIGITS.get((word or "").lower(), "") * {"double": 2, "triple": 3}.get((times or "").lower(), 1)
+                edits.append((m.start(), m.end(), ("+" if plus or bare_plus else "") + digit))
     return text.rewrite(edits)
 
 
+BLANK = " \t\r\n\x0b\x0c"
+
+
+def _blanks_before(text: str, at: int, free: int) -> int:
+    """Where the run of blanks before a place starts."""
+    while at > free and text[at - 1] in BLANK:
+        at -= 1
+    return at
+
+
+def _name_before(text: str, at: int, free: int) -> int:
+    """Where the run of address characters before a place starts."""
+    while at > free and text[at - 1] in LOCAL:
+        at -= 1
+    return at
+
+
+def _dot_before(text: str, at: int, free: int) -> int:
+    """Where a worded dot that ends at a place starts; the place itself if there is none."""
+    end = _blanks_before(text, at, free)
+    if end == at:
+        return at
+    for word in DOT_WORDS:
+        start = end - len(word)
+        if start > free and text[start:end].lower() == word:
+            first = _blanks_before(text, start, free)
+            return first if first < start else at
+    return at
+
+
+def worded_addresses(text: str) -> Iterator[tuple[int, int, str]]:
+    """Edits that make addresses of names, signs in words or between blanks or dashes, and domains.
+
+    A domain has two labels at least. A worded at needs a worded dot somewhere in the address, or a name that looks like
+    one of an address: with a letter, and with a digit or a sign. So "look at example.com" is prose.
+    """
+    free = 0
+    for m in AT_SIGN.finditer(text):
+        if m.start() < free or not DOMAIN_START.match(text, m.end()):
+            continue
+        dots, end = [], LABEL.match(text, m.end()).end()
+        while following := DOMAIN_NEXT.match(text, end):
+            if following.group("sep") != ".":
+                dots.append(following.span("sep"))
+            end = following.end()
+        start = name = _name_before(text, m.start(), free)
+        if m.group("dash"):
+            dots += [d.span() for d in DASHED_DOT.finditer(text, name, m.start())]
+        before = []
+        while (dot := _dot_before(text, start, free)) < start and (label := _name_before(text, dot, free)) < dot:
+            before.append((dot, start))
+            start = label
+        known = text[name : m.start()]
+        like_a_name = any(c.isalpha() for c in known) and any(c in "0123456789._%+" for c in known.strip("."))
+        if m.group("word"):
+            sure = bool(dots or before) or like_a_name
+        elif m.group("dash") or m.group("spaced"):
+            sure = True
+        else:
+            sure = bool(dots)  # the rest needs no edit
+        if not sure:
+            continue
+        free = end
+        yield from sorted([*((a, b, ".") for a, b in [*dots, *before]), (m.start(), m.end(), "@")])
+
+
 def worded_signs(text: Mapped) -> Mapped:
     """At and dot as words, where the words around make an address of them."""
-    edits = [(m.start(), m.end(), "@") for m in SPACED_AT.finditer(text.text)]
-    for m in WORDED_EMAIL.finditer(text.text):
-        edits.append((m.start(1), m.end(1), "@"))
-        dots = list(WORDED_DOT.finditer(text.text, m.start(2), m.end(2)))
-        # the part before the at may have dots of the same word
-        name = re.compile(rf"(?:[A-Za-z0-9_%+-]+{re.escape(dots[0].group())})+[A-Za-z0-9_%+-]+\Z")
-        if before := name.search(text.text[max(0, m.start(1) - NAME_CHARS) : m.start(1)]):
-            shift = max(0, m.start(1) - NAME_CHARS)
-            dots += WORDED_DOT.finditer(text.text, before.start() + shift, m.start(1))
-        edits += [(d.start(), d.end(), ".") for d in dots]
+    edits = list(worded_addresses(text.text))
     for m in WORDED_IP.finditer(text.text):
         edits += [(d.start(), d.end(), ".") for d in WORDED_DOT.finditer(text.text, m.start(), m.end())]
     return text.rewrite(sorted(set(edits)))
@@ -270,10 +339,12 @@ def may_be_disguised(text: str) -> bool:
     """A quick test that is true of every text the transducers would change."""
     if has_lookalikes(text):
         return True
-    low = text.lower()
-    if " dot " in low or " punkt " in low or " point " in low or " punto " in low or " @ " in low:
+    if any(c in text for c in "[({<") and BRACKETED.search(text):
         return True
-    if any(c in text for c in "[({<") and BRACKETED.search(text) or any(w in low for w in ("at-", "at_", "at*", "at|", "at~")) and DASHED.search(text):
+    if next(worded_addresses(text), None):
+        return True
+    low = text.lower()
+    if any(word in low for word in DOT_WORDS) and (m := WORDED_IP.search(text)) and WORDED_DOT.search(m.group()):
         return True
     return not DIGIT_NAMES.isdisjoint(WORDS.findall(low)) and bool(SPELLED.search(text))
 
