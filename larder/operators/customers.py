@@ -135,9 +135,14 @@ def kmeans_search(df: DataFrame, ks: Iterable[int] = range(3, 9), seed: int = DE
 
 
 def segment_customers(df: DataFrame, k: int = 6, seed: int = DEFAULTS.seed) -> DataFrame:
+    return fit_segments(df, k, seed)[0].drop("features")
+
+
+def fit_segments(df: DataFrame, k: int = 6, seed: int = DEFAULTS.seed) -> tuple[DataFrame, list[list[float]]]:
+    """The customers with their scaled features and cluster, and the centres."""
     scaled = _scaled(df)
     model = KMeans(k=k, seed=seed, predictionCol="cluster").fit(scaled)
-    return model.transform(scaled).drop("features")
+    return model.transform(scaled), [centre.tolist() for centre in model.clusterCenters()]
 
 
 # fixed values: segment names and their conditions, the first that holds

