@@ -20,6 +20,7 @@ their units are taken apart into windows, dealt by all their bytes, of which eac
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,11 @@ from larder.llm.common import fresh, slices, without
 
 SPAN = 200
 GRAM = 8
-PART_BYTES = 8 << 20  # of text, for each piece of the exchange
+PART_BYTES = 2 << 20  # of text, for each part of the exchange
 CROWDED = 50_000  # units of one key beyond which they are taken apart
-CROWDED_PARTS = 64  # times as many pieces for those
+CROWDED_PARTS = 16  # times as many parts for those
 PIECE = 4 << 20  # bytes of text at a time
-RUN = 1 << 14  # units of a run
+RUN = 1 << 15  # units of a run
 
 _MULTIPLY, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
@@ -119,24 +120,41 @@ def _packed(anchor: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray
     return (anchor << 16) | (near << 8) | far
 
 
+class Units(NamedTuple):
+    """Units taken out of their texts: rows of `ahead` (the suffix, zeros where no window reads) and `before` (backwards from the anchor)."""
+
+    ahead: np.ndarray
+    before: np.ndarray
+    near: np.ndarray
+    far: np.ndarray
+    ids: np.ndarray  # rows of ID_BYTES
+    place: np.ndarray
+    crowded: np.ndarray
+
+    def take(self, which: np.ndarray) -> Units:
+        return Units(*(column[which] for column in self))
+
+    @classmethod
+    def joined(cls, parts: list[Units]) -> Units:
+        return cls(*map(np.concatenate, zip(*parts))) if len(parts) > 1 else parts[0]
+
+
 class Run:
-    """Units sorted by suffix: rows of `ahead` (the suffix, zeros where no window reads), `before` (backwards from the anchor).
+    """Units sorted by suffix, equal ones once.
 
-    Equal units are sent once. `again` tells which of those sent are known to have an equal, in the run or, as `known`
-    says, outside; `repeated` are all units that the run itself finds to have one.
+    `once` are those sent, `again` tells which of them are known to have an equal, in the run or, as `known` says,
+    outside; `repeated` are all units that the run itself finds to have one.
     """
 
-    def __init__(self, ahead: np.ndarray, before: np.ndarray, near: np.ndarray, far: np.ndarray, owner: np.ndarray, place: np.ndarray, known: np.ndarray) -> None:
-        whole = np.concatenate([ahead, before, near[:, None].astype(np.uint8), far[:, None].astype(np.uint8)], axis=1)
+    def __init__(self, own: Units, known: np.ndarray) -> None:
+        whole = np.concatenate([own.ahead, own.before, own.near[:, None].astype(np.uint8), own.far[:, None].astype(np.uint8)], axis=1)
         order = np.argsort(whole.view(f"S{whole.shape[1]}").ravel(), kind="stable")
         whole = whole[order]
         new = np.concatenate([[True], (whole[1:] != whole[:-1]).any(axis=1)])
         kind = np.cumsum(new) - 1
         twice = np.bincount(kind) > 1
-        self.once = order[new]
         self.again = twice | (np.bincount(kind, known[order]) > 0)
-        self.repeated = order[twice[kind] & ~known[order]]
-        self.ahead, self.before, self.near, self.far, self.owner, self.place = ahead, before, near, far, owner, place
+        self.once, self.repeated = own.take(order[new]), own.take(order[twice[kind] & ~known[order]])
 
 
 def shared_with_previous(rows: np.ndarray) -> np.ndarray:
@@ -146,66 +164,75 @@ def shared_with_previous(rows: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros(min(1, len(rows)), np.int64), length])
 
 
-def _marked(run: Run, ids: list[bytes], span: int, parts: int) -> Iterator[tuple]:
+def _marked(run: Run, span: int, parts: int) -> Iterator[tuple]:
     """A row of RUNS with the windows that the run itself knows to be repeated."""
-    if len(own := run.repeated):
-        start, stop = run.place[own] - run.far[own], run.place[own] - run.near[own] + span
-        names = b"".join(map(ids.__getitem__, run.owner[own].tolist()))
-        yield -1 - int(run.place[own].sum()) % (parts * CROWDED_PARTS), len(own), *[None] * 6, names, start.astype("<i8").tobytes(), stop.astype("<i8").tobytes()
+    own = run.repeated
+    if len(own.place):
+        start, stop = own.place - own.far, own.place - own.near + span
+        yield -1 - int(own.place.sum()) % parts, len(start), *[None] * 6, own.ids.tobytes(), start.astype("<i8").tobytes(), stop.astype("<i8").tobytes()
 
 
-def _pieces(run: Run, ids: list[bytes], span: int, part: np.ndarray) -> Iterator[tuple]:
+def _pieces(run: Run, span: int, part: np.ndarray) -> Iterator[tuple]:
     """Rows of RUNS: the run front-coded for each receiver; `part` is that of each unit sent."""
     order = np.argsort(part, kind="stable")
     cuts = np.flatnonzero(np.diff(part[order])) + 1
     for some in np.split(order, cuts):
-        own = run.once[some]
-        ahead, near, far = run.ahead[own], run.near[own], run.far[own]
-        shared = shared_with_previous(ahead)
+        own = run.once.take(some)
+        shared = shared_with_previous(own.ahead)
         column = np.arange(span)
-        tails = ahead[(column >= shared[:, None]) & (column < (span - near)[:, None])]
-        before = run.before[own][np.arange(run.before.shape[1]) < far[:, None]]
+        tails = own.ahead[(column >= shared[:, None]) & (column < (span - own.near)[:, None])]
+        before = own.before[np.arange(own.before.shape[1]) < own.far[:, None]]
         yield (
-            int(part[some[0]]), len(own), shared.astype("<u2").tobytes(), tails.tobytes(), before.tobytes(), near.astype(np.uint8).tobytes(),
-            far.astype(np.uint8).tobytes(), run.again[some].astype(np.uint8).tobytes(), b"".join(map(ids.__getitem__, run.owner[own].tolist())),
-            run.place[own].astype("<i8").tobytes(), None,
+            int(part[some[0]]), len(some), shared.astype("<u2").tobytes(), tails.tobytes(), before.tobytes(), own.near.astype(np.uint8).tobytes(),
+            own.far.astype(np.uint8).tobytes(), run.again[some].astype(np.uint8).tobytes(), own.ids.tobytes(), own.place.astype("<i8").tobytes(), None,
         )
 
 
-def runs_of(texts: list[bytes], ids: list[bytes], owner: np.ndarray, packed: np.ndarray, crowded: np.ndarray, span: int, parts: int) -> Iterator[tuple]:
-    """Rows of RUNS for the units at `packed` places of the texts; crowded ones go as single windows."""
+def _gathered(texts: list[bytes], ids: np.ndarray, owner: np.ndarray, packed: np.ndarray, crowded: np.ndarray, span: int) -> Iterator[Units]:
+    """The units at `packed` places of the texts, at most RUN at a time."""
     reach = reach_of(span)
     lengths = np.array([len(t) for t in texts], np.int64)
     first = np.cumsum(lengths) - lengths + reach
     buffer = np.frombuffer(b"".join([bytes(reach), *texts, bytes(span)]), np.uint8)
     forward = np.lib.stride_tricks.sliding_window_view(buffer, span)
     backward = np.lib.stride_tricks.sliding_window_view(buffer, reach - 1)
-    place, near, far = packed >> 16, (packed >> 8) & 255, packed & 255
-
-    def run_of(own: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, known: np.ndarray) -> Run:
-        ahead = forward[first[own] + at] * (np.arange(span) < (span - lo)[:, None])
-        before = backward[first[own] + at - reach + 1][:, ::-1] * (np.arange(reach - 1) < hi[:, None])
-        return Run(ahead.astype(np.uint8), before.astype(np.uint8), lo, hi, own, at, known)
-
+    for at in range(0, len(packed), RUN):
+        own, unit = owner[at : at + RUN], packed[at : at + RUN]
+        place, near, far = unit >> 16, (unit >> 8) & 255, unit & 255
+        ahead = forward[first[own] + place] * (np.arange(span) < (span - near)[:, None])
+        before = backward[first[own] + place - reach + 1][:, ::-1] * (np.arange(reach - 1) < far[:, None])
+        yield Units(ahead, before, near, far, ids[own], place, crowded[at : at + RUN])
+
+
+def _apart(own: Units, span: int) -> Units:
+    """The windows of the units as units of their own, with nothing before their anchors."""
+    count = own.far - own.near + 1
+    unit = np.repeat(np.arange(len(count)), count)
+    back = np.arange(len(unit)) - np.repeat(np.cumsum(count) - count, count) + own.near[unit]
+    text = np.concatenate([own.before[:, ::-1], own.ahead], axis=1)  # the anchor is at before's width
+    rows = np.lib.stride_tricks.sliding_window_view(text, span, axis=1)[unit, own.before.shape[1] - back]
+    none = np.zeros(len(unit), np.int64)
+    return Units(rows, np.zeros((len(unit), own.before.shape[1]), np.uint8), none, none, own.ids[unit], own.place[unit] - back, own.crowded[unit])
+
+
+def runs_of(own: Units, span: int, parts: int) -> Iterator[tuple]:
+    """Rows of RUNS for a run of units; crowded ones go as single windows, after equal ones are one."""
+    reach = reach_of(span)
     for flag in (False, True):
-        which = np.flatnonzero(crowded == flag)
-        for start in range(0, len(which), RUN):
-            some = which[start : start + RUN]
-            run = run_of(owner[some], place[some], near[some], far[some], np.zeros(len(some), bool))
-            yield from _marked(run, ids, span, parts)
-            if not flag:
-                yield from _pieces(run, ids, span, (_hash(run.ahead[run.once][:, : span - reach + 1]) % np.uint64(parts)).astype(np.int64))
-                continue
-            # equal units are one by now; the others are taken apart, about a run of windows at a time
-            for at in range(0, len(run.once), max(1, RUN // reach)):
-                kept, again = run.once[at : at + max(1, RUN // reach)], run.again[at : at + max(1, RUN // reach)]
-                count = (run.far - run.near + 1)[kept]
-                unit = np.repeat(kept, count)
-                back = np.arange(len(unit)) - np.repeat(np.cumsum(count) - count, count) + run.near[unit]
-                none = np.zeros(len(unit), np.int64)
-                windows = run_of(run.owner[unit], run.place[unit] - back, none, none, np.repeat(again, count))
-                yield from _marked(windows, ids, span, parts)
-                yield from _pieces(windows, ids, span, parts + (_hash(windows.ahead[windows.once]) % np.uint64(parts * CROWDED_PARTS)).astype(np.int64))
+        which = np.flatnonzero(own.crowded == flag)
+        if not len(which):
+            continue
+        run = Run(own.take(which), np.zeros(len(which), bool))
+        yield from _marked(run, span, parts)
+        if not flag:
+            yield from _pieces(run, span, (_hash(run.once.ahead[:, : span - reach + 1]) % np.uint64(parts)).astype(np.int64))
+            continue
+        step = max(1, RUN // reach)
+        for at in range(0, len(run.again), step):
+            some = run.once.take(np.arange(at, min(at + step, len(run.again))))
+            windows = Run(_apart(some, span), np.repeat(run.again[at : at + step], some.far - some.near + 1))
+            yield from _marked(windows, span, parts)
+            yield from _pieces(windows, span, parts + (_hash(windows.once.ahead) % np.uint64(parts * CROWDED_PARTS)).astype(np.int64))
 
 
 def decode(shared: np.ndarray, tails: bytes, near: np.ndarray, span: int) -> list[bytes]:
@@ -400,14 +427,28 @@ def spans_of(classes: DataFrame, parts: int, span: int = SPAN, crowded: int = CR
     kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 9]
 
     def sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[Units] = []
+        size = 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            rows = list(runs_of(Units.joined(held), span, parts)) if held else []
+            for at in range(0, len(rows), 64):
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows[at : at + 64]), kinds)], names=schema.fieldNames())
+
         for batch in batches:
-            for part in slices(batch, 1, 4 * PIECE):
+            for part in slices(batch, 1, PIECE):
                 listed = part.column(3)
                 flat = listed.flatten()
                 owner = np.repeat(np.arange(len(part)), listed.value_lengths().to_numpy())
                 unit, flags = flat.field("unit").to_numpy(), flat.field("crowded").to_numpy(zero_copy_only=False)
-                for row in runs_of(part.column(1).to_pylist(), part.column(0).to_pylist(), owner, unit, flags, span, parts):
-                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=schema.fieldNames())
+                ids = np.frombuffer(b"".join(part.column(0).to_pylist()), np.uint8).reshape(-1, ID_BYTES)
+                for some in _gathered(part.column(1).to_pylist(), ids, owner, unit, flags, span):
+                    if held and size + len(some.place) > RUN:
+                        yield from sent()
+                        held, size = [], 0
+                    held.append(some)
+                    size += len(some.place)
+        yield from sent()
 
     found = texts.mapInArrow(sorted_runs, schema).groupBy("part").applyInArrow(lambda rows: _merged(rows, span), "id binary, start long, end long")
     return found.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("found")).select(F.col("id").alias("in"), "found")
