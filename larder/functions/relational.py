@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.sources.staging import settle
+
 QUANTILE_ACCURACY = 10_000
 QUANTILE_CELLS = 200
 
@@ -21,33 +23,34 @@ def exact_quantiles(df: DataFrame, spec: Mapping[str, tuple[str, float]]) -> Dat
 
     A mergeable sketch brackets each quantile, and a second one within the bracket narrows it to a few of its
     QUANTILE_CELLS cells. One aggregation then counts the values below, groups those inside and keeps the nearest
-    value on either side. About 6 / QUANTILE_ACCURACY / QUANTILE_CELLS of the rows reach the final sort.
+    value on either side. About 6 / QUANTILE_ACCURACY / QUANTILE_CELLS of the rows reach the final sort. The frame is
+    evaluated once, into a stage table of the columns asked for, which the passes read; the brackets are two numbers each.
     """
     names = list(spec)
     eps = 2.0 / QUANTILE_ACCURACY
-    values = df.select(*[F.col(c).cast("double").alias(n) for n, (c, _) in spec.items()])
+    values = settle(df.select(*[F.col(c).cast("double").alias(n) for n, (c, _) in spec.items()]), "quantile_values")
     bracket = values.agg(
         *[F.percentile_approx(n, [max(0.0, p - eps), min(1.0, p + eps)], QUANTILE_ACCURACY).alias(n) for n, (_, p) in spec.items()]
     )
-    bracketed = values.withColumn("_b", bracket.select(F.struct(*names)).scalar())
+    ends = _ends(bracket)
     cells = []
     for n, (_, p) in spec.items():
-        inside = F.when(F.col(n).between(F.col("_b")[n][0], F.col("_b")[n][1]), F.col(n))
-        place = (F.count(n) - 1) * p - F.count_if(F.col(n) < F.col("_b")[n][0])
+        inside = F.when(F.col(n).between(*ends[n]), F.col(n))
+        place = (F.count(n) - 1) * p - F.count_if(F.col(n) < ends[n][0])
         share = F.least(F.lit(1.0), F.greatest(F.lit(0.0), place / F.nullif(F.count(inside), F.lit(0))))
         grid = F.percentile_approx(inside, [i / QUANTILE_CELLS for i in range(QUANTILE_CELLS + 1)], QUANTILE_ACCURACY)
         low, high = F.floor(share * QUANTILE_CELLS) - 1, F.ceil(share * QUANTILE_CELLS) + 1
-        ends = [F.greatest(low, F.lit(0)), F.least(high, F.lit(QUANTILE_CELLS))]
-        cells.append(F.array(*[F.get(grid, end.cast("int")) for end in ends]).alias(n))
-    narrowed = values.withColumn("_b", bracketed.agg(*cells).select(F.struct(*names)).scalar())
+        at = [F.greatest(low, F.lit(0)), F.least(high, F.lit(QUANTILE_CELLS))]
+        cells.append(F.array(*[F.get(grid, end.cast("int")) for end in at]).alias(n))
+    ends = _ends(values.agg(*cells))
     entries = []
     for n in names:
-        side = F.when(F.col(n) < F.col("_b")[n][0], -1).when(F.col(n) > F.col("_b")[n][1], 1).otherwise(0)
+        side = F.when(F.col(n) < ends[n][0], -1).when(F.col(n) > ends[n][1], 1).otherwise(0)
         entry = [F.lit(n).alias("name"), F.lit(float(spec[n][1])).alias("p"), side.alias("side"), F.col(n).alias("x")]
         entries.append(F.struct(*entry))
     inside = F.when(F.col("side") == 0, F.col("x"))
     hist = (
-        narrowed.select(F.explode(F.array(*entries)).alias("e"))
+        values.select(F.explode(F.array(*entries)).alias("e"))
         .select("e.*")
         .where("x IS NOT NULL")
         .groupBy("name", "p", "side", inside.alias("at"))
@@ -73,6 +76,12 @@ def exact_quantiles(df: DataFrame, spec: Mapping[str, tuple[str, float]]) -> Dat
     return picked.agg(*[F.max(F.when(F.col("name") == n, F.col("q"))).alias(n) for n in names])
 
 
+def _ends(one_row: DataFrame) -> dict[str, list[Column]]:
+    """The two numbers in each column of a one-row frame, as literals."""
+    row = one_row.first()
+    return {n: [F.lit(x).cast("double") for x in (row[n] if row[n] is not None else (None, None))] for n in one_row.columns}
+
+
 def with_thresholds(df: DataFrame, spec: Mapping[str, tuple[str, float]], source: DataFrame | None = None) -> DataFrame:
     """Add quantile columns of ``source`` (default: ``df`` itself) to every row."""
     return with_scalars(df, exact_quantiles(source if source is not None else df, spec))

@@ -113,7 +113,8 @@ def item_features(t: Tables, split_month: int = 6) -> DataFrame:
     )
     joined = with_scalars(
         base.join(names, "menu_item_id", "left").join(item_totals(t), "menu_item_id", "left").join(halves, "menu_item_id", "left"),
-        s.agg(F.countDistinct("order_id").alias("total_orders")),
+        # orders with a line, from the keys alone
+        t["Orders"].select("order_id").distinct().join(t["Order_Items"].select("order_id"), "order_id", "left_semi").agg(F.count("*").alias("total_orders")),
     )
     joined = joined.withColumns({"revenue": F.col("gross"), "contribution_margin": F.col("line_margin")})
     d = dbl("discount_amount")
