@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
 from larder.llm.common import with_derived
+from larder.sources.staging import settle
 
 SEGMENT = 128
 WIDTH = 5
 FILTERS = 16
 SAMPLE = 3000
-SAMPLE_TEXT_BYTES = 16_384
+SAMPLE_BYTES = 48 << 20
 EPOCHS = 12
 BATCH = 48
 RATE = 0.015
@@ -131,20 +132,33 @@ def fit(raw: list[bytes], label: np.ndarray, epochs: int = EPOCHS) -> Model:
     return Model(values[0], values[1], values[2], float(values[3]))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, text_bytes: int = SAMPLE_TEXT_BYTES) -> Model:
-    """Fit on about `sample` labelled documents, chosen by the key's hash, of at most `text_bytes` bytes each.
+def _last_point(sizes: list[tuple[int, int]], most: int) -> int:
+    """The last hash at which fewer than `most` bytes have gone before."""
+    last, before = -1, 0
+    for point, size in sizes:
+        if before >= most:
+            break
+        last, before = point, before + size
+    return last
 
-    So at most sample x text_bytes bytes reach the driver. Rows with a null key, label or text are not used; a document
-    labelled twice counts twice.
+
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on about `sample` labelled documents, whole texts of any length, chosen by the key's hash.
+
+    They are taken in the order of the hash until `sample_bytes` are reached, so that the length of a text doesn't decide
+    whether it is drawn; that many bytes and one text more reach the driver at most. Rows with a null key, label or text
+    are not used; a document labelled twice counts twice.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(key, F.col(label).cast("double").alias("label"))
     total = known.count()
     if not total:
         return fit([], np.zeros(0))
     point = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30))
-    chosen = known.where(point < int((1 << 30) * min(1.0, sample / total)))
-    texts = docs.where(F.octet_length(text) <= text_bytes).select(F.col(key).alias("id"), F.col(text).alias("body"))
-    rows = texts.join(chosen, F.col("id") == F.col(key)).select("id", "label", F.encode("body", "UTF-8").alias("raw")).collect()
+    chosen = known.withColumn("point", point).where(F.col("point") < int((1 << 30) * min(1.0, sample / total)))
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.encode(text, "UTF-8").alias("raw"))
+    drawn = settle(texts.join(chosen, F.col("id") == F.col(key)).select("id", "label", "point", "raw"), "labelled_sample")
+    last = _last_point(sorted((r.point, r.n) for r in drawn.select("point", F.octet_length("raw").alias("n")).collect()), sample_bytes)
+    rows = drawn.where(F.col("point") <= last).collect()
     rows.sort(key=lambda r: (str(r.id), bytes(r.raw), r.label))
     return fit([bytes(r.raw) for r in rows], np.array([float(r.label > 0) for r in rows]))
 

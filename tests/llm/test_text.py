@@ -317,3 +317,19 @@ def test_languages_above_the_bound_are_an_error(spark):
     rows = [(i, "some words", f"l{i}", "host0", 0) for i in range(257)]
     with pytest.raises(ValueError, match="more than 256 languages"):
         langid.train(documents(spark, rows))
+
+
+def test_quality_sample_takes_long_texts_within_its_bytes(spark):
+    rows = [(i, ("word " * (40_000 if i % 10 == 0 else 20)) + str(i), "en", "h", 0) for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(120)], "doc_id long, quality int")
+    seen = []
+    original = quality.fit
+    try:
+        quality.fit = lambda texts, y: seen.append(texts) or original(texts[:8], y[:8])
+        quality.train(documents(spark, rows), labels)
+        quality.train(documents(spark, rows), labels, sample_bytes=500_000)
+    finally:
+        quality.fit = original
+    assert len(seen[0]) == 120 and sum(len(t) > 16_384 for t in seen[0]) == 12
+    assert 500_000 <= sum(map(len, seen[1])) <= 500_000 + 200_010 and len(seen[1]) < 120
+    assert quality._last_point([], 5) == -1 and quality._last_point([(3, 9), (5, 1)], 1) == 3
