@@ -846,6 +846,32 @@ def _(d: Retail) -> DataFrame:
     return readers.validate_types(readers.read_table(d.spark, folder, "Orders"), schemas.schema("Orders"))
 
 
+@query("source_validate_types_all")
+def _(d: Retail) -> DataFrame:
+    """Declared against stored types of every table, written under names of another case."""
+    folder, parts = stage_path(d.spark, "tables"), []
+    for name in schemas.TABLES:
+        writers.write_table(d[name], folder, f"{name.upper()}.parquet")
+        parts.append(readers.validate_types(readers.read_table(d.spark, folder, name), schemas.schema(name)).withColumn("table", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("source_parse_failures_all")
+def _(d: Retail) -> DataFrame:
+    """Cells that a type can't hold, in every table: each seventh key has a text in the first other column that isn't one."""
+    parts = []
+    for name in schemas.TABLES:
+        columns = schemas.schema(name)
+        key, *rest = columns.fields
+        typed = [f.name for f in rest if f.dataType.simpleString() != "string"]
+        raw = d[name]
+        if typed:
+            raw = raw.withColumn(typed[0], F.when(F.col(key.name) % 7 == 0, "n/a").otherwise(F.col(typed[0]).cast("string")))
+        text = readers.read_raw_csv(d.spark, f"{_csv_dir(d, name, raw)}/{name}.csv", columns)
+        parts.append(readers.parse_failures(text, columns).withColumn("table", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 query("source_ingestion_report")(readers.ingestion_report)
 query("source_profile_orders")(lambda d: readers.profile(d.orders))
 

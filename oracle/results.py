@@ -15,6 +15,16 @@ def _columns(table: str) -> list[tuple[str, str]]:
     return re.findall(r"(\w+) (\w+(?:[(][0-9,]+[)])?)(?: not null)?(?:, |$)", TABLES[table])
 
 
+def _failures(table: str, view: str) -> str:
+    """Cells of each column that were spoilt: those of the first column after the key that isn't a text."""
+    (key, _), *rest = _columns(table)
+    spoilt = next((c for c, k in rest if k != "string"), None)
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", '{c}' AS \"column\", count(*) FILTER (WHERE {f'{key} % 7 = 0' if c == spoilt else 'false'}) AS n_bad FROM {view}"
+        for c, _ in _columns(table)
+    )
+
+
 LOC = f"""loc AS (SELECT menu_item_id, item_name, location_count, max_location_quantity, min_location_quantity, max_location_quantity - min_location_quantity AS location_gap,
   {r(ratio('max_location_quantity', 'min_location_quantity'), 6)} AS location_ratio, quantity_sold, revenue, case_type, case_type AS finding,
   printf('Best place sold %.0f, weakest %.0f, apart by %.0f', max_location_quantity, min_location_quantity, max_location_quantity - min_location_quantity) AS evidence,
@@ -79,6 +89,8 @@ SQL = {
     "source_profile_orders": with_views(_profile("d_orders", ORDER_TYPES)),
     "sink_readback": with_views("SELECT count(*) AS rows_in, count(*) AS rows_back, true AS ok FROM d_lines"),
     "sink_measured": with_views(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows_in, {len(_columns(t))} AS n_cols, true AS ok, true AS timed FROM {v}" for t, v in TABLE_VIEWS.items())),
+    "source_validate_types_all": " UNION ALL ".join(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", '{k}' AS expected, '{k}' AS actual, true AS ok" for t in TABLES for c, k in _columns(t)),
+    "source_parse_failures_all": with_views(" UNION ALL ".join(_failures(t, v) for t, v in TABLE_VIEWS.items())),
     "source_broken_lines": with_views("""SELECT CASE order_id % 40 WHEN 1 THEN 'missing fields' WHEN 2 THEN 'extra fields' WHEN 3 THEN 'broken quotes' ELSE 'none' END AS reason,
       CAST(CASE order_id % 40 WHEN 1 THEN 9 WHEN 2 THEN 11 ELSE 10 END AS INTEGER) AS n_fields, count(*) AS lines FROM d_orders GROUP BY ALL"""),
     "source_unbroken_orders": with_views(f"SELECT {_order_cols} FROM d_orders WHERE order_id % 40 NOT IN (1, 2, 3)"),
