@@ -72,9 +72,10 @@ def build_results(
         df = build()
         out[name] = df.sparkSession.read.schema(df.schema).parquet(writers.write_table(df, f"{out_dir}/results", name))
 
-    save("menu_profitability", lambda: menu.menu_profitability(feats["item"], orders, lines, half_split))
+    days = menu.item_days(orders, lines)
+    save("menu_profitability", lambda: menu.menu_profitability(feats["item"], orders, lines, half_split, days))
     save("menu_performance", lambda: menu.menu_performance(out["menu_profitability"]))
-    save("tricky_cases", lambda: menu.tricky_cases(out["menu_profitability"], orders, lines))
+    save("tricky_cases", lambda: menu.tricky_cases(out["menu_profitability"], orders, lines, days=days))
     save("slow_moving", lambda: menu.simple_slow_movers(out["menu_performance"]))
     save("location_intelligence", lambda: recommend.location_intelligence(out["tricky_cases"]))
     save("channel_intelligence", lambda: recommend.channel_findings(customers.channel_intelligence(feats["customer"])))

@@ -154,9 +154,25 @@ def tricky_cases_basic(items: DataFrame) -> DataFrame:
     )
 
 
-def menu_profitability(items: DataFrame, orders: DataFrame, lines: DataFrame, split: str) -> DataFrame:
-    """Item features with quantities before and after ``split`` and the trend between them."""
-    s = lines.select("order_id", "menu_item_id", "quantity").join(orders.select("order_id", "order_timestamp"), "order_id")
+def item_days(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Quantity, first and last order per item, restaurant and day, as a stage table: the one join of lines and orders."""
+    days = sales(orders, lines).groupBy("menu_item_id", "restaurant_id", "date").agg(
+        F.sum("quantity").alias("quantity"),
+        F.min("order_timestamp").alias("order_timestamp"),
+        F.max("order_timestamp").alias("last_timestamp"),
+    )
+    return settle(days, "item_days")
+
+
+def menu_profitability(items: DataFrame, orders: DataFrame, lines: DataFrame, split: str, days: DataFrame | None = None) -> DataFrame:
+    """Item features with quantities before and after ``split`` and the trend between them.
+
+    With ``days``, as ``item_days`` gives them, lines aren't read again; the split is then a day.
+    """
+    if days is None:
+        s = lines.select("order_id", "menu_item_id", "quantity").join(orders.select("order_id", "order_timestamp"), "order_id")
+    else:
+        s = days.select("menu_item_id", "order_timestamp", "quantity")
     first = F.col("order_timestamp") < F.lit(split).cast("timestamp")
     halves = s.groupBy("menu_item_id").agg(
         dbl(F.coalesce(F.sum(F.when(first, F.col("quantity"))), F.lit(0))).alias("h1_quantity"),
@@ -306,18 +322,13 @@ def tricky_cases(
     ratio: float = 2.0,
     weekend_ratio: float = 1.5,
     weekend_days: Sequence[int] = (5, 6),
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """The ten difficult cases in one table; columns a case does not use are NULL.
 
-    Lines and orders are joined once, down to items per restaurant and day.
+    Lines and orders are joined once, down to items per restaurant and day, unless ``days`` has them already.
     """
-    sold = sales(orders, lines).where(F.col("menu_item_id").isNotNull())
-    days = sold.groupBy("menu_item_id", "restaurant_id", "date").agg(
-        F.sum("quantity").alias("quantity"),
-        F.min("order_timestamp").alias("order_timestamp"),
-        F.max("order_timestamp").alias("last_timestamp"),
-    )
-    s = settle(days, "item_days")
+    s = (days if days is not None else item_days(orders, lines)).where(F.col("menu_item_id").isNotNull())
     base = ["menu_item_id", "item_name", "quantity_sold", "revenue"]
     with_margin = [*base, "contribution_margin"]
 

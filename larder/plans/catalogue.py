@@ -135,8 +135,8 @@ def _items(d: Retail) -> DataFrame:
     return settle(features.item_features(d), "item_features").where(F.col("menu_item_id").isNotNull())
 
 
-def _profit(d: Retail) -> DataFrame:
-    return menu.menu_profitability(features.item_features(d), d.orders, d.lines, HALF_SPLIT)
+def _profit(d: Retail, days: DataFrame | None = None) -> DataFrame:
+    return menu.menu_profitability(features.item_features(d), d.orders, d.lines, HALF_SPLIT, days)
 
 
 def _performance(d: Retail) -> DataFrame:
@@ -144,7 +144,8 @@ def _performance(d: Retail) -> DataFrame:
 
 
 def _cases(d: Retail) -> DataFrame:
-    return menu.tricky_cases(settle(_profit(d), "menu_profitability"), d.orders, d.lines, new_days=NEW_DAYS)
+    days = menu.item_days(d.orders, d.lines)
+    return menu.tricky_cases(settle(_profit(d, days), "menu_profitability"), d.orders, d.lines, new_days=NEW_DAYS, days=days)
 
 
 def _summary(d: Retail, **limits: int) -> DataFrame:
@@ -667,9 +668,10 @@ PARAMETERS = {
 
 
 def _findings(d: Retail) -> dict[str, DataFrame]:
-    profit = settle(_profit(d), "menu_profitability")
+    days = menu.item_days(d.orders, d.lines)
+    profit = settle(_profit(d, days), "menu_profitability")
     slow = menu.simple_slow_movers(menu.menu_performance(profit))
-    location = recommend.location_intelligence(menu.tricky_cases(profit, d.orders, d.lines, new_days=NEW_DAYS))
+    location = recommend.location_intelligence(menu.tricky_cases(profit, d.orders, d.lines, new_days=NEW_DAYS, days=days))
     channel = recommend.channel_findings(_channels(d))
     parts = {"slow": settle(slow, "slow"), "location": settle(location, "location"), "channel": settle(channel, "channel")}
     return parts | {"all": recommend.recommendations(*parts.values())}
