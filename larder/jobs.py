@@ -53,12 +53,10 @@ def build_features(tables: Mapping[str, DataFrame], out_dir: str, period_end: st
         "location_item": features.location_item_features(tables),
         "time": features.time_features(tables),
     }
-    out = {}
-    for name, df in built.items():
-        path = writers.write_table(df, f"{out_dir}/features", f"{name}_features")
-        out[name] = df.sparkSession.read.parquet(path)
-    writers.write_json(features.feature_report(out), f"{out_dir}/reports/features")
-    return out
+    written = {name: writers.write_measured(df, f"{out_dir}/features", f"{name}_features") for name, df in built.items()}
+    spark = built["item"].sparkSession
+    writers.write_json(writers.written_report(spark, written).withColumnRenamed("table", "feature_table"), f"{out_dir}/reports/features")
+    return {name: spark.read.parquet(w.path) for name, w in written.items()}
 
 
 def build_results(

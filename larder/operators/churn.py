@@ -45,8 +45,8 @@ def churn_cohorts(
     """Features and label of every cohort ``{name: (feature_end, label_start, label_end)}``.
 
     Each order is tagged with the cohorts whose feature window holds it, so all cohorts come
-    from one pass over orders and lines. Features use completed orders before ``feature_end``.
-    ``stage`` may write the customer totals, which the scores read several times.
+    from one pass over orders and lines, which are reduced to cohort, customer and item for all that follows. Features use completed orders before ``feature_end``.
+    ``stage`` may write the item and customer totals, which are read several times.
     """
     done = tables["Orders"].where((F.col("order_status") == "completed") & F.col("customer_id").isNotNull())
     cohorts = F.array(
@@ -72,8 +72,9 @@ def churn_cohorts(
         .select("order_id", "menu_item_id", "line_total")
         .join(window.select("order_id", *by), "order_id")
         .groupBy(*by, "menu_item_id")
-        .agg(F.sum("line_total").alias("spent"))
+        .agg(F.sum("line_total").alias("spent"), F.count("*").alias("n_lines"))
     )
+    per_item = stage(per_item, "churn_items")
     spend = per_item.groupBy(*by).agg(F.sum("spent").alias("monetary"), F.count("menu_item_id").alias("distinct_items"))
     base = (
         visits.join(spend, by, "left")
@@ -84,7 +85,7 @@ def churn_cohorts(
     )
     base = stage(base, "churn_base")
     behaviour = customer_behaviour(
-        window, tables["Order_Items"], tables["Menu_Items"], tables["Menu_Categories"], F.col("feature_end"), by=by
+        window, tables["Order_Items"], tables["Menu_Items"], tables["Menu_Categories"], F.col("feature_end"), by=by, bought=per_item
     )
     joined = rfm_scores(base, by=["cohort"]).join(behaviour, by, "left").fillna(0, FEATURES)
     moment = F.to_date("order_timestamp") if inclusive_end else F.col("order_timestamp")

@@ -35,10 +35,12 @@ def customer_behaviour(
     cutoff: Column,
     days: int = 90,
     by: Sequence[str] = ("customer_id",),
+    bought: DataFrame | None = None,
 ) -> DataFrame:
     """Shares, preferences, recent frequency, gaps and category variety per customer.
 
-    ``orders`` must already be limited to the feature window; ``cutoff`` is its last day.
+    ``orders`` must already be limited to the feature window; ``cutoff`` is its last day. ``bought`` are the lines of
+    each customer and item (``by``, ``menu_item_id``, ``n_lines``) where they have been counted already.
     """
     ts, by = "order_timestamp", list(by)
     o = orders.where(F.col("customer_id").isNotNull())
@@ -50,15 +52,15 @@ def customer_behaviour(
         F.count_if(recent).alias("freq_recent_90d"),
         rnd(share(recent), 4).alias("freq_trend"),
     )
-    bought = (
-        lines.select("order_id", "menu_item_id")
-        .join(o.select("order_id", *by), "order_id")
-        .join(menu.select("menu_item_id", "category_id"), "menu_item_id")
+    if bought is None:
+        bought = lines.select("order_id", "menu_item_id").join(o.select("order_id", *by), "order_id").withColumn("n_lines", F.lit(1))
+    per_category = (
+        bought.join(menu.select("menu_item_id", "category_id"), "menu_item_id")
         .groupBy(*by, "category_id")
-        .agg(F.count("*").alias("_c"))
+        .agg(F.sum("n_lines").alias("_c"))
         .join(categories, "category_id", "left")
     )
-    variety = bought.groupBy(*by).agg(
+    variety = per_category.groupBy(*by).agg(
         F.count("*").alias("distinct_categories"),
         F.min_by("category_name", F.struct(-F.col("_c"), F.col("category_name"))).alias("favorite_category"),
     )
