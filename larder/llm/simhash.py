@@ -83,7 +83,8 @@ def links(prints: DataFrame, max_distance: int = 2) -> DataFrame:
         apart = _distance(F.col("a"), F.col("b"), mask)
         here = own & ((apart == 1) | (F.col("variant") == s * BITS + cuts[s]))
         first = F.when(apart <= 1, here).otherwise(first)
-    found = a.join(b, ["variant", "rest"]).where((F.col("a") < F.col("b")) & (_distance(F.col("a"), F.col("b")) <= max_distance) & first)
+    # Spark takes the index for no larger than its fingerprints, and would broadcast rows many times the size it reckons with
+    found = a.join(b.hint("merge"), ["variant", "rest"]).where((F.col("a") < F.col("b")) & (_distance(F.col("a"), F.col("b")) <= max_distance) & first)
     return found.select("a", "b")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from larder.llm import bpe, catalogue, chat, decontaminate, embeddings, langid, linededup, simhash, warc
 from larder.llm.components import components
+from larder.sources.staging import settle
 from tests.llm.fixtures import SF, corpus, documents, odd_rows, sentence, with_clashes
 
 # ---- chat ------------------------------------------------------------------
@@ -375,6 +376,12 @@ def test_links_against_all_pairs(spark, distance):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_links_never_broadcast_the_index(spark):
+    prints = settle(spark.range(1000).select(F.xxhash64("id").alias("fp")), "prints")  # 8 KB for Spark, some 33,000 rows indexed
+    plan = simhash.links(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def near_rows():
     rng = random.Random(12)
     base = [" ".join(f"t{rng.randrange(3000)}" for _ in range(400)) for _ in range(6)]
