@@ -40,6 +40,15 @@ def sales(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
+def dealt_by_order(lines: DataFrame) -> DataFrame:
+    """Lines over four times the shuffle partitions, by order.
+
+    Sums per order and item hardly shrink the lines, so a task holds its share of them in several hash maps. A number
+    that is given isn't coalesced to the few large partitions that rows of a join may do with.
+    """
+    return lines.repartition(4 * int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "order_id")
+
+
 def item_totals(t: Tables) -> DataFrame:
     """Price range, ratings, stock and wastage per item, each aggregated before any join."""
     pricing = t["Pricing_History"].groupBy("menu_item_id").agg(
@@ -80,7 +89,7 @@ def item_features(t: Tables, split_month: int = 6) -> DataFrame:
     Lines are reduced to (item, order), then (item, customer), then item, so distinct
     orders, distinct customers and repeat customers come from one chain of partial sums.
     """
-    s = sales(t["Orders"], t["Order_Items"])
+    s = sales(t["Orders"], dealt_by_order(t["Order_Items"]))
     amounts = ["quantity", "gross", "line_cost", "line_margin", "discount_amount"]
     promoted = F.sum(F.when(F.col("promotion_id").isNotNull(), F.col("quantity")).otherwise(0)).alias("qty_promoted")
     per_order = s.groupBy("menu_item_id", "order_id", "customer_id").agg(

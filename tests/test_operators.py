@@ -36,6 +36,13 @@ def test_deduplicate_keeps_every_row_once(spark):
     assert Counter(map(tuple, kept + dropped)) == Counter(map(tuple, table(spark, "Order_Items", raw).collect()))
 
 
+def test_sums_per_order_are_dealt_over_more_tasks(spark):
+    lines = spark.range(100).selectExpr("id AS order_id")
+    dealt = features.dealt_by_order(lines)
+    assert dealt.rdd.getNumPartitions() == 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert dealt.groupBy("order_id", F.spark_partition_id()).count().count() == 100
+
+
 def test_deduplicate_splits_very_many_copies(spark, monkeypatch):
     monkeypatch.setattr(cleaning, "COPIES_PER_TASK", 7)
     raw = [line(1, 1)] * 50 + [line(2, 1)]
