@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from larder.functions.relational import percent_ranks, top_k, with_thresholds
 from larder.functions.scalar import dbl, is_weekend
 from larder.functions.series import mean_gap_days
-from larder.operators.features import sales
+from larder.operators.features import dealt_by_order, sales
 from larder.sources.staging import settle
 
 # fixed values: the lists shown for items, (metric, ascending)
@@ -378,7 +378,7 @@ def item_sales_summary(
     (high wastage and poor trend); with ``min_criteria`` it is a plain count of criteria.
     """
     by_then = orders.where(F.to_date("order_timestamp") <= F.lit(cutoff).cast("date"))
-    s = sales(by_then, lines).where(F.col("menu_item_id").isNotNull())
+    s = sales(by_then, dealt_by_order(lines)).where(F.col("menu_item_id").isNotNull())
     q, early = F.col("quantity"), F.month("order_timestamp") <= 6
     per_order = s.groupBy("menu_item_id", "order_id", "customer_id", "order_timestamp").agg(
         F.sum("quantity").alias("quantity"), F.sum("line_total").alias("r"), F.sum("line_margin").alias("m"), F.count("*").alias("lines")
