@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.sources.staging import settle
+
 Step = tuple[DataFrame, DataFrame, str]
 COPIES_PER_TASK = 100_000
 
@@ -29,13 +31,17 @@ def missing_amounts(orders: DataFrame) -> Step:
 def deduplicate(df: DataFrame, key: str) -> Step:
     """One row per key, the greatest by column order (so known values win over NULL); NULL is a key like any other.
 
-    The rest is the multiset difference of all rows and the survivors. Both are aggregates with map-side partial
-    results, and the difference is dealt by whole rows, so a key with very many rows never has to fit one task.
+    Keys that occur once are told by the keys alone, and their rows pass as they are. Of the others the rest is the multiset
+    difference of all rows and the survivors. Both are aggregates with map-side partial results, and the difference is
+    dealt by whole rows, so a key with very many rows never has to fit one task.
     """
     reason = f"duplicate {key}"
-    best = df.groupBy(key).agg(F.max(F.struct(*df.columns)).alias("_best"))
-    clean = best.select("_best.*")
-    counted = df.withColumn("_n", F.lit(1)).unionByName(clean.withColumn("_n", F.lit(-1)))
+    known = df.where(F.col(key).isNotNull())
+    repeated = settle(known.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key), "repeated_keys")
+    rows = known.join(repeated, key, "left_semi").select(*df.columns).unionByName(df.where(F.col(key).isNull()))
+    best = rows.groupBy(key).agg(F.max(F.struct(*df.columns)).alias("_best")).select("_best.*")
+    clean = known.join(repeated, key, "left_anti").select(*df.columns).unionByName(best)
+    counted = rows.withColumn("_n", F.lit(1)).unionByName(best.withColumn("_n", F.lit(-1)))
     surplus = counted.groupBy(*df.columns).agg(F.sum("_n").alias("_n")).where(F.col("_n") > 0)
     few = surplus.where(F.col("_n") <= COPIES_PER_TASK)
     chunk = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_TASK))

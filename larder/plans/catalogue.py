@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 from functools import lru_cache, reduce
 
@@ -393,11 +393,17 @@ for _name, _step in CLEANING.items():
 query("clean_cancelled_orders")(lambda d: cleaning.cancelled_orders(d.orders)[0])
 
 
-def _cleaned(d: Retail) -> tuple[dict[str, DataFrame], dict[str, DataFrame], DataFrame]:
-    return cleaning.run_cleaning(d, max_date=AS_OF, extra=True, stage=settle)
+def _written(d: Retail) -> dict[str, DataFrame]:
+    """The tables, those that are cleaned as stage tables: several steps read each, and most are joins of the driver's."""
+    cleaned = {table for _, table, _, _ in cleaning.steps(AS_OF, extra=True)}
+    return {t: settle(df, f"input_{t}") if t in cleaned else df for t, df in d.items()}
 
 
-query("clean_log")(lambda d: _cleaned(d)[2])
+def _cleaned(tables: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, DataFrame], DataFrame]:
+    return cleaning.run_cleaning(tables, max_date=AS_OF, extra=True, stage=settle)
+
+
+query("clean_log")(lambda d: _cleaned(_written(d))[2])
 
 
 # ---- ratings and anomalies -------------------------------------------------
@@ -1005,7 +1011,7 @@ query("sink_sample_export_all")(lambda d: writers.export_samples(d, stage_path(d
 def _(d: Retail) -> DataFrame:
     """Every quarantine of the cleaning run, written and counted by its reason."""
     folder = stage_path(d.spark, "rejected")
-    paths = [writers.write_quarantine(df, folder, name) for name, df in _cleaned(d)[1].items()]
+    paths = [writers.write_quarantine(df, folder, name) for name, df in _cleaned(_written(d))[1].items()]
     parts = [d.spark.read.parquet(p).groupBy("reason").agg(F.count("*").alias("n")) for p in paths]
     return reduce(DataFrame.unionByName, parts).groupBy("reason").agg(F.sum("n").alias("rows"))
 
@@ -1088,13 +1094,17 @@ query("validation_promotions")(lambda d: validation.promotion_checks(d, DATA_STA
 query("validation_item_patterns")(_patterns)
 query("validation_pattern_counts")(lambda d: validation.pattern_counts(_patterns(d)))
 query("validation_features")(lambda d: validation.check_features(_feature_tables(d)))
-query("validation_clean_layer")(lambda d: validation.check_clean_layer(d, _cleaned(d)[0]))
+@query("validation_clean_layer")
+def _(d: Retail) -> DataFrame:
+    raw = _written(d)
+    return validation.check_clean_layer(raw, _cleaned(raw)[0])
 
 
 @query("validation_stages")
 def _(d: Retail) -> DataFrame:
-    clean = _cleaned(d)[0]
-    return validation.stage_consistency(d, clean, features.order_features(clean))
+    raw = _written(d)
+    clean = _cleaned(raw)[0]
+    return validation.stage_consistency(raw, clean, features.order_features(clean))
 
 
 query("validation_difficult_cases")(validation.difficult_cases)

@@ -36,6 +36,15 @@ def test_deduplicate_keeps_every_row_once(spark):
     assert Counter(map(tuple, kept + dropped)) == Counter(map(tuple, table(spark, "Order_Items", raw).collect()))
 
 
+def test_deduplicate_shuffles_only_repeated_keys(spark):
+    frame = spark.range(1000).selectExpr("least(id, 997) AS id", "cast(id AS string) AS text")
+    clean, rejected, _ = cleaning.deduplicate(frame, "id")
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # rows of a single key stay where they are
+    assert clean.count() == 998 and sorted(r.text for r in rejected.collect()) == ["997", "998"]
+    assert clean.where("id = 997").first().text == "999"
+
+
 def test_sums_per_order_are_dealt_over_more_tasks(spark):
     lines = spark.range(100).selectExpr("id AS order_id")
     dealt = features.dealt_by_order(lines)
