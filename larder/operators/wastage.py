@@ -224,14 +224,14 @@ def risk_scores(model: PipelineModel, data: DataFrame) -> DataFrame:
 
 
 def risk_metrics(models: Mapping[str, PipelineModel], data: DataFrame) -> DataFrame:
-    """Metrics per model on the validation and the test rows."""
-    rows = [
-        binary_metrics(score(m, data.where(F.col("split") == s), RISK_FEATURES), "is_high_waste").withColumns(
-            {"model": F.lit(a), "split": F.lit(s)}
-        )
-        for a, m in models.items()
-        for s in ("val", "test")
-    ]
+    """Metrics per model on the validation and the test rows, which each model scores once."""
+    rows = []
+    for a, m in models.items():
+        scored = score(m, data.where(F.col("split").isin("val", "test")), RISK_FEATURES)
+        scored = settle(scored.select("split", "is_high_waste", "prediction", "probability"), f"risk_scored_{a}")
+        for s in ("val", "test"):
+            metrics = binary_metrics(scored.where(F.col("split") == s), "is_high_waste")
+            rows.append(metrics.withColumns({"model": F.lit(a), "split": F.lit(s)}))
     return reduce(DataFrame.unionByName, rows)
 
 

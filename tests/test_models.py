@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from larder.operators import churn
+from larder.operators import churn, wastage
 
 
 def rows(spark, features, label, n=300):
@@ -23,3 +23,19 @@ def test_forest_keeps_node_ids_and_is_the_same(spark):
     assert kept.stages[-1].getOrDefault("cacheNodeIds")
     assert [t.toDebugString.split("\n", 1)[1] for t in kept.stages[-1].trees] == [t.toDebugString.split("\n", 1)[1] for t in walked.stages[-1].trees]
     assert kept.stages[-1].totalNumNodes > 8
+
+
+def test_risk_metrics_score_rows_once(spark, monkeypatch):
+    data = rows(spark, wastage.RISK_FEATURES, "is_high_waste")
+    models = wastage.fit_risk_models(data, {"logistic": {"maxIter": 5}, "random_forest": {"numTrees": 3, "maxDepth": 3}})
+    expected = {
+        (a, s): churn.binary_metrics(churn.score(m, data.where(f"split = '{s}'"), wastage.RISK_FEATURES), "is_high_waste").first().asDict()
+        for a, m in models.items()
+        for s in ("val", "test")
+    }
+    calls, score = [], wastage.score
+    monkeypatch.setattr(wastage, "score", lambda *a: (calls.append(a), score(*a))[1])
+    found = wastage.risk_metrics(models, data)
+    assert len(calls) == 2
+    assert "UDF" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["model"], r["split"]): {k: v for k, v in r.asDict().items() if k not in ("model", "split")} for r in found.collect()} == expected
