@@ -465,8 +465,9 @@ def _test_cohort(d: Retail) -> DataFrame:
     return settle(_cohorts(d, {"test": COHORTS["test"]}), "churn_test")
 
 
-def _all_cohorts(d: Retail) -> DataFrame:
-    return settle(_cohorts(d, COHORTS), "churn_cohorts")
+def _some_cohorts(d: Retail, *names: str) -> DataFrame:
+    """The cohorts that a query reads; lines are exploded to one row per cohort, and no cohort depends on another."""
+    return settle(_cohorts(d, {name: COHORTS[name] for name in names}), "churn_cohorts")
 
 
 def _rule_predictions(d: Retail) -> tuple[DataFrame, DataFrame]:
@@ -493,7 +494,7 @@ def _comparison(d: Retail) -> DataFrame:
 
 def _churn_scores(d: Retail, algo: str) -> DataFrame:
     """Model of the training cohort applied to the test cohort."""
-    data = _all_cohorts(d)
+    data = _some_cohorts(d, "train", "test")
     model = churn.train_classifier(data.where("cohort = 'train'"), algo)
     return churn.score(model, data.where("cohort = 'test'"))
 
@@ -528,7 +529,7 @@ SMALL_MODELS = {
 @query("churn_checks")
 def _(d: Retail) -> DataFrame:
     """Scores of small models of each kind: bounds, classes, and metrics against Spark's own."""
-    data, rows = _all_cohorts(d), []
+    data, rows = _some_cohorts(d, "train", "test"), []
     for algo, params in SMALL_MODELS.items():
         model = churn.train_classifier(data.where("cohort = 'train'"), algo, **params)
         scored = settle(churn.score(model, data.where("cohort = 'test'")), f"scores_{algo}")
@@ -538,14 +539,14 @@ def _(d: Retail) -> DataFrame:
 
 @query("churn_importance_checks")
 def _(d: Retail) -> DataFrame:
-    train = _all_cohorts(d).where("cohort = 'train'")
+    train = _some_cohorts(d, "train").where("cohort = 'train'")
     found = churn.feature_importance(churn.train_classifier(train, "random_forest", **SMALL_MODELS["random_forest"]), train)
     return found.select("feature", F.col("importance").between(0, 1).alias("bounded"), (F.abs(found.agg(F.sum("importance")).scalar() - 1) < 0.002).alias("whole"))
 
 
 @query("churn_feature_importance")
 def _(d: Retail) -> DataFrame:
-    train = _all_cohorts(d).where("cohort = 'train'")
+    train = _some_cohorts(d, "train").where("cohort = 'train'")
     return churn.feature_importance(churn.train_classifier(train, "random_forest"), train)
 
 
@@ -567,7 +568,7 @@ def _(d: Retail) -> DataFrame:
 @query("compare_churn_models")
 def _(d: Retail) -> DataFrame:
     """The logistic and the forest scores of the same customers."""
-    data = _all_cohorts(d)
+    data = _some_cohorts(d, "train", "test")
     fit, test = data.where("cohort = 'train'"), data.where("cohort = 'test'")
     scores = []
     for algo in ("logistic", "random_forest"):

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from larder.operators import churn, wastage
+from larder.plans import catalogue
 
 
 def rows(spark, features, label, n=300):
@@ -39,3 +41,26 @@ def test_risk_metrics_score_rows_once(spark, monkeypatch):
     assert len(calls) == 2
     assert "UDF" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert {(r["model"], r["split"]): {k: v for k, v in r.asDict().items() if k not in ("model", "split")} for r in found.collect()} == expected
+
+
+class Asked(Exception):
+    pass
+
+
+@pytest.mark.parametrize(
+    ("name", "cohorts"),
+    [
+        ("churn_scores_logistic", {"train", "test"}),
+        ("churn_scores_random_forest", {"train", "test"}),
+        ("compare_churn_models", {"train", "test"}),
+        ("churn_feature_importance", {"train"}),
+    ],
+)
+def test_churn_models_build_the_cohorts_they_read(spark, monkeypatch, name, cohorts):
+    def asked(tables, spec, *args, **options):
+        raise Asked(set(spec))
+
+    monkeypatch.setattr(catalogue.churn, "churn_cohorts", asked)
+    with pytest.raises(Asked) as found:
+        catalogue.QUERIES[name](spark, "nowhere")
+    assert found.value.args[0] == cohorts
