@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from larder.config import DEFAULTS
 from larder.functions.relational import existence_flag, running_total, with_scalars
 from larder.functions.scalar import dbl, elapsed_days, ratio, rnd
+from larder.operators import forest
 from larder.operators.customers import customer_behaviour, rfm_scores
 
 # fixed values: columns of the churn models
@@ -129,8 +130,12 @@ def train_classifier(
         stages = [assembler, scaler, LogisticRegression(featuresCol="features", **common, **{"maxIter": 100, **params})]
     elif algo == "random_forest":
         # with the ids of the rows' nodes kept, a pass doesn't walk every tree from its root for every row; the forest is the same
-        forest = {"numTrees": 300, "maxDepth": 12, "minInstancesPerNode": 5, "cacheNodeIds": True, **params}
-        stages = [assembler, RandomForestClassifier(featuresCol="raw_features", seed=seed, **common, **forest)]
+        settings = {"numTrees": 300, "maxDepth": 12, "minInstancesPerNode": 5, "cacheNodeIds": True, **params}
+        classifier = RandomForestClassifier(featuresCol="raw_features", seed=seed, **common, **settings)
+        grown = forest.fit(classifier, data, features)
+        if grown is not None:
+            return PipelineModel([assembler, grown])
+        stages = [assembler, classifier]
     elif algo == "gradient_boosting":
         boost = {"maxIter": 200, "maxDepth": 5, "stepSize": 0.05, **params}
         stages = [assembler, GBTClassifier(featuresCol="raw_features", seed=seed, **common, **boost)]
@@ -143,6 +148,10 @@ def score(model: PipelineModel, df: DataFrame, features: Sequence[str] | None =
     """Predicted class and probability of the positive class."""
     features = features or FEATURES
     prepared = df.withColumns({f: dbl(f) for f in features})
+    *before, last = model.stages
+    if isinstance(last, RandomForestClassificationModel) and last.numClasses == 2 and not last.isSet("thresholds"):
+        ready = PipelineModel(before).transform(prepared).withColumn("_values", vector_to_array(last.getFeaturesCol()))
+        return forest.score(last, ready, df.columns, "_values")
     out = model.transform(prepared)
     return out.select(
         *df.columns,
