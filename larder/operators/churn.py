@@ -129,7 +129,7 @@ def train_classifier(
         scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
         stages = [assembler, scaler, LogisticRegression(featuresCol="features", **common, **{"maxIter": 100, **params})]
     elif algo == "random_forest":
-        # with the ids of the rows' nodes kept, a pass doesn't walk every tree from its root for every row; the forest is the same
+        # where the forest is left to Spark, the ids of the rows' nodes are kept, so a pass doesn't walk every tree from its root
         settings = {"numTrees": 300, "maxDepth": 12, "minInstancesPerNode": 5, "cacheNodeIds": True, **params}
         classifier = RandomForestClassifier(featuresCol="raw_features", seed=seed, **common, **settings)
         grown = forest.fit(classifier, data, features)
