@@ -141,7 +141,11 @@ def train_classifier(
         stages = [assembler, GBTClassifier(featuresCol="raw_features", seed=seed, **common, **boost)]
     else:
         raise ValueError(f"unknown algorithm {algo}")
-    return Pipeline(stages=stages).fit(data)
+    model = Pipeline(stages=stages).fit(data)
+    if algo == "logistic":
+        # its summary holds the session, which no task can be sent once a frame has been observed in it
+        model.stages[-1]._java_obj.setSummary(df.sparkSession._jvm.scala.Option.apply(None))
+    return model
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from larder.operators import churn, wastage
 from larder.plans import catalogue
@@ -64,3 +66,12 @@ def test_churn_models_build_the_cohorts_they_read(spark, monkeypatch, name, coho
     with pytest.raises(Asked) as found:
         catalogue.QUERIES[name](spark, "nowhere")
     assert found.value.args[0] == cohorts
+
+
+def test_logistic_scores_after_an_observation(spark):
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 3
+    data = rows(spark, churn.FEATURES, "churn")
+    scored = churn.score(churn.train_classifier(data, "logistic", maxIter=5), data)
+    assert scored.where(F.col("probability").between(0, 1)).count() == 300
