@@ -142,8 +142,8 @@ def train_classifier(
     else:
         raise ValueError(f"unknown algorithm {algo}")
     model = Pipeline(stages=stages).fit(data)
-    if algo == "logistic":
-        # its summary holds the session, which no task can be sent once a frame has been observed in it
+    if getattr(model.stages[-1], "hasSummary", False):
+        # the summary holds the session, which no task can be sent once a frame has been observed in it
         model.stages[-1]._java_obj.setSummary(df.sparkSession._jvm.scala.Option.apply(None))
     return model
 
